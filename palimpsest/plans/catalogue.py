@@ -400,8 +400,24 @@ def xml_roundtrip(spark, d):
         F.lit("<page><title>"), esc(F.col("title")), F.lit("</title><ns>"), F.col("ns").cast("string"), F.lit("</ns><id>"), F.col("page_id").cast("string"), F.lit("</id><revision><id>"),
         F.col("rev_id").cast("string"), F.lit("</id><timestamp>"), F.col("timestamp"), F.lit("</timestamp><contributor><id>"), F.col("user_id").cast("string"),
         F.lit("</id></contributor><text>"), esc(clean), F.lit("</text></revision></page>")).alias("value"))
-    r.write.option("compression", "bzip2").text(f"{root}/in")
-    paths = sorted(f"{local}/in/{x}" for x in os.listdir(f"{local}/in") if x.endswith(".bz2"))
+
+    def write(batches):
+        import bz2
+        import uuid
+
+        import pandas as pd
+
+        path = f"{local}/in/{uuid.uuid4().hex}.xml.bz2"
+        os.makedirs(f"{local}/in", exist_ok=True)
+        with bz2.open(path + ".part", "wt", encoding="utf-8", newline="") as f:
+            f.write("<mediawiki><siteinfo><base>https://en.wikipedia.org/wiki/Main</base></siteinfo>\n")
+            for pdf in batches:
+                f.write("\n".join(pdf["value"]) + "\n")
+            f.write("</mediawiki>\n")
+        os.rename(path + ".part", path)
+        yield pd.DataFrame({"path": [path]})
+
+    paths = sorted(x[0] for x in r.mapInPandas(write, "path string").collect())  # one name per task, of tasks that succeeded
     _, shreds = shredded(spark, paths)
     whole, _ = stage(shreds, "shreds")
     write_archives(whole, f"{local}/out")
