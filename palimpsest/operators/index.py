@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest import schema
 from palimpsest.functions import page_url, url_hash
-from palimpsest.session import exists, fs
+from palimpsest.session import fs, get
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -103,10 +103,7 @@ class IndexStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _pointer(self) -> dict:
-        path = f"{self.root}/_current.json"
-        if not exists(self.spark, path):
-            return {}
-        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
+        return json.loads(get(self.spark, f"{self.root}/_current.json") or "{}")
 
     def exists(self) -> bool:
         return bool(self._pointer())
@@ -167,6 +164,6 @@ def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 __all__ = [
-    "IndexStore", "Window", "backfill_documents", "documents_by_title", "first_wins", "grow_dimension", "insert_ignore", "last_wins",
+    "IndexStore", "backfill_documents", "documents_by_title", "first_wins", "grow_dimension", "insert_ignore", "last_wins",
     "next_ids", "number_rows", "put", "resources_of", "unseen", "upsert",
 ]

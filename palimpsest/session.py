@@ -52,6 +52,18 @@ def bytes_of(spark: SparkSession, path: str) -> int:
     return f.getContentSummary(p).getLength() if f.exists(p) else 0
 
 
+def get(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None if there is none."""
+    f, p = fs(spark, path)
+    if not f.exists(p):
+        return None
+    stream = f.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         f, p = fs(spark, path)
