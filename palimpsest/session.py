@@ -104,4 +104,29 @@ def local_session(cores: str = "*", shuffle: int = 8, **conf: str) -> SparkSessi
     )
     for k, v in conf.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once per application."""
+    import os
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="palimpsest-code-"), "palimpsest.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("palimpsest", os.path.relpath(full, here)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
