@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import neardup, subjects
+from palimpsest.llm import mixing, neardup, packing, subjects
+from palimpsest.llm.tokens import token_counts
 from palimpsest.sources.tables import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,32 @@ def p7_near_duplicates(spark, d):
     return members.join(ends, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+@query("p8_packing")
+def p8_packing(spark, d):
+    """Every text in containers of each kind."""
+    return packing.pack(token_counts(table(spark, d, "documents"), ["doc_id"]), table(spark, d, "pack_sizes"))
+
+
+@query("p8_fill")
+def p8_fill(spark, d):
+    return packing.fill_report(p8_packing(spark, d), table(spark, d, "pack_sizes"))
+
+
+def _mix(spark, d):
+    return mixing.draws(token_counts(table(spark, d, "documents"), ["doc_id", "source"]), table(spark, d, "mix_targets"))
+
+
+@query("p9_mix")
+def p9_mix(spark, d):
+    """The mixed corpus: which text at which slot."""
+    return _mix(spark, d)[0]
+
+
+@query("p9_shares")
+def p9_shares(spark, d):
+    return _mix(spark, d)[1]
+
+
 def _subjects(spark, d):
     docs = table(spark, d, "documents")
     return subjects.assign(docs, subjects.fit(docs, table(spark, d, "subject_labels"), table(spark, d, "subjects")))
