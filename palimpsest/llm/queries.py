@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import mixing, neardup, packing, subjects
+from palimpsest.llm import markup, mixing, neardup, packing, subjects
 from palimpsest.llm.tokens import token_counts
 from palimpsest.sources.tables import table
 
@@ -23,6 +23,16 @@ def query(name: str):
     return put
 
 
+@query("p5_found")
+def p5_found(spark, d):
+    return markup.find_markup(table(spark, d, "documents"))
+
+
+@query("p5_clean")
+def p5_clean(spark, d):
+    return markup.clean_texts(table(spark, d, "documents"))
+
+
 @query("p7_found")
 def p7_found(spark, d):
     cfg = neardup.NearDup(phrase=3, threshold=0.7, min_phrases=20)
