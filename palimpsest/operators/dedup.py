@@ -116,5 +116,5 @@ class DedupIndex:
 
 
 def repeats(rows: DataFrame, kept: DataFrame, row: str) -> DataFrame:
-    """Rows of ``rows`` that are not kept, by delivery: unique keys, so no message's copies gather."""
-    return rows.select(row).join(kept.select(row), row, "left_anti")
+    """Rows of ``rows`` that are not kept, by delivery: unique keys, so no message's copies gather. Rows without a delivery are left out."""
+    return rows.select(row).filter(F.col(row).isNotNull()).join(kept.select(row), row, "left_anti")

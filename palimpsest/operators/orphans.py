@@ -111,13 +111,15 @@ def orphan_keys(references: DataFrame, parents: DataFrame, deleted: DataFrame) -
 
 
 def orphan_references(rows: DataFrame, fields: list[str], parents: DataFrame, deleted: DataFrame, keep: list[str]) -> DataFrame:
-    """Distinct (field, *keep, key, period) of the rows whose reference in one of ``fields`` leads to no live parent.
+    """Distinct (ref_field, *keep, ref_id, period) of the rows whose reference in one of ``fields`` leads to no live parent.
 
-    ``rows`` has the reference columns, ``keep`` and ``period`` (an integer). NULL and 0 are no references. The
+    ``rows`` has the reference columns, ``keep`` and ``period`` (an integer, not NULL: -1 stands for unknown). NULL and 0 are no references. The
     orphan keys are joined back by broadcast only while their table is small; else the join shuffles, skew left to AQE.
     """
-    refs = rows.select(*keep, "period", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("long").alias("key")) for f in fields])).alias("r"))
-    refs = refs.select("r.field", "r.key", "period", *keep).filter("key <> 0")
+    kept = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("long").alias("key")) for f in fields])
+    refs = rows.select(*kept, F.col("period").alias("period"), F.explode(pairs).alias("_r")).select("_r.field", "_r.key", "period", *[f"_keep{i}" for i in range(len(keep))]).filter("key <> 0")
     keys, path = stage(orphan_keys(refs, parents, deleted), "orphans")
     bad = maybe_broadcast(keys.select("field", "key", "period"), path)
-    return refs.join(bad, ["field", "key", "period"], "left_semi").distinct()
+    found = refs.join(bad, ["field", "key", "period"], "left_semi").distinct()
+    return found.select(F.col("field").alias("ref_field"), *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], F.col("key").alias("ref_id"), "period")

@@ -13,20 +13,20 @@ from pyspark.sql import functions as F
 
 
 def range_parts(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
-    """Range partition on the composite of key and secondary order; ``_part`` is the partition's number.
+    """Range partition on the composite of key and secondary order; ``__part`` is the partition's number.
 
     ``parts`` defaults to the session's shuffle partitions. NULL keys form a key of their own, first in order.
     """
     cols = [*keys, *order]
     out = df.repartitionByRange(parts, *cols) if parts else df.repartitionByRange(*cols)
-    return out.withColumn("_part", F.spark_partition_id())
+    return out.withColumn("__part", F.spark_partition_id())
 
 
 def group_states(df: DataFrame, keys: list[str], order: list[str], states: dict[str, Column], parts: int | None = None) -> DataFrame:
     """Partial states per key and range partition. The aggregate runs before its shuffle inside the range
     partition, so that shuffle carries one row per key and partition, however heavy the key.
     """
-    return range_parts(df, keys, order, parts).groupBy(*keys, "_part").agg(*[v.alias(k) for k, v in states.items()])
+    return range_parts(df, keys, order, parts).groupBy(*keys, "__part").agg(*[v.alias(k) for k, v in states.items()])
 
 
 def stitch(partial: DataFrame, keys: list[str], merged: dict[str, Column]) -> DataFrame:
@@ -52,7 +52,7 @@ def group_profile(df: DataFrame, key: str, order: str, size: str, parts: int | N
         for pdf in batches:
             k = pdf["_k"].to_numpy(dtype=object)
             o = pdf["_o"].to_numpy(dtype="float64", na_value=np.nan) if pdf["_o"].isna().any() else pdf["_o"].to_numpy()
-            s, part = pdf["_s"].to_numpy(), int(pdf["_part"].iloc[0])
+            s, part = pdf["_s"].to_numpy(), int(pdf["__part"].iloc[0])
             isnull = pd.isna(pdf["_k"]).to_numpy()
             kk = np.where(isnull, -1, pdf["_k"].fillna(0).to_numpy().astype("int64"))
             cut = np.flatnonzero((kk[1:] != kk[:-1]) | (isnull[1:] != isnull[:-1])) + 1
@@ -78,10 +78,10 @@ def group_profile(df: DataFrame, key: str, order: str, size: str, parts: int | N
         if have:
             yield pd.DataFrame([(k0, part, n, lo, hi, total, step)], columns=cols).astype(kinds)
 
-    cols = ["_k", "_part", "n", "lo", "hi", "total", "step"]
+    cols = ["_k", "__part", "n", "lo", "hi", "total", "step"]
     kinds = dict.fromkeys(cols, "Int64")
-    partial = rows.sortWithinPartitions("_k", "_o").mapInPandas(scan, "_k long, _part int, n long, lo long, hi long, total long, step long")
-    w = Window.partitionBy("_k").orderBy("_part")  # at most one row per partition and key
+    partial = rows.sortWithinPartitions("_k", "_o").mapInPandas(scan, "_k long, __part int, n long, lo long, hi long, total long, step long")
+    w = Window.partitionBy("_k").orderBy("__part")  # at most one row per partition and key
     gaps = partial.withColumn("_gap", F.col("lo") - F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     return gaps.groupBy(F.col("_k").alias(key)).agg(
         F.sum("n").alias("n_rows"), F.min("lo").alias("first_order"), F.max("hi").alias("last_order"), F.sum("total").alias("total"),
@@ -94,11 +94,11 @@ def heavy_keys(df: DataFrame, key: str, order: str, share: float, parts: int | N
 
     All rows count in the total, NULL and 0 keys included; an empty table has no heavy keys.
     """
-    states = group_states(df.select(key, order), [key], [order], {"n": F.count("*")}, parts)
-    counts = stitch(states, [key], {"n_rows": F.sum("n")})
-    # Every key's count is needed for the total as well; the total is one row.
-    total = counts.agg(F.sum("n_rows").alias("_all"))
-    return counts.join(F.broadcast(total)).filter((F.col(key) != 0) & (F.col("n_rows") >= F.col("_all") * share)).select(key, "n_rows")
+    rows = df.select(F.col(key).alias("_key"), F.col(order).alias("_order"))
+    states = group_states(rows, ["_key"], ["_order"], {"_n": F.count("*")}, parts)
+    counts = stitch(states, ["_key"], {"_rows": F.sum("_n")})
+    total = counts.agg(F.sum("_rows").alias("_all"))  # one row
+    return counts.join(F.broadcast(total)).filter((F.col("_key") != 0) & (F.col("_rows") >= F.col("_all") * share)).select(F.col("_key").alias(key), F.col("_rows").alias("n_rows"))
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, parts: int | None = None) -> DataFrame:
@@ -111,14 +111,14 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, ou
 
     cols = df.columns
     sorted_rows = range_parts(df, keys, order, parts)
-    w = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("__part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows, path = stage(sorted_rows, "ranges")
     v = F.coalesce(F.col(value), F.lit(0))
-    sums = rows.groupBy("_part", *keys).agg(F.sum(v).alias("_sum"))
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # rows: partitions, not records
-    base = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    local = rows.withColumn("_run", F.sum(v).over(w))
-    on = local["_part"].eqNullSafe(base["_part"])
+    sums = rows.groupBy("__part", *keys).agg(F.sum(v).alias("__sum"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # rows: partitions, not records
+    base = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+    local = rows.withColumn("__run", F.sum(v).over(w))
+    on = local["__part"].eqNullSafe(base["__part"])
     for k in keys:
         on = on & local[k].eqNullSafe(base[k])
-    return local.join(base, on).select(*[local[c] for c in cols], (F.col("_run") + F.col("_base")).cast("long").alias(out))
+    return local.join(base, on).select(*[local[c] for c in cols], (F.col("__run") + F.col("__base")).cast("long").alias(out))

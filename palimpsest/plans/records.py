@@ -98,7 +98,7 @@ def p3_found(spark, d):
     deleted = table(spark, d, "tombstones").filter("restored_at IS NULL").select(field.alias("field"), F.col("ref_id").alias("key")).dropna()
     out = orphan_references(rows, list(_FIELDS), parents, deleted, ["revision_id"])
     period = F.when(F.col("period") < 0, "unknown").otherwise(F.format_string("%04d-%02d", F.floor(F.col("period") / 12), F.pmod(F.col("period"), F.lit(12)) + 1))
-    return out.select(F.col("field").alias("ref_field"), "revision_id", F.col("key").alias("ref_id"), period.alias("period"))
+    return out.select("ref_field", "revision_id", "ref_id", period.alias("period"))
 
 
 #: The log reaches the index in so many incoming batches, by delivery.
