@@ -62,8 +62,8 @@ def next_ids(keys: DataFrame, key: str, start: Column | int = 0, parts: int | No
 def grow_dimension(existing: DataFrame, values: DataFrame, key: str, extra: dict[str, Column] | None = None) -> DataFrame:
     """Get-or-create: existing rows plus new values of ``key`` with the ids that follow."""
     new = values.select(key).filter(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti")
-    top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    rows = next_ids(new, key).join(F.broadcast(top)).withColumn("id", F.col("id") + F.col("_top")).drop("_top")  # one row
+    top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top")).scalar()
+    rows = next_ids(new, key).withColumn("id", F.col("id") + top)
     for c, v in (extra or {}).items():
         rows = rows.withColumn(c, v)
     return existing.unionByName(rows, allowMissingColumns=True).select(*existing.columns)

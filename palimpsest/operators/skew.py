@@ -97,8 +97,8 @@ def heavy_keys(df: DataFrame, key: str, order: str, share: float, parts: int | N
     rows = df.select(F.col(key).alias("_key"), F.col(order).alias("_order"))
     states = group_states(rows, ["_key"], ["_order"], {"_n": F.count("*")}, parts)
     counts = stitch(states, ["_key"], {"_rows": F.sum("_n")})
-    total = counts.agg(F.sum("_rows").alias("_all"))  # one row
-    return counts.join(F.broadcast(total)).filter((F.col("_key") != 0) & (F.col("_rows") >= F.col("_all") * share)).select(F.col("_key").alias(key), F.col("_rows").alias("n_rows"))
+    total = counts.agg(F.sum("_rows").alias("_all")).scalar()
+    return counts.filter((F.col("_key") != 0) & (F.col("_rows") >= total * share)).select(F.col("_key").alias(key), F.col("_rows").alias("n_rows"))
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, parts: int | None = None) -> DataFrame:

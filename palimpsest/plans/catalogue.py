@@ -223,8 +223,7 @@ def latest_timestamp_normalized(spark, d):
 @query("resume_window", f"WITH t AS (SELECT delivery_id, {_NORM} AS i FROM revisions) SELECT delivery_id FROM t WHERE i >= (SELECT max(i) FROM t) - INTERVAL 24 HOURS")
 def resume_window(spark, d):
     t = table(spark, d, "revisions").select("delivery_id", fn.instant(F.col("revision_timestamp")).alias("i"))
-    top = t.agg(F.max("i").alias("top"))  # one row
-    return t.join(F.broadcast(top), F.col("i") >= F.col("top") - int(sync.OVERLAP.total_seconds())).select("delivery_id")
+    return t.filter(F.col("i") >= t.agg(F.max("i")).scalar() - int(sync.OVERLAP.total_seconds())).select("delivery_id")
 
 
 @query("staleness_guard", f"SELECT found_in_bundle, max({_NORM}) < TIMESTAMP '2026-01-01' - INTERVAL 30 DAYS AS stale FROM revisions GROUP BY 1")

@@ -31,8 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/palimpsest/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder."""
+    return f"{shared_dir(spark)}/palimpsest/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove what this application staged. Results that have not been read yet are lost."""
+    remove(spark, f"{shared_dir(spark)}/palimpsest/{spark.sparkContext.applicationId}")
 
 
 def fs(spark: SparkSession, path: str):
