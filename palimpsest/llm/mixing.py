@@ -101,10 +101,10 @@ def draws(counts: DataFrame, targets: DataFrame, budget: int | None = None, bloc
     mix, _ = stage(mix, "mix")
     have = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens_available"), F.count("*").alias("texts"))
     used = mix.groupBy("source").agg(F.sum("n_tokens").alias("tokens_drawn"), F.count("*").alias("draws"), (F.max("repeat") + 1).alias("most_repeats"))
-    total = used.agg(F.sum("tokens_drawn").alias("_all"))
+    total = used.agg(F.sum("tokens_drawn")).scalar()
     goal = spark.createDataFrame(goals, "source string, target_share double, max_repeats long")
-    report = have.join(goal, "source", "full_outer").join(used, "source", "left").join(F.broadcast(total)).select(
+    report = have.join(goal, "source", "full_outer").join(used, "source", "left").select(
         "source", "texts", F.coalesce("tokens_available", F.lit(0)).alias("tokens_available"), "target_share", "max_repeats", F.coalesce("tokens_drawn", F.lit(0)).alias("tokens_drawn"),
-        F.coalesce("draws", F.lit(0)).alias("draws"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.coalesce(F.col("tokens_drawn") / F.col("_all"), F.lit(0.0)).alias("actual_share"),
+        F.coalesce("draws", F.lit(0)).alias("draws"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.coalesce(F.col("tokens_drawn") / total, F.lit(0.0)).alias("actual_share"),
     )
     return mix, report

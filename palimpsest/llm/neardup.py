@@ -122,7 +122,7 @@ def _sketches(docs: DataFrame, cfg: NearDup) -> DataFrame:
                 s1, s2 = (np.r_[np.uint64(0), np.cumsum(mix(p + np.uint64(i)))] for i in (1, 1 << 50))
                 yield pd.DataFrame({
                     "doc_id": ids[a:b][keep], "n": n[keep].astype(np.int32), "h1": (s1[bounds[1:]] - s1[bounds[:-1]])[keep].view(np.int64),
-                    "h2": (s2[bounds[1:]] - s2[bounds[:-1]])[keep].view(np.int64), "regs": [k[i].tobytes() for i in keep],
+                    "h2": (s2[bounds[1:]] - s2[bounds[:-1]])[keep].view(np.int64), "regs": pd.Series([k[i].tobytes() for i in keep], dtype=object),
                 })
 
     return docs.filter("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(run, "doc_id long, n int, h1 long, h2 long, regs binary")
@@ -174,7 +174,7 @@ def _phrase_sets(docs: DataFrame, cfg: NearDup) -> DataFrame:
             for a, b in groups(texts):
                 p, bounds = phrases(texts[a:b], cfg.phrase)
                 low = p.astype(np.uint32)  # 32 bits a phrase: sets of a pair are small against 2**32
-                yield pd.DataFrame({"doc_id": ids[a:b], "p": [np.sort(low[x:y]).tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]})
+                yield pd.DataFrame({"doc_id": ids[a:b], "p": pd.Series([np.sort(low[x:y]).tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], dtype=object)})
 
     return docs.mapInPandas(run, "doc_id long, p binary")
 
@@ -201,12 +201,12 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> tuple[DataFram
 
     members: (doc_id, class_id), class_id the least doc_id with the same set of phrases; links: (a, b), a < b, the class
     ids of different classes at or above the threshold. NULL texts, NULL ids and texts with too few phrases are in neither. Other
-    columns are ignored. Copies are never paired with one another; a bucket that holds much of the corpus is split by AQE's
+    columns are ignored; a doc_id with several texts counts with each of them. Copies are never paired with one another; a bucket that holds much of the corpus is split by AQE's
     skew join.
     """
     sk, _ = stage(_sketches(docs, cfg), "sketches")
     classes = sk.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class_id"))
-    members, members_path = stage(sk.select("doc_id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id"), "members")
+    members, members_path = stage(sk.select("doc_id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id").distinct(), "members")
     reps = sk.join(members.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
     rows, _ = stage(_bands(reps, cfg), "bands")
     x, y = rows.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), rows.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> tuple[DataFram
     sets, _ = stage(_phrase_sets(some, cfg), "sets")
     pa = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("p").alias("pa")), "a")
     pb = pa.join(sets.select(F.col("doc_id").alias("b"), F.col("p").alias("pb")), "b")
-    links, _ = stage(_verified(pb, cfg), "links")
+    links, _ = stage(_verified(pb, cfg).distinct(), "links")
     return members, links
 
 
@@ -232,4 +232,4 @@ def expand(members: DataFrame, links: DataFrame) -> DataFrame:
     same = m.select("class_id", F.col("d").alias("x")).join(m.select("class_id", F.col("d").alias("y")), "class_id").filter("x < y").select("x", "y")
     across = links.join(m.select(F.col("class_id").alias("a"), F.col("d").alias("x")), "a").join(m.select(F.col("class_id").alias("b"), F.col("d").alias("y")), "b").select("x", "y")
     both = same.unionByName(across)
-    return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
+    return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).filter("doc_id_a < doc_id_b").distinct()

@@ -66,10 +66,14 @@ def pieces(items: DataFrame, sizes: DataFrame) -> DataFrame:
     """One row per kind and piece: (container_kind, capacity_tokens, doc_id, piece, token_begin, n_tokens).
 
     Only items larger than the capacity are cut, into full pieces and a rest. Items without tokens have no piece; kinds
-    without a positive capacity are left out.
+    without a positive capacity are left out, and of two capacities of one kind the larger counts.
     """
-    kinds = sizes.select("container_kind", F.col("capacity_tokens").cast("long").alias("capacity_tokens")).filter("capacity_tokens > 0 AND container_kind IS NOT NULL").distinct()
-    both = items.select("doc_id", F.col("n_tokens").alias("_n")).filter("_n > 0").join(F.broadcast(kinds))  # a row per kind of container: a handful
+    usable = sizes.select("container_kind", F.col("capacity_tokens").cast("long").alias("capacity_tokens")).filter("capacity_tokens > 0 AND container_kind IS NOT NULL")
+    kinds = usable.groupBy("container_kind").agg(F.max("capacity_tokens")).orderBy("container_kind").collect()  # configuration, a row a kind
+    if not kinds:
+        kinds = [("", -1)]
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(int(c)).cast("long").alias("cap")) for k, c in kinds]))
+    both = items.select("doc_id", F.col("n_tokens").alias("_n")).filter("_n > 0").select("doc_id", "_n", each.alias("_k")).select("doc_id", "_n", F.col("_k.kind").alias("container_kind"), F.col("_k.cap").alias("capacity_tokens")).filter("capacity_tokens > 0")
     cap = F.col("capacity_tokens")
     cut = both.select("container_kind", "capacity_tokens", "doc_id", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / cap) - 1)).alias("piece"))
     return cut.select("container_kind", "capacity_tokens", "doc_id", "piece", (F.col("piece") * cap).alias("token_begin"), F.least(cap, F.col("_n") - F.col("piece") * cap).alias("n_tokens"))

@@ -311,6 +311,6 @@ def assign(docs: DataFrame, model: Model) -> DataFrame:
                 continue
             y = decode(m, features(texts, src, m.index, m.weights, m.sources))
             d, s = np.nonzero(y > 0.5)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[d], "subject": [m.subjects[i] for i in s]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[d], "subject": pd.Series([m.subjects[i] for i in s], dtype=object)})
 
     return docs.filter("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "source").mapInPandas(run, "doc_id long, subject string")

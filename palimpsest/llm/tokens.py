@@ -28,10 +28,12 @@ def token_counts(docs: DataFrame, keep: list[str], path: str = VOCABULARY) -> Da
     """``keep`` columns and ``n_tokens`` of every row; NULL and empty texts have 0. Texts do not leave their scan task."""
 
     def run(batches):
+        import numpy as np
+
         e = encoding(path)
         for pdf in batches:
             out = pdf[keep].copy()
-            out["n_tokens"] = [len(e.encode_ordinary(t)) if t else 0 for t in pdf["text"]]
+            out["n_tokens"] = np.array([len(e.encode_ordinary(t)) if t else 0 for t in pdf["text"]], dtype=np.int64)
             yield out
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in keep)
