@@ -7,26 +7,18 @@ from pyspark.sql import functions as F
 
 __all__ = ["instant", "parse_timestamp", "normalize_timestamp", "date_prefix"]
 
-_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
-_PLAIN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+_FORM = r"^\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})| \d{2}:\d{2}:\d{2})$"
 
 
 def instant(col: Column) -> Column:
-    """Epoch second of a timestamp string, fraction dropped; NULL for null, other spellings and impossible dates.
+    """Epoch second of a timestamp string, fraction dropped; NULL for null, other spellings and impossible dates or times.
 
-    Civil date arithmetic on the string keeps this independent of the session
-    time zone and of ANSI mode: ``try_to_date`` rejects impossible days, and the clock
-    and offset are range-checked before they are added. A leap second (``:60``) is
-    no instant, offsets reach 23:59.
+    The form is checked first, then date, clock and zone are read by one cast that
+    names its zone, so neither the session's zone nor ANSI mode matters. A leap second is no instant; offsets reach 18 hours.
     """
-    n = lambda of, at: F.substring(of, at, 2).try_cast("long")
-    day = F.unix_date(F.try_to_date(F.substring(col, 1, 10), "yyyy-MM-dd")).cast("long")
-    h, m, s, tail = n(col, 12), n(col, 15), n(col, 18), F.right(col, F.lit(6))
-    shifted = tail.rlike(r"^[+-]\d{2}:\d{2}$")
-    sign = F.when(F.substring(tail, 1, 1) == "-", -1).otherwise(1)
-    offset = F.when(shifted, sign * (n(tail, 2) * 3600 + n(tail, 5) * 60)).otherwise(F.lit(0).cast("long"))
-    fine = (h < 24) & (m < 60) & (s < 60) & (~shifted | ((n(tail, 2) < 24) & (n(tail, 5) < 60)))
-    return F.when((col.rlike(_ISO) | col.rlike(_PLAIN)) & fine, day * 86400 + h * 3600 + m * 60 + s - offset)
+    zone = F.when(F.substring(col, 11, 1) == " ", F.lit("Z")).when(col.endswith("Z"), F.lit("Z")).otherwise(F.right(col, F.lit(6)))
+    whole = F.concat(F.substring(col, 1, 10), F.lit(" "), F.substring(col, 12, 8), zone)
+    return F.unix_seconds(F.when(col.rlike(_FORM), whole).try_cast("timestamp"))
 
 
 def parse_timestamp(col: Column) -> Column:
@@ -36,15 +28,8 @@ def parse_timestamp(col: Column) -> Column:
 
 def normalize_timestamp(col: Column) -> Column:
     """``YYYY-MM-DDThh:mm:ssZ``; sub-seconds dropped, NULL where unparseable."""
-    e = instant(col)
-    day = F.date_from_unix_date(F.floor(e / 86400).cast("int"))
-    sec = F.pmod(e, F.lit(86400))
-    return F.when(
-        e.isNotNull(),
-        F.format_string(
-            "%sT%02d:%02d:%02dZ", day.cast("string"), F.floor(sec / 3600), F.pmod(F.floor(sec / 60), F.lit(60)), F.pmod(sec, F.lit(60))
-        ),
-    )
+    wall = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=instant(col).cast("decimal(18,6)"))
+    return F.concat(F.translate(wall.cast("string"), " ", "T"), F.lit("Z"))
 
 
 def date_prefix(col: Column) -> Column:

@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from palimpsest.operators.index import put
 from palimpsest.session import get, remove
 
-MERGE_AT = 8
+#: Runs are merged when there are so many, and spread over more prefixes when one holds more identifiers than this on average.
+MERGE_AT, PREFIX_IDS = 8, 400_000
 _RUN = "bucket int, a binary, b binary, n long"
 
 
 class DedupIndex:
     """Identifiers (two 64-bit integers, compared exactly) seen so far, below ``root``.
 
-    ``buckets`` is the number of hash prefixes: choose it so that one prefix's identifiers fit a task (16 bytes each).
-    It is stored with the index. A batch is committed by one pointer swap; one that fails is taken again whole.
+    ``buckets`` is the number of hash prefixes; it is stored with the index and grows with it, so that one prefix's identifiers
+    (16 bytes each) fit a task. A batch is committed by one pointer swap; one that fails is taken again whole.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
@@ -82,7 +83,10 @@ class DedupIndex:
         kept = self.spark.read.schema(fields).parquet(f"{at}/kept")
         self._pack(kept).write.parquet(f"{at}/ids")
         put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [*m["runs"], run], "buckets": self.buckets}))
-        if len(m["runs"]) + 1 >= MERGE_AT:
+        total = self._runs([*m["runs"], run]).agg(F.sum("n")).first()[0] or 0
+        if total > PREFIX_IDS * self.buckets:
+            self.merge(buckets=2 * total // PREFIX_IDS + 1)
+        elif len(m["runs"]) + 1 >= MERGE_AT:
             self.merge()
         return kept.select(F.col("a").alias(a), F.col("b").alias(b), F.col("row").alias(row))
 
@@ -98,8 +102,8 @@ class DedupIndex:
 
         return ids.select("bucket", "a", "b").groupBy("bucket").applyInPandas(pack, _RUN)
 
-    def merge(self) -> None:
-        """Merge all runs into one."""
+    def merge(self, buckets: int | None = None) -> None:
+        """Merge all runs into one, over ``buckets`` prefixes if given."""
         m, run = self._manifest(), f"run-{uuid.uuid4().hex}"
 
         def spread(batches):
@@ -107,10 +111,12 @@ class DedupIndex:
             import pandas as pd
 
             for pdf in batches:
-                for k, a, b in zip(pdf["bucket"], pdf["a"], pdf["b"], strict=True):
-                    yield pd.DataFrame({"bucket": np.int32(k), "a": np.frombuffer(a, "<i8"), "b": np.frombuffer(b, "<i8")})
+                for a, b in zip(pdf["a"], pdf["b"], strict=True):
+                    yield pd.DataFrame({"a": np.frombuffer(a, "<i8"), "b": np.frombuffer(b, "<i8")})
 
-        self._pack(self._runs(m["runs"]).mapInPandas(spread, "bucket int, a long, b long")).write.parquet(f"{self.root}/{run}/ids")
+        self.buckets = buckets or self.buckets
+        ids = self._runs(m["runs"]).mapInPandas(spread, "a long, b long").withColumn("bucket", self._bucket())
+        self._pack(ids).write.parquet(f"{self.root}/{run}/ids")
         put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [run], "buckets": self.buckets}))
         remove(self.spark, *[f"{self.root}/{r}/ids" for r in m["runs"]])
 

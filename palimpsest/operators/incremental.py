@@ -99,24 +99,31 @@ class MerkleStore:
         ``before_publish`` is called when all is written and nothing is published (fault injection).
         """
         m, run = self.manifest(), f"run-{uuid.uuid4().hex}"
-        at = f"{self.root}/{run}"
+        at, read = f"{self.root}/{run}", self.spark.read
         current = elements(df, key, version)
+        if not m["tree"]:  # nothing saved: every element is new, and the leaves are hashed from what is written
+            current.withColumn("sign", F.lit(1)).write.parquet(f"{at}/delta")
+            current = read.schema(_DELTA).parquet(f"{at}/delta").select("key", "version")
         # The leaf level is written first; the levels above are made from it, not from the records again.
         leaf_level(current).select(F.lit(0).alias("level"), "node", "a", "b", "n").write.parquet(f"{at}/tree")
-        leaves = self.spark.read.schema(_TREE).parquet(f"{at}/tree").filter("level = 0")
+        leaves = read.schema(_TREE).parquet(f"{at}/tree").filter("level = 0")
         top = height(leaves)
-        upper, _ = stage(upper_levels(leaves, top), "levels")
+        upper, upper_path = stage(upper_levels(leaves, top), "levels")
         upper.coalesce(1).write.mode("append").parquet(f"{at}/tree")  # a 256th of the leaves
-        now = self.spark.read.schema(_TREE).parquet(f"{at}/tree")
-        saved, deltas = self._saved(m)
-        changed_leaves(saved, now, min(top, m["top"])).write.parquet(f"{at}/leaves")
-        leaf = maybe_broadcast(self.spark.read.schema("node long").parquet(f"{at}/leaves"), f"{at}/leaves")
-        within = lambda d: d.join(leaf, leaf_of(d["key"]) == leaf["node"], "left_semi")
-        c = elements(within(df.select(key.cast("long").alias("key"), version.cast("long").alias("version"))), F.col("key"), F.col("version"))
-        s = within(deltas).groupBy("key", "version").agg(F.sum("sign").alias("n")).filter("n > 0").drop("n")
-        both = s.withColumn("o", F.lit(1)).unionByName(c.withColumn("o", F.lit(2))).groupBy("key", "version").agg(F.sum("o").alias("o"))
-        both.filter("o <> 3").select("key", "version", F.when(F.col("o") == 2, 1).otherwise(-1).alias("sign")).write.parquet(f"{at}/delta")
-        # 1: saved only, 2: current only, 3: both
+        remove(self.spark, upper_path)
+        if m["tree"]:
+            now = read.schema(_TREE).parquet(f"{at}/tree")
+            saved, deltas = self._saved(m)
+            changed_leaves(saved, now, min(top, m["top"])).write.parquet(f"{at}/leaves")
+            leaf = maybe_broadcast(read.schema("node long").parquet(f"{at}/leaves"), f"{at}/leaves")
+            within = lambda d: d.join(leaf, leaf_of(d["key"]) == leaf["node"], "left_semi")
+            c = elements(within(df.select(key.cast("long").alias("key"), version.cast("long").alias("version"))), F.col("key"), F.col("version"))
+            s = within(deltas).groupBy("key", "version").agg(F.sum("sign").alias("n")).filter("n > 0").drop("n")
+            # 1: saved only, 2: current only, 3: both
+            both, _ = stage(s.withColumn("o", F.lit(1)).unionByName(c.withColumn("o", F.lit(2))).groupBy("key", "version").agg(F.sum("o").alias("o")), "changed")
+            both.filter("o <> 3").select("key", "version", F.when(F.col("o") == 2, 1).otherwise(-1).alias("sign")).write.parquet(f"{at}/delta")
+        else:
+            both = current.withColumn("o", F.lit(2))
         kinds = both.groupBy("key").agg(
             F.max(F.col("o") != 2).alias("was"), F.max(F.col("o") != 1).alias("is"), F.max((F.col("o") == 2) & F.col("version").isNotNull()).alias("new")
         )
@@ -125,7 +132,7 @@ class MerkleStore:
         if before_publish:
             before_publish()
         put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [*m["runs"], run], "tree": run, "top": top}))
-        return self.spark.read.schema("key long, change_kind string").parquet(f"{at}/output")
+        return read.schema("key long, change_kind string").parquet(f"{at}/output")
 
     def compact(self) -> None:
         """Merge the element deltas of all runs into one; the tree stays."""

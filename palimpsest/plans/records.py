@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import instant
 from palimpsest.operators import hierarchy as tree
 from palimpsest.operators import skew
-from palimpsest.operators.dedup import DedupIndex, repeats
+from palimpsest.operators.dedup import PREFIX_IDS, DedupIndex, repeats
 from palimpsest.operators.incremental import MerkleStore
 from palimpsest.operators.orphans import orphan_references
 from palimpsest.plans.catalogue import _NORM
@@ -108,10 +108,10 @@ P4_BATCHES = 4
 @query("p4_found", f"WITH {_USABLE} SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTITION BY revision_id, i ORDER BY delivery_id) AS k FROM u WHERE i IS NOT NULL) WHERE k > 1")
 def p4_found(spark, d):
     rows = log(spark, d, "delivery_id", "revision_id", instant(F.col("revision_timestamp")).alias("instant")).filter("instant IS NOT NULL")
-    lo, hi = table(spark, d, "revisions").agg(F.min("delivery_id"), F.max("delivery_id")).first()
+    lo, hi, n = table(spark, d, "revisions").agg(F.min("delivery_id"), F.max("delivery_id"), F.count("*")).first()
     if lo is None:
         return rows.select("delivery_id")
-    index, step = DedupIndex(spark, scratch(spark, "dedup")), (hi - lo) // P4_BATCHES + 1
+    index, step = DedupIndex(spark, scratch(spark, "dedup"), max(16, n // PREFIX_IDS + 1)), (hi - lo) // P4_BATCHES + 1
     kept = None
     for k in range(P4_BATCHES):
         batch = rows.filter((F.col("delivery_id") >= lo + k * step) & (F.col("delivery_id") < lo + (k + 1) * step))

@@ -170,6 +170,8 @@ def test_one_copy_stays(spark, tmp_path):
     assert {x[2] for x in kept} == want and len(kept) == len(want)
     assert rows(index.ingest(spark.createDataFrame(data, MSG), "m", "t", "d")) == []
     assert rows(index.ingest(spark.createDataFrame([], MSG), "m", "t", "d")) == []
+    index.merge(buckets=3)
+    assert rows(DedupIndex(spark, str(tmp_path)).ingest(spark.createDataFrame([*data, (999, 1, 900, "", "")], MSG), "m", "t", "d")) == [(999, 1, 900)]
     df = spark.createDataFrame(data, MSG)
     assert repeats(df, df.filter(F.col("d").isin(list(want))), "d").count() == len(data) - len(want)
 
