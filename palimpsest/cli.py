@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 import sys
 from datetime import UTC, datetime
@@ -18,6 +19,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("-o", "--output")
     s.add_argument("-o", "--output", required=True)
     b.add_argument("--domain")
+    b.add_argument("--large-pages", action="store_true", help="stream revisions of pages too large for memory")
+    b.add_argument("--sqlite", help="also merge the index into this SQLite file")
     s.add_argument("--domain", required=True)
     for x in (b, s):
         x.add_argument("--namespace", type=names)
@@ -32,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, stream=sys.stderr, format="%(asctime)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     from palimpsest.session import local_session
 
     if args.command == "build":
@@ -43,7 +48,13 @@ def main(argv: list[str] | None = None) -> int:
 
         spark = local_session(args.jobs)
         index = None if args.no_db or args.parquet else os.path.join(args.output or ".", args.db)
-        out = build(spark, source, args.output, args.namespace, args.domain, index, args.parquet)
+        out = build(spark, source, args.output, args.namespace, args.domain, index, args.parquet, large_pages=args.large_pages)
+        if args.sqlite and index:
+            from palimpsest.operators.index import IndexStore
+            from palimpsest.sources.sqlite import KEYS, write_sqlite
+
+            store = IndexStore(spark, index)
+            write_sqlite({t: store.read(t) for t in KEYS}, args.sqlite)
         for row in out.toLocalIterator():
             sys.stdout.write(row["record"])
         return 0
@@ -51,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     from palimpsest.operators.metadata import latest_timestamp
     from palimpsest.session import exists
     from palimpsest.sources.changes import ChangesSource, contents, fetch_contents
-    from palimpsest.streaming.sync import run_stream, start_of
+    from palimpsest.streaming.sync import ProgressLog, run_stream, start_of
 
     spark = local_session(args.jobs)
     store = IndexStore(spark, os.path.join(args.output, args.db))
@@ -62,6 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     spark.dataSource.register(ChangesSource)
     feed = spark.readStream.format("recentchanges").option("domain", args.domain).option("start", start).option("namespaces", ",".join(args.namespace or [])).load()
     lookup = lambda ids: contents(fetch_contents(ids, args.domain), args.namespace)
+    spark.streams.addListener(ProgressLog())
     query = run_stream(spark, feed, os.path.join(args.output, "_checkpoint"), lookup, store, args.domain, args.output, args.namespace, args.ongoing, args.interval)
     query.awaitTermination()
     return 0

@@ -123,9 +123,12 @@ class IndexStore:
     def apply(self, pages: DataFrame, revisions: DataFrame, siteinfo: DataFrame) -> None:
         """Merge shredded pages (file, page_id, ns, title, seq) and revisions (file_path ... timestamp) of files with a domain.
 
-        Pages of files without a domain wait: they are not stored. Returns after the pointer swap.
+        Pages of files without a domain wait in ``rejected_pages`` and are taken up by the run that brings their file's domain. Returns after the pointer swap.
         """
         sites = siteinfo.select("file", "domain").distinct()
+        waiting = self.read("rejected_pages")
+        pages = pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(waiting)
+        held = pages.join(sites, "file", "left_anti").distinct()
         domains = grow_dimension(self.read("domains"), sites.select(F.col("domain").alias("value")), "value")
         known = pages.join(sites, "file").join(domains.select(F.col("value").alias("domain"), F.col("id").alias("domain_id")), "domain")
         documents = grow_dimension(self.read("documents"), pages.select("title"), "title")
@@ -140,7 +143,7 @@ class IndexStore:
             F.col("parent_rev_id").alias("parent_revision_id"), F.col("timestamp").alias("revision_timestamp"),
         )
         revs = insert_ignore(self.read("revisions"), placed, "revision_id", ["found_in_bundle", "offset_begin"])
-        self.commit({"domains": domains, "documents": documents, "web_resources": resources, "revision_bundles": bundles, "revisions": revs})
+        self.commit({"domains": domains, "documents": documents, "web_resources": resources, "revision_bundles": bundles, "revisions": revs, "rejected_pages": held})
 
 
 def put(spark: SparkSession, path: str, text: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,30 +13,38 @@ from palimpsest.operators.metadata import metadata, write_metadata
 from palimpsest.operators.shred import in_namespaces, pages_of, revisions_of
 from palimpsest.session import remove, stage
 from palimpsest.sources.dump import list_dumps, read_pages, read_siteinfo, stage_7z
+from palimpsest.sources.history import pages_of_history, read_history, revisions_of_history
 from palimpsest.sources.mwrev import write_archives
 
 
-def shredded(spark: SparkSession, paths: list[str], namespaces: list[str] | None = None, preserve_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(pages, framed revisions with ``seq``) of dump files."""
+LOG = logging.getLogger(__name__)
+
+
+def shredded(spark: SparkSession, paths: list[str], namespaces: list[str] | None = None, preserve_text: bool = False, large_pages: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(pages, framed revisions with ``seq``) of dump files. ``large_pages`` streams revisions for pages too large for a row."""
+    if large_pages:
+        rows = read_history(spark, paths, namespaces, preserve_text)
+        return pages_of_history(rows), frame(with_seq(revisions_of_history(rows)))
     raw = in_namespaces(read_pages(spark, paths, preserve_text), namespaces)
     return pages_of(raw), frame(with_seq(revisions_of(raw)))
 
 
 def build(
     spark: SparkSession, source: str, out_dir: str | None = None, namespaces: list[str] | None = None, domain: str | None = None,
-    index: str | None = None, parquet: str | None = None, preserve_text: bool = False,
+    index: str | None = None, parquet: str | None = None, preserve_text: bool = False, large_pages: bool = False,
 ) -> DataFrame:
     """Run the job; returns framed records in order. Without ``out_dir`` nothing is archived and file_path is 'stdout'."""
     from pyspark.sql import functions as F
 
     paths = list_dumps(source)
+    LOG.info("build: %d files of %s", len(paths), source)
     work = os.path.join(out_dir, "_7z") if out_dir else None
     if any(p.endswith(".7z") for p in paths):
         import tempfile
 
         work = work or tempfile.mkdtemp(prefix="palimpsest-7z-")
         paths = [stage_7z(spark, p, work) if p.endswith(".7z") else p for p in paths]
-    pages, framed = shredded(spark, paths, namespaces, preserve_text)
+    pages, framed = shredded(spark, paths, namespaces, preserve_text, large_pages)
     if not out_dir:
         framed = framed.withColumn("file_path", F.lit("stdout"))
     framed, path = stage(framed, "framed")
@@ -50,6 +59,7 @@ def build(
     elif index:
         site = read_siteinfo(spark, paths, domain)
         IndexStore(spark, index).apply(pages.withColumn("seq", F.monotonically_increasing_id()), revs, site)
+    LOG.info("build: done, %s", out_dir or "stdout")
     if out_dir:
         remove(spark, path)
         return spark.createDataFrame([], "record string")

@@ -22,6 +22,7 @@ INDEX = {
     "documents": _s(id=_l, language_code=_t, has_container=_l, part_of_larger_work=_l, title=_t, wikidata_id=_t, librarybase_id=_t),
     "web_resources": _s(id=_l, url=_t, url_hash=_t, instance_of_document=_l, availability_status=_l, is_archive_of=_l, domain_id=_l, numeric_page_id=_l, numeric_namespace_id=_l),
     "revision_bundles": _s(id=_l, file_path=_t),
+    "rejected_pages": _s(file=_t, page_id=_l, ns=_l, title=_t, seq=_l),
     "revisions": _s(revision_id=_l, page_id=_l, found_in_bundle=_l, offset_begin=_l, length=_l, parent_revision_id=_l, revision_timestamp=_t),
 }
 

@@ -60,12 +60,26 @@ def feed_pages(fetch: Callable[[dict], dict], start: str, namespaces: list[str]
             return
 
 
+def replayed(path: str) -> Callable[[dict], dict]:
+    """Recorded replies, one JSON a line; the continuation token is the number of the next line."""
+
+    def fetch(params: dict) -> dict:
+        with open(path, encoding="utf-8") as f:
+            lines = [x for x in f if x.strip()]
+        at = int(params.get("rccontinue", 0))
+        reply = json.loads(lines[at]) if at < len(lines) else {"query": {"recentchanges": []}}
+        return reply | ({"continue": {"rccontinue": str(at + 1)}} if at + 1 < len(lines) else {})
+
+    return fetch
+
+
 class ChangesReader(SimpleDataSourceStreamReader):
     """Offset: last instant seen and continuation token. Rows read are cached by Spark for replays of a batch."""
 
     def __init__(self, options: dict, fetch: Callable[[dict], dict] | None = None):
         self.start, self.namespaces = options["start"], [x for x in options.get("namespaces", "").split(",") if x] or None
-        self.fetch = fetch or (lambda p: http_get(options["domain"], p))
+        replay = options.get("replay")
+        self.fetch = fetch or (replayed(replay) if replay else lambda p: http_get(options["domain"], p))
 
     def initialOffset(self):
         return {"start": self.start, "token": ""}
@@ -95,7 +109,7 @@ class ChangesReader(SimpleDataSourceStreamReader):
 
 
 class ChangesSource(DataSource):
-    """``spark.readStream.format("recentchanges").option("domain", ...).option("start", ...)``."""
+    """``spark.readStream.format("recentchanges").option("domain", ...).option("start", ...)``; ``replay`` names a file of recorded replies."""
 
     @classmethod
     def name(cls):

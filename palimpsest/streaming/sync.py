@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from palimpsest.functions import body, daily_path, header, instant
 from palimpsest.operators.index import IndexStore, first_wins, unseen
 from palimpsest.operators.metadata import write_metadata
 from palimpsest.sources.mwrev import append_frames
 
+LOG = logging.getLogger(__name__)
 #: Overlap of a first cycle, lifetime of a seen revision, age beyond which an index is too old, poll interval.
 OVERLAP, TTL, STALE = timedelta(hours=24), timedelta(hours=25), timedelta(days=30)
 INTERVAL_MINUTES = 10
@@ -138,6 +141,23 @@ def process_batch(spark: SparkSession, feed: DataFrame, lookup, store: IndexStor
     return {"revisions": n}
 
 
+class ProgressLog(StreamingQueryListener):
+    """Start, progress and end of streaming queries as log lines: ``spark.streams.addListener(ProgressLog())``."""
+
+    def onQueryStarted(self, event):
+        LOG.info("sync %s started", event.name or event.id)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        LOG.info("sync batch %d: %d rows in", p.batchId, p.numInputRows)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        LOG.info("sync ended%s", f": {event.exception}" if event.exception else "")
+
+
 def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None):
     """Start following ``feed`` (a stream of items). Run once drains what is available; ongoing polls."""
 

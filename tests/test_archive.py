@@ -132,3 +132,61 @@ def test_latest_timestamp_normalizes_before_comparing(spark):
     assert latest_timestamp(m).first()[0] == "2026-05-31T23:59:55Z"
     assert m.filter("type = 'page'").first()["rev_id"] is None and m.count() == 5
     assert latest_timestamp(m.limit(0)).first()[0] is None
+
+
+def test_streamed_history_equals_row_tags(spark, dumps):
+    from palimpsest.sources.history import pages_of_history, read_history, revisions_of_history
+
+    paths = list_dumps(dumps)
+    rows = read_history(spark, paths)
+    cols = ["file", "pos", "page_raw", "ns_raw", "rev_raw", "parent_raw", "timestamp", "user_raw", "text", "rev_id", "parent_rev_id", "page_id", "ns", "file_path"]
+    one = sorted(map(tuple, revisions_of(read_pages(spark, paths)).select(*cols).collect()), key=str)
+    assert sorted(map(tuple, revisions_of_history(rows).select(*cols).collect()), key=str) == one and len(one) == 8
+    assert sorted(map(tuple, pages_of_history(rows).collect())) == sorted(map(tuple, pages_of(read_pages(spark, paths)).collect()))
+    assert revisions_of_history(read_history(spark, paths, ["1"])).count() == 2 and read_history(spark, []).count() == 0
+
+
+def test_damaged_end_keeps_what_came_before(spark, tmp_path):
+    from palimpsest.sources.history import read_history
+
+    (tmp_path / "t.xml").write_text(XML[: XML.index("<page><title>Empty")] + "<page><title>X</title><ns>0</ns><id>9</id><revision><id>5")
+    assert {r["page_raw"] for r in read_history(spark, [str(tmp_path / "t.xml")]).collect()} == {"1", "2"}
+    assert read_pages(spark, [str(tmp_path / "t.xml")]).filter("id IN ('1', '2')").count() == 2
+
+
+def test_large_pages_build(spark, dumps, tmp_path):
+    a, b = str(tmp_path / "o1"), str(tmp_path / "o2")
+    build(spark, dumps, a)
+    build(spark, dumps, b, large_pages=True)
+    for name in ("a.mwrev.zst", "b.xml.mwrev.zst"):
+        assert list(records(f"{a}/{name}")) == list(records(f"{b}/{name}"))
+
+
+def test_sqlite_index(spark, dumps, tmp_path):
+    from palimpsest.sources.sqlite import KEYS, read_sqlite, write_sqlite
+
+    out, db = str(tmp_path / "out"), str(tmp_path / "index.db")
+    build(spark, dumps, out, index=out + "/index")
+    store = IndexStore(spark, out + "/index")
+    tables = {t: store.read(t) for t in KEYS}
+    write_sqlite(tables, db)
+    write_sqlite(tables, db)  # merging again changes nothing
+    for t, df in tables.items():
+        assert sorted(map(tuple, read_sqlite(spark, db, t).collect()), key=str) == sorted(map(tuple, df.collect()), key=str), t
+    moved = tables["web_resources"].withColumn("numeric_namespace_id", F.lit(9).cast("long")).withColumn("instance_of_document", F.lit(None).cast("long"))
+    write_sqlite({"web_resources": moved}, db)
+    got = read_sqlite(spark, db, "web_resources").collect()
+    assert all(r["numeric_namespace_id"] == 9 and r["instance_of_document"] for r in got)
+    with pytest.raises(Exception, match="unable to open|PYTHON_DATA_SOURCE"):
+        read_sqlite(spark, str(tmp_path / "none.db"), "domains").collect()
+
+
+def test_pages_wait_for_their_domain(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "i"))
+    pages = spark.createDataFrame([("f", 1, 0, "T", 1)], "file string, page_id long, ns int, title string, seq long")
+    none = spark.createDataFrame([], "file_path string, rev_id long, page_id long, offset_begin long, length long, parent_rev_id long, timestamp string")
+    site = spark.createDataFrame([("f", "x.org")], "file string, domain string")
+    store.apply(pages, none, site.limit(0))
+    assert store.read("web_resources").count() == 0 and store.read("rejected_pages").count() == 1
+    store.apply(pages.limit(0), none, site)
+    assert store.read("web_resources").first()["url"] == "https://x.org/w/index.php?curid=1" and store.read("rejected_pages").count() == 0

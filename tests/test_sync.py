@@ -68,3 +68,46 @@ def test_stream_runs_once(spark, tmp_path):
     q = run_stream(spark, spark.readStream.schema(ITEMS).parquet(src), str(tmp_path / "cp"), _lookup(spark), store, "x.org", str(tmp_path))
     q.awaitTermination(120)
     assert store.read("revisions").first()["revision_id"] == 5
+
+
+def test_replayed_feed_streams(spark, tmp_path):
+    from palimpsest.sources.changes import ChangesSource, fetch_contents
+
+    item = lambda i: {"revid": i, "pageid": i * 10, "ns": 0, "title": f"P{i}", "timestamp": f"2026-05-30T00:00:0{i}Z"}
+    (tmp_path / "replies.jsonl").write_text("\n".join(json.dumps({"query": {"recentchanges": [item(i), item(i + 1)]}}) for i in (1, 3)))
+    spark.dataSource.register(ChangesSource)
+    feed = spark.readStream.format("recentchanges").option("start", "2026-05-30T00:00:00Z").option("replay", str(tmp_path / "replies.jsonl")).load()
+    q = feed.writeStream.format("memory").queryName("replayed").trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            q.awaitTermination(1)
+            if spark.table("replayed").select("revid").distinct().count() == 4:
+                break
+    finally:
+        q.stop()
+    assert {r["revid"] for r in spark.table("replayed").collect()} == {1, 2, 3, 4}
+    page = lambda p: {"query": {"pages": [{"ns": 0, "pageid": 1, "revisions": [{"revid": int(i), "timestamp": "t"} for i in p["revids"].split("|")]}]}}
+    ids = spark.range(1, 121).withColumnRenamed("id", "rev_id").coalesce(1)
+    replies = fetch_contents(ids, "x", page)
+    assert replies.count() == 3 and contents(replies).count() == 120
+
+
+def test_ttl_state(spark, tmp_path):
+    from palimpsest.streaming.sync import drop_recent, ttl_processor
+
+    src = str(tmp_path / "in")
+    spark.createDataFrame([(1, "2026-01-01T00:00:00"), (1, "2026-01-01T01:00:00"), (2, "2026-01-01T02:00:00")], "k long, t string").withColumn("ts", F.to_timestamp("t")).write.parquet(src)
+    stream = lambda: spark.readStream.schema("k long, t string, ts timestamp").parquet(src)
+    q = drop_recent(stream(), "k").writeStream.format("memory").queryName("recent").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted(r["k"] for r in spark.table("recent").collect()) == [1, 2]
+    out = stream().groupBy("k").transformWithStateInPandas(statefulProcessor=ttl_processor(), outputStructType="key long, rows long", outputMode="append", timeMode="ProcessingTime")
+    q = out.writeStream.format("memory").queryName("ttl").outputMode("append").trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            q.awaitTermination(1)
+            if spark.table("ttl").count():
+                break
+    finally:
+        q.stop()
+    assert sorted(r["key"] for r in spark.table("ttl").collect()) == [1, 2]
