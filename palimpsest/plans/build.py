@@ -7,26 +7,26 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.operators.framing import frame, with_offsets, with_seq
+from palimpsest.operators.framing import frame, with_offsets
 from palimpsest.operators.index import IndexStore
 from palimpsest.operators.metadata import metadata, write_metadata
 from palimpsest.operators.shred import in_namespaces, pages_of, revisions_of
 from palimpsest.session import remove, stage
 from palimpsest.sources.dump import list_dumps, read_pages, read_siteinfo, stage_7z
 from palimpsest.sources.history import pages_of_history, read_history, revisions_of_history
-from palimpsest.sources.mwrev import write_archives
+from palimpsest.sources.mwrev import archive_scan
 
 
 LOG = logging.getLogger(__name__)
 
 
 def shredded(spark: SparkSession, paths: list[str], namespaces: list[str] | None = None, preserve_text: bool = False, large_pages: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(pages, framed revisions with ``seq``) of dump files. ``large_pages`` streams revisions for pages too large for a row."""
+    """(pages, framed revisions in file order by ``page_seq`` and ``pos``) of dump files. ``large_pages`` streams revisions for pages too large for a row."""
     if large_pages:
         rows = read_history(spark, paths, namespaces, preserve_text)
-        return pages_of_history(rows), frame(with_seq(revisions_of_history(rows)))
+        return pages_of_history(rows), frame(revisions_of_history(rows))
     raw = in_namespaces(read_pages(spark, paths, preserve_text), namespaces)
-    return pages_of(raw), frame(with_seq(revisions_of(raw)))
+    return pages_of(raw), frame(revisions_of(raw))
 
 
 def build(
@@ -45,22 +45,22 @@ def build(
         work = work or tempfile.mkdtemp(prefix="palimpsest-7z-")
         paths = [stage_7z(spark, p, work) if p.endswith(".7z") else p for p in paths]
     pages, framed = shredded(spark, paths, namespaces, preserve_text, large_pages)
-    if not out_dir:
-        framed = framed.withColumn("file_path", F.lit("stdout"))
-    framed, path = stage(framed, "framed")
-    places = with_offsets(framed, ["file", "seq"] if not out_dir else ["seq"])
-    keys = ["file_path", "seq"] if out_dir else ["file", "seq"]
-    revs = framed.drop("length").join(places.select(*keys, "offset_begin", "length"), keys)
+    keep = ["file", "file_path", "page_seq", "pos", "rev_id", "parent_rev_id", "page_id", "timestamp"]
+    path = None
     if out_dir:
         os.makedirs(out_dir, exist_ok=True)
-        write_archives(framed, out_dir)
+        revs, path = stage(archive_scan(framed, out_dir, keep), "places")
+    else:
+        framed = framed.withColumn("file_path", F.lit("stdout"))
+        places = with_offsets(framed, ["file", "page_seq", "pos"])
+        revs = framed.select(*keep).join(places.select("file", "page_seq", "pos", "offset_begin", "length"), ["file", "page_seq", "pos"])
     if parquet:
         write_metadata(metadata(pages, revs), parquet)
     elif index:
         site = read_siteinfo(spark, paths, domain)
         IndexStore(spark, index).apply(pages.withColumn("seq", F.monotonically_increasing_id()), revs, site)
     LOG.info("build: done, %s", out_dir or "stdout")
-    if out_dir:
+    if path:
         remove(spark, path)
         return spark.createDataFrame([], "record string")
-    return framed.orderBy("file", "seq").select(F.concat("header", "body").alias("record"))
+    return framed.orderBy("file", "page_seq", "pos").select(F.concat("header", "body").alias("record"))

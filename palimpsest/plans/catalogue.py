@@ -387,7 +387,7 @@ def xml_roundtrip(spark, d):
 
     from palimpsest.plans.build import shredded
     from palimpsest.session import fs, scratch, stage
-    from palimpsest.sources.mwrev import read_archive, unframe, write_archives
+    from palimpsest.sources.mwrev import archive_scan, read_archive, unframe
 
     root = scratch(spark, "xml")
     if fs(spark, root)[0].getUri().getScheme() != "file":
@@ -418,7 +418,6 @@ def xml_roundtrip(spark, d):
 
     paths = sorted(x[0] for x in r.mapInPandas(write, "path string").collect())  # one name per task, of tasks that succeeded
     _, shreds = shredded(spark, paths)
-    whole, _ = stage(shreds, "shreds")
-    write_archives(whole, f"{local}/out")
+    stage(archive_scan(shreds, f"{local}/out", ["rev_id"]), "places")
     back = read_archive(spark, f"{local}/out")
     return back.select(F.col("rev_id").cast("long").alias("rev_id"), F.col("page_id").cast("long").alias("page_id"), "offset_begin", "length", F.md5(unframe(F.col("body"))).alias("text_hash"))

@@ -106,41 +106,62 @@ def unframe(body: F.Column) -> F.Column:
     return F.regexp_replace(F.regexp_replace(body, r"(?m)^ ", ""), r"\n\z", "")
 
 
-def write_archives(framed: DataFrame, out_dir: str) -> DataFrame:
-    """Write one archive per ``file_path`` from rows (file_path, seq, header, body); returns (file_path, records, bytes).
-
-    One task streams one file in ``seq`` order into a temporary name and renames
-    it, so a retried task leaves no partial archive. The work is done by an action here.
-    """
-
-    def write(rows):
+class _Writer:
+    """One open archive at a time: a temporary file that takes its name when the next one begins, so a retried task leaves no partial archive."""
+
+    def __init__(self, out_dir: str):
+        self.out_dir, self.name, self.out = out_dir, None, None
+
+    def add(self, name: str, head: str, text: str) -> tuple[int, int]:
+        """Write a record; returns the place of its body."""
+        if name != self.name:
+            self.close()
+            self._open(name)
+        h, t = head.encode("utf-8"), text.encode("utf-8")
+        self.out.write(h)
+        self.out.write(t)
+        begin = self.size + len(h)
+        self.size, self.records = begin + len(t), self.records + 1
+        return begin, len(t)
+
+    def _open(self, name: str) -> None:
         import uuid
 
-        import pandas as pd
         import zstandard
 
-        out, name, tmp, n, size = None, None, None, 0, 0
+        self.name, self.size, self.records = name, 0, 0
+        full = os.path.join(self.out_dir, name)
+        os.makedirs(os.path.dirname(full), exist_ok=True)
+        self.tmp = f"{full}.{uuid.uuid4().hex}.tmp"
+        self.out = zstandard.ZstdCompressor(level=3).stream_writer(open(self.tmp, "wb"), closefd=True)  # noqa: SIM115
 
-        def close():
-            out.close()
-            os.replace(tmp, os.path.join(out_dir, name))
-            return pd.DataFrame({"file_path": [name], "records": [n], "bytes": [size]})
+    def close(self) -> tuple | None:
+        """Finish the open archive: (name, records, bytes)."""
+        if self.out is None:
+            return None
+        self.out.close()
+        self.out = None
+        os.replace(self.tmp, os.path.join(self.out_dir, self.name))
+        return self.name, self.records, self.size
 
-        for pdf in rows:
+
+def write_archives(framed: DataFrame, out_dir: str) -> DataFrame:
+    """Write one archive per ``file_path`` from rows (file_path, seq, header, body) of any partitioning; returns (file_path, records, bytes).
+
+    Texts are shuffled to one task per file; where rows come from a dump scan, ``archive_scan`` needs no shuffle. The work is done by an action here.
+    """
+
+    def write(batches):
+        import pandas as pd
+
+        w, done = _Writer(out_dir), []
+        for pdf in batches:
             for path, head, text in zip(pdf["file_path"], pdf["header"], pdf["body"], strict=True):
-                if path != name:
-                    if out is not None:
-                        yield close()
-                    name, n, size = path, 0, 0
-                    full = os.path.join(out_dir, name)
-                    os.makedirs(os.path.dirname(full), exist_ok=True)
-                    tmp = f"{full}.{uuid.uuid4().hex}.tmp"
-                    out = zstandard.ZstdCompressor(level=3).stream_writer(open(tmp, "wb"), closefd=True)  # noqa: SIM115
-                data = (head + text).encode("utf-8")
-                out.write(data)
-                n, size = n + 1, size + len(data)
-        if out is not None:
-            yield close()
+                if path != w.name:
+                    done.append(w.close())
+                w.add(path, head, text)
+        done.append(w.close())
+        yield pd.DataFrame([x for x in done if x], columns=["file_path", "records", "bytes"])
 
     spark = framed.sparkSession
     rows = framed.select("file_path", "seq", "header", "body").repartition("file_path").sortWithinPartitions("file_path", "seq")
@@ -148,6 +169,25 @@ def write_archives(framed: DataFrame, out_dir: str) -> DataFrame:
     return spark.createDataFrame(done, "file_path string, records long, bytes long")
 
 
+def archive_scan(framed: DataFrame, out_dir: str, keep: list[str]) -> DataFrame:
+    """Archive the rows of a dump scan as they come and give ``keep``, ``offset_begin`` and ``length`` of each.
+
+    A dump file is one scan task that reads it in order, and shredding keeps both, so neither texts nor places are shuffled. Lazy: stage the result once.
+    """
+
+    def write(batches):
+        w = _Writer(out_dir)
+        for pdf in batches:
+            places = [w.add(p, h, b) for p, h, b in zip(pdf["file_path"], pdf["header"], pdf["body"], strict=True)]
+            out = pdf[keep].copy()
+            out["offset_begin"], out["length"] = [x[0] for x in places], [x[1] for x in places]
+            yield out.astype({"offset_begin": "int64", "length": "int64"})
+        w.close()
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in framed.select(*keep).schema.fields)
+    return framed.select(*dict.fromkeys([*keep, "file_path", "header", "body"])).mapInPandas(write, f"{fields}, offset_begin long, length long")
+
+
 def append_frames(rows: list[tuple[str, str, str]], path: str) -> list[tuple[int, int, int, int]]:
     """Append (header, body) records to a daily archive, one zstd frame each; returns begin, length, frame_offset, frame_length.
 

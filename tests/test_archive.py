@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from palimpsest.operators.framing import frame, with_offsets, with_seq
+from palimpsest.operators.framing import frame, with_offsets
 from palimpsest.operators.index import IndexStore
 from palimpsest.operators.metadata import latest_timestamp, metadata
 from palimpsest.operators.shred import in_namespaces, pages_of, revisions_of
@@ -104,7 +104,7 @@ def test_round_trip(spark, tmp_path_factory, texts):
     out = str(tmp_path_factory.mktemp("rt"))
     rows = [("f", 0, i, "1", "0", str(i), "", "t", "0", t) for i, t in enumerate(texts)]
     revs = spark.createDataFrame(rows, "file string, page_seq long, pos int, page_raw string, ns_raw string, rev_raw string, parent_raw string, timestamp string, user_raw string, text string")
-    framed = frame(with_seq(revs).withColumn("file_path", F.concat("file", F.lit(".mwrev.zst"))))
+    framed = frame(revs.withColumn("seq", F.col("pos")).withColumn("file_path", F.concat("file", F.lit(".mwrev.zst"))))
     write_archives(framed, out)
     places = {r["seq"]: r for r in with_offsets(framed, ["seq"]).collect()}
     for rec, t in zip(records(f"{out}/f.mwrev.zst"), texts, strict=True):
