@@ -8,8 +8,6 @@ number of slots each source is then less than one block away from its share.
 
 from __future__ import annotations
 
-from fractions import Fraction
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +38,7 @@ def schedule(parts: dict[str, int]) -> list[str]:
     """The source of each slot of one period, by earliest pseudo-deadline among released blocks."""
     total, done, out = sum(parts.values()), dict.fromkeys(parts, 0), []
     for slot in range(total):
-        ready = [s for s, n in parts.items() if done[s] < n and Fraction(done[s] * total, n) < slot + 1 and done[s] * total // n <= slot]
+        ready = [s for s, n in parts.items() if done[s] < n and done[s] * total // n <= slot]
         best = min(ready, key=lambda s: (-(-(done[s] + 1) * total // parts[s]), s))
         done[best] += 1
         out.append(best)

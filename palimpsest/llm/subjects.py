@@ -133,6 +133,8 @@ def _em(words, sentence, sent_doc, given, langs, rounds: int = 15, smooth: float
     per = per**2 + 1e-18
     per /= per.sum(1, keepdims=True)
     total = per @ (per.T @ count)  # of each term's language
+    # Documents a term stands in: names fill their own document but few others, and the more documents the more names.
+    spread = np.bincount(np.unique(word.astype(np.int64) * len(given) + sent_doc[sentence]) // len(given), minlength=n_vocab)
     own = np.hstack([given.astype(float), ~labelled[:, None]])[sent_doc]
     post = own / own.sum(1, keepdims=True)
     weights = None
@@ -143,7 +145,7 @@ def _em(words, sentence, sent_doc, given, langs, rounds: int = 15, smooth: float
         by = np.stack([np.bincount(word, weights=post[sentence, c], minlength=n_vocab) for c in range(k)], 1)
         # Against what the class's share of the language would give the term: a rare term says little either way.
         weights = np.log((by + smooth) / (count[:, None] * (per @ (per.T @ by)) / total[:, None] + smooth))
-        weights[count < 2] = 0
+        weights[(count < 2) | (spread < len(given) / 3000)] = 0
         score = np.stack([np.bincount(sentence, weights=weights[word, c], minlength=n_sent) for c in range(k)], 1)
         part = np.zeros((len(given), k))
         np.add.at(part, sent_doc, post)
