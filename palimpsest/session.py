@@ -13,15 +13,17 @@ BROADCAST_LIMIT = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or the checkpoint folder set on the context.
 
-    Only where that setting is absent (tests, local mode) a temporary folder is
+    Only where both are absent (tests, local mode) a temporary folder is
     made and remembered in the session, so later calls agree.
     """
     try:
         found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # noqa: BLE001 - a session without the key
         found = None
+    if not found:
+        found = spark.sparkContext.getCheckpointDir()
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
