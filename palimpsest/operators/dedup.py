@@ -1,7 +1,8 @@
 """Exactly one copy of each message: a persisted index of sorted identifier arrays by hash prefix.
 
-Each ingested batch is reduced to its first copies, its identifiers meet the index's runs of their hash prefix by
-binary search, and the novel ones become a further immutable run. Runs are merged from time to time.
+Each ingested batch is reduced to its first copies and shuffled by hash prefix; the task of a prefix reads that prefix's arrays of
+every run from the shared folder and looks the identifiers up by binary search, so the index itself is never shuffled.
+The novel ones become a further immutable run. Runs are merged from time to time.
 """
 
 from __future__ import annotations
@@ -16,10 +17,41 @@ from palimpsest.operators.index import put
 from palimpsest.session import get, remove
 
 #: Runs are merged when there are so many, and spread over more prefixes when one holds more identifiers than this on average.
-MERGE_AT, PREFIX_IDS = 8, 400_000
+MERGE_AT, PREFIX_IDS = 8, 1_000_000
 _RUN = "bucket int, a binary, b binary, n long"
 
 
+def load(folder: str, bucket: int) -> list:
+    """(a, b) arrays of one prefix of a run; none if the run has no such prefix."""
+    import numpy as np
+    import pyarrow.parquet as pq
+    from pyarrow.fs import FileSelector, FileSystem
+
+    files, path = FileSystem.from_uri(folder)
+    found = files.get_file_info(FileSelector(f"{path}/bucket={bucket}", allow_not_found=True))
+    tables = [pq.ParquetFile(files.open_input_file(f.path)).read(["a", "b"]) for f in found if f.path.endswith(".parquet")]
+    return [tuple(np.frombuffer(row[c], "<i8") for c in ("a", "b")) for t in tables for row in t.to_pylist()]
+
+
+def lookup(a, b, runs: list):
+    """Mask of the identifiers (a, b) that are in one of the sorted runs, by binary search on a, then on b among equals."""
+    import numpy as np
+
+    seen = np.zeros(len(a), bool)
+    for ra, rb in runs:
+        if not len(ra):
+            continue
+        lo, hi = np.searchsorted(ra, a, "left"), np.searchsorted(ra, a, "right")
+        end = hi
+        while (open_ := lo < hi).any():
+            mid = np.where(open_, (lo + hi) // 2, 0)
+            less = open_ & (rb[mid] < b)
+            lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
+        at = np.minimum(lo, len(ra) - 1)
+        seen |= (lo < end) & (ra[at] == a) & (rb[at] == b)
+    return seen
+
+
 class DedupIndex:
     """Identifiers (two 64-bit integers, compared exactly) seen so far, below ``root``.
 
@@ -35,8 +67,8 @@ class DedupIndex:
         return json.loads(get(self.spark, f"{self.root}/_current.json") or '{"runs": []}')
 
     def _runs(self, runs: list[str]) -> DataFrame:
-        paths = [f"{self.root}/{r}/ids" for r in runs]
-        return self.spark.read.schema(_RUN).parquet(*paths) if paths else self.spark.createDataFrame([], _RUN)
+        kind, paths = "a binary, b binary, n long", [f"{self.root}/{r}/ids" for r in runs]
+        return self.spark.read.schema(kind).option("recursiveFileLookup", "true").parquet(*paths) if paths else self.spark.createDataFrame([], kind)
 
     def _bucket(self) -> F.Column:
         return F.pmod(F.shiftright(F.xxhash64("a", "b"), 32), F.lit(self.buckets)).cast("int")
@@ -51,37 +83,19 @@ class DedupIndex:
         at = f"{self.root}/{run}"
         first = batch.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"), F.col(row).cast("long").alias("row")).dropna().groupBy("a", "b").agg(F.min("row").alias("row"))
 
-        def probe(key, new, runs):
-            import numpy as np
-            import pandas as pd
+        new = first.withColumn("bucket", self._bucket())
+        folders = [f"{self.root}/{r}/ids" for r in m["runs"]]
 
-            pair = np.dtype([("a", "<i8"), ("b", "<i8")])
-            x = np.empty(len(new), pair)
-            x["a"], x["b"] = new["a"].to_numpy(), new["b"].to_numpy()
-            fresh = np.ones(len(x), bool)
-            for ra, rb in zip(runs["a"], runs["b"], strict=True):
-                y = np.empty(len(ra) // 8, pair)
-                y["a"], y["b"] = np.frombuffer(ra, "<i8"), np.frombuffer(rb, "<i8")
-                # Binary search on the first part, then within the equal range on the second.
-                lo, hi = np.searchsorted(y["a"], x["a"], "left"), np.searchsorted(y["a"], x["a"], "right")
-                while (open_ := lo < hi).any():
-                    mid = np.where(open_, (lo + hi) // 2, 0)
-                    less = open_ & (y["b"][mid] < x["b"])
-                    lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
-                inside = lo < len(y)
-                at = np.where(inside, lo, 0)
-                fresh &= ~(inside & (y["a"][at] == x["a"]) & (y["b"][at] == x["b"])) if len(y) else True
-            return pd.DataFrame({"bucket": np.int32(key[0]), "a": new["a"][fresh], "b": new["b"][fresh], "row": new["row"][fresh]})
+        def probe(key, pdf):
+            runs = [x for f in folders for x in load(f, int(key[0]))]
+            return pdf[~lookup(pdf["a"].to_numpy(), pdf["b"].to_numpy(), runs)][["bucket", "a", "b", "row"]]
 
-        new = first.withColumn("bucket", self._bucket())
         fields = "bucket int, a long, b long, row long"
-        if m["runs"]:
-            novel = new.groupBy("bucket").cogroup(self._runs(m["runs"]).groupBy("bucket")).applyInPandas(probe, fields)
-        else:
-            novel = new  # the first batch has nothing to be looked up in
+        # The first batch has nothing to be looked up in.
+        novel = new.groupBy("bucket").applyInPandas(probe, fields) if folders else new.select("bucket", "a", "b", "row")
         novel.write.parquet(f"{at}/kept")
         kept = self.spark.read.schema(fields).parquet(f"{at}/kept")
-        self._pack(kept).write.parquet(f"{at}/ids")
+        self._pack(kept).write.partitionBy("bucket").parquet(f"{at}/ids")
         put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [*m["runs"], run], "buckets": self.buckets}))
         total = self._runs([*m["runs"], run]).agg(F.sum("n")).first()[0] or 0
         if total > PREFIX_IDS * self.buckets:
@@ -116,7 +130,7 @@ class DedupIndex:
 
         self.buckets = buckets or self.buckets
         ids = self._runs(m["runs"]).mapInPandas(spread, "a long, b long").withColumn("bucket", self._bucket())
-        self._pack(ids).write.parquet(f"{self.root}/{run}/ids")
+        self._pack(ids).write.partitionBy("bucket").parquet(f"{self.root}/{run}/ids")
         put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [run], "buckets": self.buckets}))
         remove(self.spark, *[f"{self.root}/{r}/ids" for r in m["runs"]])
 
