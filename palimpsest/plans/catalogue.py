@@ -248,17 +248,16 @@ def revisions_with_bundle(spark, d):
     return table(spark, d, "revisions").join(b, "found_in_bundle", "left").select("delivery_id", "revision_id", "file_path")
 
 
-_HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1))"
-
-
 @query(
     "domain_keys",
-    f"WITH n AS (SELECT DISTINCT {_HOST} AS value FROM web_resources WHERE {_HOST} NOT IN (SELECT value FROM domains WHERE id % 2 = 0)) "
-    "SELECT id, value FROM domains WHERE id % 2 = 0 UNION ALL SELECT row_number() OVER (ORDER BY value) + (SELECT coalesce(max(id), 0) FROM domains WHERE id % 2 = 0), value FROM n",
+    """WITH n AS (SELECT DISTINCT regexp_extract(file_path, '^[^/-]+', 0) AS value FROM revision_bundles UNION SELECT lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) FROM web_resources)
+  SELECT id, value FROM domains UNION ALL SELECT row_number() OVER (ORDER BY value) + (SELECT coalesce(max(id), 0) FROM domains), value FROM n WHERE value NOT IN (SELECT value FROM domains)""",
 )
 def domain_keys(spark, d):
+    """Domains, with what URLs and archive names mention beyond them."""
+    named = table(spark, d, "revision_bundles").select(F.regexp_extract("file_path", "^[^/-]+", 0).alias("value"))
     hosts = table(spark, d, "web_resources").select(fn.url_host(F.col("url")).alias("value"))
-    return index.grow_dimension(table(spark, d, "domains").filter("id % 2 = 0"), hosts, "value").select("id", "value")
+    return index.grow_dimension(table(spark, d, "domains"), named.unionByName(hosts), "value").select("id", "value")
 
 
 @query("documents_distinct", "SELECT DISTINCT title FROM document_index")
@@ -268,35 +267,49 @@ def documents_distinct(spark, d):
 
 @query(
     "documents_insert",
-    """WITH old AS (SELECT id, title FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY id) AS k FROM document_index WHERE id % 2 = 0) WHERE k = 1),
-  n AS (SELECT DISTINCT title FROM document_index WHERE id % 2 = 1 AND title NOT IN (SELECT title FROM old))
+    """WITH old AS (SELECT min(id) AS id, title FROM document_index WHERE language_code IS NOT NULL GROUP BY title),
+  n AS (SELECT DISTINCT title FROM document_index WHERE language_code IS NULL AND title NOT IN (SELECT title FROM old))
   SELECT id, title FROM old UNION ALL SELECT (SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY title), title FROM n""",
 )
 def documents_insert(spark, d):
-    t = table(spark, d, "document_index").select("id", "title")
-    old = index.first_wins(t.filter("id % 2 = 0"), ["title"], ["id"])
-    return index.grow_dimension(old, t.filter("id % 2 = 1"), "title").select("id", "title")
+    """Titles with a language stand in the index, those without come in: each title once."""
+    t = table(spark, d, "document_index").select("id", "title", "language_code")
+    old = index.first_wins(t.filter("language_code IS NOT NULL").select("id", "title"), ["title"], ["id"])
+    return index.grow_dimension(old, t.filter("language_code IS NULL"), "title").select("id", "title")
 
 
 @query(
     "web_resources_upsert",
-    """WITH o AS (SELECT * FROM web_resources WHERE id % 2 = 0), n AS (SELECT * FROM web_resources WHERE id % 3 = 0)
-  SELECT coalesce(o.url_hash, n.url_hash) AS url_hash, CASE WHEN n.id IS NULL THEN o.url ELSE n.url END AS url,
-  CASE WHEN n.id IS NULL THEN o.numeric_page_id ELSE n.id END AS numeric_page_id, coalesce(o.instance_of_document, n.instance_of_document) AS instance_of_document
-  FROM o FULL JOIN n ON o.url_hash = n.url_hash""",
+    """WITH n AS (SELECT md5(url) AS url_hash, url, page_id, ns FROM (SELECT 'https://' || (SELECT value FROM domains WHERE id = 1) || '/w/index.php?curid=' || page_id AS url, page_id, arg_max(length % 16, delivery_id) AS ns
+    FROM revisions WHERE page_id <> 0 GROUP BY page_id))
+  SELECT coalesce(o.url_hash, n.url_hash) AS url_hash, coalesce(n.url, o.url) AS url, CASE WHEN n.url IS NULL THEN o.numeric_page_id ELSE n.page_id END AS numeric_page_id,
+  CASE WHEN n.url IS NULL THEN o.numeric_namespace_id ELSE n.ns END AS numeric_namespace_id, o.instance_of_document FROM web_resources o FULL JOIN n ON o.url_hash = n.url_hash""",
 )
 def web_resources_upsert(spark, d):
-    t = table(spark, d, "web_resources")
-    cols = ["url_hash", "url", "numeric_page_id", "instance_of_document"]
-    new = t.filter("id % 3 = 0").select("url_hash", "url", F.col("id").alias("numeric_page_id"), "instance_of_document", F.col("id").alias("seq"))
-    return index.upsert(t.filter("id % 2 = 0").select(cols), new, "url_hash", ["seq"], keep=["instance_of_document"])
+    """Every page of the log, as its last delivery has it, merged into the resources; document links stay."""
+    domain = table(spark, d, "domains").filter("id = 1").select("value").scalar()
+    url = fn.page_url(domain, F.col("page_id"))
+    new = table(spark, d, "revisions").filter("page_id <> 0").select("page_id", url.alias("url"), (F.col("length") % 16).alias("numeric_namespace_id"), F.col("delivery_id").alias("seq"))
+    new = index.last_wins(new, ["page_id", "url"], ["seq"]).select(
+        "url", fn.url_hash(F.col("url")).alias("url_hash"), F.col("page_id").alias("numeric_page_id"), "numeric_namespace_id", F.lit(None).cast("long").alias("instance_of_document"), "seq"
+    )
+    old = table(spark, d, "web_resources").select("url_hash", "url", "numeric_page_id", "numeric_namespace_id", "instance_of_document")
+    return index.upsert(old, new, "url_hash", ["seq"], keep=["instance_of_document"])
 
 
-@query("revisions_insert_ignore", "SELECT revision_id, min(delivery_id) AS delivery_id, arg_min(length, delivery_id) AS length FROM revisions WHERE revision_id IS NOT NULL GROUP BY 1")
+@query(
+    "revisions_insert_ignore",
+    """WITH p AS (SELECT coalesce(max(batch_to), 0) AS p FROM sync_runs WHERE status = 'succeeded'),
+  old AS (SELECT revision_id, min(delivery_id) AS delivery_id, arg_min(length, delivery_id) AS length FROM revisions WHERE revision_id IS NOT NULL AND batch_id <= (SELECT p FROM p) GROUP BY 1),
+  new AS (SELECT revision_id, min(delivery_id) AS delivery_id, arg_min(length, delivery_id) AS length FROM revisions WHERE revision_id IS NOT NULL AND batch_id > (SELECT p FROM p) GROUP BY 1)
+  SELECT * FROM old UNION ALL SELECT * FROM new WHERE revision_id NOT IN (SELECT revision_id FROM old)""",
+)
 def revisions_insert_ignore(spark, d):
-    t = table(spark, d, "revisions").select("revision_id", "delivery_id", "length")
-    old = index.first_wins(t.filter("delivery_id % 2 = 0 AND false"), ["revision_id"], ["delivery_id"])
-    return index.insert_ignore(old, t, "revision_id", ["delivery_id"])
+    """What succeeded runs brought stands in the index, later batches come in: the first row of a revision stays."""
+    at = table(spark, d, "sync_runs").filter("status = 'succeeded'").agg(F.coalesce(F.max("batch_to"), F.lit(0))).scalar()
+    t = table(spark, d, "revisions").filter("revision_id IS NOT NULL").select("revision_id", "delivery_id", "length", "batch_id")
+    old = index.first_wins(t.filter(F.col("batch_id") <= at).drop("batch_id"), ["revision_id"], ["delivery_id"])
+    return index.insert_ignore(old, t.filter(F.col("batch_id") > at), "revision_id", ["delivery_id"]).select("revision_id", "delivery_id", "length")
 
 
 @query(

@@ -62,7 +62,15 @@ def p1_found(spark, d):
     return store.sync(rows, key, version).select(F.col("key").alias("revision_id"), "change_kind")
 
 
-@query("p2_found")
+@query(
+    "p2_found",
+    """WITH RECURSIVE e AS (SELECT revision_id AS id, max(nullif(parent_revision_id, 0)) AS p FROM revisions WHERE revision_id <> 0 GROUP BY 1),
+  t AS (SELECT id, id AS root, CAST(0 AS BIGINT) AS depth FROM e WHERE p IS NULL OR p NOT IN (SELECT id FROM e) UNION ALL SELECT e.id, t.root, t.depth + 1 FROM e JOIN t ON e.p = t.id),
+  loose AS (SELECT * FROM e WHERE id NOT IN (SELECT id FROM t)),
+  reach AS (SELECT id, p AS anc FROM loose UNION SELECT r.id, l.p FROM reach r JOIN loose l ON r.anc = l.id),
+  ring AS (SELECT id FROM reach WHERE id = anc)
+  SELECT id AS revision_id, root AS root_revision_id, depth FROM t UNION ALL SELECT id, min(anc), -1 FROM reach WHERE anc IN (SELECT id FROM ring) GROUP BY id""",
+)
 def p2_found(spark, d):
     h = tree.hierarchy(table(spark, d, "revisions"), "revision_id", "parent_revision_id", "page_id")
     return h.select(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth")
@@ -77,16 +85,16 @@ def p2_intervals(spark, d):
 _FIELDS = ("parent_revision_id", "page_id", "found_in_bundle")
 
 
-@query(
-    "p3_found",
-    f"""WITH {_USABLE}, r AS (SELECT revision_id, i, unnest(['parent_revision_id', 'page_id', 'found_in_bundle']) AS ref_field,
+_P3 = f"""WITH {_USABLE}, r AS (SELECT revision_id, i, unnest(['parent_revision_id', 'page_id', 'found_in_bundle']) AS ref_field,
     unnest([parent_revision_id, page_id, found_in_bundle]) AS ref_id FROM u),
   live AS (SELECT 'parent_revision_id' AS f, revision_id AS k FROM u WHERE revision_id NOT IN (SELECT ref_id FROM tombstones WHERE ref_table = 'revisions' AND restored_at IS NULL)
     UNION SELECT 'page_id', numeric_page_id FROM web_resources WHERE numeric_page_id IS NOT NULL AND numeric_page_id NOT IN (SELECT ref_id FROM tombstones WHERE ref_table = 'web_resources' AND restored_at IS NULL)
     UNION SELECT 'found_in_bundle', id FROM revision_bundles WHERE id NOT IN (SELECT ref_id FROM tombstones WHERE ref_table = 'revision_bundles' AND restored_at IS NULL))
   SELECT DISTINCT ref_field, revision_id, ref_id, coalesce(strftime(i, '%Y-%m'), 'unknown') AS period FROM r WHERE ref_id <> 0
-    AND NOT EXISTS (SELECT 1 FROM live WHERE f = ref_field AND k = ref_id)""",
-)
+    AND NOT EXISTS (SELECT 1 FROM live WHERE f = ref_field AND k = ref_id)"""
+
+
+@query("p3_found", _P3)
 def p3_found(spark, d):
     day = F.date_from_unix_date(F.floor(instant(F.col("revision_timestamp")) / 86400).cast("int"))
     month = F.coalesce((F.year(day) * 12 + F.month(day) - 1).cast("int"), F.lit(-1))
@@ -136,10 +144,7 @@ def p6_page_profile(spark, d):
     return out.select("page_id", "n_rows", F.col("first_order").alias("first_delivery"), F.col("last_order").alias("last_delivery"), F.col("total").alias("total_length"), "max_step")
 
 
-@query(
-    "p3_orphans_per_period",
-    None,
-)
+@query("p3_orphans_per_period", f"SELECT ref_field, period, count(*) AS n_references, count(DISTINCT ref_id) AS n_keys FROM ({_P3}) GROUP BY 1, 2")
 def p3_orphans_per_period(spark, d):
     """Orphan references counted per field and month."""
     found, _ = stage(p3_found(spark, d), "found")
