@@ -15,9 +15,11 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, sql: str | None = None):
     def put(f):
         Q[name] = f
+        if sql:
+            SQL[name] = sql
         return f
 
     return put
@@ -33,7 +35,14 @@ def p5_clean(spark, d):
     return markup.clean_texts(table(spark, d, "documents"))
 
 
-@query("p7_found")
+#: Every pair with a phrase in common, counted: for small corpora only.
+_PAIRS = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+  s AS (SELECT DISTINCT doc_id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS p FROM w WHERE len(w) >= 3),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1 HAVING count(*) >= 20), k AS (SELECT s.doc_id, p, n FROM s JOIN n ON s.doc_id = n.doc_id)
+  SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.p = b.p AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING count(*) >= 0.7 * (any_value(a.n) + any_value(b.n) - count(*))"""
+
+
+@query("p7_found", _PAIRS)
 def p7_found(spark, d):
     cfg = neardup.NearDup(phrase=3, threshold=0.7, min_phrases=20)
     members, links = neardup.near_duplicates(table(spark, d, "documents"), cfg)
