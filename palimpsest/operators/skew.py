@@ -47,39 +47,49 @@ def group_profile(df: DataFrame, key: str, order: str, size: str, parts: int | N
         import numpy as np
         import pandas as pd
 
-        # A run of one key may be longer than one batch: its state is carried.
-        have, k0, part, n, lo, hi, total, step = False, None, 0, 0, None, None, 0, 0
+        low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+        open_ = None  # the state of the run that the next batch may continue
         for pdf in batches:
-            k = pdf["_k"].to_numpy(dtype=object)
-            o = pdf["_o"].to_numpy(dtype="float64", na_value=np.nan) if pdf["_o"].isna().any() else pdf["_o"].to_numpy()
-            s, part = pdf["_s"].to_numpy(), int(pdf["__part"].iloc[0])
-            isnull = pd.isna(pdf["_k"]).to_numpy()
-            kk = np.where(isnull, -1, pdf["_k"].fillna(0).to_numpy().astype("int64"))
-            cut = np.flatnonzero((kk[1:] != kk[:-1]) | (isnull[1:] != isnull[:-1])) + 1
-            out = []
-            for a, b in zip([0, *cut], [*cut, len(kk)], strict=True):
-                key_now = None if isnull[a] else int(k[a])
-                if have and key_now != k0:
-                    out.append((k0, part, n, lo, hi, total, step))
-                    have = False
-                if not have:
-                    have, k0, n, lo, hi, total, step = True, key_now, 0, None, None, 0, 0
-                v = o[a:b]
-                v = v[~np.isnan(v)].astype("int64") if v.dtype.kind == "f" else v
-                if len(v):
-                    if hi is not None:
-                        step = max(step, int(v[0]) - hi)
-                    if len(v) > 1:
-                        step = max(step, int(np.diff(v).max()))
-                    lo, hi = (int(v[0]) if lo is None else lo), int(v[-1])
-                n, total = n + b - a, total + int(s[a:b].sum())
-            if out:
-                yield pd.DataFrame(out, columns=cols).astype(kinds)
-        if have:
-            yield pd.DataFrame([(k0, part, n, lo, hi, total, step)], columns=cols).astype(kinds)
+            if not len(pdf):
+                continue
+            null = pdf["_k"].isna().to_numpy()
+            k = pdf["_k"].fillna(0).to_numpy().astype(np.int64)
+            none = pdf["_o"].isna().to_numpy()  # NULL orders come first in their key
+            o = pdf["_o"].fillna(0).to_numpy().astype(np.int64)
+            at = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (null[1:] != null[:-1])])
+            gap = np.zeros(len(k), np.int64)
+            gap[1:] = np.where(none[1:] | none[:-1], 0, o[1:] - o[:-1])
+            gap[at] = 0
+            state = pd.DataFrame({
+                "_k": k[at], "null": null[at], "n": np.diff(np.r_[at, len(k)]), "lo": np.minimum.reduceat(np.where(none, high, o), at),
+                "hi": np.maximum.reduceat(np.where(none, low, o), at), "total": np.add.reduceat(pdf["_s"].to_numpy(), at), "step": np.maximum.reduceat(gap, at),
+            })
+            state["__part"] = int(pdf["__part"].iloc[0])
+            if open_ is not None:
+                first = state.iloc[0]
+                if open_["_k"] == first["_k"] and open_["null"] == first["null"]:
+                    both = open_["hi"] != low and first["lo"] != high
+                    state.loc[0, ["n", "lo", "hi", "total", "step"]] = [
+                        open_["n"] + first["n"], min(open_["lo"], first["lo"]), max(open_["hi"], first["hi"]), open_["total"] + first["total"],
+                        max(open_["step"], first["step"], first["lo"] - open_["hi"] if both else 0),
+                    ]
+                else:
+                    yield shown(pd.DataFrame([open_]))
+            open_ = state.iloc[-1].to_dict()
+            if len(state) > 1:
+                yield shown(state.iloc[:-1])
+        if open_ is not None:
+            yield shown(pd.DataFrame([open_]))
+
+    def shown(state):
+        import numpy as np
+
+        out = state.astype({c: "int64" for c in state.columns if c != "null"})
+        key = out["_k"].astype("Int64").where(~state["null"].astype(bool))
+        lo, hi = (out[c].astype("Int64").where(out[c] != getattr(np.iinfo(np.int64), end)) for c, end in (("lo", "max"), ("hi", "min")))
+        return out.assign(_k=key, lo=lo, hi=hi)[cols]
 
     cols = ["_k", "__part", "n", "lo", "hi", "total", "step"]
-    kinds = dict.fromkeys(cols, "Int64")
     partial = rows.sortWithinPartitions("_k", "_o").mapInPandas(scan, "_k long, __part int, n long, lo long, hi long, total long, step long")
     w = Window.partitionBy("_k").orderBy("__part")  # at most one row per partition and key
     gaps = partial.withColumn("_gap", F.col("lo") - F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
