@@ -241,7 +241,9 @@ def lex(text: str) -> tuple[list, list]:
                     skip = rest.end()
                     continue
             deep = int(len(mark) > 1 and mark[0] in "*#") + (1 if mark[0] == "#" and len(set(mark)) == 1 and len(mark) > 1 else 0)
-            add(kind, s, e, name, deep & 1, int(text[e : e + 1].isspace()), 5 if deep < 2 else 4, min(3, len(tok) - len(tok.lstrip())))
+            stop = find("\n", e)
+            alone = (s < 2 or text[s - 2 : s] == "\n\n") and (stop < 0 or not text[stop : stop + 2].strip())
+            add(kind, s, e, name, deep & 1, int(text[e : e + 1].isspace()), (5 if deep < 2 else 4) + 2 * alone, min(3, len(tok) - len(tok.lstrip())))
         elif kind == "stars":
             n = len(tok) - len(tok.lstrip("*"))
             good = len(tok) > 3 and tok.endswith("*" * n) and not tok[:-n].endswith((" ", "\t"))
@@ -347,13 +349,13 @@ class _Maker:
         return self.r.choice((f"${t}$", f"\\({t}\\)", f"\\[{t}\\]", f"$${t}$$", f"\\begin{{equation}}\n{t}\n\\end{{equation}}", f"\\begin{{align*}}{t}\\end{{align*}}")), cls("latex", "formula")
 
     def block(self, m: str, what: str) -> tuple[str, int]:
-        r, n = self.r, self.r.randint(2, 4)
+        r, n = self.r, self.r.choice((1, 2, 2, 3, 3, 4))
         items, title, code = [self.words(r.randint(3, 8)).capitalize() for _ in range(n)], self.words(3).capitalize(), self.code()
         gap = r.choice((" ", " ", ""))
         if what == "heading":
             k = r.randint(2, 4)
             s = {"wiki": f"{'=' * k}{gap}{title}{gap}{'=' * k}{r.choice(('', ' '))}", "html": f"<h{k}{r.choice(('', ' id=s', ' class=h'))}>{title}</h{k}>", "latex": f"\\{r.choice(sorted(SECTIONS))}{r.choice(('', '*'))}{{{title}}}",
-                 "markdown": r.choice((f"{'#' * r.randint(1, 5)} {title}", f"{title}\n{r.choice('-=') * r.randint(4, 14)}"))}[m]
+                 "markdown": r.choice((f"{(mark := '#' * r.randint(1, 5))} {title}{r.choice(('', '', ' ' + mark))}", f"{title}\n{r.choice('-=') * r.randint(4, 14)}"))}[m]
         elif what == "list":
             sign = r.choice(("*", "#")) if m == "wiki" else r.choice(("*", "-", "+", "1."))
             nest = lambda i: (sign + r.choice("*#")) if m == "wiki" and i and r.random() < 0.4 else ("  " if i and r.random() < 0.3 and m == "markdown" else "") + (f"{i + 1}." if sign == "1." else sign)
@@ -391,7 +393,7 @@ class _Maker:
                 self.put(*self.block(base, r.choice(("heading", "list", "list", "code", "table", "formula"))))
             elif base in ("plain", "html", "latex") and r.random() < 0.12:
                 sign = r.choice(("(1)", "1.", "-", "*", "#"))
-                self.put("\n".join(f"{sign} {self.words(4)}" for _ in range(2)), -1 if base == "plain" and not other else 0)
+                self.put("\n".join(f"{sign} {self.words(4)}" for _ in range(2)), 0 if sign == "(1)" else -ord(sign[0]))
             else:
                 if base == "html" and r.random() < 0.6:
                     self.put(r.choice(("<p>", "<div>", '<div class="x"><p>', "<P>")), cls("html"))
@@ -408,13 +410,22 @@ class _Maker:
                         self.put(*self.formula(r.choice(("latex", "latex", "wiki"))))
                     self.put(r.choice((" ", ". ")), 0)
             self.put("\n\n", 0)
+        # Bare line signs go with the markup that the rest of the text shows.
+        shown = [sum(label > 0 and (label - 1) // 5 == m for _, label in self.parts) for m in (0, 2)]
+        wiki, markdown = shown[0] > 0 and shown[0] >= shown[1], shown[1] > shown[0]
+        bare = {"*": cls("wiki", "list") if wiki else cls("markdown", "list") if markdown else 0, "#": cls("wiki", "list") if wiki else 0}
         out, spans = "", []
         for s, label in self.parts:
+            if label < 0:
+                label = bare.get(chr(-label), cls("markdown", "list") if shown[1] else 0)
             spans.append((len(out), len(out) + len(s), max(label, 0)))
             out += s
         return out, spans
 
 
+_INSIDE = np.array([c > 0 and ELEMENTS[(c - 1) % 5] in ("code", "formula") for c in range(N_CLASSES)])
+
+
 def _labels(nodes: list, feats: list, spans: list) -> list[int]:
     """True class of every node: that of its span; inside a construct only its main signs carry the element."""
     out, at = [], 0
@@ -422,6 +433,11 @@ def _labels(nodes: list, feats: list, spans: list) -> list[int]:
         while at + 1 < len(spans) and spans[at][1] <= n[1]:
             at += 1
         c = spans[at][2] if spans and spans[at][0] <= n[1] < spans[at][1] else 0
+        p = n[5]
+        while p >= 0 and not _INSIDE[out[p]]:
+            p = nodes[p][5]
+        if p >= 0:
+            c = 0  # inside a block, its closing sign included
         if c:
             element = ELEMENTS[(c - 1) % 5]
             kind = KINDS[feats[i][KIND]]
@@ -491,9 +507,6 @@ def node_scores(feats: np.ndarray, model: Trees) -> tuple[np.ndarray, np.ndarray
     return np.log(model.probabilities(x) + 1e-9) + np.array([mask[k, n] for k, n in x[:, [KIND, NAME]].tolist()]), inverse
 
 
-_INSIDE = np.array([c > 0 and ELEMENTS[(c - 1) % 5] in ("code", "formula") for c in range(N_CLASSES)])
-
-
 def decode(nodes: list, logp: np.ndarray) -> list[int]:
     """Class per node, ancestors first. A block of code or formula makes its descendants none; it is chosen if it and their being
     none are together likelier than the best reading of block and descendants on their own."""
@@ -554,6 +567,10 @@ _REFS = re.compile(r"<ref\b[^<>]*?/>|<ref\b[^<>]*>[^<]*(?:<(?!/ref)[^<]*)*</ref\
 _ARG = re.compile(r"(?:\[[^\]\n]*\])?\{([^{}]*)\}")
 
 
+_OPEN_FILE = re.compile(r"(?i)(?:file|image|datei|fichier|archivo):[^|\n\]]*(?:\|(?:[a-z]+|\d+px)(?=\|))*\|?")
+_OPEN_TEMPLATE = re.compile(r"[^|{}\n]*(?:\|[^|{}\n=]*=[^|{}\s]*)*")
+
+
 def clean(text: str, nodes: list, classes: list[int]) -> str:
     """Text without markup; headings as ``# ``, items as ``- ``, code in fences, formulas between dollars.
 
@@ -589,6 +606,12 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
                 edits.append((s, e, "\n- " if kind == "tag" else "-"))
             else:
                 edits.append((s, e, "\n" if kind == "tag" else ""))
+        elif kind in ("wtable", "mdtable"):  # attributes of the table or row, or the line below a header
+            stop = text.find("\n", e)
+            stop = len(text) if stop < 0 else stop
+            edits.append((s, stop if tok.strip() != "|}" else e, ""))
+        elif tok == "[[" and (m := _OPEN_FILE.match(text, e)) or tok == "{{" and (m := _OPEN_TEMPLATE.match(text, e)):
+            edits.append((s, m.end(), ""))  # broken off: what is certainly not its text
         elif kind == "wlink":
             inner = tok[2:-2] if len(tok) > 3 else ""
             edits.append((s, e, "" if re.match(r"(?i)(file|image|category|datei|fichier|archivo|kategorie|catégorie|categoría):", inner) else inner.rsplit("|", 1)[-1].lstrip(":")))
@@ -619,7 +642,7 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
         elif kind == "env":
             arg = _ARG.match(text, e) if "tabular" in tok else None
             edits.append((s, arg.end() if arg else e, ""))
-        elif kind in ("tag", "comment", "quotes", "wtable", "mdtable", "fence", "pre", "code", "math", "strike"):
+        elif kind in ("tag", "comment", "quotes", "fence", "pre", "code", "math", "strike"):
             if kind == "tag" and re.match(r"<ref\b", tok, re.I) and (m := _REFS.match(text, s)):
                 edits.append((s, m.end(), ""))
             else:
