@@ -108,9 +108,7 @@ class MerkleStore:
         leaf_level(current).select(F.lit(0).alias("level"), "node", "a", "b", "n").write.parquet(f"{at}/tree")
         leaves = read.schema(_TREE).parquet(f"{at}/tree").filter("level = 0")
         top = height(leaves)
-        upper, upper_path = stage(upper_levels(leaves, top), "levels")
-        upper.coalesce(1).write.mode("append").parquet(f"{at}/tree")  # a 256th of the leaves
-        remove(self.spark, upper_path)
+        upper_levels(leaves, top).coalesce(1).write.mode("append").parquet(f"{at}/tree")  # a 256th of the leaves
         if m["tree"]:
             now = read.schema(_TREE).parquet(f"{at}/tree")
             saved, deltas = self._saved(m)
