@@ -33,10 +33,15 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select(*[k if k in keys else F.col(f"_best._v{cols.index(k)}").alias(k) for k in df.columns])
 
 
-def insert_ignore(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """``existing`` plus the first new row of each key it lacks. Rows without a key are not inserted."""
+def fresh_rows(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first new row of each key that ``existing`` lacks. Rows without a key are not inserted."""
     fresh = first_wins(new.filter(F.col(key).isNotNull()), [key], order).join(existing.select(key), key, "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return fresh.select(*existing.columns)
+
+
+def insert_ignore(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``existing`` plus ``fresh_rows``."""
+    return existing.unionByName(fresh_rows(existing, new, key, order))
 
 
 def upsert(existing: DataFrame, new: DataFrame, key: str, order: list[str], keep: list[str] = ()) -> DataFrame:
@@ -59,14 +64,17 @@ def next_ids(keys: DataFrame, key: str, start: Column | int = 0, parts: int | No
     return out.select(key, (F.col("_n") + start).cast("long").alias("id"))
 
 
-def grow_dimension(existing: DataFrame, values: DataFrame, key: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Get-or-create: existing rows plus new values of ``key`` with the ids that follow."""
+def dimension_rows(existing: DataFrame, values: DataFrame, key: str) -> DataFrame:
+    """Rows for the values of ``key`` that ``existing`` lacks, with the ids that follow; other columns are NULL."""
     new = values.select(key).filter(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti")
     top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top")).scalar()
     rows = next_ids(new, key).withColumn("id", F.col("id") + top)
-    for c, v in (extra or {}).items():
-        rows = rows.withColumn(c, v)
-    return existing.unionByName(rows, allowMissingColumns=True).select(*existing.columns)
+    return rows.select(*[F.col(f.name) if f.name in (key, "id") else F.lit(None).cast(f.dataType).alias(f.name) for f in existing.schema.fields])
+
+
+def grow_dimension(existing: DataFrame, values: DataFrame, key: str) -> DataFrame:
+    """Get-or-create: existing rows plus ``dimension_rows``."""
+    return existing.unionByName(dimension_rows(existing, values, key))
 
 
 def documents_by_title(documents: DataFrame) -> DataFrame:
@@ -96,8 +104,16 @@ def unseen(feed: DataFrame, index: DataFrame, key: str = "rev_id") -> DataFrame:
     return feed.join(done, key, "left_anti")
 
 
+#: A table in more parts than this is rewritten as one.
+MOST_PARTS = 16
+
+
 class IndexStore:
-    """Versioned index: each commit writes new tables, then swaps one pointer file; a failed commit leaves nothing visible."""
+    """Versioned index: a table is a list of written parts; a commit writes parts and swaps one pointer file.
+
+    Facts and dimensions only grow, so a run appends its new rows and leaves the others alone; resources, whose rows change, are
+    written anew. A failed commit leaves nothing visible.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -108,16 +124,25 @@ class IndexStore:
     def exists(self) -> bool:
         return bool(self._pointer())
 
+    def _parts(self, name: str, parts: list[str]) -> DataFrame:
+        kind = schema.INDEX[name]
+        return self.spark.read.schema(kind).parquet(*[f"{self.root}/{x}" for x in parts]) if parts else self.spark.createDataFrame([], kind)
+
     def read(self, name: str) -> DataFrame:
-        at = self._pointer().get(name)
-        return self.spark.read.schema(schema.INDEX[name]).parquet(f"{self.root}/{at}") if at else self.spark.createDataFrame([], schema.INDEX[name])
-
-    def commit(self, tables: dict[str, DataFrame]) -> None:
-        pointer, stamp = self._pointer(), time.time_ns()
-        for name, df in tables.items():
-            at = f"{name}-{stamp}"
-            df.select(*schema.INDEX[name].fieldNames()).write.parquet(f"{self.root}/{at}")
-            pointer[name] = at
+        return self._parts(name, self._pointer().get(name, []))
+
+    def _write(self, name: str, df: DataFrame) -> str:
+        at = f"{name}-{time.time_ns()}"
+        df.select(*schema.INDEX[name].fieldNames()).write.parquet(f"{self.root}/{at}")
+        return at
+
+    def commit(self, replaced: dict[str, str], appended: dict[str, str]) -> None:
+        """Publish written parts; tables of too many parts are rewritten on the way. Superseded parts stay for readers that are under way."""
+        pointer = self._pointer()
+        pointer |= {name: [at] for name, at in replaced.items()}
+        for name, at in appended.items():
+            parts = [*pointer.get(name, []), at]
+            pointer[name] = parts if len(parts) <= MOST_PARTS else [self._write(name, self._parts(name, parts))]
         put(self.spark, f"{self.root}/_current.json", json.dumps(pointer))
 
     def apply(self, pages: DataFrame, revisions: DataFrame, siteinfo: DataFrame) -> None:
@@ -125,25 +150,31 @@ class IndexStore:
 
         Pages of files without a domain wait in ``rejected_pages`` and are taken up by the run that brings their file's domain. Returns after the pointer swap.
         """
+        added: dict[str, str] = {}
+
+        def grown(name: str, rows: DataFrame) -> DataFrame:
+            """The table with new rows, which are written first so that every later step sees the same ids."""
+            added[name] = self._write(name, rows)
+            return self.read(name).unionByName(self._parts(name, [added[name]]))
+
         sites = siteinfo.select("file", "domain").distinct()
-        waiting = self.read("rejected_pages")
-        pages = pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(waiting)
+        pages = pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(self.read("rejected_pages"))
         held = pages.join(sites, "file", "left_anti").distinct()
-        domains = grow_dimension(self.read("domains"), sites.select(F.col("domain").alias("value")), "value")
+        domains = grown("domains", dimension_rows(self.read("domains"), sites.select(F.col("domain").alias("value")), "value"))
         known = pages.join(sites, "file").join(domains.select(F.col("value").alias("domain"), F.col("id").alias("domain_id")), "domain")
-        documents = grow_dimension(self.read("documents"), pages.select("title"), "title")
+        documents = grown("documents", dimension_rows(self.read("documents"), pages.select("title"), "title"))
         old = self.read("web_resources")
         rows = resources_of(known)
         ids = grow_dimension(old.select("id", "url_hash"), rows.select("url_hash"), "url_hash").select("id", "url_hash")
         merged = upsert(old.drop("id"), rows, "url_hash", ["seq"]).join(ids, "url_hash")
-        resources = backfill_documents(merged, known, documents)
-        bundles = grow_dimension(self.read("revision_bundles"), revisions.select("file_path"), "file_path")
+        resources = self._write("web_resources", backfill_documents(merged, known, documents))
+        bundles = grown("revision_bundles", dimension_rows(self.read("revision_bundles"), revisions.select("file_path"), "file_path"))
         placed = revisions.join(bundles.withColumnRenamed("id", "found_in_bundle"), "file_path").select(
             F.col("rev_id").alias("revision_id"), "page_id", "found_in_bundle", "offset_begin", "length",
             F.col("parent_rev_id").alias("parent_revision_id"), F.col("timestamp").alias("revision_timestamp"),
         )
-        revs = insert_ignore(self.read("revisions"), placed, "revision_id", ["found_in_bundle", "offset_begin"])
-        self.commit({"domains": domains, "documents": documents, "web_resources": resources, "revision_bundles": bundles, "revisions": revs, "rejected_pages": held})
+        grown("revisions", fresh_rows(self.read("revisions"), placed, "revision_id", ["found_in_bundle", "offset_begin"]))
+        self.commit({"web_resources": resources, "rejected_pages": self._write("rejected_pages", held)}, added)
 
 
 def put(spark: SparkSession, path: str, text: str) -> None:
@@ -167,6 +198,6 @@ def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 __all__ = [
-    "IndexStore", "backfill_documents", "documents_by_title", "first_wins", "grow_dimension", "insert_ignore", "last_wins",
+    "IndexStore", "backfill_documents", "dimension_rows", "documents_by_title", "first_wins", "fresh_rows", "grow_dimension", "insert_ignore", "last_wins",
     "next_ids", "number_rows", "put", "resources_of", "unseen", "upsert",
 ]

@@ -23,8 +23,8 @@ def merge(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [p.select(*schema.METADATA.fieldNames()) for p in parts])
 
 
-def write_metadata(df: DataFrame, path: str, single_file: bool = True, append: bool = False) -> None:
-    """Parquet export. ``single_file=False`` keeps the write parallel; appending keeps what earlier runs wrote."""
+def write_metadata(df: DataFrame, path: str, single_file: bool = False, append: bool = False) -> None:
+    """Parquet export, written in parallel unless ``single_file``; appending keeps what earlier runs wrote."""
     (df.coalesce(1) if single_file else df).write.mode("append" if append else "overwrite").parquet(path)
 
 

@@ -190,3 +190,20 @@ def test_pages_wait_for_their_domain(spark, tmp_path):
     assert store.read("web_resources").count() == 0 and store.read("rejected_pages").count() == 1
     store.apply(pages.limit(0), none, site)
     assert store.read("web_resources").first()["url"] == "https://x.org/w/index.php?curid=1" and store.read("rejected_pages").count() == 0
+
+
+def test_index_parts_are_compacted(spark, tmp_path, monkeypatch):
+    from palimpsest.operators import index
+
+    monkeypatch.setattr(index, "MOST_PARTS", 2)
+    store = IndexStore(spark, str(tmp_path / "i"))
+    site = spark.createDataFrame([("f", "x.org")], "file string, domain string")
+    for k in range(1, 5):
+        pages = spark.createDataFrame([("f", k % 3, 0, f"T{k}", k)], "file string, page_id long, ns int, title string, seq long")
+        revs = spark.createDataFrame([("a", k, k % 3, k, 1, None, "t"), ("a", 1, 9, 9, 9, None, "again")], "file_path string, rev_id long, page_id long, offset_begin long, length long, parent_rev_id long, timestamp string")
+        store.apply(pages, revs, site)
+        assert len(store._pointer()["revisions"]) <= 2
+    assert sorted(r["revision_id"] for r in store.read("revisions").collect()) == [1, 2, 3, 4]
+    assert store.read("revisions").filter("revision_id = 1").first()["offset_begin"] == 1
+    ids = [r["id"] for r in store.read("documents").collect()]
+    assert sorted(ids) == [1, 2, 3, 4] and store.read("domains").count() == 1 and store.read("web_resources").count() == 3
