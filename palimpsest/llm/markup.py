@@ -55,7 +55,7 @@ _TOKEN = re.compile(
 |(?P<mdtable>^\|?[ \t]*:?-{3,}:?[ \t]*\|[-|: \t]*$)
 |(?P<wtable>^[ \t]*(?:\{\||\|\}|\|-|\|\+))
 |(?P<sign>^[ \t]*(?:[*#][*#:]*(?=[^\n])|[-+](?=[ \t])|\d{1,3}[.)](?=[ \t])))
-|(?P<comment><!--(?:.*?-->)?)
+|(?P<comment><!--)
 |(?P<tag></?[ \t]*[A-Za-z][A-Za-z0-9]*(?:[ \t][^<>\n]*)?/?>|</?[A-Za-z][A-Za-z0-9]*[ \t]+[a-z]+=[^\s<>]*)
 |(?P<entity>&(?:\#\d{1,7}|\#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});)
 |(?P<wlink>\[\[[^\[\]\n]*\]\]|\[\[|\]\])
@@ -117,6 +117,25 @@ def lex(text: str) -> tuple[list, list]:
     stack: list[tuple[str, int]] = []  # open tags
     skip = 0
     find = text.find
+    gone: set[str] = set()  # closing signs known not to come any more: openings without end must not each scan the rest
+
+    def ending(sign: str, start: int) -> int:
+        """Position of the next ``sign``, -1 if there is none."""
+        if sign in gone:
+            return -1
+        at = find(sign, start)
+        if at < 0:
+            gone.add(sign)
+        return at
+
+    def closer(key: str, pattern: str, start: int):
+        """Next match of a pattern that is named ``key``."""
+        if key in gone:
+            return None
+        m = re.compile(pattern, re.I | re.M).search(text, start)
+        if m is None:
+            gone.add(key)
+        return m
 
     def add(kind, start, end, name=0, closed=1, space=0, content=5, attrs=0, span=0, inner=None, show=-1):
         while spans and spans[-1][0] <= start:
@@ -164,7 +183,7 @@ def lex(text: str) -> tuple[list, list]:
             else:
                 name = known
             if not closing and whole and not tok.endswith("/>") and low in ("pre", "syntaxhighlight", "source", "math"):
-                at = re.compile(rf"</\s*{low}\s*>", re.I).search(text, e)
+                at = closer(f"</{low}", rf"</\s*{low}\s*>", e)
                 if at:
                     block = "math" if low == "math" else "pre" if low == "pre" else "code"
                     add(block, s, e, 1 + known, 1, 0, _content(text[e : at.start()][:2000]) if block == "math" else 5, len(_ATTR.findall(tok)), at.end(), (e, at.start()), show)
@@ -183,21 +202,25 @@ def lex(text: str) -> tuple[list, list]:
                     stack.append((low, i))
                     if len(stack) > 64:
                         del stack[0]
+        elif kind == "comment":
+            at = ending("-->", e)
+            skip = e = at + 3 if at >= 0 else e
+            add(kind, s, e, int(at >= 0), int(at >= 0), show=show)
         elif kind == "fence":
             mark = tok.strip()
             mark = mark[: len(mark) - len(mark.lstrip(mark[0]))]
-            at = re.compile(rf"^[ ]{{0,3}}{re.escape(mark)}{re.escape(mark[0])}*[ \t]*$", re.M).search(text, e + 1)
+            at = closer(mark, rf"^[ ]{{0,3}}{re.escape(mark)}{re.escape(mark[0])}*[ \t]*$", e + 1)
             if at:
                 add(kind, s, e, 0, 1, 0, 5, 0, at.end(), (min(e + 1, at.start()), at.start()), show)
             else:
                 add(kind, s, e, 0, 0)
         elif kind == "math":
             if tok[0] == "\\":
-                at = find("\\)" if tok[1] == "(" else "\\]", e)
+                at = ending("\\)" if tok[1] == "(" else "\\]", e)
                 ok = at >= 0 and at - s < 4000
                 add(kind, s, e, 4, int(ok), 0, _content(text[e:at]) if ok else 5, 0, at + 2 if ok else 0, (e, at) if ok else None, show)
             elif tok == "$$":
-                at = find("$$", e)
+                at = ending("$$", e)
                 ok = at > e
                 add(kind, s, e, 5, int(ok), 0, _content(text[e:at][:2000]) if ok else 5, 0, at + 2 if ok else 0, (e, at) if ok else None, show if ok else -1)
             else:
@@ -213,7 +236,7 @@ def lex(text: str) -> tuple[list, list]:
                 name = env.group(1) if env else ""
                 what = 1 if name in CODE_ENVIRONMENTS else 2 if name in FORMULA_ENVIRONMENTS else 3 if name in LIST_ENVIRONMENTS else 4 if name else 0
                 close = env.group().join(("\\end", "")) if env and tok == "\\begin" else ""
-                at = find(close, env.end()) if close else -1
+                at = ending(close, env.end()) if close else -1
                 if what in (1, 2) and at >= 0:
                     add("env", s, env.end(), what, 1, 0, 5, 0, at + len(close), (env.end(), at), 3)
                 else:
@@ -263,7 +286,7 @@ def lex(text: str) -> tuple[list, list]:
         elif kind in ("ticks", "mdlink", "elink"):
             add(kind, s, e, int(tok[0] == "!"), int(tok[-1] in ")]`"), show=show, inner=(s + 1, e - 1) if kind == "ticks" else None)
         else:
-            add(kind, s, e, int(len(tok) > 4), int(kind != "comment" or len(tok) > 4), show=show)
+            add(kind, s, e, 1, 1, show=show)
     _context(text, nodes, feats, shows)
     return feats, nodes
 
@@ -563,7 +586,7 @@ def constructs(nodes: list, classes: list[int]) -> set[tuple[str, str]]:
 # --- clean text -------------------------------------------------------------------------------------
 
 _GONE = frozenset(("cite", "citep", "citet", "ref", "label", "footnote", "begin", "end", "hline", "centering", "noindent", "vspace", "hspace", "pageref", "eqref"))
-_REFS = re.compile(r"<ref\b[^<>]*?/>|<ref\b[^<>]*>[^<]*(?:<(?!/ref)[^<]*)*</ref\s*>", re.I)
+_REFS = re.compile(r"<ref\b[^<>]*?/>|<ref\b[^<>]*>[^<]*(?:<(?!/?ref)[^<]*)*</ref\s*>", re.I)
 _ARG = re.compile(r"(?:\[[^\]\n]*\])?\{([^{}]*)\}")
 
 
@@ -577,8 +600,9 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
     Only nodes decoded as markup are touched, signs in their plain sense stay.
     """
     edits: list[tuple[int, int, str]] = []
+    covered, last_ref = 0, max(text.rfind("</ref"), text.rfind("</REF"), text.rfind("<ref"))
     for (kind, s, e, a, b, _, span), c in zip(nodes, classes, strict=True):
-        if not c:
+        if not c or s < covered:
             continue
         element, tok = ELEMENTS[(c - 1) % 5], text[s:e]
         if element == "code":
@@ -600,7 +624,7 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
         elif element == "list":
             if kind == "sign":
                 mark = tok.strip()
-                depth = len(mark) - 1 if mark[0] in "*#" else (len(tok) - len(tok.lstrip())) // 2
+                depth = min(30, len(mark) - 1 if mark[0] in "*#" else (len(tok) - len(tok.lstrip())) // 2)
                 edits.append((s, e, "  " * depth + "- " if not text[e : e + 1].isspace() else "  " * depth + "-"))
             elif kind == "command" or kind == "tag" and re.match(r"<(li|dt|dd)\b", tok, re.I):
                 edits.append((s, e, "\n- " if kind == "tag" else "-"))
@@ -643,8 +667,9 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
             arg = _ARG.match(text, e) if "tabular" in tok else None
             edits.append((s, arg.end() if arg else e, ""))
         elif kind in ("tag", "comment", "quotes", "fence", "pre", "code", "math", "strike"):
-            if kind == "tag" and re.match(r"<ref\b", tok, re.I) and (m := _REFS.match(text, s)):
+            if kind == "tag" and s < last_ref and re.match(r"<ref\b", tok, re.I) and (m := _REFS.match(text, s)):
                 edits.append((s, m.end(), ""))
+                covered = m.end()
             else:
                 edits.append((s, e, "\n" if kind == "tag" and re.match(r"</?(p|div|br|tr|table|td|th)\b", tok, re.I) else ""))
     out, at = [], 0
@@ -654,7 +679,7 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
         out += [text[at:s], new]
         at = e
     out.append(text[at:])
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", "".join(out))).strip()
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"(?<![ \t])[ \t]+\n", "\n", "".join(out))).strip()
 
 
 def _scan(docs: DataFrame, fields: str, make) -> DataFrame:

@@ -228,6 +228,16 @@ def test_clean_text(spark):
     assert markup.find_markup(docs(spark, [])).count() == 0
 
 
+def test_endless_openings_take_linear_time(model):
+    import time
+
+    for sign in ("<!-- ", "<pre>", "```\n", "\\( ", "$$ x", "\\begin{verbatim}", "[[", "{{", "<ref>", "**", "<b>", "* ", "`", "$a", "<a b='"):
+        text = sign * 20_000
+        began = time.time()
+        ((nodes, classes),) = markup.analyse([text], model)
+        assert isinstance(markup.clean(text, nodes, classes), str) and time.time() - began < 10, sign
+
+
 # --- subjects ---
 
 
