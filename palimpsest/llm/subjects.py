@@ -24,22 +24,42 @@ SAMPLE_DOCUMENTS = 20_000
 SAMPLE_CHARACTERS = 60_000_000
 BUCKET_BITS = 22
 LEAST = 1 / 3
-_BLOCK = re.compile(
-    r"<(pre|source|syntaxhighlight|math)\b[^<>]*>.*?</\1\s*>|^(```+|~~~+)[^\n]*\n.*?^\2[ \t]*$|\\begin\{(verbatim|lstlisting|equation|align|tabular|table)\*?\}.*?\\end\{\3\*?\}|^\{\|.*?^\|\}",
-    re.S | re.M | re.I,
+_ENVIRONMENTS = ("verbatim", "lstlisting", "equation", "align", "tabular", "table")
+#: What holds no sentences: opening sign, closing sign, the whole.
+_BLOCKS = (
+    *((f"<{t}", f"</{t}", re.compile(rf"<{t}\b[^<>]*>.*?</{t}\s*>", re.S | re.I)) for t in ("pre", "source", "syntaxhighlight", "math")),
+    *((f, f, re.compile(rf"^({f}+)[^\n]*\n.*?^\1[ \t]*$", re.S | re.M)) for f in ("```", "~~~")),
+    *((f"\\begin{{{e}", f"\\end{{{e}", re.compile(rf"\\begin\{{{e}\*?\}}.*?\\end\{{{e}\*?\}}", re.S)) for e in _ENVIRONMENTS),
+    ("{|", "|}", re.compile(r"^\{\|.*?^\|\}", re.S | re.M)),
 )
-_MAY = ("<pre", "<sou", "<syn", "<mat", "```", "~~~", "\\begin{", "{|", "<PRE")
-_REF = re.compile(r"<ref\b[^<>]*?(?:/>|>.*?</ref>)|\{\{[^{}]*\}\}|https?://\S+", re.S)
+_NOTES = (("<ref", "/>", re.compile(r"<ref\b[^<>]*/>")), ("<ref", "</ref", re.compile(r"<ref\b[^<>]*>.*?</ref\s*>", re.S)), ("{{", "}}", re.compile(r"\{\{[^{}]*\}\}")), ("://", "", re.compile(r"https?://\S+")))
+_BARE = re.compile(r"^(?:```+|~~~+)[ \t]*$", re.M)
 _LIST = re.compile(r"^[ \t]*(?:[*+-]+|#[*#:]*|[:;]+|\d+[.)]|\(\d+\)|\\item|<li\b[^>]*>)[ \t]*\S", re.M)
 
 
+def _without(text: str, parts, mark: str) -> str:
+    """The text with each of ``parts`` replaced. Only what stands before the last closing sign is searched, so openings without end cost nothing."""
+    small = None
+    for opening, closing, whole in parts:
+        if opening[0] == "<":
+            if "<" not in text:
+                continue
+            small = text.lower() if small is None else small
+        where = small if opening[0] == "<" and small is not None and len(small) == len(text) else text
+        if opening == closing and opening in text:  # a fence: ended by a line of nothing else
+            bare = [m.start() for m in _BARE.finditer(text)]
+            end = bare[-1] if bare else -1
+        else:
+            end = where.rfind(closing) if opening in where else -1
+        if end >= 0:
+            end = len(text) if not closing else end + len(closing) + 16
+            text, small = whole.sub(mark, text[:end]) + text[end:], None
+    return text
+
+
 def plain(text: str) -> str:
     """The text without blocks that hold no sentences and without notes; list items end like sentences."""
-    if any(x in text for x in _MAY):
-        text = _BLOCK.sub("\n", text)
-    if "<ref" in text or "{{" in text or "://" in text:
-        text = _REF.sub(" ", text)
-    return text
+    return _without(_without(text, _BLOCKS, "\n"), _NOTES, " ")
 
 
 def _sentences(texts: list[str]):
