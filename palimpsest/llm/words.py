@@ -12,6 +12,8 @@ _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15 | 1)
 #: Texts are hashed in groups of about this many characters (one longer text is a group by itself).
 GROUP = 400_000
+#: Code points hashed at once.
+BLOCK = 4_000_000
 _tables: dict = {}
 
 
@@ -67,17 +69,34 @@ def laid_out(texts: list[str]):
 
 
 def hash_words(points, offsets):
-    """(hash, text number, first and last+1 position) per word, in order."""
-    alnum, values = _table()
-    inside = alnum[points]
-    edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
+    """(hash, text number, first and last+1 position) per word, in order.
+
+    Works through the code points in blocks cut between words, so one very long text needs little more memory than its code points.
+    """
+    alnum, _ = _table()
+    inside, n, at, parts = alnum[points], len(points), 0, []
+    while at < n:
+        to = min(at + BLOCK, n)
+        if to < n and inside[to - 1] and inside[to]:
+            gaps = np.flatnonzero(~inside[at:to])
+            to = at + int(gaps[-1]) + 1 if len(gaps) else n if (end := np.flatnonzero(~inside[to:])).size == 0 else to + int(end[0])
+        parts.append((at, *_hash_block(points[at:to], inside[at:to])))
+        at = to
+    if not parts:
+        return np.empty(0, _U), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    h, start, end = (np.concatenate(x) for x in ([p[1] for p in parts], [p[0] + p[2] for p in parts], [p[0] + p[3] for p in parts]))
+    return h, np.searchsorted(offsets, start, "right") - 1, start, end
+
+
+def _hash_block(points, inside):
+    _, values = _table()
+    edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     up, down = _powers(len(points) + 1)
     sums = np.empty(len(points) + 1, _U)
     sums[0] = 0
     np.cumsum(values[points] * up[: len(points)], out=sums[1:])
-    h = mix((sums[end] - sums[start]) * down[start])
-    return h, np.searchsorted(offsets, start, "right") - 1, start, end
+    return mix((sums[end] - sums[start]) * down[start]), start, end
 
 
 def word_hashes(texts: list[str]):

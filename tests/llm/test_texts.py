@@ -36,6 +36,15 @@ def test_phrases_equal_brute_force():
             assert len(sets[i] & sets[j]) == len(want[i] & want[j])
 
 
+def test_blocks_do_not_change_hashes(monkeypatch):
+    r = random.Random(8)
+    texts = [" ".join(r.choices(VOCABULARY, k=50)), "x" * 500, "", "a b", "y" * 333 + " z"]
+    whole = words.word_hashes(texts)
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(words, "BLOCK", size)
+        assert all((a == b).all() for a, b in zip(whole, words.word_hashes(texts), strict=True))
+
+
 def test_groups_cover_all():
     texts = ["x" * n for n in (0, 1, words.GROUP * 2, 5, words.GROUP - 1, 7)]
     spans = list(words.groups(texts))
