@@ -387,10 +387,15 @@ def stream_dedup_25h(spark, d):
     return _streamed(spark, d, "dedup", lambda s: sync.drop_recent(s.withColumn("ts", F.to_timestamp("ts")), "user_id").select("user_id"), ["user_id"])
 
 
-@query("stream_daily_append")
+@query(
+    "stream_daily_append",
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1
+  HAVING CAST(strftime(any_value(ts), '%Y-%m-%d') AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 25 HOURS""",
+)
 def stream_daily_append(spark, d):
+    """Events per day, each day once, when the watermark has passed its end."""
     daily = lambda s: s.withColumn("ts", F.to_timestamp("ts")).withWatermark("ts", "25 hours").groupBy(F.window("ts", "1 day")).agg(F.count("*").alias("n"))
-    return _streamed(spark, d, "daily", lambda s: daily(s).select(F.col("window.start").alias("day"), "n"), ["day", "n"])
+    return _streamed(spark, d, "daily", lambda s: daily(s).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n"), ["day", "n"])
 
 
 @query("xml_roundtrip")
