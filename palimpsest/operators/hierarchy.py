@@ -221,7 +221,7 @@ def hierarchy(df: DataFrame, key: str, parent: str, locality: str, block_rows: i
 
 
 def intervals(df: DataFrame, key: str, parent: str, locality: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, parent, root, depth, entry, exit, n_descendants) of all keys whose way up ends.
+    """(id, parent, root, depth, entry, exit, n_descendants) of all keys whose way up ends; keys lie within 2**62 of zero.
 
     Arcs of the Euler tours of the whole forest form lists, which the same solver ranks. u is an ancestor of v if both have one root and
     entry_u < entry_v and exit_v < exit_u. Keys on or below cycles have no interval and are left out.
