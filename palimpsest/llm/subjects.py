@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.words import groups, hash_words, laid_out
+from palimpsest.session import remove, stage
 
 #: At most this many labelled documents are used for fitting (documented bound); features of all documents are made alike.
 SAMPLE_DOCUMENTS = 20_000
@@ -317,15 +318,17 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, sample: int = S
     votes = lab.groupBy("doc_id", "subject").agg(F.countDistinct(F.coalesce("annotator", F.lit(""))).alias("votes"))
     agreed = votes.join(readers, "doc_id").filter("2 * votes >= readers").groupBy("doc_id").agg(F.collect_set("subject").alias("given"))
     chosen = agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    sizes = docs.select("doc_id", F.char_length("text").alias("size")).filter("size IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    sample_rows = docs.select("doc_id", "text", "source", "lang").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    written, path = stage(sample_rows, "labelled")  # the one scan of the corpus; at most ``sample`` texts
     total, ids = 0, []
-    for doc_id, size in sizes.select("doc_id", "size").orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # two integers a sampled document
+    for doc_id, size in written.select("doc_id", F.char_length("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # two integers a sampled document
         total += size
         if total > SAMPLE_CHARACTERS:
             break
         ids.append((doc_id,))
-    chosen = chosen.join(F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long").distinct()), "doc_id")
-    rows = docs.select("doc_id", "text", "source", "lang").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").collect()  # at most ``sample`` rows
+    within = docs.sparkSession.createDataFrame(ids, "doc_id long").distinct()
+    rows = written.join(F.broadcast(within), "doc_id", "left_semi").orderBy("doc_id").collect()
+    remove(docs.sparkSession, path)
     return train([r["text"] for r in rows], [r["source"] for r in rows], [r["lang"] for r in rows], [set(r["given"]) - {"none"} for r in rows], names)
 
 
