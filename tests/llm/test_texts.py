@@ -168,6 +168,21 @@ def test_shares(spark):
     assert mixing.draws(counts.limit(0), targets)[0].count() == 0 and mixing.draws(counts, targets.limit(0))[0].count() == 0
 
 
+def test_deviation_in_long_runs(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE", 3000)
+    counts = spark.range(12_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit(1).alias("n_tokens"))
+    for shares in ({"a": 0.14, "b": 0.85}, {"a": 0.141414, "b": 0.12345671}):  # a period of 99 slots; one longer than the run
+        targets = spark.createDataFrame([(s, w, 9) for s, w in shares.items()] + [("absent", 0.01, 1)], "source string, target_share double, max_repeats long")
+        mix = mixing.draws(counts, targets, budget=10_000, block_tokens=1)[0]
+        got = [r["source"] for r in mix.orderBy("slot").select("source", "slot").collect()]
+        slots = mix.agg(F.countDistinct("slot"), F.max("slot")).first()
+        assert len(got) == slots[0] and 10_000 <= slots[0] <= 10_002
+        for s, w in shares.items():
+            done = np.cumsum([x == s for x in got])[:10_000]
+            assert np.abs(done - np.arange(1, 10_001) * w / sum(shares.values())).max() < 1
+        assert mix.select("doc_id", "repeat").distinct().count() == len(got)
+
+
 def test_token_counts(spark):
     e = tokens.encoding(tokens.VOCABULARY)
     texts = ["Hello  world\n\n", "", None, "<|endoftext|>", "é" * 1000, "a" * 50_000, "日本語"]
