@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
     feed = spark.readStream.format("recentchanges").option("domain", args.domain).option("start", start).option("namespaces", ",".join(args.namespace or [])).load()
     lookup = lambda ids: contents(fetch_contents(ids, args.domain), args.namespace)
     spark.streams.addListener(ProgressLog())
-    query = run_stream(spark, feed, os.path.join(args.output, "_checkpoint"), lookup, store, args.domain, args.output, args.namespace, args.ongoing, args.interval)
+    query = run_stream(spark, feed, os.path.join(args.output, "_checkpoint"), lookup, store, args.domain, args.output, args.namespace, args.ongoing, args.interval, args.parquet, args.no_db)
     query.awaitTermination()
     return 0
 

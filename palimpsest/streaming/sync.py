@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import os
+import time
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 
@@ -13,7 +14,8 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from palimpsest.functions import body, daily_path, header, instant
 from palimpsest.operators.index import IndexStore, first_wins, unseen
-from palimpsest.operators.metadata import write_metadata
+from palimpsest.operators.metadata import metadata, write_metadata
+from palimpsest.schema import METADATA
 from palimpsest.sources.mwrev import append_frames
 
 LOG = logging.getLogger(__name__)
@@ -115,27 +117,62 @@ def archive_contents(contents: DataFrame, out_dir: str) -> DataFrame:
     return rows.groupBy("file_path").applyInPandas(append, fields)
 
 
-def process_batch(spark: SparkSession, feed: DataFrame, lookup, store: IndexStore, domain: str, out_dir: str, namespaces: list[str] | None = None, parquet: str | None = None) -> dict:
-    """One cycle: page side-output, anti-join against the index, content lookup, archive append, index merge.
+class RecentlySeen:
+    """Revisions taken by this process in the last 25 hours: written ids of each batch, for runs that keep no index."""
 
-    ``lookup`` maps a DataFrame of rev_ids to contents. Repeating a batch whose commit went through changes
-    nothing; one that failed before its commit is taken again whole.
+    def __init__(self, spark: SparkSession):
+        self.spark, self.taken = spark, []
+
+    def unseen(self, ids: DataFrame) -> DataFrame:
+        from palimpsest.session import remove
+
+        old = [p for at, p in self.taken if time.monotonic() - at > TTL.total_seconds()]
+        remove(self.spark, *old)
+        self.taken = [(at, p) for at, p in self.taken if p not in old]
+        return ids.join(self.spark.read.schema("rev_id long").parquet(*[p for _, p in self.taken]), "rev_id", "left_anti") if self.taken else ids
+
+    def add(self, ids: DataFrame) -> None:
+        from palimpsest.session import stage
+
+        self.taken.append((time.monotonic(), stage(ids.select("rev_id").distinct(), "seen")[1]))
+
+
+def process_batch(
+    spark: SparkSession, feed: DataFrame, lookup, store: IndexStore, domain: str, out_dir: str, namespaces: list[str] | None = None, parquet: str | None = None, no_db: bool = False, recent: RecentlySeen | None = None
+) -> dict:
+    """One cycle: page side-output, anti-join against what is known, content lookup, archive append, index merge or metadata export.
+
+    ``lookup`` maps a DataFrame of rev_ids to contents. ``parquet`` takes the place of the index as sink: new metadata rows are appended to it, and
+    its revisions count as known like those of an index. With ``no_db`` the index is neither read nor written. Repeating a batch whose commit went through
+    changes nothing (without any sink: in the process of ``recent``); one that failed before its commit is taken again whole.
     """
-    from palimpsest.session import remove, stage
+    from palimpsest.session import exists, remove, stage
 
     items = valid_items(feed, namespaces)
     pages = items.select("pageid", "ns", "title", "timestamp")
     ids = items.filter("revid > 0").select(F.col("revid").alias("rev_id")).distinct()
-    got, got_path = stage(lookup(unseen(ids, store.read("revisions"))).filter("rev_id <> 0 AND timestamp <> ''"), "contents")
+    fresh = ids if no_db else unseen(ids, store.read("revisions"))
+    known = spark.read.schema(METADATA).parquet(parquet) if parquet and exists(spark, parquet) else None
+    if known is not None:
+        fresh = fresh.join(known.filter("type = 'revision'").select("rev_id").distinct(), "rev_id", "left_anti")
+    if recent:
+        fresh = recent.unseen(fresh)
+    got, got_path = stage(lookup(fresh).filter("rev_id <> 0 AND timestamp <> ''"), "contents")
     one = first_wins(got, ["rev_id"], ["timestamp"])
     placed, path = stage(archive_contents(one, out_dir), "placed")
     site = spark.createDataFrame([("feed", domain)], "file string, domain string")
     page_rows = pages.select(F.lit("feed").alias("file"), F.col("pageid").alias("page_id"), F.col("ns").cast("int").alias("ns"), "title", F.coalesce(instant(F.col("timestamp")), F.lit(0)).alias("seq"))
-    store.apply(page_rows, placed, site)
     if parquet:
-        from palimpsest.operators.metadata import metadata
-
-        write_metadata(metadata(page_rows, placed), parquet, append=True)
+        rows = metadata(page_rows.dropDuplicates(["page_id", "ns", "title"]), placed)
+        if known is not None:
+            same = known.filter("type = 'page'").select("page_id", "ns", "title").distinct()
+            pages_left = rows.filter("type = 'page'").join(same, ["page_id", "ns", "title"], "left_anti")
+            rows = pages_left.unionByName(rows.filter("type = 'revision'"))
+        write_metadata(rows, parquet, append=True)
+    elif not no_db:
+        store.apply(page_rows, placed, site)
+    if recent:
+        recent.add(placed)
     n = placed.count()
     remove(spark, path, got_path)
     return {"revisions": n}
@@ -158,11 +195,12 @@ class ProgressLog(StreamingQueryListener):
         LOG.info("sync ended%s", f": {event.exception}" if event.exception else "")
 
 
-def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None):
-    """Start following ``feed`` (a stream of items). Run once drains what is available; ongoing polls."""
+def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None, parquet: str | None = None, no_db: bool = False):
+    """Start following ``feed`` (a stream of items). Run once drains what is available; ongoing polls. Sinks as in ``process_batch``."""
+    recent = RecentlySeen(spark) if no_db else None
 
     def each(batch: DataFrame, epoch: int) -> None:
-        process_batch(spark, batch, lookup, store, domain, out_dir, namespaces)
+        process_batch(spark, batch, lookup, store, domain, out_dir, namespaces, parquet, no_db, recent)
 
     w = feed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=f"{interval_minutes(interval)} minutes") if ongoing else w.trigger(availableNow=True)

@@ -70,6 +70,44 @@ def test_stream_runs_once(spark, tmp_path):
     assert store.read("revisions").first()["revision_id"] == 5
 
 
+def test_stream_sinks(spark, tmp_path):
+    src, meta = str(tmp_path / "feed"), str(tmp_path / "meta.parquet")
+    store = IndexStore(spark, str(tmp_path / "index"))
+
+    def run(rows, out, **sink):
+        spark.createDataFrame(rows, ITEMS).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ITEMS).option("maxFilesPerTrigger", 1).parquet(src)
+        q = run_stream(spark, stream, str(tmp_path / out / "cp"), _lookup(spark), store, "x.org", str(tmp_path / out), **sink)
+        q.awaitTermination(120)
+        return sorted(r["rev_id"] for r in read_archive(spark, str(tmp_path / out / "recentchanges")).collect())
+
+    e, f = (5, 50, 0, "E", "2026-05-31T00:00:00Z"), (6, 60, 0, "F", "2026-05-30T00:00:00Z")
+    assert run([e], "p", parquet=meta) == ["5"]
+    assert run([e, f], "p", parquet=meta) == ["5", "6"]
+    got = [(r["type"], r["page_id"], r["title"], r["rev_id"]) for r in spark.read.parquet(meta).collect()]
+    assert sorted(got, key=str) == sorted([("page", 50, "E", None), ("page", 60, "F", None), ("revision", 50, None, 5), ("revision", 60, None, 6)], key=str)
+    assert run([e], "n", no_db=True) == ["5", "6"]  # three batches, of which each repeats some
+    assert not store.exists()
+    run([f], "i")
+    assert store.read("revisions").count() == 2
+    assert run([f], "m", no_db=True) == ["5", "6"] and store.read("revisions").count() == 2  # the index is not asked
+
+
+def test_command_line_passes_sinks(spark, tmp_path, monkeypatch):
+    from palimpsest import cli
+    from palimpsest.streaming import sync
+
+    seen = {}
+
+    def run(*args, **names):
+        seen.update(zip(("parquet", "no_db"), args[-2:], strict=True))
+        return type("Q", (), {"awaitTermination": lambda self: None})()
+
+    monkeypatch.setattr(sync, "run_stream", run)
+    assert cli.main(["sync", "--domain", "x.org", "-o", str(tmp_path), "--parquet", str(tmp_path / "m"), "--no-db", "-j", "4"]) == 0
+    assert seen == {"parquet": str(tmp_path / "m"), "no_db": True}
+
+
 def test_replayed_feed_streams(spark, tmp_path):
     from palimpsest.sources.changes import ChangesSource, fetch_contents
 
