@@ -271,4 +271,107 @@ def paths(iv: DataFrame, ids: DataFrame) -> DataFrame:
     return up.groupBy(F.col("of").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", x["id"].alias("id")))), lambda s: s["id"]).alias("path"))
 
 
-__all__ = ["descendants", "edges", "hierarchy", "intervals", "paths", "peel", "solve", "solve_block", "tour"]
+_HISTORY = "id long, root long, depth long, path array<long>, later array<long>"
+#: Whole trees are taken together up to so many rows, and results are handed on in batches of so many ids.
+TREE_ROWS, BATCH_IDS = 100_000, 1 << 18
+
+
+def history_of(ids, parents, roots, depths):
+    """Batches of (ids, roots, depths, path lengths, paths, later lengths, later) of whole trees; rows of one root adjoin.
+
+    Ways up are walked for a batch of rows at once. In preorder the keys below a key follow it, so nothing is compared in pairs.
+    """
+    import numpy as np
+
+    n = len(ids)
+    if not n:
+        return
+    order = np.argsort(ids, kind="stable")
+    pos = np.searchsorted(ids[order], parents)
+    pos[pos == n] = 0
+    up = np.where(depths != 0, order[pos], -1)
+    on = np.zeros(n, bool)
+    loose = np.flatnonzero(depths < 0)
+    if len(loose):
+        at = np.full(n, -1)
+        at[loose] = np.arange(len(loose))
+        on[loose] = peel(at[up[loose]])[1]
+    entry, leave, top, dist = tour(np.where(on, -1, up), np.ones(n, np.int64))
+    below = (leave - entry - 1) // 2
+    begin = np.r_[True, roots[1:] != roots[:-1]]
+    tree = np.cumsum(begin) - 1
+    lo = np.flatnonzero(begin)[tree]
+    size = np.bincount(tree)[tree]
+    rings = np.bincount(tree, weights=on).astype(np.int64)[tree]
+    length = dist + np.where(depths < 0, rings, 1)
+    pre = np.lexsort((entry, top, tree))
+    place = np.empty(n, np.int64)
+    place[pre] = np.arange(n)
+    ordered = ids[pre]
+    below = np.where(on, size - 1, below)  # all keys of the tree hang below each key of its cycle
+    base, size = np.where(on, lo, place), np.where(on, size, 1 << 62)
+    total = np.cumsum(length + below)
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + BATCH_IDS, side="right")))
+        rest = length[a:b]
+        end = np.cumsum(rest) - 1
+        flat, at = np.empty(end[-1] + 1, np.int64), np.arange(a, b)
+        while len(at):
+            flat[end] = ids[at]
+            more = rest > 1
+            at, end, rest = up[at[more]], end[more] - 1, rest[more] - 1
+        many = below[a:b]
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        low = np.repeat(base[a:b], many)
+        later = ordered[low + (np.repeat(place[a:b], many) + 1 - low + step) % np.repeat(size[a:b], many)]
+        yield ids[a:b], roots[a:b], depths[a:b], length[a:b], flat, many, later
+        a = b
+
+
+def _trees(batches):
+    """Whole trees at a time out of batches sorted by root."""
+    import numpy as np
+
+    held, rows, most = [], 0, TREE_ROWS
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([np.asarray(c.fill_null(0)) for c in batch.columns])
+        rows += batch.num_rows
+        if rows >= most:
+            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.searchsorted(whole[2], whole[2][-1]))
+            if cut:
+                yield from history_of(*[x[:cut] for x in whole])
+            held, rows = [[x[cut:] for x in whole]], rows - cut
+            most = max(TREE_ROWS, 2 * rows)
+    if rows:
+        yield from history_of(*[np.concatenate(x) for x in zip(*held, strict=True)])
+
+
+def _history_batches(batches):
+    import numpy as np
+    import pyarrow as pa
+
+    def lists(lengths, values):
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(values, pa.int64()))
+
+    for ids, roots, depths, length, path, many, later in _trees(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots), pa.array(depths), lists(length, path), lists(many, later)], ["id", "root", "depth", "path", "later"])
+
+
+def histories(df: DataFrame, key: str, parent: str, locality: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, root, depth, path, later) of every key: the ids from the root down to the key, and all keys below it.
+
+    Where the parents never end (depth -1) the path is the way up until a key would come twice, read downwards: once around the cycle, then down
+    to the key. ``later`` always lists the other keys on whose path a key lies. A tree is held by one task. The size of the result is
+    the sum of all depths.
+    """
+    nodes, _ = stage(edges(df, key, parent, locality), "nodes")
+    solved, _ = stage(solve(nodes, nodes.count(), block_rows).select("id", "root", "depth"), "solved")
+    rows = solved.join(nodes.select("id", "parent"), "id").select("id", "parent", "root", "depth")
+    return rows.repartition("root").sortWithinPartitions("root", "id").mapInArrow(_history_batches, _HISTORY)
+
+
+__all__ = ["descendants", "edges", "hierarchy", "histories", "history_of", "intervals", "paths", "peel", "solve", "solve_block", "tour"]

@@ -82,6 +82,13 @@ def p2_intervals(spark, d):
     return iv.select(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth", "entry", "exit", "n_descendants")
 
 
+@query("p2_histories")
+def p2_histories(spark, d):
+    """Path, depth, first revision and all later revisions of every revision; see ``hierarchy.histories`` for those on or below cycles."""
+    h = tree.histories(table(spark, d, "revisions"), "revision_id", "parent_revision_id", "page_id")
+    return h.select(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth", "path", F.col("later").alias("later_revision_ids"))
+
+
 _FIELDS = ("parent_revision_id", "page_id", "found_in_bundle")
 
 

@@ -110,6 +110,40 @@ def test_hierarchy_against_brute_force(spark, shape):
         assert tree.descendants(iv, ask).count() == sum(below[i] for i in got_paths)
 
 
+@pytest.mark.parametrize("limits", [(100_000, 1 << 18), (7, 20)])
+def test_histories_of_all_keys(spark, limits):
+    import numpy as np
+
+    r, n = random.Random(11), 700
+    edges = [(i, r.choice([None, 0, i, r.randint(1, n + 30), max(1, i - 1), max(1, i - 1), max(1, i - 1)])) for i in range(1, n + 1)] + [(i, i + 1 if i % 30 else i - 29) for i in range(901, 961)]
+    up, want = brute(edges)
+    df = spark.createDataFrame([(i, p, i // 50, 7, "x") for i, p in edges] + [(5, dict(edges)[5], 1, 7, "x"), (0, 3, 1, 7, "x"), (None, None, None, None, None)], EDGE)
+    got = {x["id"]: x for x in tree.histories(df, "i", "p", "page", block_rows=200).collect()} if limits[0] > 7 else {}
+    if not got:  # the same in small batches, trees larger than one
+        import pyarrow as pa
+        from unittest import mock
+
+        rows = sorted((want[i][0], i) for i in want)
+        cols = [[i for _, i in rows], [up.get(i) for _, i in rows], [t for t, _ in rows], [want[i][1] for _, i in rows]]
+        whole = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "parent", "root", "depth"])
+        with mock.patch.multiple(tree, TREE_ROWS=limits[0], BATCH_IDS=limits[1]):
+            out = pa.Table.from_batches(tree._history_batches(whole.slice(k, 5) for k in range(0, len(rows), 5))).to_pylist()
+        got = {x["id"]: x for x in out}
+        assert len(out) == len(got)
+    assert {i: (x["root"], x["depth"]) for i, x in got.items()} == want
+    later = {i: set() for i in want}
+    for i in want:
+        way, x = [], i
+        while x in want and x not in way:
+            way.append(x)
+            x = up.get(x)
+        assert got[i]["path"] == way[::-1]
+        for a in way[1:]:
+            later[a].add(i)
+    assert {i: set(x["later"]) for i, x in got.items()} == later and all(len(x["later"]) == len(later[i]) for i, x in got.items())
+    assert list(tree.history_of(*[np.array([], np.int64)] * 4)) == []
+
+
 def test_levels_that_do_not_contract_are_doubled(spark):
     r, n = random.Random(5), 600
     edges = [(i, r.choice([0, r.randint(1, n), r.randint(1, n)])) for i in range(1, n + 1)]
