@@ -74,7 +74,7 @@ _TOKEN = re.compile(
 )
 #: Where a token may begin: found by character set, so most of a text is skipped at once.
 _TRIGGER = re.compile(r"\n(?=[ \t]*[=\-`~|{#*+0-9:])|[<&\[\]{}*`~_\\$]|''|!\[")
-KINDS = tuple(_TOKEN.groupindex) + ("pre", "code", "env", "indent")
+KINDS = tuple(_TOKEN.groupindex) + ("pre", "code", "env", "indent", "wcell")
 _K = {k: i for i, k in enumerate(KINDS)}
 _TAG_NAME = re.compile(r"</?[ \t]*([A-Za-z][A-Za-z0-9]*)")
 _ATTR = re.compile(r"[ \t][a-zA-Z-]+[ \t]*=")
@@ -560,8 +560,78 @@ def decode(nodes: list, logp: np.ndarray) -> list[int]:
     return out
 
 
+_ATTRIBUTES = r"[ \t]*+(?:(?:[^|=\[\]{}\n]*+=[^|\[\]{}\n]*+|nowrap[ \t]*+)\|(?!\|))?[ \t]*+"
+_CELL_LINE = re.compile(r"^[ \t]*[|!](?![-+}])[^\n]*", re.M)
+_CELL_BEGIN = re.compile(rf"[ \t]*+(?:\|\||!!|[|!]){_ATTRIBUTES}")
+_CELL_NEXT = {sign: re.compile(rf"(?:{signs}){_ATTRIBUTES}") for sign, signs in (("|", r"\|\|"), ("!", r"\|\||!!"))}
+_CUT_ROW = re.compile(r"[ \t]*+(?:\|(?:[^|\n]|\|(?!\|))*+\|\||![^!\n]*[^!\s][ \t]*!!(?=[ \t]*[^\s!]))")
+_CAPTION = re.compile(rf"[ \t]*\|\+{_ATTRIBUTES}")
+_WHOLE = frozenset(("wlink", "template", "elink", "mdlink", "comment", "ticks", "tag", "mdtable"))
+
+
+def cells(text: str, nodes: list, classes: list[int]) -> list:
+    """Nodes of the cells of wiki tables: signs that begin a line or part cells, with their attributes.
+
+    A table goes from its opening to its end, one broken off to the next empty line; a row or end without an opening makes its paragraph
+    a table. Elsewhere a line is a row only by a doubled sign. Signs inside links, templates, code and formulas are none.
+    """
+    lines = [m.span() for m in _CELL_LINE.finditer(text)]
+    if not lines:
+        return []
+    taken = bytearray(len(text))
+    tables, begin, until = [], -1, 0
+    for (kind, s, e, _, _, _, span), c in zip(nodes, classes, strict=True):
+        if not c:
+            continue
+        if _INSIDE[c] or kind in _WHOLE:
+            end = span if _INSIDE[c] else e
+            taken[s:end] = b"\1" * (end - s)
+        elif kind == "wtable":
+            sign = text[s:e].strip()
+            if sign == "{|":
+                if begin >= 0:
+                    tables.append((begin, until))
+                begin = s
+            elif sign == "|}" and begin >= 0:
+                tables.append((begin, e))
+                begin = -1
+            elif begin < 0 and (not tables or s >= tables[-1][1]):
+                stop = text.find("\n\n", e)
+                tables.append((text.rfind("\n\n", 0, s) + 1, len(text) if stop < 0 else stop))
+            if begin >= 0:
+                stop = text.find("\n\n", e)
+                until = len(text) if stop < 0 else stop
+    if begin >= 0:
+        tables.append((begin, until))
+    out, k = [], 0
+    for a, b in lines:
+        while k < len(tables) and tables[k][1] <= a:
+            k += 1
+        if taken[a] or not (k < len(tables) and tables[k][0] <= a or _CUT_ROW.match(text, a, b) and not text[a:b].rstrip().endswith("|")):
+            continue
+        m, first, at = _CELL_BEGIN.match(text, a, b), text[a:b].lstrip()[0], a
+        while m:
+            sign = m.start()
+            if not taken[sign]:
+                while sign > at and text[sign - 1] in " \t":
+                    sign -= 1
+                out.append(["wcell", sign, m.end(), m.end(), m.end(), -1, m.end()])
+            at = m.end()
+            m = _CELL_NEXT[first].search(text, at, b)
+    return out
+
+
 def analyse(texts: list[str], model: Trees):
-    """Per text (nodes, classes)."""
+    """Per text (nodes, classes); cells of tables, which follow from the other nodes, come last."""
+    out = []
+    for text, (nodes, classes) in zip(texts, _signs(texts, model), strict=True):
+        more = cells(text, nodes, classes)
+        out.append((nodes + more, classes + [cls("wiki")] * len(more)))
+    return out
+
+
+def _signs(texts: list[str], model: Trees):
+    """Per text the lexer's nodes and their classes."""
     lexed = [lex(t) for t in texts]
     rows = [f for feats, _ in lexed for f in feats]
     if not rows:
@@ -601,7 +671,7 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
     """
     edits: list[tuple[int, int, str]] = []
     covered, last_ref = 0, max(text.rfind("</ref"), text.rfind("</REF"), text.rfind("<ref"))
-    for (kind, s, e, a, b, _, span), c in zip(nodes, classes, strict=True):
+    for (kind, s, e, a, b, _, span), c in sorted(zip(nodes, classes, strict=True), key=lambda x: x[0][1]):
         if not c or s < covered:
             continue
         element, tok = ELEMENTS[(c - 1) % 5], text[s:e]
@@ -630,6 +700,10 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
                 edits.append((s, e, "\n- " if kind == "tag" else "-"))
             else:
                 edits.append((s, e, "\n" if kind == "tag" else ""))
+        elif kind == "wcell":
+            edits.append((s, e, "" if s == 0 or text[s - 1] == "\n" else "\t"))
+        elif kind == "wtable" and tok.strip() == "|+":
+            edits.append((s, _CAPTION.match(text, s).end(), ""))
         elif kind in ("wtable", "mdtable"):  # attributes of the table or row, or the line below a header
             stop = text.find("\n", e)
             stop = len(text) if stop < 0 else stop

@@ -252,6 +252,24 @@ def test_clean_text(spark):
     assert markup.find_markup(docs(spark, [])).count() == 0
 
 
+def test_tables_become_plain_cells(model):
+    def of(text):
+        ((nodes, classes),) = markup.analyse([text], model)
+        return markup.clean(text, nodes, classes), markup.constructs(nodes, classes)
+
+    table = '{| class="wikitable"\n|+ style="x" | The caption\n! Register !! n\n|-\n| [[Ju|wen]] || 4\n|-\n| style="a" | x || width=2 | {{t||u}}y\n| one\n| two\n|}\n\nplain | text || stays'
+    out = of(table)[0]
+    assert [x for x in out.split("\n") if x] == ["The caption", "Register\tn", "wen\t4", "x\ty", "one", "two", "plain | text || stays"]
+    assert of(table.replace("\n|}", ""))[0] == out  # broken off
+    assert of("end of a row\n| Juwen || 4\n! Head !! n") == ("end of a row\nJuwen\t4\nHead\tn", {("wiki", "any")})
+    assert of("! stop it, now !\na | b\n| c | d |")[0] == "! stop it, now !\na | b\n| c | d |"
+    assert of("# Head\n\n| a || b |\n\n**b** [a](/b)")[1] == {("markdown", "any"), ("markdown", "heading")}  # a Markdown row with an empty cell
+    for sign in ("a=", " ", "|| ", "! ", "!!", "| a", "|| a ||\n"):
+        assert isinstance(of("{|\n| " + sign * 20_000)[0], str) and isinstance(of("| " + sign * 20_000)[0], str)
+    code = "```\n| a || b\n```\n\n# Head\n\n**b** [a](/b)"
+    assert "| a || b" in of(code)[0] and ("wiki", "any") not in of(code)[1]
+
+
 def test_endless_openings_take_linear_time(model):
     import time
 
