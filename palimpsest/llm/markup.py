@@ -80,6 +80,7 @@ _TAG_NAME = re.compile(r"</?[ \t]*([A-Za-z][A-Za-z0-9]*)")
 _ATTR = re.compile(r"[ \t][a-zA-Z-]+[ \t]*=")
 _ENV = re.compile(r"\{([A-Za-z]+)\*?\}")
 _TEX = re.compile(r"[\\^_={}<>+]")
+_RAISED = re.compile(r"[\\^_]")
 _MATHML = re.compile(r"<m(?:i|n|o|row|sup|sub|frac|sqrt)\b", re.I)
 
 # Feature columns.
@@ -137,6 +138,31 @@ def lex(text: str) -> tuple[list, list]:
             gone.add(key)
         return m
 
+    nexts: dict[re.Pattern, tuple[int, int, int]] = {}  # searched from, next match
+
+    def has(pattern: re.Pattern, start: int, end: int) -> bool:
+        """Does the pattern occur between? Openings that share their end must not each search up to it."""
+        known = nexts.get(pattern)
+        if known is None or not known[0] <= start <= known[1]:
+            m = pattern.search(text, start)
+            known = nexts[pattern] = (start, *(m.span() if m else (len(text) + 1, len(text) + 1)))
+        return known[2] <= end
+
+    def content(start: int, end: int) -> int:
+        """``_content`` of a part of any length."""
+        at = start
+        while at < end and text[at].isspace():
+            at += 1
+        if at == end:
+            return 0
+        if has(_MATHML, start, end):
+            return 4
+        if text[at].isdigit() and not has(_RAISED, start, end):
+            return 1
+        if has(_TEX, start, end):
+            return 2
+        return 3 if text[at].isalpha() else 5
+
     def add(kind, start, end, name=0, closed=1, space=0, content=5, attrs=0, span=0, inner=None, show=-1):
         while spans and spans[-1][0] <= start:
             spans.pop()
@@ -186,7 +212,7 @@ def lex(text: str) -> tuple[list, list]:
                 at = closer(f"</{low}", rf"</\s*{low}\s*>", e)
                 if at:
                     block = "math" if low == "math" else "pre" if low == "pre" else "code"
-                    add(block, s, e, 1 + known, 1, 0, _content(text[e : at.start()][:2000]) if block == "math" else 5, len(_ATTR.findall(tok)), at.end(), (e, at.start()), show)
+                    add(block, s, e, 1 + known, 1, 0, content(e, at.start()) if block == "math" else 5, len(_ATTR.findall(tok)), at.end(), (e, at.start()), show)
                     continue
             if closing:
                 hit = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == low), -1)
@@ -217,12 +243,12 @@ def lex(text: str) -> tuple[list, list]:
         elif kind == "math":
             if tok[0] == "\\":
                 at = ending("\\)" if tok[1] == "(" else "\\]", e)
-                ok = at >= 0 and at - s < 4000
-                add(kind, s, e, 4, int(ok), 0, _content(text[e:at]) if ok else 5, 0, at + 2 if ok else 0, (e, at) if ok else None, show)
+                ok = at >= 0
+                add(kind, s, e, 4, int(ok), 0, content(e, at) if ok else 5, 0, at + 2 if ok else 0, (e, at) if ok else None, show)
             elif tok == "$$":
                 at = ending("$$", e)
                 ok = at > e
-                add(kind, s, e, 5, int(ok), 0, _content(text[e:at][:2000]) if ok else 5, 0, at + 2 if ok else 0, (e, at) if ok else None, show if ok else -1)
+                add(kind, s, e, 5, int(ok), 0, content(e, at) if ok else 5, 0, at + 2 if ok else 0, (e, at) if ok else None, show if ok else -1)
             else:
                 nxt = text[e] if e < len(text) else " "
                 line = find("\n", e)
@@ -257,7 +283,8 @@ def lex(text: str) -> tuple[list, list]:
         elif kind == "sign":
             mark = tok.strip()
             name = {"*": 0, "-": 1, "+": 2}.get(mark[0], 3 if mark[0].isdigit() else 4)
-            if mark[0] == "*" and "*" in text[e : e + 200].split("\n", 1)[0] and not text[e : e + 1].isspace() and len(mark) < 4:
+            line = find("\n", e)
+            if mark[0] == "*" and find("*", e, line if line >= 0 else len(text)) >= 0 and not text[e : e + 1].isspace() and len(mark) < 4:
                 rest = re.compile(r"\*{1,3}(?=[^\s*])[^*\n]*\*{1,3}").match(text, s + len(tok) - len(mark))
                 if rest:  # emphasis that begins the line
                     add("stars", s, rest.end(), min(3, len(mark)), 1, 0, 3, show=2 if len(mark) > 1 else -1, inner=(s + len(tok), rest.end()))

@@ -252,6 +252,23 @@ def test_clean_text(spark):
     assert markup.find_markup(docs(spark, [])).count() == 0
 
 
+def test_long_constructs_are_read_whole():
+    import time
+
+    def first(text):
+        feats, nodes = markup.lex(text)
+        return nodes[0][0], feats[0][markup.CLOSED], feats[0][markup.CONTENT]
+
+    for a, b in ("()", "[]"):
+        assert first(f"\\{a}" + "x^2 + " * 1000 + f"[[y]]\\{b}") == ("math", 1, 2) and first(f"\\{a}" + "x^2 + " * 1000)[1] == 0
+    for a, b in (("<math>", "</math>"), ("$$", "$$")):
+        assert first(a + "word " * 500 + "<mi>x</mi>" + b)[2] == 4 and first(a + "word " * 500 + b + "<mi>x</mi>")[2] == 3
+    assert first("**" + "word " * 60 + "end** of it")[0] == "stars"
+    began = time.time()
+    markup.lex("\\( x " * 20_000 + "\\)")
+    assert time.time() - began < 10
+
+
 def test_tables_become_plain_cells(model):
     def of(text):
         ((nodes, classes),) = markup.analyse([text], model)
