@@ -180,6 +180,40 @@ def test_orphans(spark):
     assert rows(orphan_references(refs.limit(0), ["page"], parents, none, ["key"])) == []
 
 
+def test_hot_range_is_merged_before_it_is_compared(spark):
+    from palimpsest.operators import orphans
+
+    # One bundle range over many batches and tasks: a third of a million rows of 40 keys and 3 periods.
+    hot = spark.range(0, 300_000, 1, 6).select(F.lit("b").alias("field"), (F.col("id") % 40 + 1).alias("key"), (F.col("id") % 3).cast("int").alias("period"), F.lit(0).alias("kind"))
+    per_task = orphans.bitmaps(hot)
+    assert per_task.count() == 6 * 3
+    whole = orphans.united(per_task).collect()
+    assert sorted((r["field"], r["chunk"], r["kind"], r["period"], len(unpack(r["bits"]).nonzero()[0])) for r in whole) == [("b", 0, 0, k, 40) for k in range(3)]
+    assert orphans.bitmaps(hot.limit(0)).count() == 0 and orphans.united(per_task.limit(0)).count() == 0
+
+
+def test_handed_over_containers_are_united(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from palimpsest.operators import orphans
+
+    monkeypatch.setattr(orphans, "HELD_KEYS", 10)
+    taken = []
+    monkeypatch.setattr(orphans, "DataFrame", object)
+
+    class Rows:  # runs the task function on batches
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, f, _):
+            frames = [pd.DataFrame({"field": "x", "key": np.arange(k, k + 30), "period": 1, "kind": 0}) for k in (0, 20, 65530)]
+            taken.extend(f(iter(frames)))
+
+    orphans.bitmaps(Rows())
+    assert sum(map(len, taken)) == 4 and all(t["chunk"].isin([0, 1]).all() for t in taken)
+
+
 def test_dictionary(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "k string")
     assert rows(dictionary(df, "k")) == [("a", 1), ("b", 2)]
