@@ -1,9 +1,9 @@
 """Only new or changed records: a Merkle tree over key ranges decides what a run has to read.
 
 A record set is a set of elements (key, version). Leaves cover ``2**leaf_bits`` successive keys, a node of a higher level
-``2**fan_bits`` nodes below it. A run hashes the current elements into a tree, walks
-down from the top only where its digests differ from the saved ones, compares the
-elements of changed leaves one by one, and publishes output, element delta and tree by one pointer swap.
+``2**fan_bits`` nodes below it. A run writes the current elements in order of their keys and hashes them into a tree, walks
+down from the top only where its digests differ from the saved ones, reads the
+elements of changed leaves (of both runs, by key ranges that Parquet's statistics prune), compares them one by one, and publishes output, elements and tree as one version.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.operators.index import put
-from palimpsest.session import get, maybe_broadcast, remove, stage
+from palimpsest.session import maybe_broadcast, publish, published, remove
 
 LEAF_BITS, FAN_BITS = 8, 8
+#: Key ranges that changed leaves are summed up in at most, for the filter that reaches the scan.
+SPANS = 256
 _TREE = "level int, node long, a long, b long, n long"
-_DELTA = "key long, version long, sign int"
+_ELEMENTS = "key long, version long"
 
 
 def elements(df: DataFrame, key: Column, version: Column) -> DataFrame:
@@ -72,25 +73,35 @@ def changed_leaves(saved: DataFrame, current: DataFrame, top: int) -> DataFrame:
     return frontier
 
 
+def spans(leaves: DataFrame, most: int = SPANS) -> list[tuple[int, int]]:
+    """Key ranges (first, last) that cover the leaves (node): those of one part of ``most`` equal parts of their span make one range."""
+    lo, hi = leaves.agg(F.min("node"), F.max("node")).first()
+    if lo is None:
+        return []
+    part = F.floor((F.col("node") - lo) / ((hi - lo) // most + 1))
+    rows = leaves.groupBy(part.alias("part")).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).orderBy("lo").collect()  # at most ``most`` rows
+    return [(r["lo"] << LEAF_BITS, ((r["hi"] + 1) << LEAF_BITS) - 1) for r in rows]
+
+
+def within(elems: DataFrame, ranges: list[tuple[int, int]], leaf: DataFrame) -> DataFrame:
+    """Elements of the leaves; ``ranges`` are their ``spans``, by which files and pages without such keys aren't read."""
+    near = reduce(Column.__or__, [F.col("key").between(a, b) for a, b in ranges], F.lit(False))
+    return elems.filter(near).join(leaf, leaf_of(elems["key"]) == leaf["node"], "left_semi")
+
+
 class MerkleStore:
     """State of a synchronised record set below ``root``.
 
     ``sync`` either publishes a run whole or leaves the last one in place; a
-    crashed run is simply taken again. Repeating a published run gives no rows.
+    crashed run is simply taken again, and so is one that another run got ahead of (``Superseded``). Repeating a published run gives no rows.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def manifest(self) -> dict:
-        text = get(self.spark, f"{self.root}/_current.json")
-        return json.loads(text) if text else {"runs": [], "tree": None, "top": 1}
-
-    def _saved(self, m: dict) -> tuple[DataFrame, DataFrame]:
-        empty = self.spark.createDataFrame
-        tr = self.spark.read.schema(_TREE).parquet(f"{self.root}/{m['tree']}/tree") if m["tree"] else empty([], _TREE)
-        ds = [f"{self.root}/{r}/delta" for r in m["runs"]]
-        return tr, (self.spark.read.schema(_DELTA).parquet(*ds) if ds else empty([], _DELTA))
+    def _state(self) -> tuple[int, dict]:
+        number, text = published(self.spark, self.root)
+        return number, json.loads(text) if text else {"run": None, "top": 1, "past": []}
 
     def sync(self, df: DataFrame, key: Column, version: Column, before_publish=None) -> DataFrame:
         """Changes of ``df`` against the published state: (key, change_kind), as written with the run.
@@ -98,28 +109,25 @@ class MerkleStore:
         ``added``: a key without saved elements. ``changed``: a saved key with a new, non-NULL version. ``removed``: a saved key that is gone. An empty ``df`` removes all; NULL keys are no records.
         ``before_publish`` is called when all is written and nothing is published (fault injection).
         """
-        m, run = self.manifest(), f"run-{uuid.uuid4().hex}"
+        (number, m), run = self._state(), f"run-{uuid.uuid4().hex}"
         at, read = f"{self.root}/{run}", self.spark.read
-        current = elements(df, key, version)
-        if not m["tree"]:  # nothing saved: every element is new, and the leaves are hashed from what is written
-            current.withColumn("sign", F.lit(1)).write.parquet(f"{at}/delta")
-            current = read.schema(_DELTA).parquet(f"{at}/delta").select("key", "version")
-        # The leaf level is written first; the levels above are made from it, not from the records again.
+        # The one scan of the records. Copies meet map-side; a leaf lies in one range, so its digest is made where it is read.
+        rows = elements(df, key, version)
+        rows.repartitionByRange(leaf_of(F.col("key"))).sortWithinPartitions("key", "version").write.parquet(f"{at}/elements")
+        current = read.schema(_ELEMENTS).parquet(f"{at}/elements")
         leaf_level(current).select(F.lit(0).alias("level"), "node", "a", "b", "n").write.parquet(f"{at}/tree")
         leaves = read.schema(_TREE).parquet(f"{at}/tree").filter("level = 0")
         top = height(leaves)
-        upper_levels(leaves, top).coalesce(1).write.mode("append").parquet(f"{at}/tree")  # a 256th of the leaves
-        if m["tree"]:
-            now = read.schema(_TREE).parquet(f"{at}/tree")
-            saved, deltas = self._saved(m)
+        upper_levels(leaves, top).write.mode("append").parquet(f"{at}/tree")  # a 256th of the leaves
+        if m["run"]:
+            before = f"{self.root}/{m['run']}"
+            saved, now = (read.schema(_TREE).parquet(f"{x}/tree") for x in (before, at))
             changed_leaves(saved, now, min(top, m["top"])).write.parquet(f"{at}/leaves")
-            leaf = maybe_broadcast(read.schema("node long").parquet(f"{at}/leaves"), f"{at}/leaves")
-            within = lambda d: d.join(leaf, leaf_of(d["key"]) == leaf["node"], "left_semi")
-            c = elements(within(df.select(key.cast("long").alias("key"), version.cast("long").alias("version"))), F.col("key"), F.col("version"))
-            s = within(deltas).groupBy("key", "version").agg(F.sum("sign").alias("n")).filter("n > 0").drop("n")
+            changed = read.schema("node long").parquet(f"{at}/leaves")
+            ranges, leaf = spans(changed), maybe_broadcast(changed, f"{at}/leaves")
+            c, s = within(current, ranges, leaf), within(read.schema(_ELEMENTS).parquet(f"{before}/elements"), ranges, leaf)
             # 1: saved only, 2: current only, 3: both
-            both, _ = stage(s.withColumn("o", F.lit(1)).unionByName(c.withColumn("o", F.lit(2))).groupBy("key", "version").agg(F.sum("o").alias("o")), "changed")
-            both.filter("o <> 3").select("key", "version", F.when(F.col("o") == 2, 1).otherwise(-1).alias("sign")).write.parquet(f"{at}/delta")
+            both = s.withColumn("o", F.lit(1)).unionByName(c.withColumn("o", F.lit(2))).groupBy("key", "version").agg(F.sum("o").alias("o"))
         else:
             both = current.withColumn("o", F.lit(2))
         kinds = both.groupBy("key").agg(
@@ -129,16 +137,14 @@ class MerkleStore:
         kinds.select("key", kind.alias("change_kind")).filter("change_kind IS NOT NULL").write.parquet(f"{at}/output")
         if before_publish:
             before_publish()
-        put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [*m["runs"], run], "tree": run, "top": top}))
+        past = [*m["past"], m["run"]] if m["run"] else []
+        publish(self.spark, self.root, number, json.dumps({"run": run, "top": top, "past": past[-1:]}))
+        remove(self.spark, *[f"{self.root}/{r}" for r in past[:-1]])  # the last run stays for readers that are under way
         return read.schema("key long, change_kind string").parquet(f"{at}/output")
 
     def compact(self) -> None:
-        """Merge the element deltas of all runs into one; the tree stays."""
-        m, run = self.manifest(), f"run-{uuid.uuid4().hex}"
-        if len(m["runs"]) < 2:
-            return
-        _, deltas = self._saved(m)
-        merged = deltas.groupBy("key", "version").agg(F.sum("sign").alias("sign")).filter("sign > 0")
-        merged.select("key", "version", F.lit(1).alias("sign")).write.parquet(f"{self.root}/{run}/delta")
-        put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [run], "tree": m["tree"], "top": m["top"]}))
-        remove(self.spark, *[f"{self.root}/{r}/delta" for r in m["runs"]])
+        """Remove the superseded run that ``sync`` leaves for readers."""
+        number, m = self._state()
+        if m["past"]:
+            publish(self.spark, self.root, number, json.dumps(m | {"past": []}))
+            remove(self.spark, *[f"{self.root}/{r}" for r in m["past"]])

@@ -78,6 +78,48 @@ def remove(spark: SparkSession, *paths: str) -> None:
             f.delete(p, True)
 
 
+class Superseded(RuntimeError):
+    """Another run has published since this one read its state; nothing of this run is visible, and it may be taken again."""
+
+
+#: Published versions that are kept beside the newest one.
+PAST_VERSIONS = 20
+
+
+def published(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """(number, text) of the newest version below ``root``; (0, None) if nothing was published."""
+    f, p = fs(spark, f"{root}/_versions")
+    names = [s.getPath().getName() for s in f.listStatus(p)] if f.exists(p) else []
+    newest = max((n for n in names if n.endswith(".json")), default=None)
+    return (int(newest[:-5]), get(spark, f"{root}/_versions/{newest}")) if newest else (0, None)
+
+
+def publish(spark: SparkSession, root: str, after: int, text: str) -> int:
+    """Publish the version that follows number ``after``: readers see the old or the new one. Returns its number.
+
+    The file is written beside its place and renamed without overwriting, so of two runs that read one version only the first gets through;
+    the other raises ``Superseded``. Needs a file system whose rename is atomic.
+    """
+    number = after + 1
+    f, p = fs(spark, f"{root}/_versions/{number:012d}.json")
+    tmp = fs(spark, f"{root}/_versions/{uuid.uuid4().hex}.tmp")[1]
+    out = f.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm = spark.sparkContext._jvm
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, p, none)
+    except Exception as e:
+        f.delete(tmp, False)
+        if f.exists(p):
+            raise Superseded(f"{root}: version {number} was published by another run") from e
+        raise
+    if number > PAST_VERSIONS:
+        remove(spark, f"{root}/_versions/{number - PAST_VERSIONS:012d}.json")
+    return number
+
+
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession

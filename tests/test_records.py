@@ -47,6 +47,45 @@ def test_a_failed_run_is_taken_again(spark, tmp_path):
     assert changes(s, spark, [(1, 2, "", ""), (2, 1, "", "")]) == [(1, "changed"), (2, "added")]
 
 
+def test_only_changed_leaves_are_read_again(spark, tmp_path):
+    from palimpsest.operators import incremental
+
+    s = MerkleStore(spark, str(tmp_path))
+    df = spark.range(0, 400_000, 1, 4).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    s.sync(df, F.col("k"), F.col("v"))
+    new = df.withColumn("v", F.when(F.col("k").isin(77, 300_001), 2).otherwise(1))
+    assert rows(s.sync(new, F.col("k"), F.col("v"))) == [(77, "changed"), (300_001, "changed")]
+    at = f"{tmp_path}/{s._state()[1]['run']}"
+    leaves = spark.read.parquet(f"{at}/leaves")
+    ranges = incremental.spans(leaves)
+    assert ranges == [(0, 255), (299_776, 300_031)]
+    part = incremental.within(spark.read.parquet(f"{at}/elements"), ranges, leaves)
+    assert part.count() == 512
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(key,299776)" in plan
+    # A level's digests come from an exchange, not from one task that pulls all leaves.
+    up = incremental.upper_levels(spark.read.parquet(f"{at}/tree").filter("level = 0").select("node", "a", "b", "n"), 2)
+    assert "Coalesce" not in up._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_are_bounded(spark):
+    from palimpsest.operators.incremental import spans
+
+    nodes = spark.range(-1000, 5000).select((F.col("id") * 3).alias("node"))
+    got = spans(nodes, 16)
+    assert len(got) <= 16 and all(any(a <= n << 8 <= b for a, b in got) for n in (-3000, 0, 14_997)) and spans(nodes.limit(0)) == []
+
+
+def test_one_of_two_runs_gets_through(spark, tmp_path):
+    from palimpsest.session import Superseded
+
+    s, other = MerkleStore(spark, str(tmp_path)), MerkleStore(spark, str(tmp_path))
+    changes(s, spark, [(1, 1, "", "")])
+    with pytest.raises(Superseded):
+        changes(s, spark, [(2, 1, "", "")], before_publish=lambda: changes(other, spark, [(1, 1, "", ""), (3, 1, "", "")]))
+    assert changes(s, spark, [(2, 1, "", "")]) == [(1, "removed"), (2, "added"), (3, "removed")]
+
+
 def test_empty_table_removes_all(spark, tmp_path):
     s = MerkleStore(spark, str(tmp_path))
     assert changes(s, spark, []) == []
