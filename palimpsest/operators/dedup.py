@@ -1,8 +1,11 @@
 """Exactly one copy of each message: a persisted index of sorted identifier arrays by hash prefix.
 
-Each ingested batch is reduced to its first copies and shuffled by hash prefix; the task of a prefix reads that prefix's arrays of
+Each ingested batch is reduced to its first copies and shuffled by hash prefix; the task of a prefix reads the arrays that prefix has in
 every run from the shared folder and looks the identifiers up by binary search, so the index itself is never shuffled.
-The novel ones become a further immutable run. Runs are merged from time to time.
+The novel ones become a further immutable run. Runs are merged from time to time, prefix by prefix, without a shuffle.
+
+A prefix is the upper bits of an identifier's hash, and arrays are in order of the hash, so runs of few and of many prefixes go
+together: a shorter prefix holds a longer one as a slice. Every batch takes as many bits as its own size and the index need.
 """
 
 from __future__ import annotations
@@ -10,129 +13,158 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.operators.index import put
-from palimpsest.session import get, remove
+from palimpsest.session import publish, published, remove
+
+#: Runs are merged when there are so many; a prefix should hold no more identifiers than this; least number of prefix bits.
+MERGE_AT, PREFIX_IDS, LEAST_BITS = 8, 1_000_000, 4
+_ARRAYS = ("h", "a", "b", "row")
+_RUN = "bucket long, h binary, a binary, b binary, row binary, n long"
+
 
-#: Runs are merged when there are so many, and spread over more prefixes when one holds more identifiers than this on average.
-MERGE_AT, PREFIX_IDS = 8, 1_000_000
-_RUN = "bucket int, a binary, b binary, n long"
+def bits_for(ids: int) -> int:
+    """Prefix bits at which ``ids`` identifiers make arrays of at most about ``PREFIX_IDS``."""
+    return max(LEAST_BITS, (max(ids, 1) // PREFIX_IDS).bit_length())
 
 
-def load(folder: str, bucket: int) -> list:
-    """(a, b) arrays of one prefix of a run; none if the run has no such prefix."""
+def load(folder: str, held: int, bucket: int, bits: int, names=_ARRAYS[:3]):
+    """Arrays of one prefix of ``bits`` bits out of a run that has prefixes of ``held`` bits, in order of the hash."""
     import numpy as np
     import pyarrow.parquet as pq
     from pyarrow.fs import FileSelector, FileSystem
 
     files, path = FileSystem.from_uri(folder)
-    found = files.get_file_info(FileSelector(f"{path}/bucket={bucket}", allow_not_found=True))
-    tables = [pq.ParquetFile(files.open_input_file(f.path)).read(["a", "b"]) for f in found if f.path.endswith(".parquet")]
-    return [tuple(np.frombuffer(row[c], "<i8") for c in ("a", "b")) for t in tables for row in t.to_pylist()]
+    wanted = [bucket >> (bits - held)] if held <= bits else range(bucket << (held - bits), (bucket + 1) << (held - bits))
+    parts = []
+    for k in wanted:
+        found = files.get_file_info(FileSelector(f"{path}/bucket={k}", allow_not_found=True))
+        rows = [r for f in found if f.path.endswith(".parquet") for r in pq.ParquetFile(files.open_input_file(f.path)).read(list(names)).to_pylist()]
+        parts += [[np.frombuffer(r[c], "<i8") for c in names] for r in rows]
+    arrays = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, np.int64)] * len(names)
+    if held < bits:
+        h = arrays[0].view(np.uint64) >> np.uint64(64 - bits)
+        lo, hi = np.searchsorted(h, [bucket, bucket + 1])
+        arrays = [x[lo:hi] for x in arrays]
+    return arrays
+
+
+def lookup(h, a, b, run):
+    """Mask of the identifiers that are in a run (h, a, b): binary search on the hash, then exact comparison among equal hashes."""
+    import numpy as np
 
+    rh, ra, rb = run
+    seen = np.zeros(len(h), bool)
+    if not len(rh):
+        return seen
+    at, end = (np.searchsorted(rh.view(np.uint64), h.view(np.uint64), side) for side in ("left", "right"))
+    while (open_ := ~seen & (at < end)).any():
+        k = np.where(open_, at, 0)
+        seen |= open_ & (ra[k] == a) & (rb[k] == b)
+        at = at + 1
+    return seen
 
-def lookup(a, b, runs: list):
-    """Mask of the identifiers (a, b) that are in one of the sorted runs, by binary search on a, then on b among equals."""
+
+def packed(bucket: int, h, a, b, row):
+    """One row of arrays in order of hash and identifier."""
     import numpy as np
+    import pandas as pd
 
-    seen = np.zeros(len(a), bool)
-    for ra, rb in runs:
-        if not len(ra):
-            continue
-        lo, hi = np.searchsorted(ra, a, "left"), np.searchsorted(ra, a, "right")
-        end = hi
-        while (open_ := lo < hi).any():
-            mid = np.where(open_, (lo + hi) // 2, 0)
-            less = open_ & (rb[mid] < b)
-            lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
-        at = np.minimum(lo, len(ra) - 1)
-        seen |= (lo < end) & (ra[at] == a) & (rb[at] == b)
-    return seen
+    order = np.lexsort((b, a, h.view(np.uint64)))
+    blob = lambda x: [x[order].astype("<i8").tobytes()]
+    return pd.DataFrame({"bucket": [bucket], "h": blob(h), "a": blob(a), "b": blob(b), "row": blob(row), "n": [len(h)]})
 
 
 class DedupIndex:
     """Identifiers (two 64-bit integers, compared exactly) seen so far, below ``root``.
 
-    ``buckets`` is the number of hash prefixes; it is stored with the index and grows with it, so that one prefix's identifiers
-    (16 bytes each) fit a task. A batch is committed by one pointer swap; one that fails is taken again whole.
+    A batch is committed as one version; one that fails is taken again whole, and of two that are ingested at once the second raises ``Superseded``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.buckets = self._manifest().get("buckets", buckets)
 
-    def _manifest(self) -> dict:
-        return json.loads(get(self.spark, f"{self.root}/_current.json") or '{"runs": []}')
+    def _state(self) -> tuple[int, list[dict]]:
+        number, text = published(self.spark, self.root)
+        return number, json.loads(text) if text else []
 
-    def _runs(self, runs: list[str]) -> DataFrame:
-        kind, paths = "a binary, b binary, n long", [f"{self.root}/{r}/ids" for r in runs]
-        return self.spark.read.schema(kind).option("recursiveFileLookup", "true").parquet(*paths) if paths else self.spark.createDataFrame([], kind)
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(_RUN).parquet(f"{self.root}/{name}")
 
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.shiftright(F.xxhash64("a", "b"), 32), F.lit(self.buckets)).cast("int")
+    @staticmethod
+    def _prefix(bits: int) -> Column:
+        return F.shiftrightunsigned("h", 64 - bits)
 
-    def ingest(self, batch: DataFrame, a: str, b: str, row: str) -> DataFrame:
+    def ingest(self, batch: DataFrame, a: str, b: str, row: str, rows: int | None = None) -> DataFrame:
         """Kept copies of the batch: (a, b, row) of identifiers not seen before, ``row`` the smallest of the batch.
 
-        ``row`` identifies a delivery. Rows with a NULL in ``a``, ``b`` or ``row`` are no messages and are not kept.
-        Copies of a hot message meet map-side, so none of its rows gathers in a task.
+        ``row`` identifies a delivery; ``rows`` is the size of the batch if the caller knows it. Rows with a NULL in ``a``, ``b`` or ``row`` are no messages and are not kept.
+        Copies of a hot message meet map-side, so none of its rows gathers in a task, and a batch of any size is spread over enough prefixes. The result stays
+        readable until ``vacuum``.
         """
-        m, run = self._manifest(), f"run-{uuid.uuid4().hex}"
-        at = f"{self.root}/{run}"
-        first = batch.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"), F.col(row).cast("long").alias("row")).dropna().groupBy("a", "b").agg(F.min("row").alias("row"))
-
-        new = first.withColumn("bucket", self._bucket())
-        folders = [f"{self.root}/{r}/ids" for r in m["runs"]]
+        number, runs = self._state()
+        name = f"run-{uuid.uuid4().hex}"
+        given = batch.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"), F.col(row).cast("long").alias("row")).dropna()
+        bits = bits_for(max(given.count() if rows is None else rows, sum(r["n"] for r in runs)))
+        first = given.groupBy("a", "b").agg(F.min("row").alias("row")).withColumn("h", F.xxhash64("a", "b"))
+        folders = [(f"{self.root}/{r['name']}", r["bits"]) for r in runs]
 
         def probe(key, pdf):
-            runs = [x for f in folders for x in load(f, int(key[0]))]
-            return pdf[~lookup(pdf["a"].to_numpy(), pdf["b"].to_numpy(), runs)][["bucket", "a", "b", "row"]]
-
-        fields = "bucket int, a long, b long, row long"
-        # The first batch has nothing to be looked up in.
-        novel = new.groupBy("bucket").applyInPandas(probe, fields) if folders else new.select("bucket", "a", "b", "row")
-        novel.write.parquet(f"{at}/kept")
-        kept = self.spark.read.schema(fields).parquet(f"{at}/kept")
-        self._pack(kept).write.partitionBy("bucket").parquet(f"{at}/ids")
-        put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [*m["runs"], run], "buckets": self.buckets}))
-        total = self._runs([*m["runs"], run]).agg(F.sum("n")).first()[0] or 0
-        if total > PREFIX_IDS * self.buckets:
-            self.merge(buckets=2 * total // PREFIX_IDS + 1)
-        elif len(m["runs"]) + 1 >= MERGE_AT:
+            bucket = int(key[0])
+            h, x, y, z = (pdf[c].to_numpy() for c in _ARRAYS)
+            seen = h != h
+            for folder, held in folders:
+                seen |= lookup(h, x, y, load(folder, held, bucket, bits))
+            return packed(bucket, h[~seen], x[~seen], y[~seen], z[~seen])
+
+        new = first.select(self._prefix(bits).alias("bucket"), *_ARRAYS)
+        new.groupBy("bucket").applyInPandas(probe, _RUN).filter("n > 0").write.partitionBy("bucket").parquet(f"{self.root}/{name}")
+        run = self._read(name)
+        n = run.agg(F.sum("n")).first()[0] or 0
+        number = publish(self.spark, self.root, number, json.dumps([*runs, {"name": name, "bits": bits, "n": n}]))
+        if len(runs) + 1 >= MERGE_AT:
             self.merge()
-        return kept.select(F.col("a").alias(a), F.col("b").alias(b), F.col("row").alias(row))
-
-    @staticmethod
-    def _pack(ids: DataFrame) -> DataFrame:
-        """One row of sorted arrays per prefix."""
 
-        def pack(key, pdf):
+        def spread(batches):
+            import numpy as np
             import pandas as pd
 
-            pdf = pdf.sort_values(["a", "b"])
-            return pd.DataFrame({"bucket": [key[0]], "a": [pdf["a"].to_numpy("<i8").tobytes()], "b": [pdf["b"].to_numpy("<i8").tobytes()], "n": [len(pdf)]})
+            for pdf in batches:
+                for blobs in zip(pdf["a"], pdf["b"], pdf["row"], strict=True):
+                    yield pd.DataFrame(dict(zip(("a", "b", "row"), (np.frombuffer(x, "<i8") for x in blobs), strict=True)))
 
-        return ids.select("bucket", "a", "b").groupBy("bucket").applyInPandas(pack, _RUN)
+        kept = run.select("a", "b", "row").mapInPandas(spread, "a long, b long, row long")
+        return kept.select(F.col("a").alias(a), F.col("b").alias(b), F.col("row").alias(row))
 
-    def merge(self, buckets: int | None = None) -> None:
-        """Merge all runs into one, over ``buckets`` prefixes if given."""
-        m, run = self._manifest(), f"run-{uuid.uuid4().hex}"
+    def merge(self) -> None:
+        """Merge all runs into one: the task of a prefix takes its slices of all runs. Merged runs stay for readers until ``vacuum``."""
+        number, runs = self._state()
+        total, name = sum(r["n"] for r in runs), f"run-{uuid.uuid4().hex}"
+        bits = bits_for(total)
+        folders = [(f"{self.root}/{r['name']}", r["bits"]) for r in runs]
 
-        def spread(batches):
+        def unite(batches):
             import numpy as np
-            import pandas as pd
 
             for pdf in batches:
-                for a, b in zip(pdf["a"], pdf["b"], strict=True):
-                    yield pd.DataFrame({"a": np.frombuffer(a, "<i8"), "b": np.frombuffer(b, "<i8")})
-
-        self.buckets = buckets or self.buckets
-        ids = self._runs(m["runs"]).mapInPandas(spread, "a long, b long").withColumn("bucket", self._bucket())
-        self._pack(ids).write.partitionBy("bucket").parquet(f"{self.root}/{run}/ids")
-        put(self.spark, f"{self.root}/_current.json", json.dumps({"runs": [run], "buckets": self.buckets}))
-        remove(self.spark, *[f"{self.root}/{r}/ids" for r in m["runs"]])
+                for bucket in pdf["id"].tolist():
+                    h, a, b = (np.concatenate(x) for x in zip(*[load(folder, held, bucket, bits) for folder, held in folders], strict=True))
+                    if len(h):
+                        yield packed(bucket, h, a, b, np.empty(len(h), np.int64))[["bucket", "h", "a", "b", "n"]]
+
+        tasks = min(1 << bits, max(self.spark.sparkContext.defaultParallelism, 1 << (bits - LEAST_BITS)))
+        merged = self.spark.range(0, 1 << bits, 1, tasks).mapInPandas(unite, "bucket long, h binary, a binary, b binary, n long")
+        merged.write.partitionBy("bucket").parquet(f"{self.root}/{name}")
+        publish(self.spark, self.root, number, json.dumps([{"name": name, "bits": bits, "n": total}]))
+
+    def vacuum(self) -> None:
+        """Remove what no published version needs; kept copies of earlier batches can't be read afterwards."""
+        from palimpsest.session import fs
+
+        f, p = fs(self.spark, self.root)
+        live = {r["name"] for r in self._state()[1]}
+        remove(self.spark, *[f"{self.root}/{n}" for n in (s.getPath().getName() for s in f.listStatus(p)) if n.startswith("run-") and n not in live])
 
 
 def repeats(rows: DataFrame, kept: DataFrame, row: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import instant
 from palimpsest.operators import hierarchy as tree
 from palimpsest.operators import skew
-from palimpsest.operators.dedup import PREFIX_IDS, DedupIndex, repeats
+from palimpsest.operators.dedup import DedupIndex, repeats
 from palimpsest.operators.incremental import MerkleStore
 from palimpsest.operators.orphans import orphan_references
 from palimpsest.plans.catalogue import _NORM
@@ -116,23 +116,26 @@ def p3_found(spark, d):
     return out.select("ref_field", "revision_id", "ref_id", period.alias("period"))
 
 
-#: The log reaches the index in so many incoming batches, by delivery.
-P4_BATCHES = 4
+#: The log's batches reach the index in so many turns, one after another; runs are merged on the way.
+P4_TURNS = 15
 
 
 @query("p4_found", f"WITH {_USABLE} SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTITION BY revision_id, i ORDER BY delivery_id) AS k FROM u WHERE i IS NOT NULL) WHERE k > 1")
 def p4_found(spark, d):
-    rows = log(spark, d, "delivery_id", "revision_id", instant(F.col("revision_timestamp")).alias("instant")).filter("instant IS NOT NULL")
-    lo, hi, n = table(spark, d, "revisions").agg(F.min("delivery_id"), F.max("delivery_id"), F.count("*")).first()
+    at = instant(F.col("revision_timestamp"))
+    rows = log(spark, d, "delivery_id", "revision_id", "batch_id", at.alias("instant")).filter("instant IS NOT NULL")
+    lo, hi = table(spark, d, "revisions").agg(F.min("batch_id"), F.max("batch_id")).first()
     if lo is None:
         return rows.select("delivery_id")
-    index, step = DedupIndex(spark, scratch(spark, "dedup"), max(16, n // PREFIX_IDS + 1)), (hi - lo) // P4_BATCHES + 1
-    kept = None
-    for k in range(P4_BATCHES):
-        batch = rows.filter((F.col("delivery_id") >= lo + k * step) & (F.col("delivery_id") < lo + (k + 1) * step))
-        out = index.ingest(batch, "revision_id", "instant", "delivery_id")
+    step = (hi - lo) // P4_TURNS + 1
+    turn = F.floor((F.col("batch_id") - lo) / step)
+    sizes = {r[0]: r[1] for r in log(spark, d, "batch_id").groupBy(turn.alias("turn")).count().collect()}  # a row a turn
+    index, kept = DedupIndex(spark, scratch(spark, "dedup")), None
+    for k in sorted(sizes):
+        batch = rows.filter(F.col("batch_id").between(lo + k * step, lo + (k + 1) * step - 1))
+        out = index.ingest(batch, "revision_id", "instant", "delivery_id", sizes[k])
         kept = out if kept is None else kept.unionByName(out)
-    return repeats(rows, kept, "delivery_id")
+    return rows.select("delivery_id").limit(0) if kept is None else repeats(rows, kept, "delivery_id")
 
 
 @query("p6_found", "SELECT page_id FROM revisions WHERE page_id <> 0 GROUP BY page_id HAVING count(*) >= 0.01 * (SELECT count(*) FROM revisions)")

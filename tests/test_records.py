@@ -263,26 +263,48 @@ def test_dictionary(spark):
 MSG = "m long, t long, d long, a string, bucket string"
 
 
-def test_one_copy_stays(spark, tmp_path):
+def test_one_copy_stays(spark, tmp_path, monkeypatch):
+    from palimpsest.operators import dedup
+
+    monkeypatch.setattr(dedup, "PREFIX_IDS", 40)  # the index outgrows its prefixes on the way
+    monkeypatch.setattr(dedup, "LEAST_BITS", 1)
     r = random.Random(1)
     data = [(r.randint(1, 60), r.choice([None, 1, 2]), d, "x", None) for d in range(1, 400)] + [(7, 7, d, "hot", None) for d in range(400, 800)]
-    index = DedupIndex(spark, str(tmp_path), buckets=4)
+    index = DedupIndex(spark, str(tmp_path))
     kept, want, seen = [], set(), set()
     for m, t, d, *_ in data:
         if t is not None and (m, t) not in seen:
             seen.add((m, t))
             want.add(d)
+    frames = []
     for k in range(0, 800, 80):  # ten batches: runs are merged on the way
-        kept += rows(index.ingest(spark.createDataFrame(data[k : k + 80], MSG), "m", "t", "d"))
+        frames.append(index.ingest(spark.createDataFrame(data[k : k + 80], MSG), "m", "t", "d"))
+    for f in frames:
+        kept += rows(f)
     assert {x[2] for x in kept} == want and len(kept) == len(want)
+    runs = index._state()[1]
+    assert len(runs) < 10 and len({x["bits"] for x in runs}) > 1 or runs[0]["bits"] > 1
     assert rows(index.ingest(spark.createDataFrame(data, MSG), "m", "t", "d")) == []
     assert rows(index.ingest(spark.createDataFrame([], MSG), "m", "t", "d")) == []
-    index.merge(buckets=3)
+    index.merge()
+    index.vacuum()
     assert rows(DedupIndex(spark, str(tmp_path)).ingest(spark.createDataFrame([*data, (999, 1, 900, "", "")], MSG), "m", "t", "d")) == [(999, 1, 900)]
     df = spark.createDataFrame(data, MSG)
     assert repeats(df, df.filter(F.col("d").isin(list(want))), "d").count() == len(data) - len(want)
 
 
+def test_lookup_compares_identifiers_of_equal_hash():
+    import numpy as np
+
+    from palimpsest.operators.dedup import bits_for, lookup, packed
+
+    h, a, b = np.array([5, 5, 5, -1]), np.array([1, 2, 3, 9]), np.array([1, 1, 1, 9])
+    out = packed(0, h, a, b, a)
+    run = [np.frombuffer(out[c][0], "<i8") for c in ("h", "a", "b")]
+    assert lookup(np.array([5, 5, -1, 7]), np.array([3, 4, 9, 1]), np.array([1, 1, 9, 1]), run).tolist() == [True, False, True, False]
+    assert bits_for(0) == bits_for(10**6) == 4 and bits_for(10**9) == 10
+
+
 # --- skew ---
 
 LOG = "page long, d long, n long, _k string, n_rows string"
