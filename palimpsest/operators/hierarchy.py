@@ -18,6 +18,8 @@ from palimpsest.session import maybe_broadcast, remove, stage
 BLOCK_ROWS = 150_000
 _NODE = "id long, parent long, w long, val long, loc long, root long, base long"
 _SOLVED = "id long, top long, dist long, pm long, done boolean, root long, depth long, ext long, w long, val long, loc long"
+#: With places in the block's own tours: the tree a node stands in (a cycle cut at its least id only), its parent there, entry and exit.
+_SPANNED = _SOLVED + ", tree long, up long, span long, entry long, leave long"
 _INF = (1 << 63) - 1
 
 
@@ -89,8 +91,8 @@ def _least(parent, val):
         at = nxt
 
 
-def solve_block(pdf):
-    """One block of level nodes: tops, distances and whatever is settled inside the block."""
+def solve_block(pdf, spans: bool = False):
+    """One block of level nodes: tops, distances and whatever is settled inside the block; with ``spans`` the tours' places too."""
     import numpy as np
     import pandas as pd
 
@@ -105,6 +107,7 @@ def solve_block(pdf):
     outside = has & ~local
     w, val, root, base = (pdf[c].fillna(0).to_numpy(np.int64).copy() for c in ("w", "val", "root", "base"))
     _, on = peel(parent)
+    whole = parent.copy()
     if on.any():  # cut the cycles: each of their nodes becomes a settled top
         seen, par, least = set(), parent.tolist(), val.tolist()
         for v in np.flatnonzero(on).tolist():
@@ -116,23 +119,34 @@ def solve_block(pdf):
                 ring.append(x)
                 x = par[x]
             root[ring], base[ring] = min(least[i] for i in ring), -1
+            whole[min(ring)] = -1  # positions are in order of the ids
         parent = np.where(on, -1, parent)
-    _, _, top, dist = tour(parent, w)
+    entry, leave, top, dist = tour(parent, w)
     done = ~outside[top]
     cyclic = base[top] < 0
-    return pd.DataFrame({
+    out = pd.DataFrame({
         "id": ids, "top": ids[top], "dist": dist, "pm": _least(parent, val), "done": done,
         "root": pd.array(np.where(done, root[top], 0), "Int64"), "depth": np.where(cyclic, -1, base[top] + dist),
         "ext": pd.Series(want).where(pd.Series(outside)).astype("Int64"), "w": w, "val": val, "loc": pdf["loc"].fillna(0).to_numpy(np.int64),
     })
+    if spans:
+        tree = top
+        if on.any():
+            entry, leave, tree, _ = tour(whole, w)
+        above = pd.Series(want).where(pd.Series((whole >= 0) | outside)).astype("Int64")
+        out = out.assign(tree=ids[tree], up=above, span=(leave - entry - 1) // 2, entry=entry, leave=leave)
+    return out
 
 
-def _blocks(batches):
-    import pandas as pd
+def _blocks(spans: bool):
+    def run(batches):
+        import pandas as pd
+
+        got = list(batches)
+        if got and sum(map(len, got)):
+            yield solve_block(pd.concat(got, ignore_index=True), spans)
 
-    got = list(batches)
-    if got and sum(map(len, got)):
-        yield solve_block(pd.concat(got, ignore_index=True))
+    return run
 
 
 def _double(nodes: DataFrame, n: int) -> DataFrame:
@@ -161,21 +175,19 @@ def _double(nodes: DataFrame, n: int) -> DataFrame:
     return j.select("id", F.when(loose, F.col("_val")).otherwise(F.col("root")).alias("root"), F.when(loose, F.lit(-1)).otherwise(F.col("base")).cast("long").alias("depth"))
 
 
-def solve(nodes: DataFrame, n: int, block_rows: int = BLOCK_ROWS, last: int | None = None) -> DataFrame:
-    """(id, root, depth) of level nodes (see ``_NODE``): ``w`` is summed along the way to the root.
+def _contract(nodes: DataFrame, n: int, block_rows: int, spans: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(solved blocks, level above): the nodes of the level above are tops whose parent lies in another block.
 
-    ``root`` and ``base`` of a node without parent say where it ends. A parent that is no
-    node ends its child as a root. On a way into a cycle depth is -1 and root the least ``val`` on the cycle.
+    With ``spans`` the level also tells the tree (column ``tree``) that a top hangs on; NULL if its parent is nowhere.
     """
     spark = nodes.sparkSession
-    if last is not None and n > 0.7 * last and n > block_rows:
-        return _double(nodes, n)
     parts = max(1, -(-n // block_rows))
     # One block holds a level of at most block_rows nodes.
     ranged = nodes.repartitionByRange(parts, "loc", "id") if parts > 1 else nodes.coalesce(1)
-    out, path = stage(ranged.mapInPandas(_blocks, _SOLVED), "blocks")
+    out, path = stage(ranged.mapInPandas(_blocks(spans), _SPANNED if spans else _SOLVED), "blocks")
     tops = out.filter("ext IS NOT NULL").select("id", "ext", "w", "val", "loc")
-    p = out.select(F.col("id").alias("ext"), F.col("top").alias("_top"), "dist", "pm", "done", F.col("root").alias("_root"), F.col("depth").alias("_depth"))
+    where = [F.col("tree")] if spans else []
+    p = out.select(F.col("id").alias("ext"), F.col("top").alias("_top"), "dist", "pm", "done", F.col("root").alias("_root"), F.col("depth").alias("_depth"), *where)
     hooks, hooks_path = stage(tops, "tops")
     j = p.join(maybe_broadcast(hooks, hooks_path), "ext", "right")
     absent, done = F.col("_top").isNull(), F.coalesce("done", F.lit(True))
@@ -183,14 +195,18 @@ def solve(nodes: DataFrame, n: int, block_rows: int = BLOCK_ROWS, last: int | No
         "id", F.when(~done, F.col("_top")).alias("parent"), F.when(done, F.col("w")).otherwise(F.col("w") + F.col("dist")).alias("w"),
         F.when(done, F.col("val")).otherwise(F.least("val", "pm")).alias("val"), "loc",
         F.when(absent, F.col("id")).when(done, F.col("_root")).alias("root"),
-        F.when(absent, F.lit(0)).when(done, F.when(F.col("_depth") < 0, F.lit(-1)).otherwise(F.col("_depth") + F.col("w"))).cast("long").alias("base"),
+        F.when(absent, F.lit(0)).when(done, F.when(F.col("_depth") < 0, F.lit(-1)).otherwise(F.col("_depth") + F.col("w"))).cast("long").alias("base"), *where,
     )
-    level, level_path = stage(up, "level")
+    return out, stage(up, "level")[0]
+
+
+def _settle(out: DataFrame, level: DataFrame, n: int, block_rows: int) -> DataFrame:
+    """(id, root, depth) of all nodes of solved blocks, once the level above is solved."""
     m = level.count()
     settled = out.filter("done").select("id", "root", "depth")
     if not m:
         return settled
-    above, above_path = stage(solve(level, m, block_rows, n), "above")
+    above, above_path = stage(solve(level.drop("tree"), m, block_rows, n), "above")
     a = above.select(F.col("id").alias("top"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
     rest = out.filter("NOT done").select("id", "top", "dist").join(maybe_broadcast(a, above_path), "top").select(
         "id", F.col("_root").alias("root"), F.when(F.col("_depth") < 0, F.lit(-1)).otherwise(F.col("_depth") + F.col("dist")).cast("long").alias("depth")
@@ -198,6 +214,17 @@ def solve(nodes: DataFrame, n: int, block_rows: int = BLOCK_ROWS, last: int | No
     return settled.unionByName(rest)
 
 
+def solve(nodes: DataFrame, n: int, block_rows: int = BLOCK_ROWS, last: int | None = None) -> DataFrame:
+    """(id, root, depth) of level nodes (see ``_NODE``): ``w`` is summed along the way to the root.
+
+    ``root`` and ``base`` of a node without parent say where it ends. A parent that is no
+    node ends its child as a root. On a way into a cycle depth is -1 and root the least ``val`` on the cycle.
+    """
+    if last is not None and n > 0.7 * last and n > block_rows:
+        return _double(nodes, n)
+    return _settle(*_contract(nodes, n, block_rows), n, block_rows)
+
+
 def edges(df: DataFrame, key: str, parent: str, locality: str) -> DataFrame:
     """One level node per usable key (neither NULL nor 0). Copies agree on the parent; if they don't, the greatest is taken.
 
@@ -220,19 +247,42 @@ def hierarchy(df: DataFrame, key: str, parent: str, locality: str, block_rows: i
     return solve(nodes, nodes.count(), block_rows).select("id", "root", "depth")
 
 
+_PLACE = ("id", "parent", "root", "depth", "entry", "exit", "n_descendants")
+
+
 def intervals(df: DataFrame, key: str, parent: str, locality: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, parent, root, depth, entry, exit, n_descendants) of all keys whose way up ends; keys lie within 2**62 of zero.
+    """(id, parent, root, depth, entry, exit, n_descendants) of all keys; keys lie within 2**62 of zero.
 
-    Arcs of the Euler tours of the whole forest form lists, which the same solver ranks. u is an ancestor of v if both have one root and
-    entry_u < entry_v and exit_v < exit_u. Keys on or below cycles have no interval and are left out.
-    """
-    from palimpsest.operators.index import number_rows
+    ``entry`` and ``exit`` number the arcs of the Euler tour of a key's tree, children in order of their keys: u is an ancestor of v if both have one
+    root and entry_u < entry_v and exit_v < exit_u. A cycle is cut above its least key, which so becomes the root of all that hangs on the cycle (depth
+    stays -1). ``parent`` is NULL at roots.
 
+    Trees that lie in one block are ranked there. Only trees that reach over blocks are taken together: the arcs of their tours form lists, which
+    the same solver ranks.
+    """
     nodes, _ = stage(edges(df, key, parent, locality), "nodes")
     n = nodes.count()
-    tree, _ = stage(solve(nodes, n, block_rows).filter("depth >= 0").select("id", "root", "depth"), "forest")
-    e = tree.join(nodes.select("id", "parent", "loc"), "id").withColumn("parent", F.when(F.col("depth") > 0, F.col("parent")))
-    e, _ = stage(e, "edges")
+    out, level = _contract(nodes, n, block_rows, spans=True)
+    solved = _settle(out, level, n, block_rows)
+    linked = level.filter("tree IS NOT NULL")  # a top whose parent is nowhere is a root
+    joined, path = stage(linked.select(F.col("id").alias("tree")).unionByName(linked.select("tree")).distinct(), "joined")
+    joined = maybe_broadcast(joined, path)
+    done = F.col("done")
+    closed = out.join(joined, "tree", "left_anti").select(
+        "id", F.when(F.col("tree") != F.col("id"), F.col("up")).alias("parent"), F.when(done, F.col("root")).otherwise(F.col("tree")).alias("root"),
+        F.when(done, F.col("depth")).otherwise(F.col("dist")).alias("depth"), "entry", F.col("leave").alias("exit"), F.col("span").alias("n_descendants"),
+    )
+    if linked.isEmpty():
+        return closed.select(*_PLACE)
+    open_ = out.join(joined, "tree", "left_semi").select("id", F.coalesce("up", "ext").alias("parent"), "loc").join(solved, "id")
+    e, _ = stage(open_.withColumn("parent", F.when(F.col("id") != F.col("root"), F.col("parent"))), "edges")
+    return closed.select(*_PLACE).unionByName(_ranked(e, block_rows).select(*_PLACE))
+
+
+def _ranked(e: DataFrame, block_rows: int) -> DataFrame:
+    """Places of the nodes of whole trees (id, parent, loc, root, depth) by list ranking over blocks."""
+    from palimpsest.operators.index import number_rows
+
     kids = number_rows(e.filter("parent IS NOT NULL").select("id", "parent"), ["parent", "id"])  # heavy parents span partitions
     kids, _ = stage(kids, "kids")
     nxt = kids.alias("a").join(kids.alias("b"), (F.col("a.rn") + 1 == F.col("b.rn")) & (F.col("a.parent") == F.col("b.parent"))).select(F.col("a.id").alias("id"), F.col("b.id").alias("sibling"))
@@ -246,7 +296,7 @@ def intervals(df: DataFrame, key: str, parent: str, locality: str, block_rows: i
     ends = F.col("x.parent").isNull()
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     level, _ = stage(arcs.select("x.id", "x.parent", one.alias("w"), F.col("x.parent").alias("val"), "loc", F.when(ends, F.col("x.id")).alias("root"), F.when(ends, zero).alias("base")), "arcs")
-    ranked, _ = stage(solve(level, 2 * e.count(), block_rows).select(F.col("id").alias("arc"), F.col("depth").alias("rank")), "ranks")
+    ranked, _ = stage(solve(level, level.count(), block_rows).select(F.col("id").alias("arc"), F.col("depth").alias("rank")), "ranks")
     r = ranked.select(F.shiftright("arc", 1).alias("id"), (F.col("arc") % 2 == 0).alias("down"), "rank")
     both = r.groupBy("id").agg(F.max(F.when(F.col("down"), F.col("rank"))).alias("d"), F.max(F.when(~F.col("down"), F.col("rank"))).alias("u"))
     total = both.join(e.select("id", "parent", "root", "depth"), "id")
@@ -256,92 +306,83 @@ def intervals(df: DataFrame, key: str, parent: str, locality: str, block_rows: i
     )
 
 
-def descendants(iv: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, descendant) for the keys in ``ids`` (column id): a range condition on tour intervals within one root."""
-    q = iv.join(ids.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("of"), "root", F.col("entry").alias("lo"), F.col("exit").alias("hi"))
-    x = iv.select("id", "root", "entry")
-    return x.join(q, (x["root"] == q["root"]) & (x["entry"] > q["lo"]) & (x["entry"] < q["hi"])).select(F.col("of").alias("id"), F.col("id").alias("descendant"))
-
-
-def paths(iv: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, path) for the keys in ``ids``: ids from the root down to the key. Length is depth + 1, so ask for what you need."""
-    q = iv.join(ids.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("of"), "root", F.col("entry").alias("at"))
-    x = iv.select("id", "root", "entry", "exit", "depth")
-    up = x.join(q, (x["root"] == q["root"]) & (x["entry"] <= q["at"]) & (x["exit"] > q["at"]))
-    return up.groupBy(F.col("of").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", x["id"].alias("id")))), lambda s: s["id"]).alias("path"))
-
+_HISTORY = "id long, root long, depth long, path array<long>, part long, later array<long>"
+#: Arcs of a tour that make one piece, about rows taken together, and ids of a batch of results.
+PIECE_ARCS, TREE_ROWS, BATCH_IDS = 200_000, 100_000, 1 << 18
 
-_HISTORY = "id long, root long, depth long, path array<long>, later array<long>"
-#: Whole trees are taken together up to so many rows, and results are handed on in batches of so many ids.
-TREE_ROWS, BATCH_IDS = 100_000, 1 << 18
 
+def history_of(ids, parents, roots, depths, entry, leave, piece, spine):
+    """Batches of (ids, roots, depths, path lengths or -1, paths, pieces, later lengths, later) of pieces of trees.
 
-def history_of(ids, parents, roots, depths):
-    """Batches of (ids, roots, depths, path lengths, paths, later lengths, later) of whole trees; rows of one root adjoin.
-
-    Ways up are walked for a batch of rows at once. In preorder the keys below a key follow it, so nothing is compared in pairs.
+    Rows of one (root, piece) adjoin in order of entry; ``spine`` rows are ancestors of the piece that begin before it. Ways up are walked for a
+    batch of rows at once. The keys below a key follow it in order of entry, so nothing is compared in pairs.
     """
     import numpy as np
 
     n = len(ids)
     if not n:
         return
-    order = np.argsort(ids, kind="stable")
-    pos = np.searchsorted(ids[order], parents)
+    begin = np.r_[True, (roots[1:] != roots[:-1]) | (piece[1:] != piece[:-1])]
+    group = np.cumsum(begin) - 1
+    # Position of the parent, which is in the piece or on its spine.
+    order = np.lexsort((ids, group))
+    names, inverse = np.unique(ids, return_inverse=True)
+    at = np.searchsorted(names, parents)
+    at[at == len(names)] = 0
+    has = (names[at] == parents) & (entry > 0)
+    code = group * len(names)
+    pos = np.searchsorted((code + inverse)[order], code + at)
     pos[pos == n] = 0
-    up = np.where(depths != 0, order[pos], -1)
-    on = np.zeros(n, bool)
-    loose = np.flatnonzero(depths < 0)
-    if len(loose):
-        at = np.full(n, -1)
-        at[loose] = np.arange(len(loose))
-        on[loose] = peel(at[up[loose]])[1]
-    entry, leave, top, dist = tour(np.where(on, -1, up), np.ones(n, np.int64))
-    below = (leave - entry - 1) // 2
-    begin = np.r_[True, roots[1:] != roots[:-1]]
-    tree = np.cumsum(begin) - 1
-    lo = np.flatnonzero(begin)[tree]
-    size = np.bincount(tree)[tree]
-    rings = np.bincount(tree, weights=on).astype(np.int64)[tree]
-    length = dist + np.where(depths < 0, rings, 1)
-    pre = np.lexsort((entry, top, tree))
-    place = np.empty(n, np.int64)
-    place[pre] = np.arange(n)
-    ordered = ids[pre]
-    below = np.where(on, size - 1, below)  # all keys of the tree hang below each key of its cycle
-    base, size = np.where(on, lo, place), np.where(on, size, 1 << 62)
-    total = np.cumsum(length + below)
+    up = np.where(has, order[pos], -1)
+    length, jump = np.where(up >= 0, 1, 0), np.where(up >= 0, up, np.arange(n))
+    while True:
+        nxt = jump[jump]
+        if np.array_equal(nxt, jump):
+            break
+        length, jump = length + length[jump], nxt
+    length += 1
+    # Entries of all pieces as one ascending row, to find the end of each subtree.
+    wide = entry.max() + 2
+    end = np.searchsorted(group * wide + entry, group * wide + np.minimum(leave, wide - 1))
+    first_own = np.flatnonzero(begin)[group] + np.bincount(group, weights=spine).astype(np.int64)[group]
+    start = np.where(spine, first_own, np.arange(n) + 1)
+    below = np.maximum(end - start, 0)
+    rows = np.flatnonzero(~spine | (below > 0))
+    shown = np.where(spine, 0, length)[rows]
+    many = below[rows]
+    total = np.cumsum(shown + many)
     a = 0
-    while a < n:
+    while a < len(rows):
         b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + BATCH_IDS, side="right")))
-        rest = length[a:b]
-        end = np.cumsum(rest) - 1
-        flat, at = np.empty(end[-1] + 1, np.int64), np.arange(a, b)
-        while len(at):
-            flat[end] = ids[at]
-            more = rest > 1
-            at, end, rest = up[at[more]], end[more] - 1, rest[more] - 1
-        many = below[a:b]
-        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        low = np.repeat(base[a:b], many)
-        later = ordered[low + (np.repeat(place[a:b], many) + 1 - low + step) % np.repeat(size[a:b], many)]
-        yield ids[a:b], roots[a:b], depths[a:b], length[a:b], flat, many, later
+        at, rest = rows[a:b], shown[a:b]
+        flat = np.empty(rest.sum(), np.int64)
+        put = np.cumsum(rest) - 1
+        walk = rest > 0
+        x, left, put = at[walk], rest[walk], put[walk]
+        while len(x):
+            flat[put] = ids[x]
+            more = left > 1
+            x, put, left = up[x[more]], put[more] - 1, left[more] - 1
+        k = many[a:b]
+        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        yield ids[at], roots[at], depths[at], np.where(spine[at], -1, rest), flat, piece[at], k, ids[np.repeat(start[at], k) + step]
         a = b
 
 
-def _trees(batches):
-    """Whole trees at a time out of batches sorted by root."""
+def _pieces(batches):
+    """Whole pieces at a time out of batches sorted by root, piece and entry."""
     import numpy as np
 
     held, rows, most = [], 0, TREE_ROWS
     for batch in batches:
         if not batch.num_rows:
             continue
-        held.append([np.asarray(c.fill_null(0)) for c in batch.columns])
+        held.append([np.asarray(c.fill_null(0) if c.null_count else c) if str(c.type) != "bool" else np.asarray(c.to_numpy(zero_copy_only=False), bool) for c in batch.columns])
         rows += batch.num_rows
         if rows >= most:
             whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-            cut = int(np.searchsorted(whole[2], whole[2][-1]))
+            last = (whole[2] == whole[2][-1]) & (whole[6] == whole[6][-1])
+            cut = int(np.argmax(last))
             if cut:
                 yield from history_of(*[x[:cut] for x in whole])
             held, rows = [[x[cut:] for x in whole]], rows - cut
@@ -355,23 +396,28 @@ def _history_batches(batches):
     import pyarrow as pa
 
     def lists(lengths, values):
-        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(values, pa.int64()))
+        none = pa.array(lengths < 0) if (lengths < 0).any() else None
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.maximum(lengths, 0))], pa.int32()), pa.array(values, pa.int64()), mask=none)
 
-    for ids, roots, depths, length, path, many, later in _trees(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots), pa.array(depths), lists(length, path), lists(many, later)], ["id", "root", "depth", "path", "later"])
+    for ids, roots, depths, length, path, piece, many, later in _pieces(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots), pa.array(depths), lists(length, path), pa.array(piece), lists(many, later)], ["id", "root", "depth", "path", "part", "later"])
 
 
-def histories(df: DataFrame, key: str, parent: str, locality: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, root, depth, path, later) of every key: the ids from the root down to the key, and all keys below it.
+def histories(df: DataFrame, key: str, parent: str, locality: str, block_rows: int = BLOCK_ROWS, piece_arcs: int | None = None) -> DataFrame:
+    """(id, root, depth, path, part, later) of every key: the ids from the root down to the key, and all keys below it.
 
-    Where the parents never end (depth -1) the path is the way up until a key would come twice, read downwards: once around the cycle, then down
-    to the key. ``later`` always lists the other keys on whose path a key lies. A tree is held by one task. The size of the result is
-    the sum of all depths.
+    Where the parents never end (depth -1) the way begins at the least key of the cycle, where the cycle is cut. A tree with a longer tour than ``piece_arcs``
+    is cut into pieces of its tour, each taken by a task of its own together with the ancestors that reach into it; a key whose descendants
+    reach into further pieces has a row for each (``part``, ascending), of which only the first has a path. The size of the result is the sum of all depths.
     """
-    nodes, _ = stage(edges(df, key, parent, locality), "nodes")
-    solved, _ = stage(solve(nodes, nodes.count(), block_rows).select("id", "root", "depth"), "solved")
-    rows = solved.join(nodes.select("id", "parent"), "id").select("id", "parent", "root", "depth")
-    return rows.repartition("root").sortWithinPartitions("root", "id").mapInArrow(_history_batches, _HISTORY)
+    arcs = PIECE_ARCS if piece_arcs is None else piece_arcs
+    iv, _ = stage(intervals(df, key, parent, locality, block_rows), "intervals")
+    piece = lambda c: F.floor(F.col(c) / arcs).cast("long")
+    # The last descendant of a key begins two arcs before its exit.
+    last = F.greatest(piece("entry"), F.floor((F.col("exit") - 2) / arcs).cast("long"))
+    rows = iv.withColumn("piece", F.explode(F.sequence(piece("entry"), last))).withColumn("spine", F.col("piece") > piece("entry"))
+    rows = rows.select("id", "parent", "root", "depth", "entry", F.col("exit").alias("leave"), "piece", "spine")
+    return rows.repartition("root", "piece").sortWithinPartitions("root", "piece", "entry").mapInArrow(_history_batches, _HISTORY)
 
 
-__all__ = ["descendants", "edges", "hierarchy", "histories", "history_of", "intervals", "paths", "peel", "solve", "solve_block", "tour"]
+__all__ = ["edges", "hierarchy", "histories", "history_of", "intervals", "peel", "solve", "solve_block", "tour"]

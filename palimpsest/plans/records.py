@@ -62,31 +62,58 @@ def p1_found(spark, d):
     return store.sync(rows, key, version).select(F.col("key").alias("revision_id"), "change_kind")
 
 
-@query(
-    "p2_found",
-    """WITH RECURSIVE e AS (SELECT revision_id AS id, max(nullif(parent_revision_id, 0)) AS p FROM revisions WHERE revision_id <> 0 GROUP BY 1),
+#: Roots and depths; then every key's way down from its root, cycles cut above their least key, and its place in the tour of the tree.
+_TREES = """WITH RECURSIVE e AS (SELECT revision_id AS id, max(nullif(parent_revision_id, 0)) AS p FROM revisions WHERE revision_id <> 0 GROUP BY 1),
   t AS (SELECT id, id AS root, CAST(0 AS BIGINT) AS depth FROM e WHERE p IS NULL OR p NOT IN (SELECT id FROM e) UNION ALL SELECT e.id, t.root, t.depth + 1 FROM e JOIN t ON e.p = t.id),
   loose AS (SELECT * FROM e WHERE id NOT IN (SELECT id FROM t)),
   reach AS (SELECT id, p AS anc FROM loose UNION SELECT r.id, l.p FROM reach r JOIN loose l ON r.anc = l.id),
-  ring AS (SELECT id FROM reach WHERE id = anc)
-  SELECT id AS revision_id, root AS root_revision_id, depth FROM t UNION ALL SELECT id, min(anc), -1 FROM reach WHERE anc IN (SELECT id FROM ring) GROUP BY id""",
+  ring AS (SELECT id FROM reach WHERE id = anc),
+  f AS (SELECT id AS revision_id, root AS root_revision_id, depth FROM t UNION ALL SELECT id, min(anc), -1 FROM reach WHERE anc IN (SELECT id FROM ring) GROUP BY id)"""
+_WAYS = (
+    _TREES
+    + """, c AS (SELECT e.id, p, root_revision_id AS root, depth FROM e JOIN f ON e.id = f.revision_id),
+  w AS (SELECT id, root, depth, [id] AS way FROM c WHERE id = root UNION ALL SELECT c.id, c.root, c.depth, list_append(w.way, c.id) FROM c JOIN w ON c.p = w.id WHERE c.id <> c.root),
+  below AS (SELECT anc, count(*) - 1 AS n FROM (SELECT unnest(way) AS anc FROM w) GROUP BY 1)"""
 )
+
+
+@query("p2_found", f"{_TREES} SELECT * FROM f")
 def p2_found(spark, d):
     h = tree.hierarchy(table(spark, d, "revisions"), "revision_id", "parent_revision_id", "page_id")
     return h.select(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth")
 
 
-@query("p2_intervals")
+@query(
+    "p2_intervals",
+    _WAYS
+    + """ SELECT id AS revision_id, root AS root_revision_id, depth, "entry", "entry" + 2 * n + 1 AS "exit", n AS n_descendants
+  FROM (SELECT *, 2 * (row_number() OVER (PARTITION BY root ORDER BY way) - 1) - (len(way) - 1) AS "entry" FROM w JOIN below ON anc = id)""",
+)
 def p2_intervals(spark, d):
     iv = tree.intervals(table(spark, d, "revisions"), "revision_id", "parent_revision_id", "page_id")
     return iv.select(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth", "entry", "exit", "n_descendants")
 
 
-@query("p2_histories")
+def _histories(spark, d):
+    return tree.histories(table(spark, d, "revisions"), "revision_id", "parent_revision_id", "page_id")
+
+
+@query("p2_histories", _WAYS + " SELECT id AS revision_id, root AS root_revision_id, depth, array_to_string(way, '/') AS path, n AS n_later FROM w JOIN below ON anc = id")
 def p2_histories(spark, d):
-    """Path, depth, first revision and all later revisions of every revision; see ``hierarchy.histories`` for those on or below cycles."""
-    h = tree.histories(table(spark, d, "revisions"), "revision_id", "parent_revision_id", "page_id")
-    return h.select(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth", "path", F.col("later").alias("later_revision_ids"))
+    """Path, depth, first revision and number of later revisions of every revision; see ``hierarchy.intervals`` for those on or below cycles.
+
+    ``p2_descendants`` lists the later revisions.
+    """
+    h = _histories(spark, d)
+    return h.groupBy(F.col("id").alias("revision_id"), F.col("root").alias("root_revision_id"), "depth").agg(
+        F.max(F.array_join(F.transform("path", lambda x: x.cast("string")), "/")).alias("path"), F.sum(F.size("later")).cast("long").alias("n_later")
+    )
+
+
+@query("p2_descendants", _WAYS + " SELECT anc AS revision_id, id AS later_revision_id FROM (SELECT id, unnest(way) AS anc FROM w) WHERE anc <> id")
+def p2_descendants(spark, d):
+    """All later revisions of every revision, one row each."""
+    return _histories(spark, d).select(F.col("id").alias("revision_id"), F.explode("later").alias("later_revision_id"))
 
 
 _FIELDS = ("parent_revision_id", "page_id", "found_in_bundle")

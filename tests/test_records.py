@@ -129,58 +129,71 @@ def test_hierarchy_against_brute_force(spark, shape):
     df = spark.createDataFrame(data, EDGE)
     got = {x["id"]: (x["root"], x["depth"]) for x in tree.hierarchy(df, "i", "p", "page", block_rows=150).collect()}
     assert got == want
-    if shape in ("mixed", "star"):
-        iv = tree.intervals(df, "i", "p", "page", block_rows=400)
-        spans = {x["id"]: x for x in iv.collect()}
-        assert set(spans) == {i for i, (_, d) in want.items() if d >= 0}
-        below = dict.fromkeys(spans, 0)
-        for i in spans:
-            x, path = up[i], [i]
-            while x in up:
-                below[x] += 1
-                path.append(x)
-                x = up[x]
-            assert spans[i]["depth"] == len(path) - 1
-        assert below == {i: s["n_descendants"] for i, s in spans.items()}
-        ask = spark.createDataFrame([(i,) for i in list(spans)[:5]], "id long")
-        got_paths = {x["id"]: x["path"] for x in tree.paths(iv, ask).collect()}
-        for i, path in got_paths.items():
-            assert path[-1] == i and path[0] == want[i][0] and all(up[b] == a for a, b in zip(path, path[1:], strict=False))
-        assert tree.descendants(iv, ask).count() == sum(below[i] for i in got_paths)
-
-
-@pytest.mark.parametrize("limits", [(100_000, 1 << 18), (7, 20)])
-def test_histories_of_all_keys(spark, limits):
-    import numpy as np
+    spans = {x["id"]: x for x in tree.intervals(df, "i", "p", "page", block_rows=400).collect()}
+    ways = ways_of(up, want)
+    below = dict.fromkeys(ways, 0)
+    for way in ways.values():
+        for x in way[:-1]:
+            below[x] += 1
+    assert below == {i: x["n_descendants"] for i, x in spans.items()}
+    assert want == {i: (x["root"], x["depth"]) for i, x in spans.items()} and all((x["parent"] or None) == (ways[i][-2] if len(ways[i]) > 1 else None) for i, x in spans.items())
+    place = {}
+    for i, way in sorted(ways.items(), key=lambda x: x[1]):  # preorder, children by key
+        k = place.setdefault(way[0], [])
+        assert spans[i]["entry"] == 2 * len(k) - (len(way) - 1) and spans[i]["exit"] == spans[i]["entry"] + 2 * below[i] + 1
+        k.append(i)
+
+
+def ways_of(up, want):
+    """Way down to every key; a cycle is cut above its least key."""
+    out = {}
+    for i, (root, _) in want.items():
+        way, x = [i], i
+        while x != root:
+            x = up[x]
+            way.append(x)
+        out[i] = way[::-1]
+    return out
 
+
+@pytest.mark.parametrize("piece", [200_000, 7, 40])
+def test_histories_of_all_keys(spark, piece):
     r, n = random.Random(11), 700
     edges = [(i, r.choice([None, 0, i, r.randint(1, n + 30), max(1, i - 1), max(1, i - 1), max(1, i - 1)])) for i in range(1, n + 1)] + [(i, i + 1 if i % 30 else i - 29) for i in range(901, 961)]
     up, want = brute(edges)
+    ways = ways_of(up, want)
     df = spark.createDataFrame([(i, p, i // 50, 7, "x") for i, p in edges] + [(5, dict(edges)[5], 1, 7, "x"), (0, 3, 1, 7, "x"), (None, None, None, None, None)], EDGE)
-    got = {x["id"]: x for x in tree.histories(df, "i", "p", "page", block_rows=200).collect()} if limits[0] > 7 else {}
-    if not got:  # the same in small batches, trees larger than one
-        import pyarrow as pa
-        from unittest import mock
-
-        rows = sorted((want[i][0], i) for i in want)
-        cols = [[i for _, i in rows], [up.get(i) for _, i in rows], [t for t, _ in rows], [want[i][1] for _, i in rows]]
-        whole = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "parent", "root", "depth"])
-        with mock.patch.multiple(tree, TREE_ROWS=limits[0], BATCH_IDS=limits[1]):
-            out = pa.Table.from_batches(tree._history_batches(whole.slice(k, 5) for k in range(0, len(rows), 5))).to_pylist()
-        got = {x["id"]: x for x in out}
-        assert len(out) == len(got)
-    assert {i: (x["root"], x["depth"]) for i, x in got.items()} == want
-    later = {i: set() for i in want}
-    for i in want:
-        way, x = [], i
-        while x in want and x not in way:
-            way.append(x)
-            x = up.get(x)
-        assert got[i]["path"] == way[::-1]
-        for a in way[1:]:
-            later[a].add(i)
-    assert {i: set(x["later"]) for i, x in got.items()} == later and all(len(x["later"]) == len(later[i]) for i, x in got.items())
-    assert list(tree.history_of(*[np.array([], np.int64)] * 4)) == []
+    got, parts = {}, 0
+    for x in tree.histories(df, "i", "p", "page", block_rows=200, piece_arcs=piece).collect():
+        one = got.setdefault(x["id"], [None, [], (x["root"], x["depth"])])
+        if x["path"] is not None:
+            assert one[0] is None
+            one[0] = x["path"]
+        one[1] += x["later"]
+        parts += 1
+    assert {i: x[0] for i, x in got.items()} == ways and {i: x[2] for i, x in got.items()} == want
+    later = {i: [] for i in ways}
+    for i, way in ways.items():
+        for x in way[:-1]:
+            later[x].append(i)
+    assert {i: sorted(x[1]) for i, x in got.items()} == {i: sorted(x) for i, x in later.items()}
+    assert parts > len(ways) if piece < 10 else parts == len(ways)
+    assert tree.histories(df.limit(0), "i", "p", "page").count() == 0
+
+
+def test_batches_of_histories(spark, monkeypatch):
+    """Trees larger than a batch and batches that end within a tree give the same rows."""
+    import pyarrow as pa
+
+    r = random.Random(12)
+    edges = [(i, r.choice([None, max(1, i - 1), r.randint(1, i)])) for i in range(1, 300)]
+    df = spark.createDataFrame([(i, p, i // 50, 7, "x") for i, p in edges if p != i], EDGE)
+    iv = tree.intervals(df, "i", "p", "page").selectExpr("id", "parent", "root", "depth", "entry", "exit AS leave", "0L AS piece", "false AS spine").orderBy("root", "entry").toArrow()
+    run = lambda step: pa.Table.from_batches(list(tree._history_batches(b for k in range(0, iv.num_rows, step) for b in iv.slice(k, step).to_batches()))).to_pylist()
+    whole = run(1000)
+    monkeypatch.setattr(tree, "TREE_ROWS", 7)
+    monkeypatch.setattr(tree, "BATCH_IDS", 20)
+    assert sorted(run(5), key=str) == sorted(whole, key=str) and len(whole) == iv.num_rows
 
 
 def test_levels_that_do_not_contract_are_doubled(spark):
