@@ -30,6 +30,8 @@ def parser() -> argparse.ArgumentParser:
         x.add_argument("-j", "--jobs", default="*")
     s.add_argument("--ongoing", action="store_true")
     s.add_argument("--interval", type=int)
+    s.add_argument("--replay", help="file of recorded replies, one JSON a line, taken instead of the live interface")
+    s.add_argument("--pages", type=int, help="feed pages a batch takes at most")
     return p
 
 
@@ -61,8 +63,8 @@ def main(argv: list[str] | None = None) -> int:
     from palimpsest.operators.index import IndexStore
     from palimpsest.operators.metadata import latest_timestamp
     from palimpsest.session import exists
-    from palimpsest.sources.changes import ChangesSource, contents, fetch_contents
-    from palimpsest.streaming.sync import ProgressLog, run_stream, start_of
+    from palimpsest.sources.changes import ChangesSource, contents, fetch_contents, replayed
+    from palimpsest.streaming.sync import ProgressLog, RecentlySeen, drain, run_stream, start_of
 
     spark = local_session(args.jobs)
     store = IndexStore(spark, os.path.join(args.output, args.db))
@@ -71,11 +73,21 @@ def main(argv: list[str] | None = None) -> int:
         latest = latest_timestamp(spark.read.parquet(args.parquet)).first()[0]
     start = start_of(latest, datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     spark.dataSource.register(ChangesSource)
-    feed = spark.readStream.format("recentchanges").option("domain", args.domain).option("start", start).option("namespaces", ",".join(args.namespace or [])).load()
-    lookup = lambda ids: contents(fetch_contents(ids, args.domain), args.namespace)
-    spark.streams.addListener(ProgressLog())
-    query = run_stream(spark, feed, os.path.join(args.output, "_checkpoint"), lookup, store, args.domain, args.output, args.namespace, args.ongoing, args.interval, args.parquet, args.no_db)
-    query.awaitTermination()
+    feed = spark.readStream.format("recentchanges").option("domain", args.domain).option("start", start).option("namespaces", ",".join(args.namespace or []))
+    for name, value in (("replay", args.replay and os.path.abspath(args.replay)), ("pagesperbatch", args.pages)):
+        feed = feed.option(name, value) if value else feed
+    recorded = replayed(os.path.abspath(args.replay)) if args.replay else None
+    lookup = lambda ids: contents(fetch_contents(ids, args.domain, recorded), args.namespace)
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+    try:
+        recent = RecentlySeen(spark)
+        job = (spark, feed.load(), os.path.join(args.output, "_checkpoint"), lookup, store, args.domain, args.output, args.namespace)
+        drain(*job, parquet=args.parquet, no_db=args.no_db, recent=recent)
+        if args.ongoing:  # what has gathered is taken; from here on the feed is polled
+            run_stream(*job, ongoing=True, interval=args.interval, parquet=args.parquet, no_db=args.no_db, recent=recent).awaitTermination()
+    finally:
+        spark.streams.removeListener(listener)
     return 0
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest import schema
 from palimpsest.functions import page_url, url_hash
-from palimpsest.session import fs, get
+from palimpsest.session import Superseded, publish, published
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -104,90 +106,116 @@ def unseen(feed: DataFrame, index: DataFrame, key: str = "rev_id") -> DataFrame:
     return feed.join(done, key, "left_anti")
 
 
+def missing_tables(names: list[str], there) -> list[str]:
+    """Names for which ``there`` says no, in order: what has to be made before an index can be merged into."""
+    return [n for n in names if not there(n)]
+
+
 #: A table in more parts than this is rewritten as one.
 MOST_PARTS = 16
+#: Tables whose rows change, and what tells a row: their later parts hold what changed, and the last part with a key counts.
+LATEST = {"web_resources": "url_hash"}
+#: Fixed value: how often a merge is tried when other runs get ahead of it.
+TRIES = 5
 
 
 class IndexStore:
-    """Versioned index: a table is a list of written parts; a commit writes parts and swaps one pointer file.
+    """Versioned index: a table is a list of written parts; a commit writes parts and publishes the lists as one version.
 
-    Facts and dimensions only grow, so a run appends its new rows and leaves the others alone; resources, whose rows change, are
-    written anew. A failed commit leaves nothing visible.
+    A run appends its new rows, and of tables whose rows change those that did; the rest is left alone. A failed commit leaves nothing
+    visible. Of two runs at once the second starts over from the state of the first.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _pointer(self) -> dict:
-        return json.loads(get(self.spark, f"{self.root}/_current.json") or "{}")
+        return json.loads(published(self.spark, self.root)[1] or "{}")
 
     def exists(self) -> bool:
         return bool(self._pointer())
 
     def _parts(self, name: str, parts: list[str]) -> DataFrame:
         kind = schema.INDEX[name]
-        return self.spark.read.schema(kind).parquet(*[f"{self.root}/{x}" for x in parts]) if parts else self.spark.createDataFrame([], kind)
+        paths = [f"{self.root}/{x}" for x in parts]
+        if not parts:
+            return self.spark.createDataFrame([], kind)
+        if name not in LATEST or len(parts) == 1:
+            return self.spark.read.schema(kind).parquet(*paths)
+        each = [self.spark.read.schema(kind).parquet(p).withColumn("_part", F.lit(i)) for i, p in enumerate(paths)]
+        return last_wins(reduce(DataFrame.unionByName, each), [LATEST[name]], ["_part"]).drop("_part")
 
     def read(self, name: str) -> DataFrame:
         return self._parts(name, self._pointer().get(name, []))
 
     def _write(self, name: str, df: DataFrame) -> str:
-        at = f"{name}-{time.time_ns()}"
+        at = f"{name}-{uuid.uuid4().hex}"
         df.select(*schema.INDEX[name].fieldNames()).write.parquet(f"{self.root}/{at}")
         return at
 
-    def commit(self, replaced: dict[str, str], appended: dict[str, str]) -> None:
-        """Publish written parts; tables of too many parts are rewritten on the way. Superseded parts stay for readers that are under way."""
-        pointer = self._pointer()
-        pointer |= {name: [at] for name, at in replaced.items()}
+    def commit(self, after: int, pointer: dict, replaced: dict[str, str], appended: dict[str, str]) -> None:
+        """Publish written parts on top of version ``after``, which was ``pointer``; tables of too many parts are rewritten on the way.
+
+        Superseded parts stay for readers that are under way.
+        """
+        pointer = pointer | {name: [at] for name, at in replaced.items()}
         for name, at in appended.items():
             parts = [*pointer.get(name, []), at]
             pointer[name] = parts if len(parts) <= MOST_PARTS else [self._write(name, self._parts(name, parts))]
-        put(self.spark, f"{self.root}/_current.json", json.dumps(pointer))
+        publish(self.spark, self.root, after, json.dumps(pointer))
 
     def apply(self, pages: DataFrame, revisions: DataFrame, siteinfo: DataFrame) -> None:
         """Merge shredded pages (file, page_id, ns, title, seq) and revisions (file_path ... timestamp) of files with a domain.
 
-        Pages of files without a domain wait in ``rejected_pages`` and are taken up by the run that brings their file's domain. Returns after the pointer swap.
+        Pages of files without a domain wait in ``rejected_pages`` and are taken up by the run that brings their file's domain. Returns after the
+        version is published; a run that others get ahead of is taken again, ``TRIES`` times at most.
         """
-        added: dict[str, str] = {}
+        for turn in range(1, TRIES + 1):
+            try:
+                return self._apply(pages, revisions, siteinfo)
+            except Superseded:
+                if turn == TRIES:
+                    raise
+                time.sleep(0.1 * turn)
+
+    def _apply(self, pages: DataFrame, revisions: DataFrame, siteinfo: DataFrame) -> None:
+        number, text = published(self.spark, self.root)
+        pointer, added = json.loads(text or "{}"), {}
+        old = lambda name: self._parts(name, pointer.get(name, []))
 
         def grown(name: str, rows: DataFrame) -> DataFrame:
             """The table with new rows, which are written first so that every later step sees the same ids."""
             added[name] = self._write(name, rows)
-            return self.read(name).unionByName(self._parts(name, [added[name]]))
+            return old(name).unionByName(self._parts(name, [added[name]]))
 
         sites = siteinfo.select("file", "domain").distinct()
-        pages = pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(self.read("rejected_pages"))
+        pages = pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(old("rejected_pages"))
         held = pages.join(sites, "file", "left_anti").distinct()
-        domains = grown("domains", dimension_rows(self.read("domains"), sites.select(F.col("domain").alias("value")), "value"))
+        domains = grown("domains", dimension_rows(old("domains"), sites.select(F.col("domain").alias("value")), "value"))
         known = pages.join(sites, "file").join(domains.select(F.col("value").alias("domain"), F.col("id").alias("domain_id")), "domain")
-        documents = grown("documents", dimension_rows(self.read("documents"), pages.select("title"), "title"))
-        old = self.read("web_resources")
-        rows = resources_of(known)
-        ids = grow_dimension(old.select("id", "url_hash"), rows.select("url_hash"), "url_hash").select("id", "url_hash")
-        merged = upsert(old.drop("id"), rows, "url_hash", ["seq"]).join(ids, "url_hash")
-        resources = self._write("web_resources", backfill_documents(merged, known, documents))
-        bundles = grown("revision_bundles", dimension_rows(self.read("revision_bundles"), revisions.select("file_path"), "file_path"))
+        documents = grown("documents", dimension_rows(old("documents"), pages.select("title"), "title"))
+        added["web_resources"] = self._write("web_resources", changed_resources(old("web_resources"), known, documents))
+        bundles = grown("revision_bundles", dimension_rows(old("revision_bundles"), revisions.select("file_path"), "file_path"))
         placed = revisions.join(bundles.withColumnRenamed("id", "found_in_bundle"), "file_path").select(
             F.col("rev_id").alias("revision_id"), "page_id", "found_in_bundle", "offset_begin", "length",
             F.col("parent_rev_id").alias("parent_revision_id"), F.col("timestamp").alias("revision_timestamp"),
         )
-        grown("revisions", fresh_rows(self.read("revisions"), placed, "revision_id", ["found_in_bundle", "offset_begin"]))
-        self.commit({"web_resources": resources, "rejected_pages": self._write("rejected_pages", held)}, added)
+        grown("revisions", fresh_rows(old("revisions"), placed, "revision_id", ["found_in_bundle", "offset_begin"]))
+        self.commit(number, pointer, {"rejected_pages": self._write("rejected_pages", held)}, added)
+
 
+def changed_resources(old: DataFrame, pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows of ``old`` resources that pages (domain, domain_id, page_id, ns, title, seq) change or add; rows that stay as they are are left out.
 
-def put(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file beside its place, then rename it over: readers see the old or the new one."""
-    f, p = fs(spark, path)
-    tmp = fs(spark, f"{path}.{time.time_ns()}.tmp")[1]
-    out = f.create(tmp, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    mode = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    array[0] = mode
-    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, p, array)
+    Only resources of the pages' addresses, or of their (domain, page), can change, so no other row is shuffled with its columns.
+    """
+    rows = resources_of(pages)
+    of = pages.select("domain_id", F.col("page_id").alias("numeric_page_id")).distinct()
+    touched = old.join(rows.select("url_hash").distinct(), "url_hash", "left_semi").unionByName(old.join(of, ["domain_id", "numeric_page_id"], "left_semi")).dropDuplicates(["url_hash"])
+    ids = touched.select("id", "url_hash").unionByName(dimension_rows(old.select("id", "url_hash"), rows.select("url_hash"), "url_hash").select("id", "url_hash"))
+    merged = upsert(touched.drop("id"), rows, "url_hash", ["seq"]).join(ids, "url_hash")
+    now = backfill_documents(merged, pages, documents).select(*old.columns)
+    return now.join(touched.select("url_hash", F.struct(*old.columns).alias("_was")), "url_hash", "left").filter(~F.col("_was").eqNullSafe(F.struct(*[now[c] for c in old.columns]))).select(*old.columns)
 
 
 def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
@@ -198,6 +226,6 @@ def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 __all__ = [
-    "IndexStore", "backfill_documents", "dimension_rows", "documents_by_title", "first_wins", "fresh_rows", "grow_dimension", "insert_ignore", "last_wins",
-    "next_ids", "number_rows", "put", "resources_of", "unseen", "upsert",
+    "IndexStore", "backfill_documents", "changed_resources", "dimension_rows", "documents_by_title", "first_wins", "fresh_rows", "grow_dimension", "insert_ignore", "last_wins", "missing_tables",
+    "next_ids", "number_rows", "resources_of", "unseen", "upsert",
 ]

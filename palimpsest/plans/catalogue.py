@@ -329,7 +329,8 @@ def missing_tables(spark, d):
     from palimpsest.session import exists
 
     names = ["containers", "domains", "document_index", "web_resources", "revision_bundles", "revisions"]
-    return spark.createDataFrame([(n,) for n in names if not exists(spark, f"{d}/{n}.parquet")], "missing string")
+    missing = index.missing_tables(names, lambda n: exists(spark, f"{d}/{n}.parquet"))
+    return spark.createDataFrame([(n,) for n in missing], "missing string")
 
 
 @query("enrich_revisions", f"WITH {_REV}, {_RC.strip()} SELECT revid, rev.page_id, rev.title FROM rc JOIN rev ON rev.rev_id = rc.revid")
@@ -355,9 +356,32 @@ def daily_rotation(spark, d):
     return rc(spark, d).groupBy(fn.daily_path(F.col("timestamp")).alias("file_path")).agg(F.count("*").alias("n"))
 
 
-@query("feed_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@query("feed_json", f"WITH {_RC} SELECT revid, pageid, ns, title, \"timestamp\", CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM rc JOIN events ON event_id = revid")
 def feed_json(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"))
+    """Feed replies of one item each, parsed by the feed's own paths, and a number of the events' properties."""
+    from palimpsest.sources.changes import parse_feed
+
+    item = F.to_json(F.struct("revid", "pageid", "ns", "title", "timestamp"))
+    replies = rc(spark, d).select(F.concat(F.lit('{"query": {"recentchanges": ['), item, F.lit("]}}")).alias("value"))
+    k = table(spark, d, "events").select(F.col("event_id").alias("revid"), F.get_json_object("props", "$.k").try_cast("long").alias("k"))
+    return parse_feed(replies).join(k, "revid")
+
+
+@query(
+    "feed_contents",
+    f"""WITH {_REV} SELECT rev_id, coalesce(parent_rev_id, 0) AS parent_rev_id, page_id, ns, user_id, "timestamp", md5(coalesce(text, '')) AS text_hash FROM rev WHERE ns IN (0, 118)""",
+)
+def feed_contents(spark, d):
+    """Content replies, half with an array of pages and half with a map, parsed back to revisions."""
+    from palimpsest.sources.changes import contents
+
+    r = rev(spark, d)
+    slots = F.struct(F.struct(F.col("text").alias("content")).alias("main"))
+    one = F.struct(F.col("rev_id").alias("revid"), F.col("parent_rev_id").alias("parentid"), F.col("timestamp"), F.col("user_id").alias("userid"), slots.alias("slots"))
+    page = F.to_json(F.struct("ns", F.col("page_id").alias("pageid"), F.array(one).alias("revisions")))
+    whole = F.when(F.col("rev_id") % 2 == 0, F.concat(F.lit("["), page, F.lit("]"))).otherwise(F.concat(F.lit('{"'), F.col("page_id").cast("string"), F.lit('": '), page, F.lit("}")))
+    replies = r.select(F.concat(F.lit('{"query": {"pages": '), whole, F.lit("}}")).alias("value"))
+    return contents(replies, ["0", "118"]).select("rev_id", "parent_rev_id", "page_id", "ns", "user_id", "timestamp", F.md5("text").alias("text_hash"))
 
 
 @query("fetch_chunks", "SELECT (event_id // 50) AS chunk, string_agg(CAST(event_id AS VARCHAR), '|' ORDER BY event_id) AS revids FROM events GROUP BY 1")
@@ -398,25 +422,42 @@ def stream_daily_append(spark, d):
     return _streamed(spark, d, "daily", lambda s: daily(s).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n"), ["day", "n"])
 
 
-@query("xml_roundtrip")
+def _mounted(spark, name: str) -> tuple[str, str]:
+    """(path, the same as a local path) of a scratch folder that Python code writes to."""
+    from palimpsest.session import fs, scratch
+
+    root = scratch(spark, name)
+    f, p = fs(spark, root)
+    if f.getUri().getScheme() != "file":
+        raise ValueError("archives and recorded replies need a mounted file system")
+    return root, p.toUri().getPath()
+
+
+_CLEAN = "regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g')"
+_ROUNDTRIP = _PLACED.replace("doc_id AS seq, text FROM documents)", f"doc_id AS seq, {_CLEAN} AS text FROM documents)")
+
+
+@query(
+    "xml_roundtrip",
+    f"WITH {_ROUNDTRIP} SELECT rev_id, page_id, file_path, offset_begin, length, md5(regexp_replace(text, '\\n$', '')) AS text_hash FROM placed",
+)
 def xml_roundtrip(spark, d):
-    """Corpus to dump XML, shredded, archived and read again: every text with its page and place."""
+    """Corpus to dump XML (four files, packed by bz2), built into archives and read again: every text with its page and place."""
     import os
 
-    from palimpsest.plans.build import shredded
-    from palimpsest.session import fs, scratch, stage
-    from palimpsest.sources.mwrev import archive_scan, read_archive, unframe
+    from palimpsest.plans.build import build
+    from palimpsest.sources.mwrev import read_archive, unframe
 
-    root = scratch(spark, "xml")
-    if fs(spark, root)[0].getUri().getScheme() != "file":
-        raise ValueError("the archive writer needs a mounted file system")
-    local = fs(spark, root)[1].toUri().getPath()
+    _, local = _mounted(spark, "xml")
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     clean = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
-    r = rev(spark, d).select(F.concat(
-        F.lit("<page><title>"), esc(F.col("title")), F.lit("</title><ns>"), F.col("ns").cast("string"), F.lit("</ns><id>"), F.col("page_id").cast("string"), F.lit("</id><revision><id>"),
-        F.col("rev_id").cast("string"), F.lit("</id><timestamp>"), F.col("timestamp"), F.lit("</timestamp><contributor><id>"), F.col("user_id").cast("string"),
-        F.lit("</id></contributor><text>"), esc(clean), F.lit("</text></revision></page>")).alias("value"))
+    tag = lambda name, c: F.coalesce(F.concat(F.lit(f"<{name}>"), c.cast("string"), F.lit(f"</{name}>")), F.lit(""))
+    page = F.concat(F.lit("<page>"), tag("title", esc(F.col("title"))), tag("ns", F.col("ns")), tag("id", F.col("page_id")))
+    revision = F.concat(
+        F.lit("<revision>"), tag("id", F.col("rev_id")), tag("parentid", F.col("parent_rev_id")), tag("timestamp", F.col("timestamp")),
+        F.lit("<contributor>"), tag("id", F.col("user_id")), F.lit('</contributor><text xml:space="preserve">'), esc(clean), F.lit("</text></revision>"),
+    )
+    r = rev(spark, d).select("file", "seq", "page_id", page.alias("page"), revision.alias("revision"))
 
     def write(batches):
         import bz2
@@ -424,18 +465,97 @@ def xml_roundtrip(spark, d):
 
         import pandas as pd
 
-        path = f"{local}/in/{uuid.uuid4().hex}.xml.bz2"
         os.makedirs(f"{local}/in", exist_ok=True)
-        with bz2.open(path + ".part", "wt", encoding="utf-8", newline="") as f:
-            f.write("<mediawiki><siteinfo><base>https://en.wikipedia.org/wiki/Main</base></siteinfo>\n")
-            for pdf in batches:
-                f.write("\n".join(pdf["value"]) + "\n")
-            f.write("</mediawiki>\n")
-        os.rename(path + ".part", path)
-        yield pd.DataFrame({"path": [path]})
-
-    paths = sorted(x[0] for x in r.mapInPandas(write, "path string").collect())  # one name per task, of tasks that succeeded
-    _, shreds = shredded(spark, paths)
-    stage(archive_scan(shreds, f"{local}/out", ["rev_id"]), "places")
+        out, name, last, part = None, None, None, None
+
+        def close():
+            out.write("</page>\n</mediawiki>\n")
+            out.close()
+            os.replace(part, f"{local}/in/{name}")
+
+        for pdf in batches:
+            for file, page_id, head, text in pdf[["file", "page_id", "page", "revision"]].itertuples(index=False, name=None):
+                if file != name:
+                    if out:
+                        close()
+                    name, last, part = file, None, f"{local}/in/{file}.{uuid.uuid4().hex}.part"
+                    out = bz2.open(part, "wt", encoding="utf-8", newline="")
+                    out.write("<mediawiki><siteinfo><base>https://en.wikipedia.org/wiki/Main</base></siteinfo>\n")
+                if page_id != last:
+                    out.write(("</page>\n" if last is not None else "") + head)
+                    last = page_id
+                out.write(text)
+        if out:
+            close()
+        yield pd.DataFrame({"done": [1]})
+
+    r.repartition("file").sortWithinPartitions("file", "seq").drop("seq").mapInPandas(write, "done long").collect()  # a row a task
+    build(spark, f"{local}/in", f"{local}/out", preserve_text=True)
     back = read_archive(spark, f"{local}/out")
-    return back.select(F.col("rev_id").cast("long").alias("rev_id"), F.col("page_id").cast("long").alias("page_id"), "offset_begin", "length", F.md5(unframe(F.col("body"))).alias("text_hash"))
+    n = lambda c: F.col(c).cast("long").alias(c)
+    return back.select(n("rev_id"), n("page_id"), F.col("file").alias("file_path"), "offset_begin", "length", F.md5(unframe(F.col("body"))).alias("text_hash"))
+
+
+@query("feed_replay", f"WITH {_RC} SELECT revid, pageid, ns, title, \"timestamp\" FROM rc WHERE ns IN (0, 2)")
+def feed_replay(spark, d):
+    """The events as recorded feed pages of 500 items each, followed to the end by the streaming source, one run after another."""
+    import os
+
+    from palimpsest.sources.changes import ITEM_SCHEMA, PAGE_SIZE, ChangesSource
+
+    root, local = _mounted(spark, "replay")
+    os.makedirs(local, exist_ok=True)
+    items = rc(spark, d).withColumn("page", F.expr(f"(seq - 1) div {PAGE_SIZE}"))
+    item = F.to_json(F.struct("revid", "pageid", "ns", "title", "timestamp"))
+    pages = items.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("seq", item.alias("item")))).alias("x"))
+    line = F.concat(F.lit('{"query": {"recentchanges": ['), F.array_join(F.transform("x", lambda x: x["item"]), ", "), F.lit("]}}"))
+    # One recorded session is one file; it is sorted by range and written part by part.
+    pages.select("page", line.alias("value")).repartitionByRange("page").sortWithinPartitions("page").select("value").write.text(f"{root}/parts")
+    with open(f"{local}/replies.jsonl", "wb") as out:
+        for name in sorted(x for x in os.listdir(f"{local}/parts") if x.startswith("part-")):
+            with open(f"{local}/parts/{name}", "rb") as part:
+                out.write(part.read())
+    spark.dataSource.register(ChangesSource)
+    start = "1970-01-01T00:00:00Z"
+    stream = spark.readStream.format("recentchanges").option("start", start).option("replay", f"{local}/replies.jsonl").load()
+    while True:
+        got = []
+
+        def each(batch, epoch, got=got):
+            got.append(epoch)
+            batch.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
+
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+        if not got:
+            break
+    rows = spark.read.schema(ITEM_SCHEMA).option("basePath", f"{root}/rows").parquet(f"{root}/rows") if os.path.isdir(f"{local}/rows") else spark.createDataFrame([], ITEM_SCHEMA)
+    return sync.valid_items(rows, ["0", "2"]).select("revid", "pageid", "ns", "title", "timestamp").distinct()
+
+
+_DAILY = """
+day AS (SELECT doc_id % 3 AS turn, doc_id + 1 AS rev_id, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id END AS parent_rev_id, doc_id // 5 + 1 AS page_id,
+  strftime(timestamp '2024-01-01' + to_minutes(CAST(doc_id % 4000 AS INT)), '%Y-%m-%dT%H:%M:%SZ') AS "timestamp", doc_id % 7 AS user_id, text FROM documents),
+made AS (SELECT *, 'recentchanges/' || substr("timestamp", 1, 10) || '.mwrev.zst' AS file_path,
+  '# page_id=' || page_id || ' ns=0 rev_id=' || rev_id || ' parent_rev_id=' || parent_rev_id || ' timestamp=' || "timestamp" || ' user_id=' || user_id || chr(10) AS header,
+  CASE WHEN coalesce(text, '') = '' THEN '' ELSE ' ' || replace(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), '\\n$', ''), chr(10), chr(10) || ' ') || chr(10) END AS body FROM day)"""
+
+
+@query(
+    "daily_archive",
+    f"""WITH {_DAILY} SELECT rev_id, file_path, CAST(strlen(body) AS BIGINT) AS length,
+  CAST(-strlen(body) + sum(strlen(header) + strlen(body)) OVER (PARTITION BY file_path ORDER BY turn, "timestamp", rev_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS offset_begin FROM made""",
+)
+def daily_archive(spark, d):
+    """The corpus as three micro-batches of the feed, each taken twice, appended to daily archives: places as the index has them."""
+    _, local = _mounted(spark, "daily")
+    at = F.date_format(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(doc_id % 4000 AS int), 0)"), "yyyy-MM-dd HH:mm:ss")
+    made = table(spark, d, "documents").select(
+        F.expr("doc_id % 3").alias("turn"), (F.col("doc_id") + 1).alias("rev_id"), F.expr("CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id END").alias("parent_rev_id"),
+        F.expr("doc_id div 5 + 1").alias("page_id"), F.lit(0).alias("ns"), F.expr("doc_id % 7").alias("user_id"), fn.normalize_timestamp(at).alias("timestamp"), F.coalesce("text", F.lit("")).alias("text"),
+    )
+    store = index.IndexStore(spark, f"file://{local}/index")
+    for turn in (0, 0, 1, 1, 2, 2):
+        feed = made.filter(F.col("turn") == turn).select(F.col("rev_id").alias("revid"), F.col("page_id").alias("pageid"), F.col("ns").cast("long").alias("ns"), F.concat(F.lit("Page "), F.col("page_id").cast("string")).alias("title"), "timestamp")
+        sync.process_batch(spark, feed, lambda ids: made.drop("turn").join(ids, "rev_id", "left_semi"), store, "en.wiki.example", local)
+    bundles = store.read("revision_bundles").withColumnRenamed("id", "found_in_bundle")
+    return store.read("revisions").join(bundles, "found_in_bundle").select(F.col("revision_id").alias("rev_id"), "file_path", "offset_begin", "length")

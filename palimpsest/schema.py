@@ -48,7 +48,6 @@ DUMP_PAGE = T.StructType(
         ),
     ]
 )
-DUMP_SITEINFO = _s(base=_t)
 
 FEED_ITEM = _s(revid=_l, pageid=_l, ns=_l, title=_t, timestamp=_t)
 FEED = T.StructType(

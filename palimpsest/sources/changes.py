@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import logging
 import os
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from palimpsest import schema
 
+LOG = logging.getLogger(__name__)
 PAGE_SIZE, CONTENT_CHUNK = 500, 50
 ITEM_SCHEMA = "revid long, pageid long, ns long, title string, timestamp string"
 
@@ -61,47 +64,75 @@ def feed_pages(fetch: Callable[[dict], dict], start: str, namespaces: list[str]
 
 
 def replayed(path: str) -> Callable[[dict], dict]:
-    """Recorded replies, one JSON a line; the continuation token is the number of the next line."""
+    """Recorded replies, one JSON a line: feed pages, whose continuation token is the number of the next page, and contents, found by revision.
+
+    Pages whose items are all older than the start are passed over, as the interface does.
+    """
 
     def fetch(params: dict) -> dict:
         with open(path, encoding="utf-8") as f:
-            lines = [x for x in f if x.strip()]
-        at = int(params.get("rccontinue", 0))
-        reply = json.loads(lines[at]) if at < len(lines) else {"query": {"recentchanges": []}}
-        return reply | ({"continue": {"rccontinue": str(at + 1)}} if at + 1 < len(lines) else {})
+            replies = [json.loads(x) for x in f if x.strip()]
+        if params.get("list") == "recentchanges":
+            old = lambda r: all((x.get("timestamp") or "~") < params["rcstart"] for x in r["query"]["recentchanges"])
+            feed = [r for r in replies if "recentchanges" in r.get("query", {}) and not old(r)]
+            at = int(params.get("rccontinue", 0))
+            reply = {"query": {"recentchanges": [x for x in feed[at]["query"]["recentchanges"] if (x.get("timestamp") or "~") >= params["rcstart"]] if at < len(feed) else []}}
+            return reply | ({"continue": {"rccontinue": str(at + 1)}} if at + 1 < len(feed) else {})
+        wanted = set(map(int, params["revids"].split("|")))
+        pages = [p for r in replies for p in r.get("query", {}).get("pages", [])]
+        return {"query": {"pages": [p | {"revisions": found} for p in pages if (found := [v for v in p["revisions"] if v["revid"] in wanted])]}}
 
     return fetch
 
 
+#: Feed pages a micro-batch takes at most, 500 changes each: what the driver and a day's archive task hold at once.
+PAGES_PER_BATCH = 100
+
+
 class ChangesReader(SimpleDataSourceStreamReader):
-    """Offset: last instant seen and continuation token. Rows read are cached by Spark for replays of a batch."""
+    """Offset: where the way through the pages began, its continuation token, the last instant seen and how many rows had it.
+
+    A read follows the pages to their end, or takes ``pagesperbatch`` of them and goes on from there in the next batch. At the end the next way begins
+    at the last instant, inclusive; it gives rows only if there are more than before. Rows read are cached by Spark for replays of a batch.
+    """
 
     def __init__(self, options: dict, fetch: Callable[[dict], dict] | None = None):
         self.start, self.namespaces = options["start"], [x for x in options.get("namespaces", "").split(",") if x] or None
-        replay = options.get("replay")
+        replay, self.most = options.get("replay"), int(options.get("pagesperbatch", PAGES_PER_BATCH))
         self.fetch = fetch or (replayed(replay) if replay else lambda p: http_get(options["domain"], p))
 
     def initialOffset(self):
-        return {"start": self.start, "token": ""}
+        return {"start": self.start, "token": "", "last": self.start, "rows": 0}
 
     def _rows(self, items):
         return [tuple(x.get(k) for k in ("revid", "pageid", "ns", "title", "timestamp")) for x in items]
 
-    def read(self, start):
+    def _pages(self, start):
+        """(rows, offset after them) of each page from an offset on."""
+        last, rows = (start["last"], start["rows"]) if start["token"] else (start["start"], 0)
         for items, token in feed_pages(self.fetch, start["start"], self.namespaces, start["token"] or None):
-            stamp = max([start["start"], *(x["timestamp"] for x in items if x.get("timestamp"))])
-            at = {"start": start["start"], "token": token} if token else {"start": stamp, "token": ""}
-            return iter(self._rows(items)), at
-        return iter([]), start
+            stamps = [x.get("timestamp") or "" for x in items]
+            top = max(last, *stamps)
+            rows = (rows if top == last else 0) + sum(s in ("", top) for s in stamps)
+            last = top
+            yield self._rows(items), {"start": start["start"], "token": token, "last": last, "rows": rows} if token else {"start": last, "token": "", "last": last, "rows": rows}
+
+    def read(self, start):
+        rows, at = [], start
+        for got, at in islice(self._pages(start), self.most):
+            rows += got
+        return iter(rows if at != start else []), at
 
     def readBetweenOffsets(self, start, end):
         rows, at = [], start
         while at != end:
-            got, nxt = self.read(at)
-            if nxt == at:
+            before = at
+            for got, at in self._pages(before):
+                rows += got
+                if at == end:
+                    break
+            if at == before:
                 break
-            rows += got
-            at = nxt
         return iter(rows)
 
     def commit(self, end):
@@ -163,6 +194,7 @@ def fetch_contents(ids: DataFrame, domain: str, fetch: Callable[[dict], dict] |
         for pdf in batches:
             all_ids = pdf["rev_id"].tolist()
             for i in range(0, len(all_ids), CONTENT_CHUNK):
+                LOG.info("fetching content of %d revisions", len(all_ids[i : i + CONTENT_CHUNK]))
                 yield pd.DataFrame({"value": [json.dumps(get(content_params(all_ids[i : i + CONTENT_CHUNK])))]})
 
     return ids.select("rev_id").mapInPandas(run, "value string")

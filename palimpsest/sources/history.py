@@ -6,18 +6,17 @@ pull parser and gives every revision as it ends, so a task holds one revision, h
 
 from __future__ import annotations
 
-import bz2
 import os
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from palimpsest.functions import output_name, parse_id, parse_ns
+from palimpsest.operators.shred import DAMAGED, NO_REVISION
+from palimpsest.sources.dump import opened
 
-SCHEMA = "file string, page_seq long, pos int, title string, ns_raw string, page_raw string, rev_raw string, parent_raw string, timestamp string, user_raw string, text string"
+SCHEMA = "file string, page_seq long, pos int, page_raw string, ns_raw string, title string, rev_raw string, parent_raw string, timestamp string, user_raw string, text string"
 
 
 def _local(tag: str) -> str:
@@ -25,11 +24,11 @@ def _local(tag: str) -> str:
 
 
 def events(path: str, namespaces: frozenset | None, preserve: bool) -> Iterator[tuple]:
-    """Rows of one file: a page without revisions gives one row whose ``pos`` is -1. A damaged end gives the rows before it."""
+    """Rows of one file: a page without revisions gives one row whose ``pos`` is -1. Damage gives the rows before it and one whose ``pos`` is -2 that tells the place."""
     name, seq = os.path.basename(path), -1
     page, rev, depth, pos, kept, root, holder = {}, {}, [], 0, True, None, None
     clean = (lambda s: s or "") if preserve else (lambda s: (s or "").strip(" \t\r\n"))
-    with bz2.open(path, "rb") if path.endswith(".bz2") else open(path, "rb") as f:
+    with opened(path) as f:
         parser = ElementTree.iterparse(f, ("start", "end"))
         try:
             for event, e in parser:
@@ -53,18 +52,18 @@ def events(path: str, namespaces: frozenset | None, preserve: bool) -> Iterator[
                     page[tag] = (e.text or "").strip()
                 elif tag == "revision":
                     if kept:
-                        yield (name, seq, pos, page.get("title", ""), page.get("ns", ""), page.get("id", ""), rev.get("id", ""), rev.get("parentid", ""), rev.get("timestamp", ""), rev.get("user") or "0", rev.get("text", ""))
+                        yield (name, seq, pos, page.get("id", ""), page.get("ns", ""), page.get("title", ""), rev.get("id", ""), rev.get("parentid", ""), rev.get("timestamp", ""), rev.get("user") or "0", rev.get("text", ""))
                         pos += 1
                 elif tag == "page" and not pos and (namespaces is None or page.get("ns", "") in namespaces):
-                    yield (name, seq, -1, page.get("title", ""), page.get("ns", ""), page.get("id", ""), None, None, None, None, None)
+                    yield (name, seq, NO_REVISION, page.get("id", ""), page.get("ns", ""), page.get("title", ""), "", "", "", "0", "")
                 if tag in ("revision", "page"):
                     e.clear()
                     if tag == "revision" and holder is not None and e in holder:
                         holder.remove(e)
                     if tag == "page" and root is not None:
                         root.clear()  # else the emptied pages stay
-        except ElementTree.ParseError:
-            return
+        except (ElementTree.ParseError, EOFError, OSError) as e:
+            yield (name, seq + 1, DAMAGED, "", "", "", "", "", "", "0", f"{type(e).__name__}: {e}")
 
 
 class _File(InputPartition):
@@ -106,18 +105,3 @@ def read_history(spark: SparkSession, paths: list[str], namespaces: list[str] |
     spark.dataSource.register(HistorySource)
     r = spark.read.format("wikihistory").option("paths", "\n".join(paths)).option("preservetext", str(preserve_text).lower())
     return (r if namespaces is None else r.option("namespaces", ",".join(namespaces))).load()
-
-
-def pages_of_history(rows: DataFrame) -> DataFrame:
-    """One row per page with id and title."""
-    first = rows.filter("pos <= 0 AND page_raw <> '' AND title <> ''")
-    return first.select(parse_id(F.col("page_raw")).alias("page_id"), parse_ns(F.col("ns_raw")).alias("ns"), "title", "file")
-
-
-def revisions_of_history(rows: DataFrame) -> DataFrame:
-    """The columns that shredding row-tag pages gives."""
-    c = F.col
-    return rows.filter("pos >= 0").select(
-        "file", "page_seq", "pos", "page_raw", "ns_raw", "rev_raw", "parent_raw", "timestamp", "user_raw", "text", parse_id(c("rev_raw")).alias("rev_id"),
-        parse_id(c("parent_raw"), None).alias("parent_rev_id"), parse_id(c("page_raw")).alias("page_id"), parse_ns(c("ns_raw")).alias("ns"), output_name(c("file")).alias("file_path"),
-    )

@@ -6,8 +6,10 @@ Offsets and lengths count uncompressed bytes in every path.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,8 +127,6 @@ class _Writer:
         return begin, len(t)
 
     def _open(self, name: str) -> None:
-        import uuid
-
         import zstandard
 
         self.name, self.size, self.records = name, 0, 0
@@ -170,48 +170,100 @@ def write_archives(framed: DataFrame, out_dir: str) -> DataFrame:
 
 
 def archive_scan(framed: DataFrame, out_dir: str, keep: list[str]) -> DataFrame:
-    """Archive the rows of a dump scan as they come and give ``keep``, ``offset_begin`` and ``length`` of each.
+    """Archive the rows of a dump scan as they come and give ``keep``, ``offset_begin`` and ``length`` of each; rows whose ``pos`` is negative are no revisions and have no place.
 
     A dump file is one scan task that reads it in order, and shredding keeps both, so neither texts nor places are shuffled. Lazy: stage the result once.
     """
 
     def write(batches):
+        import pandas as pd
+
         w = _Writer(out_dir)
         for pdf in batches:
-            places = [w.add(p, h, b) for p, h, b in zip(pdf["file_path"], pdf["header"], pdf["body"], strict=True)]
+            places = [w.add(p, h, b) if n >= 0 else (None, None) for p, h, b, n in zip(pdf["file_path"], pdf["header"], pdf["body"], pdf["pos"], strict=True)]
             out = pdf[keep].copy()
-            out["offset_begin"], out["length"] = [x[0] for x in places], [x[1] for x in places]
-            yield out.astype({"offset_begin": "int64", "length": "int64"})
+            for i, c in enumerate(("offset_begin", "length")):
+                out[c] = pd.array([x[i] for x in places], "Int64")
+            yield out
         w.close()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in framed.select(*keep).schema.fields)
-    return framed.select(*dict.fromkeys([*keep, "file_path", "header", "body"])).mapInPandas(write, f"{fields}, offset_begin long, length long")
+    return framed.select(*dict.fromkeys([*keep, "pos", "file_path", "header", "body"])).mapInPandas(write, f"{fields}, offset_begin long, length long")
 
 
-def append_frames(rows: list[tuple[str, str, str]], path: str) -> list[tuple[int, int, int, int]]:
+def append_frames(rows: list[tuple[str, str]], path: str, size: int = 0, stored: int = 0) -> list[tuple[int, int, int, int]]:
     """Append (header, body) records to a daily archive, one zstd frame each; returns begin, length, frame_offset, frame_length.
 
-    ``rows`` holds one micro-batch of one day.
+    ``rows`` holds one micro-batch of one day; ``size`` and ``stored`` are the archive's committed lengths, uncompressed and in the file. What stands
+    beyond is left over from an attempt that failed and is cut off, so appending again gives the same places.
     """
     import zstandard
 
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    at, side = 0, path + ".size"
-    if os.path.exists(path):
-        if os.path.exists(side):
-            at = int(open(side).read())  # noqa: SIM115
-        else:
-            with _open(path) as f:
-                while got := f.read(1 << 20):
-                    at += len(got)
-    out = []
-    with open(path, "ab") as f:
+    out, at = [], size
+    with open(path, "r+b" if os.path.exists(path) else "w+b") as f:
+        f.truncate(stored)
+        f.seek(stored)
         for head, text in rows:
             data, frame_at = (head + text).encode("utf-8"), f.tell()
             f.write(frame := zstandard.ZstdCompressor(level=3, write_content_size=False).compress(data))
             out.append((at + len(head.encode("utf-8")), len(text.encode("utf-8")), frame_at, len(frame)))
             at += len(data)
-    with open(side + ".tmp", "w") as f:
-        f.write(str(at))
-    os.replace(side + ".tmp", side)
+        f.flush()
+        os.fsync(f.fileno())
     return out
+
+
+class DailyArchives:
+    """Committed lengths of the daily archives of an output folder, so that a batch that failed leaves nothing that counts.
+
+    A batch asks ``begin`` for the lengths its archives are to be appended at, tells by ``prepare`` what it appended before its rows are committed to the
+    index (or another sink), and calls ``commit`` after that. If it stops in between, the next ``begin`` asks the sink whether the rows are there. Kept is a line a day.
+    """
+
+    def __init__(self, out_dir: str):
+        self.out_dir, self.path = out_dir, os.path.join(out_dir, "recentchanges", "_lengths.json")
+
+    def _load(self) -> dict:
+        if os.path.exists(self.path):
+            with open(self.path) as f:
+                return json.load(f)
+        return {"files": {}, "pending": None}
+
+    def _save(self, state: dict) -> None:
+        os.makedirs(os.path.dirname(self.path), exist_ok=True)
+        tmp = f"{self.path}.{uuid.uuid4().hex}.tmp"
+        with open(tmp, "w") as f:
+            json.dump(state, f)
+        os.replace(tmp, self.path)
+
+    def _measured(self, name: str) -> tuple[int, int]:
+        """Lengths of an archive that isn't known yet; one that was there before counts whole."""
+        path, size = os.path.join(self.out_dir, name), 0
+        if not os.path.exists(path):
+            return 0, 0
+        with _open(path) as f:
+            while got := f.read(1 << 20):
+                size += len(got)
+        return size, os.path.getsize(path)
+
+    def begin(self, names: list[str], committed) -> dict[str, tuple[int, int]]:
+        """Lengths (uncompressed, stored) of the archives; ``committed(rev_id, file_path, offset_begin)`` tells whether the sink has a row."""
+        state = self._load()
+        if state["pending"]:
+            if committed(*state["pending"]["mark"]):
+                state["files"] |= state["pending"]["files"]
+            state["pending"] = None
+        for name in names:
+            if name not in state["files"]:
+                state["files"][name] = self._measured(name)
+        self._save(state)
+        return {n: tuple(state["files"][n]) for n in names}
+
+    def prepare(self, lengths: dict[str, tuple[int, int]], mark: tuple[int, str, int]) -> None:
+        self._save(self._load() | {"pending": {"files": lengths, "mark": mark}})
+
+    def commit(self) -> None:
+        state = self._load()
+        if state["pending"]:
+            self._save({"files": state["files"] | state["pending"]["files"], "pending": None})

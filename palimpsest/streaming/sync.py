@@ -16,7 +16,7 @@ from palimpsest.functions import body, daily_path, header, instant
 from palimpsest.operators.index import IndexStore, first_wins, unseen
 from palimpsest.operators.metadata import metadata, write_metadata
 from palimpsest.schema import METADATA
-from palimpsest.sources.mwrev import append_frames
+from palimpsest.sources.mwrev import DailyArchives, append_frames
 
 LOG = logging.getLogger(__name__)
 #: Overlap of a first cycle, lifetime of a seen revision, age beyond which an index is too old, poll interval.
@@ -93,10 +93,10 @@ def batch_high_water(feed: DataFrame, order: str, ts: str, page: int = 500) -> D
     return n.groupBy(F.floor((F.col("rn") - 1) / page).cast("long").alias("page")).agg(F.max_by(ts, order).alias("last_ts"))
 
 
-def archive_contents(contents: DataFrame, out_dir: str) -> DataFrame:
-    """Append one micro-batch of revisions to its daily archives; returns their places for the index.
+def archive_contents(contents: DataFrame, out_dir: str, lengths: dict[str, tuple[int, int]]) -> DataFrame:
+    """Append one micro-batch of revisions to its daily archives at their committed ``lengths``; returns their places for the index.
 
-    One task holds the rows of one day of one micro-batch, whose size the trigger's admission control bounds.
+    One task holds the rows of one day of one micro-batch, whose size the source bounds (``changes.PAGES_PER_BATCH``). A retried task writes the same again.
     """
     c = F.col
     rows = contents.select(
@@ -106,8 +106,8 @@ def archive_contents(contents: DataFrame, out_dir: str) -> DataFrame:
 
     def append(pdf):
         pdf = pdf.sort_values(["timestamp", "rev_id"])
-        path = os.path.join(out_dir, pdf["file_path"].iloc[0])
-        places = append_frames([(h, b) for h, b in zip(pdf["header"], pdf["body"], strict=True)], path)
+        name = pdf["file_path"].iloc[0]
+        places = append_frames(list(zip(pdf["header"], pdf["body"], strict=True)), os.path.join(out_dir, name), *lengths[name])
         out = pdf[["rev_id", "parent_rev_id", "page_id", "file_path", "timestamp"]].copy()
         for i, name in enumerate(("offset_begin", "length", "frame_offset", "frame_length")):
             out[name] = [p[i] for p in places]
@@ -118,7 +118,7 @@ def archive_contents(contents: DataFrame, out_dir: str) -> DataFrame:
 
 
 class RecentlySeen:
-    """Revisions taken by this process in the last 25 hours: written ids of each batch, for runs that keep no index."""
+    """Revisions taken by this process in the last 25 hours: written ids of each batch. Runs that keep no index know their revisions by this alone."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.taken = spark, []
@@ -144,13 +144,15 @@ def process_batch(
 
     ``lookup`` maps a DataFrame of rev_ids to contents. ``parquet`` takes the place of the index as sink: new metadata rows are appended to it, and
     its revisions count as known like those of an index. With ``no_db`` the index is neither read nor written. Repeating a batch whose commit went through
-    changes nothing (without any sink: in the process of ``recent``); one that failed before its commit is taken again whole.
+    changes nothing (without any sink: in the process of ``recent``); one that failed before its commit is taken again whole, and what it appended to
+    archives is cut off. Every revision of the feed is looked up, also of rows that lack a page or title.
     """
     from palimpsest.session import exists, remove, stage
 
     items = valid_items(feed, namespaces)
     pages = items.select("pageid", "ns", "title", "timestamp")
-    ids = items.filter("revid > 0").select(F.col("revid").alias("rev_id")).distinct()
+    asked = feed if namespaces is None else feed.filter(F.col("ns").isNull() | F.col("ns").cast("string").isin(namespaces))
+    ids = asked.filter("revid > 0").select(F.col("revid").alias("rev_id")).distinct()
     fresh = ids if no_db else unseen(ids, store.read("revisions"))
     known = spark.read.schema(METADATA).parquet(parquet) if parquet and exists(spark, parquet) else None
     if known is not None:
@@ -159,7 +161,22 @@ def process_batch(
         fresh = recent.unseen(fresh)
     got, got_path = stage(lookup(fresh).filter("rev_id <> 0 AND timestamp <> ''"), "contents")
     one = first_wins(got, ["rev_id"], ["timestamp"])
-    placed, path = stage(archive_contents(one, out_dir), "placed")
+    archives = DailyArchives(out_dir)
+    days = [r[0] for r in one.select(daily_path(F.col("timestamp"))).distinct().collect()]  # a name a day
+
+    def committed(rev_id: int, file_path: str, offset: int) -> bool:
+        """Did the sink take the row that stands for a batch? Without a sink, what was archived counts."""
+        if parquet:
+            return known is not None and not known.filter((F.col("rev_id") == rev_id) & (F.col("file_path") == file_path) & (F.col("offset_begin") == offset)).isEmpty()
+        if no_db:
+            return True
+        rows = store.read("revisions").filter((F.col("revision_id") == rev_id) & (F.col("offset_begin") == offset))
+        return not rows.join(store.read("revision_bundles").filter(F.col("file_path") == file_path), F.col("found_in_bundle") == F.col("id")).isEmpty()
+
+    placed, path = stage(archive_contents(one, out_dir, archives.begin(days, committed)), "placed")
+    ends = placed.groupBy("file_path").agg(F.max(F.col("offset_begin") + F.col("length")), F.max(F.col("frame_offset") + F.col("frame_length")), F.max(F.struct("offset_begin", "rev_id"))).collect()
+    if ends:
+        archives.prepare({r[0]: (r[1], r[2]) for r in ends}, (ends[0][3]["rev_id"], ends[0][0], ends[0][3]["offset_begin"]))
     site = spark.createDataFrame([("feed", domain)], "file string, domain string")
     page_rows = pages.select(F.lit("feed").alias("file"), F.col("pageid").alias("page_id"), F.col("ns").cast("int").alias("ns"), "title", F.coalesce(instant(F.col("timestamp")), F.lit(0)).alias("seq"))
     if parquet:
@@ -171,6 +188,7 @@ def process_batch(
         write_metadata(rows, parquet, append=True)
     elif not no_db:
         store.apply(page_rows, placed, site)
+    archives.commit()
     if recent:
         recent.add(placed)
     n = placed.count()
@@ -195,13 +213,31 @@ class ProgressLog(StreamingQueryListener):
         LOG.info("sync ended%s", f": {event.exception}" if event.exception else "")
 
 
-def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None, parquet: str | None = None, no_db: bool = False):
-    """Start following ``feed`` (a stream of items). Run once drains what is available; ongoing polls. Sinks as in ``process_batch``."""
-    recent = RecentlySeen(spark) if no_db else None
+def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None, parquet: str | None = None, no_db: bool = False, recent: RecentlySeen | None = None, taken: list | None = None):
+    """Start following ``feed`` (a stream of items). Run once takes what is available, up to one batch of a bounded source (see ``drain``); ongoing polls.
+
+    Sinks as in ``process_batch``. Revisions of the last 25 hours are not looked up again. ``taken`` gets the result of each batch.
+    """
+    recent = RecentlySeen(spark) if recent is None else recent
 
     def each(batch: DataFrame, epoch: int) -> None:
-        process_batch(spark, batch, lookup, store, domain, out_dir, namespaces, parquet, no_db, recent)
+        out = process_batch(spark, batch, lookup, store, domain, out_dir, namespaces, parquet, no_db, recent)
+        LOG.info("sync batch %d: %d revisions archived", epoch, out["revisions"])
+        if taken is not None:
+            taken.append(out)
 
     w = feed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=f"{interval_minutes(interval)} minutes") if ongoing else w.trigger(availableNow=True)
     return w.start()
+
+
+def drain(*args, **names) -> int:
+    """Run ``run_stream`` once after another until a run finds nothing: every page of the feed, in batches of bounded size. Returns the revisions taken."""
+    names = {"recent": RecentlySeen(args[0])} | names
+    total = 0
+    while True:
+        taken: list[dict] = []
+        run_stream(*args, **names, taken=taken).awaitTermination()
+        if not taken:
+            return total
+        total += sum(x["revisions"] for x in taken)

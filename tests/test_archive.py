@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from palimpsest.operators.framing import frame, with_offsets
 from palimpsest.operators.index import IndexStore
 from palimpsest.operators.metadata import latest_timestamp, metadata
-from palimpsest.operators.shred import in_namespaces, pages_of, revisions_of
+from palimpsest.operators.shred import damages_of, in_namespaces, pages_of, revisions_of, rows_of
 from palimpsest.plans.build import build
-from palimpsest.sources.dump import list_dumps, read_pages, read_siteinfo, stage_7z
+from palimpsest.sources.dump import list_dumps, opened, read_pages, read_siteinfo, unpack_7z
 from palimpsest.sources.mwrev import append_frames, read_archive, records, slice_of, unframe, write_archives
 
 XML = """<mediawiki><siteinfo><base>https://En.Wiki.Example/wiki/Main</base></siteinfo>
@@ -42,7 +42,9 @@ def test_listing(dumps):
 
 
 def test_shred(spark, dumps):
-    raw = read_pages(spark, list_dumps(dumps))
+    read = read_pages(spark, list_dumps(dumps))
+    raw = rows_of(read)
+    assert {(r["file"], r["page_raw"], r["pos"]) for r in raw.filter("pos < 0").collect()} == {(f, "3", -1) for f in ("a.xml", "b.xml.bz2")} | {(f, "4", -1) for f in ("a.xml", "b.xml.bz2")}
     pages = {(r["file"], r["page_id"]): (r["ns"], r["title"]) for r in pages_of(raw).collect()}
     assert pages["b.xml.bz2", 1] == (0, "A & B") and pages["a.xml", 3] == (0, "Empty") and pages["a.xml", 0] == (0, "Bad") and ("a.xml", 4) not in pages
     revs = {(r["file"], r["rev_raw"]): r for r in revisions_of(raw).collect()}
@@ -50,9 +52,9 @@ def test_shred(spark, dumps):
     assert revs["b.xml.bz2", "11"]["text"] == "" and revs["b.xml.bz2", "11"]["user_raw"] == "0" and revs["b.xml.bz2", "11"]["parent_rev_id"] == 10
     bad = revs["a.xml", "z"]
     assert (bad["rev_id"], bad["parent_rev_id"], bad["page_id"], bad["ns"], bad["ns_raw"]) == (0, None, 0, 0, "x")
-    assert revisions_of(in_namespaces(raw, ["1"])).count() == 2
-    assert revisions_of(in_namespaces(raw, [])).count() == 0
-    kept = revisions_of(read_pages(spark, list_dumps(dumps), preserve_text=True)).filter("rev_raw = '10'").first()
+    assert revisions_of(rows_of(in_namespaces(read, ["1"]))).count() == 2
+    assert revisions_of(rows_of(in_namespaces(read, []))).count() == 0
+    kept = revisions_of(rows_of(read_pages(spark, list_dumps(dumps), preserve_text=True))).filter("rev_raw = '10'").first()
     assert kept["text"].startswith("  one")
 
 
@@ -72,8 +74,40 @@ def test_7z(spark, tmp_path):
     out.write(bytearray(XML.encode()))
     out.closeArchiveEntry()
     out.close()
-    staged = stage_7z(spark, str(tmp_path / "c.xml.7z"), str(tmp_path / "stage"))
-    assert open(staged).read() == XML
+    packed = str(tmp_path / "c.xml.7z")
+    (staged,) = unpack_7z(spark, [packed], str(tmp_path / "stage"))
+    assert open(staged).read() == XML and os.path.basename(staged) == "c.xml.7z" and os.listdir(tmp_path / "stage") == ["c.xml.7z"]
+    with opened(packed) as f:
+        assert f.read(10).decode() == XML[:10] and f.read().decode() == XML[10:]
+    assert [tuple(r)[:2] for r in read_siteinfo(spark, [packed]).collect()] == [("c.xml.7z", "en.wiki.example")]
+    os.remove(src)
+    build(spark, str(tmp_path), str(tmp_path / "o1"))
+    build(spark, str(tmp_path), str(tmp_path / "o2"), large_pages=True)
+    assert len(list(records(str(tmp_path / "o1" / "c.xml.mwrev.zst")))) == 4
+    assert list(records(str(tmp_path / "o1" / "c.xml.mwrev.zst"))) == list(records(str(tmp_path / "o2" / "c.xml.mwrev.zst"))) and sorted(os.listdir(tmp_path / "o1")) == ["c.xml.mwrev.zst"]
+
+
+@pytest.mark.parametrize("method", ["COPY", "LZMA", "LZMA2", "BZIP2"])
+def test_7z_methods(spark, tmp_path, method):
+    from palimpsest.sources.sevenzip import open_7z
+
+    jvm = spark.sparkContext._jvm
+    seven, data = jvm.org.apache.commons.compress.archivers.sevenz, os.urandom(50_000) + b"ab" * 900_000
+    out = seven.SevenZOutputFile(jvm.java.io.File(str(tmp_path / "x.7z")))
+    try:
+        out.setContentCompression(getattr(seven.SevenZMethod, method))
+        for name, part in (("a", data), ("b", b"other")):
+            e = out.createArchiveEntry(jvm.java.io.File(str(tmp_path / "x.7z")), name)
+            out.putArchiveEntry(e)
+            out.write(bytearray(part))
+            out.closeArchiveEntry()
+    finally:
+        out.close()
+    with open_7z(str(tmp_path / "x.7z")) as f:
+        assert f.read() == data
+    (tmp_path / "cut.7z").write_bytes((tmp_path / "x.7z").read_bytes()[:40])
+    with pytest.raises((ValueError, EOFError)):
+        open_7z(str(tmp_path / "cut.7z"))
 
 
 def test_build_places_every_text(spark, dumps, tmp_path):
@@ -93,6 +127,20 @@ def test_build_places_every_text(spark, dumps, tmp_path):
     assert IndexStore(spark, out + "/index").read("revisions").count() == store.read("revisions").count()
 
 
+def test_one_scan_of_the_dumps(spark, dumps, tmp_path, monkeypatch):
+    """The XML is parsed once, whatever is made from it."""
+    from palimpsest.sources import dump
+
+    jvm, out = spark.sparkContext._jvm, str(tmp_path / "out")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    build(spark, dumps, out, index=out + "/index")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = [e.physicalPlanDescription() for e in jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.executionsList(before, 10_000))]
+    assert len(plans) > 5 and sum("Scan xml" in p for p in plans) == 1, [p for p in plans if "Scan xml" in p]
+    assert dump.base_of(dumps + "/b.xml.bz2") == "https://En.Wiki.Example/wiki/Main"
+
+
 def test_build_to_stdout(spark, dumps):
     got = "".join(r["record"] for r in build(spark, dumps + "/a.xml").collect())
     assert got.startswith("# page_id=1 ns=0 rev_id=10 parent_rev_id= timestamp=2024-01-01T00:00:00Z user_id=7\n one\n two <b>\n# page_id=1 ns=0 rev_id=11 parent_rev_id=10")
@@ -118,7 +166,9 @@ def test_appended_frames(tmp_path, spark):
     path = str(tmp_path / "d" / "x.mwrev.zst")
     head = "# page_id=1 ns=0 rev_id={} parent_rev_id=0 timestamp=t user_id=0\n"
     first = append_frames([(head.format(1), " a\n")], path)
-    second = append_frames([(head.format(2), " b\n c\n")], path)
+    size, stored = sum(first[0][:2]), sum(first[0][2:])
+    append_frames([(head.format(9), " left over\n")] * 3, path, size, stored)  # never committed
+    second = append_frames([(head.format(2), " b\n c\n")], path, size, stored)
     assert slice_of(path, *second[0][:2]) == b" b\n c\n" and second[0][2] == first[0][2] + first[0][3]
     assert [r[4] for r in records(path)] == ["1", "2"]
     assert {unframed["x"] for unframed in read_archive(spark, str(tmp_path)).select(unframe(F.col("body")).alias("x")).collect()} == {"a", "b\nc"}
@@ -135,23 +185,36 @@ def test_latest_timestamp_normalizes_before_comparing(spark):
 
 
 def test_streamed_history_equals_row_tags(spark, dumps):
-    from palimpsest.sources.history import pages_of_history, read_history, revisions_of_history
+    from palimpsest.sources.history import read_history
 
     paths = list_dumps(dumps)
     rows = read_history(spark, paths)
     cols = ["file", "pos", "page_raw", "ns_raw", "rev_raw", "parent_raw", "timestamp", "user_raw", "text", "rev_id", "parent_rev_id", "page_id", "ns", "file_path"]
-    one = sorted(map(tuple, revisions_of(read_pages(spark, paths)).select(*cols).collect()), key=str)
-    assert sorted(map(tuple, revisions_of_history(rows).select(*cols).collect()), key=str) == one and len(one) == 8
-    assert sorted(map(tuple, pages_of_history(rows).collect())) == sorted(map(tuple, pages_of(read_pages(spark, paths)).collect()))
-    assert revisions_of_history(read_history(spark, paths, ["1"])).count() == 2 and read_history(spark, []).count() == 0
+    one = sorted(map(tuple, revisions_of(rows_of(read_pages(spark, paths))).select(*cols).collect()), key=str)
+    assert sorted(map(tuple, revisions_of(rows).select(*cols).collect()), key=str) == one and len(one) == 8
+    assert sorted(map(tuple, pages_of(rows).collect())) == sorted(map(tuple, pages_of(rows_of(read_pages(spark, paths))).collect()))
+    assert revisions_of(read_history(spark, paths, ["1"])).count() == 2 and read_history(spark, []).count() == 0
 
 
 def test_damaged_end_keeps_what_came_before(spark, tmp_path):
     from palimpsest.sources.history import read_history
 
     (tmp_path / "t.xml").write_text(XML[: XML.index("<page><title>Empty")] + "<page><title>X</title><ns>0</ns><id>9</id><revision><id>5")
-    assert {r["page_raw"] for r in read_history(spark, [str(tmp_path / "t.xml")]).collect()} == {"1", "2"}
-    assert read_pages(spark, [str(tmp_path / "t.xml")]).filter("id IN ('1', '2')").count() == 2
+    rows = read_history(spark, [str(tmp_path / "t.xml")])
+    assert {r["page_raw"] for r in rows.filter("pos >= -1").collect()} == {"1", "2"} and revisions_of(rows).count() == 3
+    assert rows.filter("pos = -2").first()["text"].startswith("ParseError: ")
+    (tmp_path / "t.xml").rename(tmp_path / "u.xml")
+    build(spark, str(tmp_path), str(tmp_path / "o"), large_pages=True)
+    assert len(list(records(str(tmp_path / "o" / "u.mwrev.zst")))) == 3
+    assert [(r["file"], r["message"][:10]) for r in spark.read.parquet(str(tmp_path / "o" / "_damages")).collect()] == [("u.xml", "ParseError")]
+    assert read_pages(spark, [str(tmp_path / "u.xml")]).filter("id IN ('1', '2')").count() == 2
+    (tmp_path / "v.xml").write_text(XML.replace("<title>Talk:A</title>", "<title>Talk:A</ttle>"))
+    for name in ("u.xml", "v.xml"):
+        rows = rows_of(read_pages(spark, [str(tmp_path / name)])).withColumn("message", F.col("text"))
+        assert [(r["file"], r["message"]) for r in damages_of(rows).collect()] == [(name, "page could not be parsed")] and "A & B" in [r["title"] for r in rows.collect()]
+    os.remove(tmp_path / "u.xml")
+    build(spark, str(tmp_path), str(tmp_path / "o2"), ["0"])
+    assert spark.read.parquet(str(tmp_path / "o2" / "_damages")).count() == 1
 
 
 def test_large_pages_build(spark, dumps, tmp_path):
@@ -192,6 +255,38 @@ def test_pages_wait_for_their_domain(spark, tmp_path):
     assert store.read("web_resources").first()["url"] == "https://x.org/w/index.php?curid=1" and store.read("rejected_pages").count() == 0
 
 
+def test_only_changed_resources_are_written(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "i"))
+    site = spark.createDataFrame([("f", "x.org")], "file string, domain string")
+    none = spark.createDataFrame([], "file_path string, rev_id long, page_id long, offset_begin long, length long, parent_rev_id long, timestamp string")
+    pages = lambda *rows: spark.createDataFrame([("f", *r) for r in rows], "file string, page_id long, ns int, title string, seq long")
+    store.apply(pages((1, 0, "A", 1), (2, 0, "B", 2), (3, 0, "C", 3)), none, site)
+    store.apply(pages((2, 4, "B", 1), (3, 0, "C", 1), (4, 0, "D", 2)), none, site)
+    parts = store._pointer()["web_resources"]
+    assert [spark.read.parquet(str(tmp_path / "i" / p)).count() for p in parts] == [3, 2]  # the moved page and the new one
+    got = {r["numeric_page_id"]: (r["id"], r["numeric_namespace_id"], r["instance_of_document"] is not None) for r in store.read("web_resources").collect()}
+    assert got[2][1] == 4 and got[1][1] == 0 and len(got) == 4 and len({v[0] for v in got.values()}) == 4 and all(v[2] for v in got.values())
+
+
+def test_merges_at_once_start_over(spark, tmp_path, monkeypatch):
+    a, b = IndexStore(spark, str(tmp_path / "i")), IndexStore(spark, str(tmp_path / "i"))
+    site = spark.createDataFrame([("f", "x.org")], "file string, domain string")
+    revs = lambda k: spark.createDataFrame([("a", k, 1, k, 1, None, "t")], "file_path string, rev_id long, page_id long, offset_begin long, length long, parent_rev_id long, timestamp string")
+    pages = spark.createDataFrame([("f", 1, 0, "T", 1)], "file string, page_id long, ns int, title string, seq long")
+    commit, turns = a.commit, []
+
+    def late(*args):
+        turns.append(1)
+        if len(turns) == 1:
+            b.apply(pages, revs(2), site)
+        commit(*args)
+
+    monkeypatch.setattr(a, "commit", late)
+    a.apply(pages, revs(1), site)
+    assert len(turns) == 2 and sorted(r["revision_id"] for r in a.read("revisions").collect()) == [1, 2]
+    assert a.read("documents").count() == a.read("web_resources").count() == a.read("revision_bundles").count() == 1
+
+
 def test_index_parts_are_compacted(spark, tmp_path, monkeypatch):
     from palimpsest.operators import index
 
@@ -202,7 +297,7 @@ def test_index_parts_are_compacted(spark, tmp_path, monkeypatch):
         pages = spark.createDataFrame([("f", k % 3, 0, f"T{k}", k)], "file string, page_id long, ns int, title string, seq long")
         revs = spark.createDataFrame([("a", k, k % 3, k, 1, None, "t"), ("a", 1, 9, 9, 9, None, "again")], "file_path string, rev_id long, page_id long, offset_begin long, length long, parent_rev_id long, timestamp string")
         store.apply(pages, revs, site)
-        assert len(store._pointer()["revisions"]) <= 2
+        assert len(store._pointer()["revisions"]) <= 2 and len(store._pointer()["web_resources"]) <= 2
     assert sorted(r["revision_id"] for r in store.read("revisions").collect()) == [1, 2, 3, 4]
     assert store.read("revisions").filter("revision_id = 1").first()["offset_begin"] == 1
     ids = [r["id"] for r in store.read("documents").collect()]

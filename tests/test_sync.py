@@ -54,11 +54,11 @@ def _lookup(spark):
 
 def test_batches_are_idempotent(spark, tmp_path):
     store, out = IndexStore(spark, str(tmp_path / "index")), str(tmp_path)
-    feed = spark.createDataFrame([(1, 10, 0, "A", "2026-05-31T00:00:00Z"), (2, 20, 0, "B", "2026-05-30T00:00:00Z"), (2, 20, 0, "B", "2026-05-30T00:00:00Z"), (3, 30, 7, "C", "t"), (None, None, None, None, None)], ITEMS)
-    assert process_batch(spark, feed, _lookup(spark), store, "x.org", out, ["0"])["revisions"] == 2
+    feed = spark.createDataFrame([(1, 10, 0, "A", "2026-05-31T00:00:00Z"), (2, 20, 0, "B", "2026-05-30T00:00:00Z"), (2, 20, 0, "B", "2026-05-30T00:00:00Z"), (3, 30, 7, "C", "t"), (4, None, None, None, None), (None, None, None, None, None)], ITEMS)
+    assert process_batch(spark, feed, _lookup(spark), store, "x.org", out, ["0"])["revisions"] == 3  # a row without page or title still names a revision
     assert process_batch(spark, feed, _lookup(spark), store, "x.org", out, ["0"])["revisions"] == 0
-    assert store.read("revisions").count() == 2 and store.read("web_resources").count() == 2
-    assert sorted(r["rev_id"] for r in read_archive(spark, out + "/recentchanges").collect()) == ["1", "2"]
+    assert store.read("revisions").count() == 3 and store.read("web_resources").count() == 2
+    assert sorted(r["rev_id"] for r in read_archive(spark, out + "/recentchanges").collect()) == ["1", "2", "4"]
 
 
 def test_stream_runs_once(spark, tmp_path):
@@ -93,19 +93,86 @@ def test_stream_sinks(spark, tmp_path):
     assert run([f], "m", no_db=True) == ["5", "6"] and store.read("revisions").count() == 2  # the index is not asked
 
 
-def test_command_line_passes_sinks(spark, tmp_path, monkeypatch):
+def recorded(path, revisions, page_size=2):
+    """A file of feed pages and contents of the given revisions, all of the last hours."""
+    from datetime import datetime as at
+
+    stamp = lambda i: (at.now(UTC) - timedelta(hours=2) + timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    items = [{"revid": i, "pageid": i * 10, "ns": 0, "title": f"P{i}", "timestamp": stamp(i)} for i in revisions]
+    lines = [{"query": {"recentchanges": items[k : k + page_size]}} for k in range(0, len(items), page_size)]
+    lines += [{"query": {"pages": [{"ns": 0, "pageid": i * 10, "revisions": [{"revid": i, "parentid": 0, "timestamp": stamp(i), "userid": 3, "slots": {"main": {"content": f"text {i}"}}}]}]}} for i in revisions]
+    path.write_text("\n".join(map(json.dumps, lines)))
+
+
+@pytest.mark.parametrize("pages", [100, 3, 1])
+def test_command_line_drains_all_pages(spark, tmp_path, pages):
     from palimpsest import cli
-    from palimpsest.streaming import sync
 
-    seen = {}
+    recorded(tmp_path / "replies.jsonl", range(1, 9))  # four pages of two
+    run = lambda *more: cli.main(["sync", "--domain", "x.org", "-o", str(tmp_path / "o"), "--replay", str(tmp_path / "replies.jsonl"), "--pages", str(pages), "-j", "4", *more])
+    assert run() == 0
+    store = IndexStore(spark, str(tmp_path / "o" / "index"))
+    assert sorted(r["revision_id"] for r in store.read("revisions").collect()) == list(range(1, 9)) and store.read("web_resources").count() == 8
+    assert sorted(int(r["rev_id"]) for r in read_archive(spark, str(tmp_path / "o" / "recentchanges")).collect()) == list(range(1, 9))
+    assert run() == 0 and store.read("revisions").count() == 8  # nothing more comes
 
-    def run(*args, **names):
-        seen.update(zip(("parquet", "no_db"), args[-2:], strict=True))
-        return type("Q", (), {"awaitTermination": lambda self: None})()
 
-    monkeypatch.setattr(sync, "run_stream", run)
-    assert cli.main(["sync", "--domain", "x.org", "-o", str(tmp_path), "--parquet", str(tmp_path / "m"), "--no-db", "-j", "4"]) == 0
-    assert seen == {"parquet": str(tmp_path / "m"), "no_db": True}
+def test_command_line_sinks(spark, tmp_path):
+    from palimpsest import cli
+
+    recorded(tmp_path / "replies.jsonl", range(1, 4))
+    run = lambda out, *more: cli.main(["sync", "--domain", "x.org", "-o", str(tmp_path / out), "--replay", str(tmp_path / "replies.jsonl"), "-j", "4", *more])
+    assert run("p", "--parquet", str(tmp_path / "m")) == 0 and not IndexStore(spark, str(tmp_path / "p" / "index")).exists()
+    assert sorted(r["rev_id"] for r in spark.read.parquet(str(tmp_path / "m")).filter("type = 'revision'").collect()) == [1, 2, 3]
+    assert run("n", "--no-db") == 0 and not IndexStore(spark, str(tmp_path / "n" / "index")).exists()
+    assert read_archive(spark, str(tmp_path / "n" / "recentchanges")).count() == 3
+
+
+@pytest.mark.parametrize("where", ["before", "after"])
+def test_crash_between_append_and_commit(spark, tmp_path, monkeypatch, where):
+    """What a batch appended before it failed is cut off; what was committed stays, even if the lengths were not."""
+    from palimpsest.sources.mwrev import DailyArchives, slice_of
+
+    store, out = IndexStore(spark, str(tmp_path / "index")), str(tmp_path)
+    feed = lambda *ids: spark.createDataFrame([(i, i * 10, 0, "A", "2026-05-31T00:00:00Z") for i in ids], ITEMS)
+    take = lambda *ids: process_batch(spark, feed(*ids), _lookup(spark), store, "x.org", out)["revisions"]
+    assert take(1, 3) == 2
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(*((store, "commit") if where == "before" else (DailyArchives, "commit")), crash)
+        with pytest.raises(OSError):
+            take(1, 3, 5, 7)
+    assert take(1, 3, 5, 7) == (2 if where == "before" else 0)
+    assert take(9, 11) == 2
+    assert sorted(int(r["rev_id"]) for r in read_archive(spark, out + "/recentchanges").collect()) == [1, 3, 5, 7, 9, 11]
+    names = {r["id"]: r["file_path"] for r in store.read("revision_bundles").collect()}
+    rows = store.read("revisions").collect()
+    assert len(rows) == 6 and all(slice_of(f"{out}/{names[r['found_in_bundle']]}", r["offset_begin"], r["length"]) == b" text %d\n" % r["revision_id"] for r in rows)
+
+
+def test_feed_offsets():
+    from palimpsest.sources.changes import ChangesReader
+
+    item = lambda i, t: {"revid": i, "timestamp": f"2026-05-30T00:00:0{t}Z"}
+    log = [item(1, 1), item(2, 2), item(3, 2), item(4, 3)]
+
+    def fetch(p):
+        found = [x for x in log if x["timestamp"] >= p["rcstart"]]
+        at = int(p.get("rccontinue", 0))
+        return {"query": {"recentchanges": found[at : at + 2]}} | ({"continue": {"rccontinue": str(at + 2)}} if at + 2 < len(found) else {})
+
+    r = ChangesReader({"start": "2026-05-30T00:00:00Z", "pagesperbatch": "1"}, fetch)
+    read = lambda at: (lambda got: ([x[0] for x in got[0]], got[1]))(r.read(at))
+    at = r.initialOffset()
+    one, at1 = read(at)
+    two, at2 = read(at1)
+    assert (one, two) == ([1, 2], [3, 4]) and at2["token"] == "" and [x[0] for x in r.readBetweenOffsets(at, at2)] == [1, 2, 3, 4]
+    assert read(at2) == ([], at2)  # nothing new at the last instant: the offset stays and no row comes again
+    log.append(item(5, 3))
+    assert read(at2)[0] == [4, 5] and read(read(at2)[1])[0] == []
 
 
 def test_replayed_feed_streams(spark, tmp_path):
