@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     from palimpsest.operators.index import IndexStore
     from palimpsest.operators.metadata import latest_timestamp
     from palimpsest.session import exists
-    from palimpsest.sources.changes import ChangesSource, contents, fetch_contents, replayed
+    from palimpsest.sources.changes import contents, fetch_contents, register, replayed
     from palimpsest.streaming.sync import ProgressLog, RecentlySeen, drain, run_stream, start_of
 
     spark = local_session(args.jobs)
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     if not latest and args.parquet and exists(spark, args.parquet):
         latest = latest_timestamp(spark.read.parquet(args.parquet)).first()[0]
     start = start_of(latest, datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
-    spark.dataSource.register(ChangesSource)
+    register(spark)
     feed = spark.readStream.format("recentchanges").option("domain", args.domain).option("start", start).option("namespaces", ",".join(args.namespace or []))
     for name, value in (("replay", args.replay and os.path.abspath(args.replay)), ("pagesperbatch", args.pages)):
         feed = feed.option(name, value) if value else feed

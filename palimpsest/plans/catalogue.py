@@ -433,7 +433,8 @@ def _mounted(spark, name: str) -> tuple[str, str]:
     return root, p.toUri().getPath()
 
 
-_CLEAN = "regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g')"
+_PRINTED = "regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g')"
+_CLEAN = f"CASE WHEN regexp_full_match({_PRINTED}, '\\s*') THEN '' ELSE {_PRINTED} END"  # blanks alone are no text to the XML reader
 _ROUNDTRIP = _PLACED.replace("doc_id AS seq, text FROM documents)", f"doc_id AS seq, {_CLEAN} AS text FROM documents)")
 
 
@@ -450,7 +451,8 @@ def xml_roundtrip(spark, d):
 
     _, local = _mounted(spark, "xml")
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    clean = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
+    printed = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
+    clean = F.when(printed.rlike(r"^\s*$"), F.lit("")).otherwise(printed)
     tag = lambda name, c: F.coalesce(F.concat(F.lit(f"<{name}>"), c.cast("string"), F.lit(f"</{name}>")), F.lit(""))
     page = F.concat(F.lit("<page>"), tag("title", esc(F.col("title"))), tag("ns", F.col("ns")), tag("id", F.col("page_id")))
     revision = F.concat(
@@ -501,7 +503,7 @@ def feed_replay(spark, d):
     """The events as recorded feed pages of 500 items each, followed to the end by the streaming source, one run after another."""
     import os
 
-    from palimpsest.sources.changes import ITEM_SCHEMA, PAGE_SIZE, ChangesSource
+    from palimpsest.sources.changes import ITEM_SCHEMA, PAGE_SIZE, register
 
     root, local = _mounted(spark, "replay")
     os.makedirs(local, exist_ok=True)
@@ -515,7 +517,7 @@ def feed_replay(spark, d):
         for name in sorted(x for x in os.listdir(f"{local}/parts") if x.startswith("part-")):
             with open(f"{local}/parts/{name}", "rb") as part:
                 out.write(part.read())
-    spark.dataSource.register(ChangesSource)
+    register(spark)
     start = "1970-01-01T00:00:00Z"
     stream = spark.readStream.format("recentchanges").option("start", start).option("replay", f"{local}/replies.jsonl").load()
     while True:

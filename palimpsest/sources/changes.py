@@ -10,7 +10,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
@@ -153,6 +153,16 @@ class ChangesSource(DataSource):
         return ChangesReader(dict(self.options))
 
 
+def register(spark: SparkSession) -> None:
+    """Make the source known. Its code travels with it: the process that reads a stream's offsets does not get the files sent to workers."""
+    import sys
+
+    from pyspark.cloudpickle import register_pickle_by_value
+
+    register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(ChangesSource)
+
+
 def parse_feed(replies: DataFrame, column: str = "value") -> DataFrame:
     """Items of JSON feed replies, one row each; malformed or empty replies give none."""
     q = F.from_json(F.col(column), schema.FEED)

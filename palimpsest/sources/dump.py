@@ -74,7 +74,7 @@ def _rows(spark: SparkSession, paths: list[str], tag: str, struct, preserve_text
 def read_pages(spark: SparkSession, paths: list[str], preserve_text: bool = False) -> DataFrame:
     """One row per ``<page>``: title, ns, id, revision array and ``file``; a page that can't be parsed is a row of NULLs and ends its file.
 
-    An empty list of paths gives no rows. Surrounding blanks of text nodes are trimmed unless ``preserve_text``.
+    An empty list of paths gives no rows. Surrounding blanks of text nodes are trimmed unless ``preserve_text``; a text of blanks alone is empty.
     """
     if not paths:
         return spark.createDataFrame([], schema.DUMP_PAGE).withColumn("file", F.lit("").cast("string"))

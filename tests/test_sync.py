@@ -176,11 +176,11 @@ def test_feed_offsets():
 
 
 def test_replayed_feed_streams(spark, tmp_path):
-    from palimpsest.sources.changes import ChangesSource, fetch_contents
+    from palimpsest.sources.changes import fetch_contents, register
 
     item = lambda i: {"revid": i, "pageid": i * 10, "ns": 0, "title": f"P{i}", "timestamp": f"2026-05-30T00:00:0{i}Z"}
     (tmp_path / "replies.jsonl").write_text("\n".join(json.dumps({"query": {"recentchanges": [item(i), item(i + 1)]}}) for i in (1, 3)))
-    spark.dataSource.register(ChangesSource)
+    register(spark)
     feed = spark.readStream.format("recentchanges").option("start", "2026-05-30T00:00:00Z").option("replay", str(tmp_path / "replies.jsonl")).load()
     q = feed.writeStream.format("memory").queryName("replayed").trigger(processingTime="1 second").start()
     try:
