@@ -1,11 +1,12 @@
 """Markup in texts, whole or in remains: found, named and turned into clean text.
 
-A lexer for the signs of wiki text, HTML, Markdown and LaTeX builds a tree of candidate nodes: open and closed tags nest, code blocks,
-formulas and templates span what they enclose. Each node has integer features (its sign, attribute tokens, closedness, depth, equal
+A lexer for the signs of wiki text, HTML, Markdown and LaTeX builds a tree of candidate nodes: an element is the parent of what stands between its
+tags, code blocks and formulas are parents of what they enclose. Each node has integer features (its sign, attribute tokens, closedness, depth, equal
 siblings, density of its subtree, surroundings, and how much of each markup the rest of the text shows). Boosted trees, trained on
 generated texts whose nodes are known, give every node a distribution over (markup, element) and
 none. Decoding goes from ancestors to descendants and weighs both together: a node inside a code block or formula is
-nothing of its own, so a block is taken only if that explains its inside at least as well as its parts do.
+nothing of its own, so a block is taken only if that explains its inside at least as well as its parts do; and what stands in the element of a
+heading is neither a heading nor a list.
 """
 
 from __future__ import annotations
@@ -116,6 +117,7 @@ def lex(text: str) -> tuple[list, list]:
     nodes, feats, shows = [], [], []
     spans: list[tuple[int, int]] = []  # (end, node) of open blocks, innermost last
     stack: list[tuple[str, int]] = []  # open tags
+    places: dict[str, list[int]] = {}  # of each name in the stack: a closing tag without opening must not search all of it
     skip = 0
     find = text.find
     gone: set[str] = set()  # closing signs known not to come any more: openings without end must not each scan the rest
@@ -215,19 +217,19 @@ def lex(text: str) -> tuple[list, list]:
                     add(block, s, e, 1 + known, 1, 0, content(e, at.start()) if block == "math" else 5, len(_ATTR.findall(tok)), at.end(), (e, at.start()), show)
                     continue
             if closing:
-                hit = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == low), -1)
-                matched = hit >= 0
+                matched = bool(places.get(low))
                 if matched:
+                    hit = places[low][-1]
                     feats[stack[hit][1]][CLOSED] = 1
-                    nodes[stack[hit][1]][6] = e
-                    del stack[hit:]
+                    nodes[stack[hit][1]][6] = s  # the element ends where its closing tag begins, which is a sibling
+                    while len(stack) > hit:
+                        places[stack.pop()[0]].pop()
                 add(kind, s, e, name, int(matched), 0, 5, 0, show=show)
             else:
                 i = add(kind, s, e, name, int(low in VOID or tok.endswith("/>")) if whole else 0, 0, 5, len(_ATTR.findall(tok)), show=show)
                 if whole and low not in VOID and not tok.endswith("/>") and known:
+                    places.setdefault(low, []).append(len(stack))
                     stack.append((low, i))
-                    if len(stack) > 64:
-                        del stack[0]
         elif kind == "comment":
             at = ending("-->", e)
             skip = e = at + 3 if at >= 0 else e
@@ -314,10 +316,24 @@ def lex(text: str) -> tuple[list, list]:
             add(kind, s, e, int(tok[0] == "!"), int(tok[-1] in ")]`"), show=show, inner=(s + 1, e - 1) if kind == "ticks" else None)
         else:
             add(kind, s, e, 1, 1, show=show)
+    _nest(nodes, feats)
     _context(text, nodes, feats, shows)
     return feats, nodes
 
 
+def _nest(nodes: list, feats: list) -> None:
+    """Parents, and depths in blocks and in elements: a node's parent is the innermost of both that it begins in. One that crosses its parent's end, ends there."""
+    around: list[tuple[int, int, int, int]] = []  # (end, node, blocks, elements), innermost last
+    for i, n in enumerate(nodes):
+        while around and around[-1][0] <= n[1]:
+            around.pop()
+        end, n[5], blocks, elements = around[-1] if around else (n[6], -1, 0, 0)
+        feats[i][DEPTH], feats[i][NESTING] = min(3, blocks), min(3, elements)
+        if n[6] > n[2]:
+            tag = n[0] == "tag"
+            around.append((min(n[6], end), i, blocks + (not tag), elements + tag))
+
+
 def _context(text: str, nodes: list, feats: list, shows: list) -> None:
     """Fill the features that look at the whole text: evidence outside blocks, equal siblings, subtree density."""
     block = [False] * len(nodes)
@@ -325,13 +341,14 @@ def _context(text: str, nodes: list, feats: list, shows: list) -> None:
         p = n[5]
         block[i] = p >= 0 and (block[p] or feats[p][KIND] in _SOLID and feats[p][CLOSED] == 1)
     seen = [0, 0, 0, 0]
-    kids: dict[int, int] = {}
+    below = [0] * len(nodes)  # nodes of each subtree
+    for i in range(len(nodes) - 1, -1, -1):
+        if nodes[i][5] >= 0:
+            below[nodes[i][5]] += below[i] + 1
     same: dict[tuple, int] = {}
     for i, n in enumerate(nodes):
         if shows[i] >= 0 and not block[i]:
             seen[shows[i]] += 1
-        if n[5] >= 0:
-            kids[n[5]] = kids.get(n[5], 0) + 1
         key = (n[5], feats[i][KIND], feats[i][NAME])
         same[key] = same.get(key, 0) + 1
     for i, n in enumerate(nodes):
@@ -343,7 +360,7 @@ def _context(text: str, nodes: list, feats: list, shows: list) -> None:
         f[LEAD] = 1 + (w > d) - (d > w)
         k = same[(n[5], f[KIND], f[NAME])]
         f[SIBLINGS] = 0 if k < 2 else 1 if k < 3 else 2 if k < 6 else 3
-        c = kids.get(i, 0) * 64 // max(1, n[6] - n[1])
+        c = below[i] * 64 // max(1, n[6] - n[1])
         f[DENSITY] = min(3, c)
 
 
@@ -438,7 +455,15 @@ class _Maker:
         self.parts = []
         base = r.choice(("wiki", "wiki", "html", "markdown", "latex", "plain"))
         other = r.sample(MARKUPS, r.choice((0, 0, 1, 1, 2)))
+        wrapped = base == "html" or "html" in other and r.random() < 0.5
+        around: list[str] = []  # elements that hold what follows
         for _ in range(r.randint(1, 9)):
+            while wrapped and r.random() < 0.4:
+                if around and r.random() < 0.5:
+                    self.put(f"</{around.pop()}>", cls("html"))
+                else:
+                    around.append(r.choice("div section table tr td blockquote center span b i p TABLE TR TD DIV".split()))
+                    self.put(f"<{around[-1]}{r.choice(('', '', ' class=x', ' width=40'))}>{r.choice(('', chr(10)))}", cls("html"))
             if base != "plain" and r.random() < 0.35:
                 self.put(*self.block(base, r.choice(("heading", "list", "list", "code", "table", "formula"))))
             elif base in ("plain", "html", "latex") and r.random() < 0.12:
@@ -448,8 +473,8 @@ class _Maker:
                 if base == "html" and r.random() < 0.6:
                     self.put(r.choice(("<p>", "<div>", '<div class="x"><p>', "<P>")), cls("html"))
                 for _ in range(r.randint(1, 4)):
-                    self.put(self.words(r.randint(3, 9)) + " ", 0)
                     p = r.random()
+                    self.put(self.words(r.randint(3, 9)) + ("" if p < 0.5 and r.random() < 0.3 else " "), 0)  # signs may adjoin a word
                     if base != "plain" and p < 0.3:
                         self.put(*self.inline(base))
                     elif other and p < 0.5:
@@ -458,8 +483,10 @@ class _Maker:
                         self.put(self.plain(), 0)
                     elif p < 0.66 and (base in ("latex", "wiki") or other):
                         self.put(*self.formula(r.choice(("latex", "latex", "wiki"))))
-                    self.put(r.choice((" ", ". ")), 0)
+                    self.put(r.choice((" ", ". ", "")), 0)
             self.put("\n\n", 0)
+        while around and r.random() < 0.8:
+            self.put(f"</{around.pop()}>", cls("html"))
         # Bare line signs go with the markup that the rest of the text shows.
         shown = [sum(label > 0 and (label - 1) // 5 == m for _, label in self.parts) for m in (0, 2)]
         wiki, markdown = shown[0] > 0 and shown[0] >= shown[1], shown[1] > shown[0]
@@ -473,7 +500,7 @@ class _Maker:
         return out, spans
 
 
-_INSIDE = np.array([c > 0 and ELEMENTS[(c - 1) % 5] in ("code", "formula") for c in range(N_CLASSES)])
+_INSIDE, _HEADING, _LISTED = (np.array([c > 0 and ELEMENTS[(c - 1) % 5] in names for c in range(N_CLASSES)]) for names in (("code", "formula"), ("heading",), ("list",)))
 
 
 def _labels(nodes: list, feats: list, spans: list) -> list[int]:
@@ -559,7 +586,8 @@ def node_scores(feats: np.ndarray, model: Trees) -> tuple[np.ndarray, np.ndarray
 
 def decode(nodes: list, logp: np.ndarray) -> list[int]:
     """Class per node, ancestors first. A block of code or formula makes its descendants none; it is chosen if it and their being
-    none are together likelier than the best reading of block and descendants on their own."""
+    none are together likelier than the best reading of block and descendants on their own. An element read as a heading leaves its descendants
+    what isn't a heading or list, and is weighed with that."""
     n = len(nodes)
     if all(x[5] < 0 for x in nodes):
         return logp.argmax(1).tolist()
@@ -567,23 +595,28 @@ def decode(nodes: list, logp: np.ndarray) -> list[int]:
     for i, x in enumerate(nodes):
         if x[5] >= 0:
             kids.setdefault(x[5], []).append(i)
-    free, none = [0.0] * n, [0.0] * n  # value of the subtree at its best, and as nothing
-    choice = [0] * n
-    inner, outer = np.where(_INSIDE, logp, -np.inf), np.where(_INSIDE, -np.inf, logp)
-    a, b = inner.max(1).tolist(), outer.max(1).tolist()
-    as_block, as_sign, nothing = inner.argmax(1).tolist(), outer.argmax(1).tolist(), logp[:, 0].tolist()
+    free, held, none = [0.0] * n, [0.0] * n, [0.0] * n  # value of the subtree at its best, in a heading, and as nothing
+    choice, in_heading = [0] * n, [0] * n
+    readings = []  # (best value, class) of blocks, headings, other signs, and signs that may stand in a heading
+    for mask in (_INSIDE, _HEADING, ~(_INSIDE | _HEADING), ~(_INSIDE | _HEADING | _LISTED)):
+        some = np.where(mask, logp, -np.inf)
+        readings.append((some.max(1).tolist(), some.argmax(1).tolist()))
+    (block, as_block), (title, as_title), (sign, as_sign), (inline, as_inline) = readings
+    nothing = logp[:, 0].tolist()
     for i in range(n - 1, -1, -1):
-        below = kids.get(i, ())
-        none_below = sum(none[k] for k in below)
-        block, apart = a[i] + none_below, b[i] + sum(free[k] for k in below)
-        choice[i] = as_block[i] if block > apart else as_sign[i]
-        free[i], none[i] = max(block, apart), nothing[i] + none_below
-    out, dead = [0] * n, [False] * n
+        f = h = z = 0.0
+        for k in kids.get(i, ()):
+            f, h, z = f + free[k], h + held[k], z + none[k]
+        free[i], choice[i] = max((sign[i] + f, as_sign[i]), (block[i] + z, as_block[i]), (title[i] + h, as_title[i]))
+        held[i], in_heading[i] = max((inline[i] + h, as_inline[i]), (block[i] + z, as_block[i]))
+        none[i] = nothing[i] + z
+    out, around = [0] * n, [0] * n  # around: 0 free, 1 in a heading, 2 in a block
     for i in range(n):
         p = nodes[i][5]
-        dead[i] = p >= 0 and (dead[p] or bool(_INSIDE[out[p]]))
-        if not dead[i]:
-            out[i] = choice[i]
+        if p >= 0:
+            around[i] = 2 if around[p] == 2 or _INSIDE[out[p]] else 1 if around[p] or _HEADING[out[p]] else 0
+        if around[i] < 2:
+            out[i] = in_heading[i] if around[i] else choice[i]
     return out
 
 
@@ -684,6 +717,7 @@ def constructs(nodes: list, classes: list[int]) -> set[tuple[str, str]]:
 
 _GONE = frozenset(("cite", "citep", "citet", "ref", "label", "footnote", "begin", "end", "hline", "centering", "noindent", "vspace", "hspace", "pageref", "eqref"))
 _REFS = re.compile(r"<ref\b[^<>]*?/>|<ref\b[^<>]*>[^<]*(?:<(?!/?ref)[^<]*)*</ref\s*>", re.I)
+_GROUP = re.compile(r"(?:[^{}]|\{[^{}]*\})*+\}")
 _ARG = re.compile(r"(?:\[[^\]\n]*\])?\{([^{}]*)\}")
 
 
@@ -691,19 +725,62 @@ _OPEN_FILE = re.compile(r"(?i)(?:file|image|datei|fichier|archivo):[^|\n\]]*(?:\
 _OPEN_TEMPLATE = re.compile(r"[^|{}\n]*(?:\|[^|{}\n=]*=[^|{}\s]*)*")
 
 
+_LANGUAGE = re.compile(r"""\blang(?:uage)?[ \t]*=[ \t]*["']?([\w+#.-]+)|\bclass[ \t]*=[ \t]*["']?(?:[\w -]*[ ])?lang(?:uage)?-([\w+#.-]+)""", re.I)
+_OPTIONS = re.compile(r"\[([^\]\n]*)\]|\{([\w+#.-]+)\}(?=[ \t]*\n)")
+_INNER_CODE = re.compile(r"\s*<code\b([^>]*)>|</code\s*>\s*$", re.I)
+
+
+def _code(text: str, kind: str, s: int, e: int, a: int, b: int) -> str:
+    """A code block in fences, with the language that its opening names."""
+    opening, inner, language = text[s:e], text[a:b], ""
+    if kind == "fence":
+        language = (opening.strip().lstrip("`~").split() or [""])[0]
+    elif kind == "env":
+        if m := _OPTIONS.match(inner):
+            named = _LANGUAGE.search(m.group(1) or "")
+            language, inner = m.group(2) or (named.group(1) if named else ""), inner[m.end() :]
+    else:
+        if m := _INNER_CODE.match(inner):
+            opening += m.group(1) or ""
+        if m := _LANGUAGE.search(opening):
+            language = m.group(1) or m.group(2)
+        inner = html.unescape(_INNER_CODE.sub("", inner.strip("\n")))
+    inner = inner.strip("\n")
+    mark = max(re.findall("`{3,}", inner), key=len, default="``") + "`"
+    return f"\n{mark}{language}\n{inner}\n{mark}\n"
+
+
+_LIST_BEGIN = re.compile(r"<(?:ul|ol|dl)\b", re.I)
+
+
+def _list_depths(text: str, nodes: list) -> list[int]:
+    """Lists of elements or environments around each node."""
+    out, env = [0] * len(nodes), 0
+    own = [0] * len(nodes)
+    for i, n in enumerate(nodes):
+        if n[0] == "env" and (m := _ENV.search(text, n[1], n[2])) and m.group(1) in LIST_ENVIRONMENTS:
+            env = max(0, env + (1 if text.startswith("\\begin", n[1]) else -1))
+        p = n[5]
+        around = own[p] if p >= 0 else 0
+        own[i] = around + (n[0] == "tag" and bool(_LIST_BEGIN.match(text, n[1])))
+        out[i] = around + env
+    return out
+
+
 def clean(text: str, nodes: list, classes: list[int]) -> str:
-    """Text without markup; headings as ``# ``, items as ``- ``, code in fences, formulas between dollars.
+    """Text without markup; headings as ``# ``, items as ``- `` by their depth, code in fences with its language, formulas between dollars.
 
     Only nodes decoded as markup are touched, signs in their plain sense stay.
     """
     edits: list[tuple[int, int, str]] = []
+    depths = _list_depths(text, nodes)
     covered, last_ref = 0, max(text.rfind("</ref"), text.rfind("</REF"), text.rfind("<ref"))
-    for (kind, s, e, a, b, _, span), c in sorted(zip(nodes, classes, strict=True), key=lambda x: x[0][1]):
+    for (kind, s, e, a, b, _, span), c, lists in sorted(zip(nodes, classes, depths, strict=True), key=lambda x: x[0][1]):
         if not c or s < covered:
             continue
         element, tok = ELEMENTS[(c - 1) % 5], text[s:e]
         if element == "code":
-            edits.append((s, span, "\n```\n" + html.unescape(re.sub(r"^<code[^>]*>|</code>$", "", text[a:b].strip("\n"))).strip("\n") + "\n```\n"))
+            edits.append((s, span, _code(text, kind, s, e, a, b)))
         elif element == "formula":
             edits.append((s, span, "$" + re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", text[a:b])).strip() + "$"))
         elif element == "heading":
@@ -721,10 +798,10 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
         elif element == "list":
             if kind == "sign":
                 mark = tok.strip()
-                depth = min(30, len(mark) - 1 if mark[0] in "*#" else (len(tok) - len(tok.lstrip())) // 2)
+                depth = len(mark) - 1 if mark[0] in "*#" else len(tok[: len(tok) - len(tok.lstrip())].expandtabs(4)) // 2
                 edits.append((s, e, "  " * depth + "- " if not text[e : e + 1].isspace() else "  " * depth + "-"))
             elif kind == "command" or kind == "tag" and re.match(r"<(li|dt|dd)\b", tok, re.I):
-                edits.append((s, e, "\n- " if kind == "tag" else "-"))
+                edits.append((s, e, ("\n" if kind == "tag" else "") + "  " * max(0, lists - 1) + ("- " if kind == "tag" else "-")))
             else:
                 edits.append((s, e, "\n" if kind == "tag" else ""))
         elif kind == "wcell":
@@ -753,7 +830,9 @@ def clean(text: str, nodes: list, classes: list[int]) -> str:
         elif kind == "command":
             bare = tok.lstrip("{\\").rstrip("*")
             arg = _ARG.match(text, e)
-            if bare in _GONE:
+            if tok[0] == "{" and (m := _GROUP.match(text, e)):
+                edits += [(s, e + text[e : e + 1].isspace(), ""), (m.end() - 1, m.end(), "")]
+            elif bare in _GONE:
                 edits.append((s, arg.end() if arg else e, ""))
             elif tok[1:2] in "%&_#{}$" and len(tok) == 2:
                 edits.append((s, e, tok[1]))

@@ -203,6 +203,14 @@ CASES = {
     "<p>x</p> <math><mi>E</mi><mo>=</mo><mn>2</mn></math>": {("html", "any"), ("html", "formula")},
     "[[a]] <math>x^2 \\alpha</math> <ref>b</ref>": {("wiki", "any"), ("wiki", "formula")},
     "\\section{S} \\textbf{x} $a_{1} > 0$ costs $5\n\\begin{itemize}\n\\item one\n\\end{itemize}\n\\begin{verbatim}\n[[q]] <b>\n\\end{verbatim}": {("latex", e) for e in ("any", "heading", "list", "formula", "code")},
+    "<div><table><tr><td><ul><li>one<ul><li>two</li></ul></li></ul></td></tr></table></div>": {("html", "any"), ("html", "list")},
+    "<div class=a><h2>Title with <b>bold</b></h2><p>Rank #3, $5 &ndash; 2 * 3</p></div>": {("html", "any"), ("html", "heading")},
+    "The <b>court</b> said <i>no</i>.<br/>It was [[late]].": {("html", "any"), ("wiki", "any")},
+    "Some `code` here, see [this](http://x.example).\n\n1. first\n2. second": {("markdown", "any"), ("markdown", "list")},
+    "{\\bf Bold} words with~\\cite{a} and 5\\% of $x_{1}$": {("latex", "any"), ("latex", "formula")},
+    "{| class=x\n! a !! b\n|-\n| 1 || 2\n|}\n<math>x_1</math>": {("wiki", "any"), ("wiki", "formula")},
+    "Cost: $12.50 (was $15); see C:/tmp/a_b.txt & note [3].": set(),
+    "<p>An <a href=/x>anchor</a></p><pre><code># not a heading\n* no list</code></pre>": {("html", "any"), ("html", "code")},
     "words [[broken words\n\nand &lt;b&gt; too </div>": {("wiki", "any"), ("html", "any")},
     "": set(), " \n ": set(), "no markup at all": set(),
 }
@@ -246,12 +254,55 @@ def test_clean_text(spark):
     for r in markup.clean_texts(docs(spark, rows)).collect():
         got.setdefault(r["doc_id"], []).append(r["clean_text"])
     out = got[1][0]
-    for want in ("## Head", "One three four  & five", "- a\n  - b", "```\nx = [[1]]\n```", "$x^2$ costs $5"):
+    for want in ("## Head", "One three four  & five", "- a\n  - b", "```py\nx = [[1]]\n```", "$x^2$ costs $5"):
         assert want in out, out
     assert got[3] == [""] and got[4] == ["plain $3 text"] and sorted(got[6]) == ["same", "x café  5% y"] and 2 not in got
     assert markup.find_markup(docs(spark, [])).count() == 0
 
 
+def test_elements_are_parents():
+    feats, nodes = markup.lex("<div><ul><li>a</li><li><b>b</b></li></ul></div> <p>open <i>x</i>")
+    at = {n[1]: i for i, n in enumerate(nodes)}
+    of = lambda tag, k=0: nodes.index([n for n in nodes if markup._TAG_NAME.match("<div><ul><li>a</li><li><b>b</b></li></ul></div> <p>open <i>x</i>", n[1]).group() == tag][k])
+    div, ul, li, b, p, i = of("<div"), of("<ul"), of("<li", 1), of("<b"), of("<p"), of("<i")
+    assert nodes[ul][5] == div and nodes[li][5] == ul and nodes[b][5] == li and nodes[div][5] == nodes[p][5] == nodes[i][5] == -1 and len(at) == len(nodes)
+    assert feats[b][markup.NESTING] == 3 and feats[b][markup.DEPTH] == 0 and feats[li][markup.SIBLINGS] == 2 and feats[ul][markup.DENSITY] == 3
+
+
+def test_no_headings_or_lists_in_a_heading():
+    nodes = [["tag", 0, 4, 4, 4, -1, 20], ["tag", 5, 9, 9, 9, 0, 9]]
+    c = markup.cls
+    logp = np.full((2, markup.N_CLASSES), -50.0)
+    logp[0, c("html", "heading")], logp[0, c("html")] = -0.1, -3
+    logp[1, c("html", "list")], logp[1, c("html")] = -0.1, -1
+    assert markup.decode(nodes, logp) == [c("html", "heading"), c("html")]  # together likelier than the best of each
+    logp[0, c("html")], logp[1, c("html")] = -0.5, -9
+    assert markup.decode(nodes, logp) == [c("html"), c("html", "list")]
+
+
+def test_clean_text_keeps_depth_and_language(model):
+    def of(text):
+        ((nodes, classes),) = markup.analyse([text], model)
+        return markup.clean(text, nodes, classes)
+
+    assert [x for x in of("<p>x</p><ul><li>a<ul><li>b<ol><li>c</li></ol></li></ul></li><li>d</li></ul>").split("\n") if x] == ["x", "- a", "  - b", "    - c", "- d"]
+    for text in ("<p>x</p><pre><code class=\"hljs language-rust\">let x = 1;</code></pre>", "# H\n\n```rust\nlet x = 1;\n```\n", "[[a]]\n<syntaxhighlight lang=\"rust\" line>\nlet x = 1;\n</syntaxhighlight>",
+                 "\\section{H}\n\\begin{lstlisting}[language=rust, numbers=left]\nlet x = 1;\n\\end{lstlisting}", "\\section{H}\n\\begin{minted}{rust}\nlet x = 1;\n\\end{minted}"):
+        assert "```rust\nlet x = 1;\n```" in of(text), text
+    assert "# H\n\n````\n```\n&lt;\n````" in of("# H\n\n~~~\n```\n&lt;\n~~~\n")  # a fence inside, entities as they are
+    assert of("\\emph{a} {\\bf b {\\it c}} d") == "a b c d"
+
+
+def test_many_open_tags_and_deep_lists(model):
+    """More open tags than any bound: the element that was opened first is still closed."""
+    text = "<div>" + "<b>" * 500 + "x" + "</div>" + "</nosuch>" * 3
+    feats, nodes = markup.lex(text)
+    assert feats[0][markup.CLOSED] == 1 and nodes[0][6] == text.index("</div>")
+    deep = "== H ==\n" + "\n".join("*" * k + " item" for k in range(1, 60))
+    ((n, c),) = markup.analyse([deep], model)
+    assert markup.clean(deep, n, c).split("\n")[-1] == "  " * 58 + "- item"
+
+
 def test_long_constructs_are_read_whole():
     import time
 
