@@ -5,13 +5,17 @@ K = floor(1 - log_B(min)), limited to 0..Q + 1. Equal registers are the likelier
 that agree in one band of registers are candidates. Of a candidate pair the Jaccard similarity is
 estimated by maximum likelihood from how many registers are greater, less and equal, given both sizes; pairs
 clearly below the threshold are dropped there, and the phrases of the others are compared.
+
+Texts that share much wording without being alike (one template) fill buckets in which pairs are nearly all in vain. The members of a
+bucket beyond a bound are therefore not paired there but meet over their rarest phrases: two texts at the threshold share one of the first few of each in any
+common order of phrases, so no link is lost, and texts that only share the template's wording do not meet.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.session import maybe_broadcast, stage
@@ -34,6 +38,8 @@ class NearDup:
     rate: float = 20.0
     limit: int = 65534
     slack: float = 4.5
+    #: Members of a bucket beyond which it is not paired.
+    crowd: int = 256
 
     @property
     def registers(self) -> int:
@@ -167,14 +173,13 @@ def _phrase_sets(docs: DataFrame, cfg: NearDup) -> DataFrame:
         import numpy as np
         import pandas as pd
 
-        from palimpsest.llm.words import groups, phrases
+        from palimpsest.llm.words import groups, whole_phrases
 
         for pdf in batches:
             texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy(np.int64)
             for a, b in groups(texts):
-                p, bounds = phrases(texts[a:b], cfg.phrase)
-                low = p.astype(np.uint32)  # 32 bits a phrase: sets of a pair are small against 2**32
-                yield pd.DataFrame({"doc_id": ids[a:b], "p": pd.Series([np.sort(low[x:y]).tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], dtype=object)})
+                p, bounds = whole_phrases(texts[a:b], cfg.phrase)
+                yield pd.DataFrame({"doc_id": ids[a:b], "p": pd.Series([p[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], dtype=object)})
 
     return docs.mapInPandas(run, "doc_id long, p binary")
 
@@ -186,9 +191,9 @@ def _verified(pairs: DataFrame, cfg: NearDup) -> DataFrame:
         for pdf in batches:
             ok = []
             for x, y in zip(pdf["pa"], pdf["pb"], strict=True):
-                s, t = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)  # distinct within each text
                 both = np.concatenate([s, t])
-                both.sort()
+                both.sort(kind="stable")  # merges two sorted runs
                 common = int((both[1:] == both[:-1]).sum())
                 ok.append(common >= cfg.threshold * (len(s) + len(t) - common) - 1e-9)
             yield pdf[np.array(ok, bool)][["a", "b"]] if len(pdf) else pdf[["a", "b"]]
@@ -196,22 +201,61 @@ def _verified(pairs: DataFrame, cfg: NearDup) -> DataFrame:
     return pairs.mapInPandas(run, "a long, b long")
 
 
+def _over_rare_phrases(docs: DataFrame, cfg: NearDup) -> DataFrame:
+    """(a, b, na, nb): pairs of texts that may reach the threshold because they share one of their rarest phrases.
+
+    Of n phrases, ordered by how many of the texts have them, the first n - ceil(threshold * n) + 1 are looked at: two texts that share none of these share too few at all.
+    A phrase that most texts have comes last and is not looked at, so what meets over a phrase are texts that have it among their rarest.
+    """
+
+    def spread(batches):
+        import numpy as np
+        import pandas as pd
+
+        from palimpsest.llm.words import groups, whole_phrases
+
+        for pdf in batches:
+            texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy(np.int64)
+            for a, b in groups(texts):
+                p, bounds = whole_phrases(texts[a:b], cfg.phrase)
+                n = np.diff(bounds)
+                yield pd.DataFrame({"doc_id": np.repeat(ids[a:b], n), "n": np.repeat(n, n).astype(np.int32), "p": p.view(np.int64)})
+
+    rows, _ = stage(docs.mapInPandas(spread, "doc_id long, n int, p long"), "phrases")
+    common = rows.groupBy("p").agg(F.count("*").alias("df")).filter("df > 1")
+    # A phrase of one text only is rarest of all and meets no other: it need not be joined, only counted.
+    shared = rows.join(common.select("p", "df"), "p")
+    singles = rows.groupBy("doc_id").agg(F.max("n").alias("n")).join(shared.groupBy("doc_id").agg(F.count("*").alias("m")), "doc_id")
+    w = Window.partitionBy("doc_id").orderBy("df", "p")
+    ranked = shared.withColumn("r", F.row_number().over(w)).join(singles.select("doc_id", (F.col("n") - F.col("m")).alias("alone")), "doc_id")
+    first = ranked.filter(F.col("alone") + F.col("r") <= F.col("n") - F.ceil(F.col("n") * cfg.threshold - 1e-9) + 1).select("doc_id", "n", "p")
+    first, _ = stage(first, "rarest")
+    x, y = first.select("p", F.col("doc_id").alias("a"), F.col("n").alias("na")), first.select("p", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
+    return x.join(y, "p").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(cfg.threshold) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb").distinct()
+
+
 def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> tuple[DataFrame, DataFrame]:  # noqa: B008
     """(members, links) of documents (doc_id, text).
 
     members: (doc_id, class_id), class_id the least doc_id with the same set of phrases; links: (a, b), a < b, the class
     ids of different classes at or above the threshold. NULL texts, NULL ids and texts with too few phrases are in neither. Other
-    columns are ignored; a doc_id with several texts counts with each of them. Copies are never paired with one another; a bucket that holds much of the corpus is split by AQE's
-    skew join.
+    columns are ignored; a doc_id with several texts counts with each of them. Copies are never paired with one another, and a crowded bucket is not
+    paired at all (see ``_over_rare_phrases``).
     """
     sk, _ = stage(_sketches(docs, cfg), "sketches")
     classes = sk.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class_id"))
     members, members_path = stage(sk.select("doc_id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id").distinct(), "members")
     reps = sk.join(members.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
     rows, _ = stage(_bands(reps, cfg), "bands")
-    x, y = rows.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), rows.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    near = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(cfg.threshold) * F.greatest("na", "nb") - 1e-9))
-    cand, cand_path = stage(near.select("a", "b", "na", "nb").distinct(), "candidates")
+    full, full_path = stage(rows.groupBy("key").count().filter(F.col("count") > cfg.crowd).select("key"), "crowded")
+    full = maybe_broadcast(full, full_path)
+    sparse = rows.join(full, "key", "left_anti")
+    x, y = sparse.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), sparse.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
+    near = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(cfg.threshold) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb")
+    crowd, crowd_path = stage(rows.join(full, "key", "left_semi").select("doc_id").distinct(), "crowd")
+    if not crowd.isEmpty():
+        near = near.unionByName(_over_rare_phrases(docs.select("doc_id", "text").join(maybe_broadcast(crowd, crowd_path), "doc_id", "left_semi"), cfg))
+    cand, cand_path = stage(near.distinct(), "candidates")
     regs = sk.select("doc_id", "regs")
     with_a = cand.join(regs.select(F.col("doc_id").alias("a"), F.col("regs").alias("ra")), "a")
     with_b = with_a.join(regs.select(F.col("doc_id").alias("b"), F.col("regs").alias("rb")), "b")

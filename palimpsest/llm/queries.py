@@ -49,7 +49,16 @@ def p7_found(spark, d):
     return neardup.expand(members, links)
 
 
-@query("p7_near_duplicates")
+#: Classes of equal phrase sets and links between classes, over every phrase of every text: for small corpora only.
+_CLASSES = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+  s AS (SELECT doc_id, list_sort(list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] FOR i IN range(1, len(w) - 3)])) AS p FROM w WHERE len(w) >= 5),
+  c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY p) AS class_id, p FROM s), r AS (SELECT class_id, unnest(p) AS q, len(p) AS n FROM c WHERE doc_id = class_id),
+  l AS (SELECT a.class_id AS x, b.class_id AS y FROM r a JOIN r b ON a.q = b.q AND a.class_id < b.class_id GROUP BY 1, 2 HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+  e AS (SELECT x AS class_id FROM l UNION ALL SELECT y FROM l)
+  SELECT doc_id, class_id, (SELECT count(*) FROM e WHERE e.class_id = c.class_id) AS n_links FROM c"""
+
+
+@query("p7_near_duplicates", _CLASSES)
 def p7_near_duplicates(spark, d):
     """Five-word phrases, similarity 0.8: class and number of links of every document that has phrases."""
     members, links = neardup.near_duplicates(table(spark, d, "documents"))

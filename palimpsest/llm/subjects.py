@@ -4,7 +4,8 @@ Training sees readers' labels of a bounded sample of documents. Sentences of lab
 ``none`` by expectation-maximisation, which gives each term a weight per subject. What a document's sentences then look
 like (the share won by each subject, term sums, source, structure) are the features of one calibrated
 logistic link per subject; a link also sees the subjects decided before it, so
-co-occurrence is modelled, and beam search finds the likeliest combination.
+co-occurrence is modelled, and beam search finds the likeliest combination. Links are fitted on features of documents that the term weights
+behind these features have not seen (each half of the sample by the weights of the other), so they are calibrated for new documents.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from palimpsest.session import remove, stage
 
 #: At most this many labelled documents are used for fitting (documented bound); features of all documents are made alike.
 SAMPLE_DOCUMENTS = 20_000
-#: ... and at most so many characters of them, whole texts in order of the sample.
+#: ... and at most so many characters of them, whole texts in order of the sample; a text that doesn't fit is passed over.
 SAMPLE_CHARACTERS = 60_000_000
+#: Columns for sources. Sources of the sample share columns in turn if there are more; none is left out.
+SOURCE_COLUMNS = 64
 BUCKET_BITS = 22
 LEAST = 1 / 3
 _ENVIRONMENTS = ("verbatim", "lstlisting", "equation", "align", "tabular", "table")
@@ -53,7 +56,9 @@ def _without(text: str, parts, mark: str) -> str:
         else:
             end = where.rfind(closing) if opening in where else -1
         if end >= 0:
-            end = len(text) if not closing else end + len(closing) + 16
+            last = {"<": ">", "\\": "}"}.get(opening[0], "")  # a closing tag or command ends at this sign, however far
+            end = len(text) if not closing else end + len(closing)
+            end = (text.find(last, end) + 1 or len(text)) if last and end < len(text) else end
             text, small = whole.sub(mark, text[:end]) + text[end:], None
     return text
 
@@ -76,6 +81,14 @@ def _sentences(texts: list[str]):
     nxt[:-1], nxt[-1] = points[1:], 10
     line = points == 10
     stop &= (nxt == 32) | (nxt == 10) | (nxt == 60) | (nxt == 39) | (nxt == 42) | (nxt == 125) | (nxt == 9) | (nxt == 91) | (nxt == 96)
+    # The point after an item's number ends nothing.
+    breaks, dots = np.flatnonzero(line), np.flatnonzero(stop & (points == 46))
+    before = np.searchsorted(breaks, dots)
+    width = dots - np.where(before > 0, breaks[before - 1] + 1 if len(breaks) else 0, 0)
+    numbered = (width >= 1) & (width <= 3)
+    for k in (1, 2, 3):
+        numbered &= (width < k) | ((points[dots - k] >= 48) & (points[dots - k] <= 57))
+    stop[dots[numbered]] = False
     cut = stop | line
     number = np.cumsum(cut)[start] if len(start) else np.empty(0, np.int64)
     if not len(start):
@@ -90,11 +103,12 @@ def _sentences(texts: list[str]):
     line_of = np.searchsorted(line_at, start[firsts], "left")
     line_start = np.where(line_of > 0, line_at[line_of - 1] + 1, 0)
     lead = points[line_start]
-    listed = np.isin(lead, np.frombuffer("*+-#(:;\\<0123456789 ".encode("utf-32-le"), np.uint32))
+    listed = np.isin(lead, np.frombuffer("*+-#(:;\\<0123456789 \t".encode("utf-32-le"), np.uint32))
     maybe = np.flatnonzero(listed & ~stopped)
     keep = stopped.copy()
     for i in maybe.tolist():  # few: list items without a full stop
-        keep[i] = bool(_LIST.match(joined, int(line_start[i]))) and lasts[i] - firsts[i] >= 3
+        at = int(line_start[i])
+        keep[i] = bool(_LIST.match(joined, at)) and not (joined[at] == "#" and _is_heading(joined, at))
     seg = np.zeros(len(start), np.int64)
     seg[firsts] = 1
     seg = np.cumsum(seg) - 1
@@ -103,6 +117,13 @@ def _sentences(texts: list[str]):
     return h[words], renumber[seg[words]], of[firsts[keep]]
 
 
+def _is_heading(text: str, at: int) -> bool:
+    """Is the line that begins with ``#`` a Markdown heading? Items stand in rows of such lines, headings by themselves."""
+    stop = text.find("\n", at)
+    before = text.rfind("\n", 0, max(0, at - 1)) + 1 if at else 0
+    return not (at and text[before : before + 1] in ("#", "*") or text[stop + 1 : stop + 2] in ("#", "*") and stop >= 0)
+
+
 def _bucket(h):
     return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
@@ -125,7 +146,7 @@ def canonical_lang(lang: str | None) -> str:
 @dataclass
 class Model:
     subjects: list[str]
-    sources: list[str]
+    sources: dict[str, int]  # column of each source of the sample
     index: np.ndarray  # bucket -> row of weights, or -1
     weights: np.ndarray  # rows x (subjects + 1), the last column is none
     links: np.ndarray  # subjects x (features + earlier subjects + 1)
@@ -202,14 +223,16 @@ def _won(words_rows, sentence, sent_doc, n_docs, weights):
 
 def features(texts, sources, model_index, weights, source_names):
     """Rows of document features: shares, soft shares, closeness to the least share, sentences, structure, source."""
-    out = []
+    out, width = [], max(source_names.values(), default=-1) + 1
     for a, b in groups(texts):
         h, sentence, sent_doc = _sentences(texts[a:b])
         share, soft, n = _won(model_index[_bucket(h)], sentence, sent_doc, b - a, weights)
         form = np.array([_structure(t, s) for t, s in zip(texts[a:b], sources[a:b], strict=True)]).reshape(b - a, -1)
-        src = np.array([[float(s == x) for x in source_names] for s in sources[a:b]]).reshape(b - a, len(source_names))
+        src = np.zeros((b - a, width))
+        known = [(i, source_names[s]) for i, s in enumerate(sources[a:b]) if s in source_names]
+        src[[i for i, _ in known], [c for _, c in known]] = 1
         out.append(np.hstack([share, soft, np.log1p(n)[:, None], form, src]))
-    return np.vstack(out) if out else np.zeros((0, 2 * weights.shape[1] + 5 + len(source_names)))
+    return np.vstack(out) if out else np.zeros((0, 2 * weights.shape[1] + 5 + width))
 
 
 def _link_input(x, k, subjects, earlier):
@@ -247,6 +270,29 @@ def _fit_link(z, y, strength: float = 8.0, rounds: int = 40):
     return w
 
 
+def _unseen_features(texts, sources, names, words, sentence, sent_doc, given, langs):
+    """Features of each half of the documents by term weights of the other half."""
+    n, half = len(texts), np.arange(len(texts)) % 2
+    out = None
+    for side in (0, 1):
+        docs = np.flatnonzero(half != side)
+        if not len(docs):
+            docs = np.arange(n)
+        place = np.full(n, -1)
+        place[docs] = np.arange(len(docs))
+        kept = place[sent_doc] >= 0
+        number = np.cumsum(kept) - 1
+        mine = kept[sentence]
+        vocab, weights = _em(words[mine], number[sentence[mine]], place[sent_doc[kept]], given[docs], [langs[i] for i in docs])
+        index = np.full(1 << BUCKET_BITS, -1, np.int32)
+        index[vocab] = np.arange(len(vocab))
+        rest = np.flatnonzero(half == side)
+        x = features([texts[i] for i in rest], [sources[i] for i in rest], index, weights, names)
+        out = np.zeros((n, x.shape[1])) if out is None else out
+        out[rest] = x
+    return out
+
+
 def train(texts: list[str], sources: list[str], langs: list[str], given: list[set[str]], subjects: list[str]) -> Model:
     """Fit on labelled texts. ``given``: the subjects that readers gave; an empty set is ``none``."""
     subjects = sorted(subjects)
@@ -257,8 +303,8 @@ def train(texts: list[str], sources: list[str], langs: list[str], given: list[se
         for s in g:
             if s in at:
                 y[i, at[s]] = 1
-    names = sorted({canonical_source(s) for s in sources})[:32]
     src = [canonical_source(s) for s in sources]
+    names = {s: i % SOURCE_COLUMNS for i, s in enumerate(sorted(set(src)))}
     ws, ss, ds, base_s, base_d = [], [], [], 0, 0
     for a, b in groups(texts):
         h, sentence, doc = _sentences(texts[a:b])
@@ -269,11 +315,14 @@ def train(texts: list[str], sources: list[str], langs: list[str], given: list[se
     words = np.concatenate(ws) if ws else np.empty(0, np.int64)
     index = np.full(1 << BUCKET_BITS, -1, np.int32)
     if len(words):
-        vocab, weights = _em(words, np.concatenate(ss), np.concatenate(ds), y > 0, [canonical_lang(x) for x in langs])
+        sentence, sent_doc, spoken = np.concatenate(ss), np.concatenate(ds), [canonical_lang(x) for x in langs]
+        del ws, ss, ds
+        x = _unseen_features(texts, src, names, words, sentence, sent_doc, y > 0, spoken)
+        vocab, weights = _em(words, sentence, sent_doc, y > 0, spoken)
         index[vocab] = np.arange(len(vocab))
     else:
         weights = np.zeros((1, k + 1))
-    x = features(texts, src, index, weights, names)
+        x = features(texts, src, index, weights, names)
     order = np.argsort(-y.sum(0), kind="stable").tolist()  # the commonest subjects first
     links, done = [], []
     for s in order:
@@ -320,12 +369,13 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, sample: int = S
     chosen = agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     sample_rows = docs.select("doc_id", "text", "source", "lang").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     written, path = stage(sample_rows, "labelled")  # the one scan of the corpus; at most ``sample`` texts
-    total, ids = 0, []
+    total, ids, least = 0, [], None
     for doc_id, size in written.select("doc_id", F.char_length("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # two integers a sampled document
-        total += size
-        if total > SAMPLE_CHARACTERS:
-            break
-        ids.append((doc_id,))
+        least = (size, doc_id) if least is None else min(least, (size, doc_id))
+        if total + size <= SAMPLE_CHARACTERS:
+            total += size
+            ids.append((doc_id,))
+    ids = ids or ([(least[1],)] if least else [])
     within = docs.sparkSession.createDataFrame(ids, "doc_id long").distinct()
     rows = written.join(F.broadcast(within), "doc_id", "left_semi").orderBy("doc_id").collect()
     remove(docs.sparkSession, path)

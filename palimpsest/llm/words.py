@@ -105,6 +105,23 @@ def word_hashes(texts: list[str]):
     return *hash_words(points, offsets), offsets
 
 
+def whole_phrases(texts: list[str], size: int):
+    """Distinct runs of ``size`` words per text as 64-bit hashes: (phrases, bounds), sorted within each text."""
+    h, of, *_ = word_hashes(texts)
+    n = len(h) - size + 1
+    if n <= 0:
+        return np.empty(0, _U), np.zeros(len(texts) + 1, np.int64)
+    p = h[:n].copy()
+    for k in range(1, size):
+        p = p * _U(0xD6E8FEB86659FD93) + h[k : k + n]
+    whole = of[:n] == of[size - 1 :]
+    p, of = mix(p[whole]), of[:n][whole]
+    order = np.lexsort((p, of))
+    p, of = p[order], of[order]
+    new = np.r_[True, (p[1:] != p[:-1]) | (of[1:] != of[:-1])] if len(p) else np.empty(0, bool)
+    return p[new], np.searchsorted(of[new], np.arange(len(texts) + 1))
+
+
 def phrases(texts: list[str], size: int):
     """Distinct runs of ``size`` words per text: (phrases, bounds), phrases of text i at bounds[i]:bounds[i + 1], sorted.
 

@@ -55,7 +55,8 @@ def test_groups_cover_all():
 # --- near duplicates ---
 
 
-def test_pairs_equal_brute_force(spark):
+@pytest.mark.parametrize("crowd", [256, 2])
+def test_pairs_equal_brute_force(spark, crowd):
     r = random.Random(4)
     rows, n = [], 0
     for _ in range(60):
@@ -67,7 +68,7 @@ def test_pairs_equal_brute_force(spark):
             n += 1
             rows.append((n, " ".join(w), "a"))
     rows += [(n + 1, rows[0][1], "a"), (n + 2, rows[0][1].replace(" ", ", ") + "!", "b"), (n + 3, None, None), (n + 4, "", None), (n + 5, "too short", "a"), (None, rows[0][1], "a"), rows[3]]
-    cfg = neardup.NearDup(phrase=3, threshold=0.7, min_phrases=20)
+    cfg = neardup.NearDup(phrase=3, threshold=0.7, min_phrases=20, crowd=crowd)
     members, links = neardup.near_duplicates(docs(spark, rows), cfg)
     got = sorted(map(tuple, neardup.expand(members, links).collect()))
     sets = {i: s for i, t, _ in rows if i and t and len(s := shingles(t, 3)) >= 20}
@@ -78,6 +79,25 @@ def test_pairs_equal_brute_force(spark):
     assert neardup.near_duplicates(docs(spark, []), cfg)[1].count() == 0
 
 
+def test_texts_of_one_template_are_not_paired(spark):
+    """Two hundred texts share two thirds of their wording: no link, and hardly a candidate, though all meet in the buckets; real copies among them are found."""
+    r = random.Random(9)
+    frame = r.choices(VOCABULARY, k=150)
+    rows = [(i, " ".join(frame + [f"own{i}x{k}" for k in range(75)]), "a") for i in range(1, 201)]
+    rows += [(300 + i, rows[i][1].replace(f"own{i + 1}x7 ", ""), "a") for i in (3, 50)]
+    cfg = neardup.NearDup(phrase=3, threshold=0.7, crowd=20)
+    rare = neardup._over_rare_phrases(docs(spark, rows), cfg)
+    assert sorted((x["a"], x["b"]) for x in rare.collect()) == [(4, 303), (51, 350)]
+    members, links = neardup.near_duplicates(docs(spark, rows), cfg)
+    assert sorted(map(tuple, links.collect())) == [(4, 303), (51, 350)] and members.count() == 202
+
+
+def test_equal_hashes_within_a_text_are_not_in_common():
+    p, bounds = words.whole_phrases(["a b c a b c a b c", "", "a b c"], 3)
+    assert np.diff(bounds).tolist() == [3, 0, 1] and p[bounds[2]] in p[: bounds[1]] and (np.diff(p[:3].astype(np.float64)) > 0).all()
+    assert len(words.whole_phrases(["a b"], 3)[0]) == 0
+
+
 def test_likelihood_is_close():
     r, cfg = np.random.RandomState(0), neardup.NearDup(bands=64)
     for share in (0.1, 0.5, 0.9):
@@ -384,6 +404,44 @@ def test_subjects(spark):
     assert subjects.assign(table.limit(0), model).count() == 0
 
 
+def test_every_source_counts():
+    """More sources than columns, and more than any list: each has a column, and the model can tell them."""
+    texts = [f"The court of {VOCABULARY[i % 400]} met." for i in range(200)]
+    for n in (40, 100):
+        model = subjects.train(texts, [f"s{i % n}" for i in range(200)], ["en"] * 200, [{"law"} if i % n == n - 1 else set() for i in range(200)], ["law"])
+        assert len(model.sources) == n and len(set(model.sources.values())) == min(n, subjects.SOURCE_COLUMNS)
+        x = subjects.features(texts[:2], [f"s{n - 1}", "unknown"], model.index, model.weights, model.sources)
+        assert x[0, -min(n, subjects.SOURCE_COLUMNS) :].sum() == 1 and x[1, -min(n, subjects.SOURCE_COLUMNS) :].sum() == 0
+
+
+def test_sample_is_bounded_but_never_empty(spark, monkeypatch):
+    rows = _corpus(60, 3)
+    table = docs(spark, [(i, t, "talk") for i, t, _ in rows] + [(900, "court " * 5000, "talk")])
+    lab = spark.createDataFrame([(i, s, "r") for i, _, true in rows for s in (true or {"none"})] + [(900, "law", "r")], "doc_id long, subject string, annotator string")
+    subj = spark.createDataFrame([("law", ""), ("music", ""), ("sport", "")], "subject string, description string")
+    taken = []
+    monkeypatch.setattr(subjects, "train", lambda texts, *_: taken.append(sorted(map(len, texts))))
+    for limit, want in ((10**9, 61), (10_000, None), (1, 1)):
+        monkeypatch.setattr(subjects, "SAMPLE_CHARACTERS", limit)
+        subjects.fit(table, lab, subj)
+        assert len(taken[-1]) == want if want else 5 < len(taken[-1]) < 61 and sum(taken[-1]) <= limit
+    monkeypatch.setattr(subjects, "SAMPLE_CHARACTERS", 10**9)
+    subjects.fit(table, lab, subj, sample=7)
+    assert len(taken[-1]) == 7
+
+
+def test_closings_end_however_far():
+    far = "<pre>code. here.</pre" + " " * 500 + "> After it."
+    assert subjects.plain(far).split() == ["After", "it."]
+    assert subjects.plain("\\begin{align" + "*}x. y.\\end{align*} After.").split() == ["After."]
+
+
+def test_short_items_and_headings():
+    count = lambda t: len(subjects._sentences([t])[2])
+    assert count("# Only a heading of six words\n\nText here.") == 1 and count("# one\n# two\n# three") == 3
+    assert count("* a\n* b c\n\t* d") == 3 and count("1. x\n2. y") == 2 and count("## Two words\n\n- z") == 1
+
+
 def test_sentences_count_items_but_not_headings():
     text = "== Head line here ==\n\nOne two three. Four five!\n\n* item one two three\n* item four five six\n\n<pre>\ncode here. more.\n</pre>\n{| class=x\n| a b c d\n|}\nloose line without stop\n"
     _, number, of = subjects._sentences([text, "", "Only one."])
