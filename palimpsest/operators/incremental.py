@@ -19,7 +19,7 @@ from palimpsest.session import maybe_broadcast, publish, published, remove
 
 LEAF_BITS, FAN_BITS = 8, 8
 #: Key ranges that changed leaves are summed up in at most, for the filter that reaches the scan.
-SPANS = 256
+SPANS = 64
 _TREE = "level int, node long, a long, b long, n long"
 _ELEMENTS = "key long, version long"
 
@@ -74,13 +74,19 @@ def changed_leaves(saved: DataFrame, current: DataFrame, top: int) -> DataFrame:
 
 
 def spans(leaves: DataFrame, most: int = SPANS) -> list[tuple[int, int]]:
-    """Key ranges (first, last) that cover the leaves (node): those of one part of ``most`` equal parts of their span make one range."""
+    """Key ranges (first, last) that cover the leaves (node): those of one part of ``most`` equal parts of their span make one range, those of parts that adjoin too."""
     lo, hi = leaves.agg(F.min("node"), F.max("node")).first()
     if lo is None:
         return []
     part = F.floor((F.col("node") - lo) / ((hi - lo) // most + 1))
     rows = leaves.groupBy(part.alias("part")).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).orderBy("lo").collect()  # at most ``most`` rows
-    return [(r["lo"] << LEAF_BITS, ((r["hi"] + 1) << LEAF_BITS) - 1) for r in rows]
+    out: list[list[int]] = []
+    for part, lo, hi in rows:
+        if out and out[-1][0] == part - 1:
+            out[-1][0], out[-1][2] = part, hi
+        else:
+            out.append([part, lo, hi])
+    return [(lo << LEAF_BITS, ((hi + 1) << LEAF_BITS) - 1) for _, lo, hi in out]
 
 
 def within(elems: DataFrame, ranges: list[tuple[int, int]], leaf: DataFrame) -> DataFrame:
