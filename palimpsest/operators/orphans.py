@@ -61,10 +61,18 @@ HELD, HELD_KEYS = 8192, 1 << 24
 _GROUP = ["field", "chunk", "kind", "period"]
 
 
+def _joined(parts: list):
+    """Sorted distinct values of sorted arrays."""
+    import numpy as np
+
+    return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+
+
 def _rows(held: dict):
+    """Containers of groups, each given by arrays of its keys."""
     import pandas as pd
 
-    return pd.DataFrame([(*g, pack(low)) for g, low in held.items()], columns=[*_GROUP, "bits"]).astype({"chunk": "int64", "period": "int32", "kind": "int32"})
+    return pd.DataFrame([(*g, pack(_joined(low))) for g, low in held.items()], columns=[*_GROUP, "bits"]).astype({"chunk": "int64", "period": "int32", "kind": "int32"})
 
 
 def bitmaps(df: DataFrame) -> DataFrame:
@@ -76,7 +84,7 @@ def bitmaps(df: DataFrame) -> DataFrame:
     def encode(batches):
         import numpy as np
 
-        held: dict[tuple, object] = {}
+        held: dict[tuple, list] = {}
         keys = 0
         for pdf in batches:
             if not len(pdf):
@@ -89,9 +97,13 @@ def bitmaps(df: DataFrame) -> DataFrame:
             at = np.r_[0, np.flatnonzero((g[:4, 1:] != g[:4, :-1]).any(0)) + 1, g.shape[1]]
             for a, b in zip(at[:-1], at[1:], strict=True):
                 name, low = (names[g[0, a]], int(g[3, a]), int(g[1, a]), int(g[2, a])), g[4, a:b].astype(np.uint16)
-                if (old := held.get(name)) is not None:
-                    keys, low = keys - len(old), np.union1d(old, low)
-                held[name], keys = low, keys + len(low)
+                parts = held.setdefault(name, [])
+                parts.append(low)
+                keys += len(low)
+                if len(parts) == 16:  # now and then, so that a hot range takes no more room than its distinct keys
+                    keys -= sum(map(len, parts))
+                    parts[:] = [_joined(parts)]
+                    keys += len(parts[0])
             if len(held) >= HELD or keys >= HELD_KEYS:
                 yield _rows(held)
                 held, keys = {}, 0
@@ -117,13 +129,13 @@ def united(containers: DataFrame) -> DataFrame:
                 name = (field, chunk, kind, period)
                 if name != open_:
                     if open_ is not None:
-                        done[open_] = np.flatnonzero(flags)
+                        done[open_] = [np.flatnonzero(flags)]
                     open_, flags = name, np.zeros(65536, bool)
                 mark(flags, bits)
             if done:
                 yield _rows(done)
         if open_ is not None:
-            yield _rows({open_: np.flatnonzero(flags)})
+            yield _rows({open_: [np.flatnonzero(flags)]})
 
     return containers.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInPandas(unite, _BITMAP)
 
