@@ -247,12 +247,13 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> tuple[DataFram
     members, members_path = stage(sk.select("doc_id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id").distinct(), "members")
     reps = sk.join(members.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
     rows, _ = stage(_bands(reps, cfg), "bands")
-    full, full_path = stage(rows.groupBy("key").count().filter(F.col("count") > cfg.crowd).select("key"), "crowded")
-    full = maybe_broadcast(full, full_path)
-    sparse = rows.join(full, "key", "left_anti")
+    # Most buckets hold one text. The others' members are written with the size of their bucket; sizes are counted map-side first, however hot a bucket.
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    met, _ = stage(rows.join(sizes, "key"), "met")
+    sparse = met.filter(F.col("size") <= cfg.crowd)
     x, y = sparse.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), sparse.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
     near = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(cfg.threshold) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb")
-    crowd, crowd_path = stage(rows.join(full, "key", "left_semi").select("doc_id").distinct(), "crowd")
+    crowd, crowd_path = stage(met.filter(F.col("size") > cfg.crowd).select("doc_id").distinct(), "crowd")
     if not crowd.isEmpty():
         near = near.unionByName(_over_rare_phrases(docs.select("doc_id", "text").join(maybe_broadcast(crowd, crowd_path), "doc_id", "left_semi"), cfg))
     cand, cand_path = stage(near.distinct(), "candidates")
