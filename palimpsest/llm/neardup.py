@@ -248,8 +248,8 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> tuple[DataFram
     reps = sk.join(members.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
     rows, _ = stage(_bands(reps, cfg), "bands")
     # Most buckets hold one text. The others' members are written with the size of their bucket; sizes are counted map-side first, however hot a bucket.
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    met, _ = stage(rows.join(sizes, "key"), "met")
+    sizes, sizes_path = stage(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    met, _ = stage(rows.join(maybe_broadcast(sizes, sizes_path), "key"), "met")
     sparse = met.filter(F.col("size") <= cfg.crowd)
     x, y = sparse.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), sparse.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
     near = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(cfg.threshold) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb")
