@@ -114,21 +114,49 @@ def heavy_keys(df: DataFrame, key: str, order: str, share: float, parts: int | N
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, parts: int | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per key in ``order``; with no keys, over the whole table.
 
-    Only one row per (key, partition) crosses partitions. Ties in ``order`` get some order of their own; NULL values count 0.
-    The sampled ranges are fixed by writing the partitioned rows, so that a retried task can't see other borders.
+    Rows are shuffled once, by range. Each range partition is sorted and summed where it lies and written, so that a retried task can't see other borders.
+    What lies before a partition matters only for the key that it goes on with, so at most one sum a partition is added afterwards, by broadcast.
+    Ties in ``order`` get some order of their own; NULL values count 0.
     """
     from palimpsest.session import stage
 
-    cols = df.columns
-    sorted_rows = range_parts(df, keys, order, parts)
-    w = Window.partitionBy("__part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows, path = stage(sorted_rows, "ranges")
-    v = F.coalesce(F.col(value), F.lit(0))
-    sums = rows.groupBy("__part", *keys).agg(F.sum(v).alias("__sum"))
-    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # rows: partitions, not records
-    base = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
-    local = rows.withColumn("__run", F.sum(v).over(w))
-    on = local["__part"].eqNullSafe(base["__part"])
-    for k in keys:
-        on = on & local[k].eqNullSafe(base[k])
-    return local.join(base, on).select(*[local[c] for c in cols], (F.col("__run") + F.col("__base")).cast("long").alias(out))
+    cols, n, k = df.columns, len(df.columns), len(keys)
+    rows = df.select(
+        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)], *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        F.coalesce(F.col(value).cast("long"), F.lit(0)).alias("_v"),
+    )
+    names, sort = [f"_k{i}" for i in range(k)], [f"_o{i}" for i in range(len(order))]
+    ranged = range_parts(rows, names, sort, parts).sortWithinPartitions(*names, *sort)
+    ranged = ranged.select(*[f"_c{i}" for i in range(n)], *names, "__part", "_v")
+
+    def scan(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last, total = None, 0  # key of the row before, and its sum
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            given, begin = [batch.column(n + i) for i in range(k)], np.zeros(batch.num_rows, bool)
+            for c in given:
+                a, b = c.slice(1), c.slice(0, len(c) - 1)
+                other = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+                begin[1:] |= other.to_numpy(zero_copy_only=False)
+            begin[0] = last is None or tuple(c[0].as_py() for c in given) != last
+            v = np.asarray(batch.column(n + k + 1), np.int64)
+            sums, at = np.cumsum(v), np.flatnonzero(begin)
+            run = sums - np.r_[-total, sums[at] - v[at]][np.cumsum(begin)]
+            last, total = tuple(c[-1].as_py() for c in given), int(run[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(run)], [*batch.schema.names, "__run"])
+
+    local, _ = stage(ranged.mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema.fields) + ", __run long"), "ranges")
+    sums = local.groupBy("__part", *names).agg(F.sum("_v").alias("__sum"))
+    before = Window.partitionBy(*names).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # rows: partitions, not records
+    # Only a key that goes over the border of a partition has something before it there: a row a partition.
+    base, _ = stage(sums.withColumn("__base", F.sum("__sum").over(before)).filter("__base IS NOT NULL").select(F.col("__part").alias("_p"), *[F.col(c).alias(f"_b{c}") for c in names], "__base"), "base")
+    on = F.col("__part") == F.col("_p")
+    for c in names:
+        on = on & F.col(c).eqNullSafe(F.col(f"_b{c}"))
+    both = local.join(F.broadcast(base), on, "left")
+    return both.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(cols)], (F.col("__run") + F.coalesce("__base", F.lit(0))).cast("long").alias(out))
