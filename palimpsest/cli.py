@@ -35,12 +35,27 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def to_server(store, server: dict[str, str], before: dict) -> dict:
+    """Merge what the index got since the state ``before`` into the server's; returns the state now."""
+    from palimpsest.sources import postgres
+
+    url, properties = postgres.jdbc(server)
+    now = store.state()
+    if now != before:
+        postgres.merge_tables(store.since(before), postgres.connector(server), postgres.stage_by_jdbc(url, properties))
+    return now
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, stream=sys.stderr, format="%(asctime)s %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     from palimpsest.session import local_session
+    from palimpsest.sources import postgres
 
+    server = postgres.settings() if not args.no_db and not args.parquet else None
+    if server:
+        postgres.check_tables(postgres.connector(server))
     if args.command == "build":
         source = args.dir or args.input
         if not source or (args.dir and not args.output):
@@ -50,13 +65,17 @@ def main(argv: list[str] | None = None) -> int:
 
         spark = local_session(args.jobs)
         index = None if args.no_db or args.parquet else os.path.join(args.output or ".", args.db)
+        from palimpsest.operators.index import IndexStore
+
+        before = IndexStore(spark, index).state() if server and index else {}
         out = build(spark, source, args.output, args.namespace, args.domain, index, args.parquet, large_pages=args.large_pages)
         if args.sqlite and index:
-            from palimpsest.operators.index import IndexStore
             from palimpsest.sources.sqlite import KEYS, write_sqlite
 
             store = IndexStore(spark, index)
             write_sqlite({t: store.read(t) for t in KEYS}, args.sqlite)
+        if server and index:
+            to_server(IndexStore(spark, index), server, before)
         for row in out.toLocalIterator():
             sys.stdout.write(row["record"])
         return 0
@@ -71,6 +90,8 @@ def main(argv: list[str] | None = None) -> int:
     latest = latest_timestamp(store.read("revisions"), "revision_timestamp").first()[0] if store.exists() else None
     if not latest and args.parquet and exists(spark, args.parquet):
         latest = latest_timestamp(spark.read.parquet(args.parquet)).first()[0]
+    if not latest and server:
+        latest = postgres.latest(postgres.connector(server))
     start = start_of(latest, datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     register(spark)
     feed = spark.readStream.format("recentchanges").option("domain", args.domain).option("start", start).option("namespaces", ",".join(args.namespace or []))
@@ -83,9 +104,21 @@ def main(argv: list[str] | None = None) -> int:
     try:
         recent = RecentlySeen(spark)
         job = (spark, feed.load(), os.path.join(args.output, "_checkpoint"), lookup, store, args.domain, args.output, args.namespace)
-        drain(*job, parquet=args.parquet, no_db=args.no_db, recent=recent)
+
+        def unknown(ids):
+            asked = [r[0] for r in ids.collect()]  # of one micro-batch, whose size the source bounds
+            known = postgres.known_ids(postgres.connector(server), asked)
+            return spark.createDataFrame([(x,) for x in asked if x not in known], "rev_id long")
+
+        state = [store.state()]
+
+        def merged():
+            state[0] = to_server(store, server, state[0])
+
+        more = {"parquet": args.parquet, "no_db": args.no_db, "recent": recent} | ({"elsewhere": unknown, "after": merged} if server else {})
+        drain(*job, **more)
         if args.ongoing:  # what has gathered is taken; from here on the feed is polled
-            run_stream(*job, ongoing=True, interval=args.interval, parquet=args.parquet, no_db=args.no_db, recent=recent).awaitTermination()
+            run_stream(*job, ongoing=True, interval=args.interval, **more).awaitTermination()
     finally:
         spark.streams.removeListener(listener)
     return 0

@@ -2,7 +2,7 @@
 
 The writer is for the sizes SQLite is for: the format allows one writer, so rows
 stream through it, a batch at a time. Larger indexes stay in ``IndexStore``.
-The merge statements are plain SQL with ON CONFLICT, which other databases reached by JDBC take as well.
+The merge statements are plain SQL with ON CONFLICT, which PostgreSQL takes as well (``sources/postgres.py``).
 """
 
 from __future__ import annotations
@@ -113,9 +113,3 @@ class SqliteSource(DataSource):
 def read_sqlite(spark: SparkSession, path: str, table: str) -> DataFrame:
     spark.dataSource.register(SqliteSource)
     return spark.read.format("sqlite_index").option("dbtable", table).load(path)
-
-
-def write_jdbc_staging(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> str:
-    """Stage a table over JDBC (a driver must be on the class path); returns the statement that merges it."""
-    df.select(*schema.INDEX[table].fieldNames()).write.mode("overwrite").jdbc(url, f"staged_{table}", properties=properties)
-    return merge_sql(table, f"staged_{table}")

@@ -138,7 +138,7 @@ class RecentlySeen:
 
 
 def process_batch(
-    spark: SparkSession, feed: DataFrame, lookup, store: IndexStore, domain: str, out_dir: str, namespaces: list[str] | None = None, parquet: str | None = None, no_db: bool = False, recent: RecentlySeen | None = None
+    spark: SparkSession, feed: DataFrame, lookup, store: IndexStore, domain: str, out_dir: str, namespaces: list[str] | None = None, parquet: str | None = None, no_db: bool = False, recent: RecentlySeen | None = None, elsewhere=None
 ) -> dict:
     """One cycle: page side-output, anti-join against what is known, content lookup, archive append, index merge or metadata export.
 
@@ -159,6 +159,8 @@ def process_batch(
         fresh = fresh.join(known.filter("type = 'revision'").select("rev_id").distinct(), "rev_id", "left_anti")
     if recent:
         fresh = recent.unseen(fresh)
+    if elsewhere:  # a database that knows revisions, asked for those of this batch
+        fresh = elsewhere(fresh)
     got, got_path = stage(lookup(fresh).filter("rev_id <> 0 AND timestamp <> ''"), "contents")
     one = first_wins(got, ["rev_id"], ["timestamp"])
     archives = DailyArchives(out_dir)
@@ -213,16 +215,19 @@ class ProgressLog(StreamingQueryListener):
         LOG.info("sync ended%s", f": {event.exception}" if event.exception else "")
 
 
-def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None, parquet: str | None = None, no_db: bool = False, recent: RecentlySeen | None = None, taken: list | None = None):
+def run_stream(spark: SparkSession, feed: DataFrame, checkpoint: str, lookup, store: IndexStore, domain: str, out_dir: str, namespaces=None, ongoing: bool = False, interval: int | None = None, parquet: str | None = None, no_db: bool = False, recent: RecentlySeen | None = None, taken: list | None = None, elsewhere=None, after=None):
     """Start following ``feed`` (a stream of items). Run once takes what is available, up to one batch of a bounded source (see ``drain``); ongoing polls.
 
-    Sinks as in ``process_batch``. Revisions of the last 25 hours are not looked up again. ``taken`` gets the result of each batch.
+    Sinks as in ``process_batch``. Revisions of the last 25 hours are not looked up again. ``taken`` gets the result of each batch, and ``after`` is called when a batch is
+    committed; a batch is taken again if it fails.
     """
     recent = RecentlySeen(spark) if recent is None else recent
 
     def each(batch: DataFrame, epoch: int) -> None:
-        out = process_batch(spark, batch, lookup, store, domain, out_dir, namespaces, parquet, no_db, recent)
+        out = process_batch(spark, batch, lookup, store, domain, out_dir, namespaces, parquet, no_db, recent, elsewhere)
         LOG.info("sync batch %d: %d revisions archived", epoch, out["revisions"])
+        if after:
+            after()
         if taken is not None:
             taken.append(out)
 

@@ -302,3 +302,99 @@ def test_index_parts_are_compacted(spark, tmp_path, monkeypatch):
     assert store.read("revisions").filter("revision_id = 1").first()["offset_begin"] == 1
     ids = [r["id"] for r in store.read("documents").collect()]
     assert sorted(ids) == [1, 2, 3, 4] and store.read("domains").count() == 1 and store.read("web_resources").count() == 3
+
+
+# --- a database server ---
+
+
+class Busy(Exception):
+    sqlstate = "40P01"
+
+
+@pytest.fixture()
+def server(tmp_path):
+    """A stand-in for the server: DB-API connections to a file, which takes the same statements; ``fails`` deadlocks so many times."""
+    import sqlite3
+
+    from palimpsest.sources.sqlite import KEYS, ddl
+
+    path, state = str(tmp_path / "server.db"), {"fails": 0, "error": Busy("deadlock detected")}
+    with sqlite3.connect(path) as db:
+        for t in ("containers", *KEYS):
+            db.execute(ddl(t))
+
+    class Connection:
+        def __init__(self):
+            self.db = sqlite3.connect(path)
+            self.cursor, self.rollback, self.close = self.db.cursor, self.db.rollback, self.db.close
+
+        def commit(self):
+            if state["fails"]:
+                state["fails"] -= 1
+                raise state["error"]
+            self.db.commit()
+
+    def stage(df, name):
+        with sqlite3.connect(path) as db:
+            db.execute(f"DROP TABLE IF EXISTS {name}")
+            db.execute(f"CREATE TABLE {name} ({', '.join(df.columns)})")
+            db.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(df.columns))})", [tuple(r) for r in df.collect()])
+
+    return Connection, stage, state
+
+
+def test_server_merges(spark, dumps, tmp_path, server):
+    from palimpsest.sources import postgres
+    from palimpsest.sources.sqlite import KEYS
+
+    connect, stage, state = server
+    out = str(tmp_path / "out")
+    build(spark, dumps, out, index=out + "/index")
+    tables = {t: IndexStore(spark, out + "/index").read(t) for t in KEYS}
+    db = connect().db
+    with db:  # the server has rows and ids of its own
+        db.execute("INSERT INTO domains (id, value) VALUES (40, 'other.org'), (41, 'en.wiki.example')")
+        db.execute("INSERT INTO documents (id, title) VALUES (90, 'Empty')")
+    state["fails"] = 2
+    assert postgres.merge_tables(tables, connect, stage) == 3  # two deadlocks, then it goes through, once
+    assert postgres.merge_tables(tables, connect, stage) == 1
+    ask = lambda sql: sorted(db.execute(sql).fetchall())
+    assert ask("SELECT DISTINCT domain_id FROM web_resources") == [(41,)] and ask("SELECT count(*) FROM domains") == [(2,)]
+    local = {r["id"]: r["title"] for r in tables["documents"].collect()}
+    assert ask("SELECT url_hash, title FROM web_resources w JOIN documents d ON d.id = instance_of_document") == sorted((r["url_hash"], local[r["instance_of_document"]]) for r in tables["web_resources"].collect())
+    assert ask("SELECT id FROM documents WHERE title = 'Empty'") == [(90,)]
+    files = {r["id"]: r["file_path"] for r in tables["revision_bundles"].collect()}
+    want = sorted((r["revision_id"], files[r["found_in_bundle"]], r["offset_begin"], r["length"]) for r in tables["revisions"].collect())
+    assert ask("SELECT revision_id, file_path, offset_begin, length FROM revisions JOIN revision_bundles b ON b.id = found_in_bundle") == want and len(want) > 2
+    assert db.execute("SELECT count(*) FROM sqlite_master WHERE name LIKE 'staged%'").fetchone()[0] == 0
+    assert postgres.known_ids(connect, [10, 11, 99] + list(range(1000, 1600))) == {10, 11} and postgres.latest(connect) == "2024-01-03T00:00:00Z"
+    store = IndexStore(spark, out + "/index")
+    state0 = store.state()
+    new = {t: df.count() for t, df in store.since({}).items()}
+    assert new == {t: df.count() for t, df in tables.items()} and not any(df.count() for t, df in store.since(state0).items() if t != "domains")
+    state["fails"], state["error"] = 1, ValueError("something else")
+    moved = tables["domains"].withColumn("value", F.lit("z.org"))
+    with pytest.raises(ValueError):
+        postgres.merge_tables({"domains": moved.withColumn("id", F.lit(77).cast("long"))}, connect, stage)
+    state["fails"], state["error"] = 9, Busy("deadlock detected")
+    with pytest.raises(Busy):
+        postgres.merge_tables({"domains": moved.withColumn("id", F.lit(77).cast("long"))}, connect, stage)
+    assert db.execute("SELECT count(*) FROM domains WHERE value = 'z.org'").fetchone()[0] == 0
+
+
+def test_server_settings_and_tables():
+    from palimpsest.sources import postgres
+
+    assert postgres.settings({}) is None and postgres.settings({"DATABASE": "sqlite"}) is None
+    env = {"DATABASE": "postgres", "DB_HOST": "h", "DB_PORT": "5", "DB_NAME": "n", "DB_USER": "u", "DB_PASS": "p"}
+    assert postgres.jdbc(postgres.settings(env))[0] == "jdbc:postgresql://h:5/n"
+    with pytest.raises(ValueError, match="DB_PASS"):
+        postgres.settings({k: v for k, v in env.items() if k != "DB_PASS"})
+
+    class Cursor:
+        execute = staticmethod(lambda sql: None)
+        fetchall = staticmethod(lambda: [("documents",), ("domains",)])
+
+    db = type("D", (), {"cursor": lambda self: Cursor, "close": lambda self: None})
+    with pytest.raises(RuntimeError, match="containers, web_resources, revision_bundles, revisions"):
+        postgres.check_tables(db)
