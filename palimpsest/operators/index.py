@@ -153,17 +153,16 @@ class IndexStore:
         return self._pointer()
 
     def since(self, before: dict) -> dict[str, DataFrame]:
-        """Rows of resources and revisions that were published after the state ``before``, with the rows of other tables that they refer to.
+        """Rows that were published after the state ``before``, with the rows of other tables that they refer to.
 
         A table that was rewritten since comes whole.
         """
         now = self._pointer()
-        new = {t: self._parts(t, [p for p in now.get(t, []) if p not in before.get(t, [])]) for t in ("web_resources", "revisions", "documents")}
-        named = lambda t, column: new[t].select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct()
-        linked = named("web_resources", "instance_of_document").unionByName(new["documents"].select("id")).distinct()
+        new = {t: self._parts(t, [p for p in now.get(t, []) if p not in before.get(t, [])]) for t in ("web_resources", "revisions", "documents", "revision_bundles")}
+        named = lambda t, user, column: self.read(t).join(new[user].select(F.col(column).alias("id")).unionByName(new[t].select("id")).distinct(), "id", "left_semi")
         return {
-            "domains": self.read("domains"), "documents": self.read("documents").join(linked, "id", "left_semi"), "web_resources": new["web_resources"],
-            "revision_bundles": self.read("revision_bundles").join(named("revisions", "found_in_bundle"), "id", "left_semi"), "revisions": new["revisions"],
+            "domains": self.read("domains"), "documents": named("documents", "web_resources", "instance_of_document"), "web_resources": new["web_resources"],
+            "revision_bundles": named("revision_bundles", "revisions", "found_in_bundle"), "revisions": new["revisions"],
         }
 
     def _write(self, name: str, df: DataFrame) -> str:
