@@ -7,12 +7,12 @@ import time
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest import schema
 from palimpsest.functions import page_url, url_hash
-from palimpsest.session import Superseded, publish, published
+from palimpsest.session import Superseded, publish, published, stage
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -66,11 +66,17 @@ def next_ids(keys: DataFrame, key: str, start: Column | int = 0, parts: int | No
     return out.select(key, (F.col("_n") + start).cast("long").alias("id"))
 
 
+#: So many new keys, those of a micro-batch say, are numbered by one task; more by range partitions.
+ONE_TASK_KEYS = 100_000
+
+
 def dimension_rows(existing: DataFrame, values: DataFrame, key: str) -> DataFrame:
     """Rows for the values of ``key`` that ``existing`` lacks, with the ids that follow; other columns are NULL."""
-    new = values.select(key).filter(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti")
+    new, _ = stage(values.select(key).filter(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti"), "new")
     top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top")).scalar()
-    rows = next_ids(new, key).withColumn("id", F.col("id") + top)
+    few = new.count() <= ONE_TASK_KEYS
+    numbered = new.select(key, F.row_number().over(Window.orderBy(key)).cast("long").alias("id")) if few else next_ids(new, key)
+    rows = numbered.withColumn("id", F.col("id") + top)
     return rows.select(*[F.col(f.name) if f.name in (key, "id") else F.lit(None).cast(f.dataType).alias(f.name) for f in existing.schema.fields])
 
 
