@@ -135,6 +135,10 @@ def _sketches(docs: DataFrame, cfg: NearDup) -> DataFrame:
 
 
 def _bands(reps: DataFrame, cfg: NearDup) -> DataFrame:
+    """(key, doc_id, n, crowd): a row for each text and band. Of a bucket that is crowded in a batch already, ``crowd`` + 1 members keep its key, which is enough to
+    know it by; the others come with a key of their own and the flag, so a hot bucket is not sent whole to one task.
+    """
+
     def run(batches):
         import numpy as np
         import pandas as pd
@@ -148,9 +152,78 @@ def _bands(reps: DataFrame, cfg: NearDup) -> DataFrame:
             h = np.broadcast_to(mix(np.arange(cfg.bands, dtype=np.uint64) + np.uint64(77)), k.shape[:2])
             for r in range(cfg.rows):
                 h = mix(h ^ k[:, :, r])
-            yield pd.DataFrame({"key": h.ravel().view(np.int64), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), cfg.bands), "n": np.repeat(pdf["n"].to_numpy(), cfg.bands)})
+            key, doc = h.ravel(), np.repeat(pdf["doc_id"].to_numpy(np.int64), cfg.bands)
+            order = np.argsort(key, kind="stable")
+            begin = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+            nth = np.arange(len(key)) - np.repeat(begin, np.diff(np.r_[begin, len(key)]))
+            over = np.zeros(len(key), bool)
+            over[order] = nth > cfg.crowd
+            key = np.where(over, mix(doc.view(np.uint64)), key)
+            yield pd.DataFrame({"key": key.view(np.int64), "doc_id": doc, "n": np.repeat(pdf["n"].to_numpy(), cfg.bands), "crowd": over})
+
+    return reps.select("doc_id", "n", "regs").mapInPandas(run, "key long, doc_id long, n int, crowd boolean")
+
+
+def bucket_pairs(key, doc, n, cfg: NearDup):
+    """(a, b, na, nb) of whole buckets of at most ``crowd`` members, rows sorted by bucket and size: pairs whose sizes allow the threshold."""
+    import numpy as np
+
+    group = np.cumsum(np.r_[True, key[1:] != key[:-1]])
+    at, parts = np.arange(len(key) - 1), []
+    for d in range(1, cfg.crowd):
+        at = at[at + d < len(key)]
+        # Sizes ascend within a bucket: a partner that is too large is followed by larger ones.
+        at = at[(group[at] == group[at + d]) & (n[at] >= cfg.threshold * n[at + d] - 1e-9)]
+        if not len(at):
+            break
+        parts.append(np.stack([at, at + d]))
+    i, j = np.concatenate(parts, 1) if parts else np.empty((2, 0), np.int64)
+    swap = doc[i] > doc[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    other = doc[i] != doc[j]
+    i, j = i[other], j[other]
+    return doc[i], doc[j], n[i], n[j]
+
+
+def _met(rows: DataFrame, cfg: NearDup) -> DataFrame:
+    """(a, b, na, nb): pairs that meet in a bucket; b is NULL for members of crowded buckets. Buckets come one after another out of a sort, and a task holds ``crowd``
+    members of one at most.
+    """
 
-    return reps.select("doc_id", "n", "regs").mapInPandas(run, "key long, doc_id long, n int")
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        def shown(a, b=None, na=None, nb=None):
+            none = pd.array([None] * len(a), "Int64")
+            return pd.DataFrame({"a": a, "b": none if b is None else pd.array(b, "Int64"), "na": none if na is None else pd.array(na, "Int64"), "nb": none if nb is None else pd.array(nb, "Int64")})
+
+        held, full = None, None  # rows of the bucket that is going on; the bucket found to be crowded
+        for pdf in batches:
+            flags = pdf["crowd"].to_numpy(bool)
+            if flags.any():
+                yield shown(np.unique(pdf["doc_id"].to_numpy(np.int64)[flags]))
+            key, doc, n = (pdf[c].to_numpy(np.int64)[~flags] for c in ("key", "doc_id", "n"))
+            if held is not None:
+                key, doc, n = (np.concatenate(x) for x in zip(held, (key, doc, n), strict=True))
+            if not len(key):
+                held = None
+                continue
+            begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[begin, len(key)])
+            crowded = np.repeat((size > cfg.crowd) | (key[begin] == full), size)
+            if crowded.any():
+                yield shown(np.unique(doc[crowded]))
+            last = np.arange(len(key)) >= begin[-1]
+            full = key[-1] if crowded[-1] else None
+            done = ~crowded & ~last
+            held = None if crowded[-1] else (key[last], doc[last], n[last])
+            if done.any():
+                yield shown(*bucket_pairs(key[done], doc[done], n[done], cfg))
+        if held is not None:
+            yield shown(*bucket_pairs(*held, cfg))
+
+    return rows.repartition("key").sortWithinPartitions("key", "n", "doc_id").mapInPandas(run, "a long, b long, na int, nb int")
 
 
 def _estimated(pairs: DataFrame, cfg: NearDup) -> DataFrame:
@@ -246,14 +319,9 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> tuple[DataFram
     classes = sk.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class_id"))
     members, members_path = stage(sk.select("doc_id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("doc_id", "class_id").distinct(), "members")
     reps = sk.join(members.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
-    rows, _ = stage(_bands(reps, cfg), "bands")
-    # Most buckets hold one text. The others' members are written with the size of their bucket; sizes are counted map-side first, however hot a bucket.
-    sizes, sizes_path = stage(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-    met, _ = stage(rows.join(maybe_broadcast(sizes, sizes_path), "key"), "met")
-    sparse = met.filter(F.col("size") <= cfg.crowd)
-    x, y = sparse.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), sparse.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    near = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(cfg.threshold) * F.greatest("na", "nb") - 1e-9)).select("a", "b", "na", "nb")
-    crowd, crowd_path = stage(met.filter(F.col("size") > cfg.crowd).select("doc_id").distinct(), "crowd")
+    met, _ = stage(_met(_bands(reps, cfg), cfg), "met")
+    near = met.filter("b IS NOT NULL")
+    crowd, crowd_path = stage(met.filter("b IS NULL").select(F.col("a").alias("doc_id")).distinct(), "crowd")
     if not crowd.isEmpty():
         near = near.unionByName(_over_rare_phrases(docs.select("doc_id", "text").join(maybe_broadcast(crowd, crowd_path), "doc_id", "left_semi"), cfg))
     cand, cand_path = stage(near.distinct(), "candidates")
