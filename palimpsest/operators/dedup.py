@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from palimpsest.session import publish, published, remove
 
 #: Runs are merged when there are so many; a prefix should hold no more identifiers than this; least number of prefix bits.
-MERGE_AT, PREFIX_IDS, LEAST_BITS = 8, 1_000_000, 4
+MERGE_AT, PREFIX_IDS, LEAST_BITS = 3, 1_000_000, 4
 _ARRAYS = ("h", "a", "b", "row")
 _RUN = "bucket long, h binary, a binary, b binary, row binary, n long"
 
@@ -29,6 +29,15 @@ def bits_for(ids: int) -> int:
     return max(LEAST_BITS, (max(ids, 1) // PREFIX_IDS).bit_length())
 
 
+def tail(sizes: list[int]) -> int:
+    """How many of the last runs to merge: an older run is taken in if what is merged already is at least half of it, so large runs are seldom written again."""
+    count, total = 1, sizes[-1]
+    while count < len(sizes) and (count < 2 or 2 * total >= sizes[-count - 1]):
+        total += sizes[-count - 1]
+        count += 1
+    return count
+
+
 def load(folder: str, held: int, bucket: int, bits: int, names=_ARRAYS[:3]):
     """Arrays of one prefix of ``bits`` bits out of a run that has prefixes of ``held`` bits, in order of the hash."""
     import numpy as np
@@ -124,7 +133,7 @@ class DedupIndex:
         n = run.agg(F.sum("n")).first()[0] or 0
         number = publish(self.spark, self.root, number, json.dumps([*runs, {"name": name, "bits": bits, "n": n}]))
         if len(runs) + 1 >= MERGE_AT:
-            self.merge()
+            self.merge(tail([*[r["n"] for r in runs], n]))
 
         def spread(batches):
             import numpy as np
@@ -137,9 +146,12 @@ class DedupIndex:
         kept = run.select("a", "b", "row").mapInPandas(spread, "a long, b long, row long")
         return kept.select(F.col("a").alias(a), F.col("b").alias(b), F.col("row").alias(row))
 
-    def merge(self) -> None:
-        """Merge all runs into one: the task of a prefix takes its slices of all runs. Merged runs stay for readers until ``vacuum``."""
-        number, runs = self._state()
+    def merge(self, last: int | None = None) -> None:
+        """Merge all runs, or so many of the last, into one: the task of a prefix takes its slices of all of them. Merged runs stay for readers until ``vacuum``."""
+        number, old = self._state()
+        runs = old[-last:] if last else old
+        if not runs:
+            return
         total, name = sum(r["n"] for r in runs), f"run-{uuid.uuid4().hex}"
         bits = bits_for(total)
         folders = [(f"{self.root}/{r['name']}", r["bits"]) for r in runs]
@@ -156,7 +168,7 @@ class DedupIndex:
         tasks = min(1 << bits, max(self.spark.sparkContext.defaultParallelism, 1 << (bits - LEAST_BITS)))
         merged = self.spark.range(0, 1 << bits, 1, tasks).mapInPandas(unite, "bucket long, h binary, a binary, b binary, n long")
         merged.write.partitionBy("bucket").parquet(f"{self.root}/{name}")
-        publish(self.spark, self.root, number, json.dumps([{"name": name, "bits": bits, "n": total}]))
+        publish(self.spark, self.root, number, json.dumps([*old[: len(old) - len(runs)], {"name": name, "bits": bits, "n": total}]))
 
     def vacuum(self) -> None:
         """Remove what no published version needs; kept copies of earlier batches can't be read afterwards."""

@@ -144,7 +144,7 @@ def p3_found(spark, d):
 
 
 #: The log's batches reach the index in so many turns, one after another; runs are merged on the way.
-P4_TURNS = 15
+P4_TURNS = 5
 
 
 @query("p4_found", f"WITH {_USABLE} SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTITION BY revision_id, i ORDER BY delivery_id) AS k FROM u WHERE i IS NOT NULL) WHERE k > 1")

@@ -309,12 +309,13 @@ def test_one_copy_stays(spark, tmp_path, monkeypatch):
 def test_lookup_compares_identifiers_of_equal_hash():
     import numpy as np
 
-    from palimpsest.operators.dedup import bits_for, lookup, packed
+    from palimpsest.operators.dedup import bits_for, lookup, packed, tail
 
     h, a, b = np.array([5, 5, 5, -1]), np.array([1, 2, 3, 9]), np.array([1, 1, 1, 9])
     out = packed(0, h, a, b, a)
     run = [np.frombuffer(out[c][0], "<i8") for c in ("h", "a", "b")]
     assert lookup(np.array([5, 5, -1, 7]), np.array([3, 4, 9, 1]), np.array([1, 1, 9, 1]), run).tolist() == [True, False, True, False]
+    assert tail([100, 1, 1, 1]) == 3 and tail([4, 1, 1, 1]) == 4 and tail([100, 1]) == 2 and tail([5]) == 1
     assert bits_for(0) == bits_for(10**6) == 4 and bits_for(10**9) == 10
 
 
