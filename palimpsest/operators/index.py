@@ -212,10 +212,10 @@ class IndexStore:
             return old(name).unionByName(self._parts(name, [added[name]]))
 
         sites = siteinfo.select("file", "domain").distinct()
-        pages = pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(old("rejected_pages"))
+        pages, _ = stage(pages.select("file", "page_id", F.col("ns").cast("long").alias("ns"), "title", "seq").unionByName(old("rejected_pages")), "pages")
         held = pages.join(sites, "file", "left_anti").distinct()
         domains = grown("domains", dimension_rows(old("domains"), sites.select(F.col("domain").alias("value")), "value"))
-        known = pages.join(sites, "file").join(domains.select(F.col("value").alias("domain"), F.col("id").alias("domain_id")), "domain")
+        known, _ = stage(pages.join(sites, "file").join(domains.select(F.col("value").alias("domain"), F.col("id").alias("domain_id")), "domain"), "known")
         documents = grown("documents", dimension_rows(old("documents"), pages.select("title"), "title"))
         added["web_resources"] = self._write("web_resources", changed_resources(old("web_resources"), known, documents))
         bundles = grown("revision_bundles", dimension_rows(old("revision_bundles"), revisions.select("file_path"), "file_path"))
@@ -232,9 +232,10 @@ def changed_resources(old: DataFrame, pages: DataFrame, documents: DataFrame) ->
 
     Only resources of the pages' addresses, or of their (domain, page), can change, so no other row is shuffled with its columns.
     """
-    rows = resources_of(pages)
+    rows, _ = stage(resources_of(pages), "resources")
     of = pages.select("domain_id", F.col("page_id").alias("numeric_page_id")).distinct()
-    touched = old.join(rows.select("url_hash").distinct(), "url_hash", "left_semi").unionByName(old.join(of, ["domain_id", "numeric_page_id"], "left_semi")).dropDuplicates(["url_hash"])
+    same = old.join(rows.select("url_hash").distinct(), "url_hash", "left_semi").select(*old.columns)
+    touched, _ = stage(same.unionByName(old.join(of, ["domain_id", "numeric_page_id"], "left_semi").select(*old.columns)).dropDuplicates(["url_hash"]), "touched")
     ids = touched.select("id", "url_hash").unionByName(dimension_rows(old.select("id", "url_hash"), rows.select("url_hash"), "url_hash").select("id", "url_hash"))
     merged = upsert(touched.drop("id"), rows, "url_hash", ["seq"]).join(ids, "url_hash")
     now = backfill_documents(merged, pages, documents).select(*old.columns)
