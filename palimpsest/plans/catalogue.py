@@ -507,19 +507,15 @@ def feed_replay(spark, d):
 
     root, local = _mounted(spark, "replay")
     os.makedirs(local, exist_ok=True)
-    items = rc(spark, d).withColumn("page", F.expr(f"(seq - 1) div {PAGE_SIZE}"))
+    items = rc(spark, d).withColumn("page", F.expr(f"(seq - 1) div {PAGE_SIZE}")).repartitionByRange("page")
     item = F.to_json(F.struct("revid", "pageid", "ns", "title", "timestamp"))
     pages = items.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("seq", item.alias("item")))).alias("x"))
     line = F.concat(F.lit('{"query": {"recentchanges": ['), F.array_join(F.transform("x", lambda x: x["item"]), ", "), F.lit("]}}"))
-    # One recorded session is one file; it is sorted by range and written part by part.
-    pages.select("page", line.alias("value")).repartitionByRange("page").sortWithinPartitions("page").select("value").write.text(f"{root}/parts")
-    with open(f"{local}/replies.jsonl", "wb") as out:
-        for name in sorted(x for x in os.listdir(f"{local}/parts") if x.startswith("part-")):
-            with open(f"{local}/parts/{name}", "rb") as part:
-                out.write(part.read())
+    # One recorded session is one folder: its parts are ranges, in the order of their names.
+    pages.select("page", line.alias("value")).sortWithinPartitions("page").select("value").write.option("compression", "gzip").text(f"{root}/replies")
     register(spark)
     start = "1970-01-01T00:00:00Z"
-    stream = spark.readStream.format("recentchanges").option("start", start).option("replay", f"{local}/replies.jsonl").load()
+    stream = spark.readStream.format("recentchanges").option("start", start).option("replay", f"{local}/replies").load()
     while True:
         got = []
 
@@ -527,11 +523,15 @@ def feed_replay(spark, d):
             got.append(epoch)
             batch.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
 
-        stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+        run = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/state").start()
+        try:
+            run.processAllAvailable()  # a run once takes one batch, and starting one costs more than a batch
+        finally:
+            run.stop()
         if not got:
             break
     rows = spark.read.schema(ITEM_SCHEMA).option("basePath", f"{root}/rows").parquet(f"{root}/rows") if os.path.isdir(f"{local}/rows") else spark.createDataFrame([], ITEM_SCHEMA)
-    return sync.valid_items(rows, ["0", "2"]).select("revid", "pageid", "ns", "title", "timestamp").distinct()
+    return sync.valid_items(rows, ["0", "2"]).select("revid", "pageid", "ns", "title", "timestamp")
 
 
 _DAILY = """

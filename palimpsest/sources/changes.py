@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import logging
 import os
@@ -63,26 +64,104 @@ def feed_pages(fetch: Callable[[dict], dict], start: str, namespaces: list[str]
             return
 
 
-def replayed(path: str) -> Callable[[dict], dict]:
+class Recording:
     """Recorded replies, one JSON a line: feed pages, whose continuation token is the number of the next page, and contents, found by revision.
 
-    Pages whose items are all older than the start are passed over, as the interface does.
+    ``path`` is a file, or a folder whose files follow each other by name; those named .gz are unpacked. Pages whose items are all older than the start are
+    passed over, as the interface does. A line is parsed when the way comes to it, and its place is kept: a step costs one page, however long the recording is.
+    Places are forgotten when a file changes, and found again where a copy is sent to.
     """
 
-    def fetch(params: dict) -> dict:
-        with open(path, encoding="utf-8") as f:
-            replies = [json.loads(x) for x in f if x.strip()]
+    def __init__(self, path: str):
+        self.path, self.files, self.file = path, None, (None, None)
+
+    def __reduce__(self):
+        return type(self), (self.path,)
+
+    def _look(self) -> None:
+        if os.path.isdir(self.path):
+            names = [os.path.join(self.path, x) for x in sorted(os.listdir(self.path)) if x[0] not in "._"]
+        else:
+            names = [self.path]
+        files = [(x, s.st_size, s.st_mtime_ns) for x in names for s in [os.stat(x)]]
+        if files != self.files:
+            self.files, self.lines = files, self._lines(names)
+            self.pages: list[tuple[str, int, str | None]] = []  # of each feed page: file, place, newest instant
+            self.held: dict[int, dict[tuple[str, int], None]] = {}  # places of a revision's contents
+            self.parsed: tuple[int, dict] = (-1, {})  # the page that was come to last
+            self.way: tuple[str, list[int], int] = ("", [], 0)  # start, pages not older, pages looked at
+            self._close()
+
+    def _close(self) -> None:
+        if self.file[1]:
+            self.file[1].close()
+        self.file = (None, None)
+
+    @staticmethod
+    def _open(name: str):
+        return gzip.open(name) if name.endswith(".gz") else open(name, "rb")  # noqa: SIM115
+
+    def _lines(self, names: list[str]) -> Iterator[tuple[str, int, bytes]]:
+        for name in names:
+            with self._open(name) as f:
+                at = 0
+                for line in f:
+                    if line.strip():
+                        yield name, at, line
+                    at += len(line)
+
+    def _next(self) -> bool:
+        """Go on to the next feed page; False at the end."""
+        for name, at, line in self.lines:
+            query = (reply := json.loads(line)).get("query", {})
+            for p in query.get("pages", []):
+                for v in p.get("revisions", []):
+                    self.held.setdefault(v["revid"], {})[name, at] = None
+            if "recentchanges" in query:
+                self.parsed = (len(self.pages), reply)
+                self.pages.append((name, at, max((x.get("timestamp") or "~" for x in query["recentchanges"]), default=None)))
+                return True
+        return False
+
+    def _reply(self, name: str, at: int) -> dict:
+        """The reply at a place. Its file stays open, as the next one asked for mostly stands behind it."""
+        if self.file[0] != name:
+            self._close()
+            self.file = (name, self._open(name))
+        self.file[1].seek(at)
+        return json.loads(self.file[1].readline())
+
+    def _page(self, start: str, n: int) -> int | None:
+        """Number of the ``n``-th page (from 0) that is not older than ``start``; None beyond the last."""
+        _, found, seen = self.way if self.way[0] == start else (start, [], 0)
+        while len(found) <= n and (seen < len(self.pages) or self._next()):
+            newest = self.pages[seen][2]
+            if newest is not None and newest >= start:
+                found.append(seen)
+            seen += 1
+        self.way = (start, found, seen)
+        return found[n] if n < len(found) else None
+
+    def __call__(self, params: dict) -> dict:
+        self._look()
         if params.get("list") == "recentchanges":
-            old = lambda r: all((x.get("timestamp") or "~") < params["rcstart"] for x in r["query"]["recentchanges"])
-            feed = [r for r in replies if "recentchanges" in r.get("query", {}) and not old(r)]
-            at = int(params.get("rccontinue", 0))
-            reply = {"query": {"recentchanges": [x for x in feed[at]["query"]["recentchanges"] if (x.get("timestamp") or "~") >= params["rcstart"]] if at < len(feed) else []}}
-            return reply | ({"continue": {"rccontinue": str(at + 1)}} if at + 1 < len(feed) else {})
+            start, n = params["rcstart"], int(params.get("rccontinue", 0))
+            if (k := self._page(start, n)) is None:
+                return {"query": {"recentchanges": []}}
+            reply = self.parsed[1] if self.parsed[0] == k else self._reply(*self.pages[k][:2])
+            items = [x for x in reply["query"]["recentchanges"] if (x.get("timestamp") or "~") >= start]
+            return {"query": {"recentchanges": items}} | ({"continue": {"rccontinue": str(n + 1)}} if self._page(start, n + 1) is not None else {})
+        while self._next():
+            pass
         wanted = set(map(int, params["revids"].split("|")))
-        pages = [p for r in replies for p in r.get("query", {}).get("pages", [])]
-        return {"query": {"pages": [p | {"revisions": found} for p in pages if (found := [v for v in p["revisions"] if v["revid"] in wanted])]}}
+        places = sorted({x for i in wanted for x in self.held.get(i, ())})
+        pages = [p for x in places for p in self._reply(*x)["query"]["pages"]]
+        return {"query": {"pages": [p | {"revisions": found} for p in pages if (found := [v for v in p.get("revisions", []) if v["revid"] in wanted])]}}
+
 
-    return fetch
+def replayed(path: str) -> Callable[[dict], dict]:
+    """``Recording`` in place of the live interface."""
+    return Recording(path)
 
 
 #: Feed pages a micro-batch takes at most, 500 changes each: what the driver and a day's archive task hold at once.
@@ -90,10 +169,11 @@ PAGES_PER_BATCH = 100
 
 
 class ChangesReader(SimpleDataSourceStreamReader):
-    """Offset: where the way through the pages began, its continuation token, the last instant seen and how many rows had it.
+    """Offset: where the way through the pages began, its continuation token, the last instant seen and how many rows had it, and how many had none (if any).
 
     A read follows the pages to their end, or takes ``pagesperbatch`` of them and goes on from there in the next batch. At the end the next way begins
-    at the last instant, inclusive; it gives rows only if there are more than before. Rows read are cached by Spark for replays of a batch.
+    at the last instant, inclusive; it gives rows only if there are more than before, for which all pages of that instant are looked through. Rows read
+    are cached by Spark for replays of a batch.
     """
 
     def __init__(self, options: dict, fetch: Callable[[dict], dict] | None = None):
@@ -109,19 +189,25 @@ class ChangesReader(SimpleDataSourceStreamReader):
 
     def _pages(self, start):
         """(rows, offset after them) of each page from an offset on."""
-        last, rows = (start["last"], start["rows"]) if start["token"] else (start["start"], 0)
+        last, rows, bare = (start["last"], start["rows"], start.get("bare", 0)) if start["token"] else (start["start"], 0, 0)
         for items, token in feed_pages(self.fetch, start["start"], self.namespaces, start["token"] or None):
             stamps = [x.get("timestamp") or "" for x in items]
             top = max(last, *stamps)
-            rows = (rows if top == last else 0) + sum(s in ("", top) for s in stamps)
-            last = top
-            yield self._rows(items), {"start": start["start"], "token": token, "last": last, "rows": rows} if token else {"start": last, "token": "", "last": last, "rows": rows}
+            rows = (rows if top == last else 0) + stamps.count(top)
+            last, bare = top, bare + stamps.count("")
+            seen = {"last": last, "rows": rows} | ({"bare": bare} if bare else {})
+            yield self._rows(items), {"start": start["start"], "token": token} | seen if token else {"start": last, "token": ""} | seen
 
     def read(self, start):
-        rows, at = [], start
-        for got, at in islice(self._pages(start), self.most):
+        rows, at, pages = [], start, self._pages(start)
+        for got, at in islice(pages, self.most):
             rows += got
-        return iter(rows if at != start else []), at
+        # A way that begins again may need more pages than a batch to pass what was known.
+        known = lambda x: x["last"] == start["last"] and x["rows"] <= start["rows"] and x.get("bare", 0) <= start.get("bare", 0)
+        end = at
+        while not start["token"] and end["token"] and known(end) and (more := next(pages, None)):
+            end = more[1]
+        return iter(rows if end != start else []), start if end == start else at
 
     def readBetweenOffsets(self, start, end):
         rows, at = [], start
@@ -139,8 +225,29 @@ class ChangesReader(SimpleDataSourceStreamReader):
         pass
 
 
+class ArrowChangesReader(ChangesReader):
+    """Gives its rows in one Arrow batch: Spark converts tuples value by value."""
+
+    def read(self, start):
+        rows, at = super().read(start)
+        return self._batches(rows), at
+
+    def readBetweenOffsets(self, start, end):
+        return self._batches(super().readBetweenOffsets(start, end))
+
+    def _batches(self, rows):
+        import pyarrow as pa
+
+        rows = list(rows)
+        kinds = [(name, pa.int64() if kind == "long" else pa.string()) for name, kind in (x.split() for x in ITEM_SCHEMA.split(", "))]
+        try:
+            return iter([pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), kinds, strict=True)], pa.schema(kinds))] if rows else [])
+        except (pa.ArrowException, TypeError, OverflowError):  # values of other kinds: Spark converts or rejects them
+            return iter(rows)
+
+
 class ChangesSource(DataSource):
-    """``spark.readStream.format("recentchanges").option("domain", ...).option("start", ...)``; ``replay`` names a file of recorded replies."""
+    """``spark.readStream.format("recentchanges").option("domain", ...).option("start", ...)``; ``replay`` names a file or folder of recorded replies."""
 
     @classmethod
     def name(cls):
@@ -150,7 +257,7 @@ class ChangesSource(DataSource):
         return ITEM_SCHEMA
 
     def simpleStreamReader(self, schema):
-        return ChangesReader(dict(self.options))
+        return ArrowChangesReader(dict(self.options))
 
 
 def register(spark: SparkSession) -> None:
